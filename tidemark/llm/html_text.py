@@ -17,7 +17,7 @@ from __future__ import annotations
 import html as entities
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -76,13 +76,21 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
             at = stop
 
 
+def attributes(attrs: str) -> dict[str, str]:
+    """Attributes by lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(attrs):
+        out.setdefault(m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or ""))
+    return out
+
+
 def hidden(name: str, attrs: str) -> bool:
     """Whether an element and all below it stay out of sight."""
     if name in HIDDEN:
         return True
     if not attrs or "hid" not in attrs.lower() and "none" not in attrs.lower() and "collapse" not in attrs.lower():
         return False
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
+    found = attributes(attrs)
     return "hidden" in found or bool(_NONE.search(found.get("style", ""))) or name == "input" and found.get("type", "").lower() == "hidden"
 
 
@@ -172,6 +180,11 @@ def _span(attrs: str) -> int:
 
 def render(html: str | None) -> str:
     """All visible text of a page with its layout."""
+    return layout(tokens(html or ""))
+
+
+def layout(found: Iterable[tuple[str, str, str]]) -> str:
+    """The laid-out text of a page's tokens."""
     flow = Flow()
     stack: list[tuple[str, bool]] = []
     open_names: dict[str, int] = {}
@@ -225,7 +238,7 @@ def render(html: str | None) -> str:
             while len(stack) > last:
                 leave()
 
-    for kind, name, attrs in tokens(html or ""):
+    for kind, name, attrs in found:
         if kind == "text":
             if not unseen:
                 if tables and tables[-1]["cell"] is None and not name.strip():
@@ -246,9 +259,9 @@ def render(html: str | None) -> str:
                 elif name == "hr":
                     flow.block(1)
                 elif name == "img" and "alt" in attrs.lower():
-                    alt = next((m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs) if m[1].lower() == "alt"), "")
+                    alt = attributes(attrs).get("alt", "")
                     if alt.strip():
-                        flow.text(entities.unescape(alt), False)
+                        flow.text(alt, False)
                 continue
             stack.append((name, gone))
             open_names[name] = open_names.get(name, 0) + 1

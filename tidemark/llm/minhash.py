@@ -230,7 +230,7 @@ def _crowded(banded: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row for each document: id, class_id (smallest id of the class), class_docs, class_texts, tid."""
+    """One row for each document: id, class_id (smallest id of the class), class_docs, class_texts, and the class's and text's hashes root and tid."""
     keyed = slim(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     keyed = keyed.withColumn("tid", F.xxhash64("text"))
     ids = stored(keyed.select("id", "tid"), "ids")
@@ -238,4 +238,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = ids.join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
     per_text = named.groupBy("root", "tid").agg(F.min("id").alias("low"), F.count("*").alias("n"))
     classes = per_text.groupBy("root").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_docs"), F.count("*").alias("class_texts"))
-    return named.join(classes, "root").select(F.col("id").alias(id_col), "class_id", "class_docs", "class_texts", "tid")
+    return named.join(classes, "root").select(F.col("id").alias(id_col), "class_id", "class_docs", "class_texts", "root", "tid")
+
+
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each class of near-duplicates: the smallest id (null last), then text hash."""
+    found = near_duplicates(docs, id_col, text_col, **options)
+    rank = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), "tid")
+    # rows without an id form classes by text, which their least hash names
+    chosen = found.withColumn("rank", rank).groupBy("root").agg(F.min("rank").alias("r")).select(F.col("r.id").alias("__id"), F.col("r.tid").alias("__tid"))
+    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    kept = keyed.join(chosen, (F.col("__key") == F.col("__tid")) & F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates([id_col, "__key"]).select(*(F.col(f"`{c}`") for c in docs.columns))
