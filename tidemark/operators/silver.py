@@ -9,8 +9,9 @@ from ..functions.normalize import classify_instrument
 from ..functions.time import MARKET_TZ, local_time, trading_date, utc_time
 
 #: Local minutes of the day in which a candle is expected, ends included.
-#: Derivatives trade from 09:00, stocks and indexes from 09:15; both close at 14:45.
-SPINES = {"DERIVATIVE": ((540, 689), (780, 869), (885, 885)), "STOCK": ((555, 689), (780, 869), (885, 885)), "INDEX": ((555, 689), (780, 869), (885, 885))}
+#: 90 minutes from 09:00 for derivatives, 75 from 09:15 for stocks and indexes (so both
+#: mornings end at 10:29, though trading goes on to 11:30), 90 from 13:00, and 14:45.
+SPINES = {"DERIVATIVE": ((540, 629), (780, 869), (885, 885)), "STOCK": ((555, 629), (780, 869), (885, 885)), "INDEX": ((555, 629), (780, 869), (885, 885))}
 
 
 def _minutes(kind: str) -> Column:

@@ -162,7 +162,7 @@ def session_starts(spark, sf_dir):
     return V.ticks(spark, sf_dir).select("event_id", T.session_start("exchange_ts").alias("session_start"), T.replay_start("exchange_ts").alias("replay_start"))
 
 
-_SPINE = "SELECT symbol, CAST(d AS DATE) AS trading_date, d + to_minutes(m) - INTERVAL 7 HOUR AS time FROM (SELECT DISTINCT symbol FROM minute_bars) CROSS JOIN (SELECT DISTINCT date_trunc('day', time + INTERVAL 7 HOUR) AS d FROM minute_bars WHERE CAST(time + INTERVAL 7 HOUR AS DATE) IN (SELECT trading_date FROM calendar)) CROSS JOIN (SELECT m FROM range(555, 690) r(m) UNION ALL SELECT m FROM range(780, 870) r(m) UNION ALL SELECT 885)"
+_SPINE = "SELECT symbol, CAST(d AS DATE) AS trading_date, d + to_minutes(m) - INTERVAL 7 HOUR AS time FROM (SELECT DISTINCT symbol FROM minute_bars) CROSS JOIN (SELECT DISTINCT date_trunc('day', time + INTERVAL 7 HOUR) AS d FROM minute_bars WHERE CAST(time + INTERVAL 7 HOUR AS DATE) IN (SELECT trading_date FROM calendar)) CROSS JOIN (SELECT m FROM range(555, 630) r(m) UNION ALL SELECT m FROM range(780, 870) r(m) UNION ALL SELECT 885)"
 _FILL = "SELECT symbol, time, coalesce(open, carried) AS open, coalesce(high, carried) AS high, coalesce(low, carried) AS low, coalesce(close, carried) AS close, coalesce(volume, 0) AS volume, 'STOCK' AS bar_type, open IS NULL AS is_filled, trading_date FROM (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol, trading_date ORDER BY time) AS carried FROM spine LEFT JOIN minute_bars USING (symbol, time))"
 
 
