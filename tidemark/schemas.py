@@ -3,12 +3,19 @@
 from pyspark.sql import types as T
 
 
+LEVELS = "array<struct<price:double,qtty:int>>"
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "bigint": T.LongType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "date": T.DateType(),
+    LEVELS: T.ArrayType(T.StructType([T.StructField("price", T.DoubleType()), T.StructField("qtty", T.IntegerType())])),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Columns and types as in DDL; works without a session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (c.split(" ") for c in spec.split(", "))])
 
 
 TRADE = _struct("symbol string, market_id string, board_id string, price double, quantity int, side int, session_vol bigint, session_high double, session_low double, session_open double, session_vwap double, trading_session_id string, exchange_ts timestamp, gateway_ts timestamp, producer_ts timestamp, ingested_ts timestamp, is_backfill boolean, date string, kafka_partition int, kafka_offset bigint")
-LEVELS = "array<struct<price:double,qtty:int>>"
 QUOTE = _struct(
     "symbol string, market_id string, board_id string, "
     + ", ".join(f"{side}_price{i} double, {side}_qty{i} int" for side in ("bid", "ask") for i in (1, 2, 3))
