@@ -8,11 +8,11 @@ smallest point that falls to it, so two signatures agree in a component with the
 probability of the bags' weighted Jaccard similarity. Bands of the signature
 propose pairs, and the multiset overlap of the whole texts decides them.
 
-Within a band's bucket not all pairs are formed. In each round every member whose
-class differs from that of the round's leader (another one in each round, by a
-hash) is verified against that leader and linked members become one class.
-What still differs after ``ROUNDS`` rounds is paired across classes, so no
-proposed link between different classes goes unverified.
+Within a band's bucket not all pairs are formed. In each of ``ROUNDS`` rounds the
+members whose class differs from that of the round's leader (another one in each
+round, by a hash) are verified against that leader, and linked members become one
+class. What still differs is compared block by block across classes, so no proposed
+link between different classes goes unverified.
 
 Cases: null texts count as empty; texts without words are alike only if equal; a
 text of fewer than five words is one shingle; null ids form classes by their
@@ -36,9 +36,12 @@ from .common import partitions_for, slim, stored
 WORDS, THRESHOLD = 5, 0.8
 #: Bands of so many signature components each.
 BANDS, ROWS = 25, 5
-ROUNDS = 6
-#: Members verified against one leader in a group; a larger crowd is cut up.
-CROWD = 400
+ROUNDS = 2
+#: Members verified against one leader in a group, and of a block; larger crowds are cut up.
+CROWD, BLOCK = 400, 1024
+#: A pair is counted out only if its signatures agree in less than this share of
+#: the threshold: for a pair at 0.8 that happens once in a hundred thousand times.
+LIKELY = 0.81
 #: Shingles signed at a time.
 BATCH = 1 << 18
 SPACES = " \t\n\r\v\f"
@@ -111,9 +114,10 @@ def signatures(keys: np.ndarray, weights: np.ndarray, bag: np.ndarray, bags: int
     return name.reshape(bags, size)
 
 
-def band_keys(texts: list[str], words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Band hashes (texts, bands); all texts must have a word."""
+def sign_texts(texts: list[str], words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Band hashes (texts, bands) and a byte of each component (texts, bands * rows); all texts must have a word."""
     out = np.empty((len(texts), bands), np.uint64)
+    short = np.empty((len(texts), bands * rows), np.uint8)
     start, held, count = 0, [], 0
     for i, text in enumerate(texts):
         held.append(shingles(text, words))
@@ -125,11 +129,14 @@ def band_keys(texts: list[str], words: int = WORDS, bands: int = BANDS, rows: in
             for r in range(rows):
                 key = _mix(key * _GOLD + sig[:, r::rows])
             out[start : i + 1] = key
+            short[start : i + 1] = (sig >> np.uint64(32)).astype(np.uint8)
             start, held, count = i + 1, [], 0
-    return out
+    return out, short
 
 
-def _band_rows(texts: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
+def _signed(texts: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
+    """(tid, bands, short) for texts with a word; copies within a batch once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, found = batch.column(0).to_numpy(), batch.column(1).to_pylist()
@@ -137,31 +144,46 @@ def _band_rows(texts: DataFrame, words: int, bands: int, rows: int) -> DataFrame
             full = [i for i in once if found[i].strip(SPACES)]
             for at in range(0, len(full), 256):
                 part = full[at : at + 256]
-                keys = band_keys([found[i] for i in part], words, bands, rows)
-                yield pa.RecordBatch.from_pydict({"band": pa.array(keys.view(np.int64).ravel()), "tid": pa.array(np.repeat(ids[part], bands))})
+                keys, short = sign_texts([found[i] for i in part], words, bands, rows)
+                yield pa.RecordBatch.from_pydict({"tid": pa.array(ids[part]), "bands": pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())), "short": pa.array([x.tobytes() for x in short], pa.binary())})
+
+    return texts.mapInArrow(run, "tid long, bands array<long>, short binary")
+
 
-    return texts.mapInArrow(run, "band long, tid long")
+class Member:
+    """A text in a group, whose bag is made when a pair needs it."""
+
+    def __init__(self, tid: int, root: int, text: str, words: int):
+        self.tid, self.root, self.text, self.words, self._bag = tid, root, text, words, None
+
+    @property
+    def bag(self) -> tuple[np.ndarray, np.ndarray]:
+        if self._bag is None:
+            self._bag = shingles(self.text, self.words)
+        return self._bag
 
 
 def _verified(edges: DataFrame, texts: DataFrame, threshold: float, words: int) -> DataFrame:
     """Of (tid, leader) the pairs whose bags overlap enough.
 
-    Members meet their leader's text in groups of at most about ``CROWD``.
+    Members meet their leader's text in groups of at most about ``CROWD``; a
+    signature that makes the threshold (``LIKELY`` of it) implausible spares the count.
     """
     crowd = edges.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(CROWD)).alias("parts"))
     dealt = edges.join(crowd, "leader").withColumn("part", F.pmod(F.xxhash64("tid"), "parts"))
     members = dealt.select("leader", "part", "tid", F.lit(False).alias("lead"))
     leaders = crowd.select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("leader").alias("tid"), F.lit(True).alias("lead"))
-    both = members.unionByName(leaders).join(texts, "tid").select("leader", "part", "lead", "tid", "text")
+    both = members.unionByName(leaders).join(texts, "tid").select("leader", "part", "lead", "tid", "text", "short")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = bag = None
+        group = first = sign = None
         for batch in batches:
             tids, leads = [], []
-            for leader, part, lead, tid, text in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            for leader, part, lead, tid, text, short in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                own = np.frombuffer(short, np.uint8)
                 if lead:
-                    group, bag = (leader, part), shingles(text, words)
-                elif group == (leader, part) and overlap(bag, shingles(text, words)) >= threshold:
+                    group, first, sign = (leader, part), Member(tid, tid, text, words), own
+                elif group == (leader, part) and (own == sign).mean() >= LIKELY * threshold and overlap(first.bag, shingles(text, words)) >= threshold:
                     tids.append(tid)
                     leads.append(leader)
             yield pa.RecordBatch.from_pydict({"tid": pa.array(tids, pa.int64()), "leader": pa.array(leads, pa.int64())})
@@ -170,7 +192,68 @@ def _verified(edges: DataFrame, texts: DataFrame, threshold: float, words: int)
     return both.repartition(n, "leader", "part").sortWithinPartitions("leader", "part", F.col("lead").desc()).mapInArrow(run, "tid long, leader long")
 
 
-def components(links: DataFrame, most: int = 40) -> DataFrame:
+def _across(placed: DataFrame, texts: DataFrame, threshold: float, words: int) -> DataFrame:
+    """Links between the classes that share a band's bucket, from (band, tid, root).
+
+    A bucket's members are cut into blocks of about ``BLOCK``; each pair of blocks is
+    a group of its own, which gives only its links. A pair is looked at in the
+    first band that it shares, and only while its classes differ.
+    """
+    mixed = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).filter("a <> b").select("band", F.ceil(F.col("n") / F.lit(BLOCK)).alias("blocks"))
+    own = placed.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("tid"), "blocks"))
+    dealt = own.select("band", "tid", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    met = dealt.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("block") == F.least("block", "other"), "tid", "root").toDF("band", "i", "j", "low", "tid", "root")
+    full = met.join(texts, "tid").select("band", "i", "j", "low", "tid", "root", "text", "short", "bands")
+
+    def links(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+        band, i, j = key
+        members = [Member(tid, root, text, words) for _, tid, root, text, _, _ in rows]
+        low = np.array([r[0] for r in rows])
+        short = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
+        bands = np.array([r[5] for r in rows], np.int64)
+        here = int(np.flatnonzero(bands[0] == band)[0])
+        classes: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while x in classes:
+                x = classes[x]
+            return x
+
+        out = []
+        for x in range(len(rows)):
+            if i != j and not low[x]:
+                continue
+            later = np.arange(x + 1, len(rows)) if i == j else np.flatnonzero(~low)
+            same = bands[later] == bands[x]
+            likely = (short[later] == short[x]).mean(axis=1) >= LIKELY * threshold
+            for y in later[likely & (same.argmax(axis=1) == here)]:
+                a, b = find(members[x].root), find(members[y].root)
+                if a != b and overlap(members[x].bag, members[y].bag) >= threshold:
+                    classes[a] = b
+                    out.append((members[x].tid, members[y].tid))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            found = []
+            for row in zip(*(batch.column(k).to_pylist() for k in range(9)), strict=True):
+                if row[:3] != key:
+                    found += links(key, held) if len(held) > 1 else []
+                    key, held = row[:3], []
+                held.append(row[3:])
+            yield _edge_batch(found)
+        yield _edge_batch(links(key, held) if len(held) > 1 else [])
+
+    n = partitions_for(placed.sparkSession)
+    return full.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "tid long, leader long")
+
+
+def _edge_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"tid": pa.array([x for x, _ in found], pa.int64()), "leader": pa.array([y for _, y in found], pa.int64())})
+
+
+def components(links: DataFrame, most: int = 60) -> DataFrame:
     """(tid, root): the smallest member of each linked set, by alternating star contraction.
 
     Each step writes its table in the shared folder, and stops when nothing changes.
@@ -178,55 +261,44 @@ def components(links: DataFrame, most: int = 40) -> DataFrame:
     edges = links.selectExpr("greatest(tid, leader) u", "least(tid, leader) v").filter("u <> v").distinct()
     done = None
     for step in range(most):
-        # large star: a vertex's larger neighbours to its smallest one
+        # large star: a vertex's larger neighbours to the smallest of its neighbours and itself
         around = edges.unionByName(edges.selectExpr("v u", "u v"))
         low = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = around.join(low, "u").filter("v > u").selectExpr("v u", "m v").filter("u <> v").distinct()
-        # small star: smaller neighbours and the vertex itself to the smallest
-        small_low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(small_low, "u").selectExpr("v u", "m v").filter("u <> v").unionByName(small_low.selectExpr("u", "m v")).distinct()
-        edges = stored(small, f"links{step}")
+        large = around.filter("v > u").join(low, "u").selectExpr("v u", "m v").distinct()
+        # small star: a vertex and its smaller neighbours to the smallest of them
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").selectExpr("v u", "m v").filter("u <> v").unionByName(least.selectExpr("u", "m v")).distinct()
+        edges = stored(small, f"star{step}")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == done:
-            break
+            return edges.select(F.col("u").alias("tid"), F.col("v").alias("root"))
         done = now
-    return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "tid")
+    raise RuntimeError("linked sets did not settle")
 
 
 def near_duplicate_classes(texts: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """(tid, root) for those of ``texts`` (tid, text; copies may repeat) that share a class with another text."""
-    banded = _band_rows(texts, words, bands, rows).distinct()
-    crowded = stored(_crowded(stored(banded, "allbands")), "bands")
-    met = crowded.select("tid").distinct()
-    own = stored(texts.groupBy("tid").agg(F.first("text").alias("text")).join(met, "tid", "left_semi"), "texts")
-    links = roots = None
+    """(tid, root) for those of ``texts`` (tid, text; copies may repeat) that share a band with another text."""
+    signed = stored(_signed(texts, words, bands, rows), "signed")
+    banded = signed.select(F.explode("bands").alias("band"), "tid").distinct()
+    shared = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    crowded = stored(banded.join(shared, "band", "left_semi"), "bands")
+    met = signed.join(crowded.select("tid").distinct(), "tid", "left_semi").dropDuplicates(["tid"])
+    own = stored(texts.groupBy("tid").agg(F.first("text").alias("text")).join(met, "tid"), "texts")
+    roots = own.select("tid", F.col("tid").alias("root"))
     for k in range(rounds + 1):
-        placed = crowded.withColumn("root", F.col("tid")) if roots is None else crowded.join(roots, "tid", "left").select("band", "tid", F.coalesce("root", "tid").alias("root"))
+        placed = crowded.join(roots, "tid")
         if k < rounds:
             order = F.struct(F.xxhash64("tid", F.lit(k)).alias("h"), F.col("tid").alias("leader"), F.col("root").alias("lead_root"))
             lead = placed.groupBy("band").agg(F.min(order).alias("x"), F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("band", "x.leader", "x.lead_root")
-            pairs = placed.join(lead, "band").filter("root <> lead_root").select("tid", "leader").distinct()
+            pairs = stored(placed.join(lead, "band").filter("root <> lead_root").select("tid", "leader").distinct(), f"pairs{k}")
+            found = _verified(pairs, own, threshold, words)
         else:
-            mixed = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("band")
-            left = placed.join(mixed, "band", "left_semi")
-            other = left.select("band", F.col("tid").alias("leader"), F.col("root").alias("lead_root"))
-            pairs = left.join(other, "band").filter("root <> lead_root AND tid < leader").select("tid", "leader").distinct()
-        pairs = stored(pairs, f"pairs{k}")
-        if pairs.isEmpty():
-            break
-        found = stored(_verified(pairs, own, threshold, words), f"found{k}")
-        links = found if links is None else links.unionByName(found)
-        if not found.isEmpty():
-            roots = stored(components(links), f"roots{k}")
-    if roots is None:
-        return own.select("tid", F.col("tid").alias("root"))
-    return roots.unionByName(roots.select(F.col("root").alias("tid"), "root").distinct())
-
-
-def _crowded(banded: DataFrame) -> DataFrame:
-    """Band rows whose band holds two texts or more."""
-    shared = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    return banded.join(shared, "band", "left_semi")
+            found = _across(placed, own, threshold, words)
+        links = stored(found.join(roots, "tid").select("leader", F.col("root").alias("u")).join(roots.withColumnRenamed("tid", "leader"), "leader").select(F.col("u").alias("tid"), F.col("root").alias("leader")), f"links{k}")
+        if not links.isEmpty():
+            joined = components(links).select(F.col("tid").alias("root"), F.col("root").alias("top"))
+            roots = stored(roots.join(joined, "root", "left").select("tid", F.coalesce("top", "root").alias("root")), f"roots{k}")
+    return roots
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
