@@ -26,7 +26,7 @@ from .common import slim
 
 # HTML's elements by what they mean for layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript iframe object svg math datalist audio video canvas select".split())
+HIDDEN = frozenset("head title script style template noscript iframe object svg math datalist audio video canvas select".split())
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr".split())
 BLOCK = PARAGRAPH | frozenset("html body address article aside details dialog dd div dt figcaption footer form header hgroup legend li main menu nav section summary center caption thead tbody tfoot tr optgroup option".split())

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import html as entities
 import json
 import re
 import uuid
@@ -77,7 +78,7 @@ def page_facts(found: list[tuple[str, str, str]], base: str | None) -> tuple[str
             if name in LINKS and attrs:
                 own = attributes(attrs)
                 links += [{"path": f"{name}@/{a}", "url": _resolved(base, own[a])} for a in LINKS[name] if own.get(a)]
-    return " ".join("".join(title).split()), links
+    return " ".join(entities.unescape("".join(title)).split()), links
 
 
 def _resolved(base: str | None, link: str) -> str:
