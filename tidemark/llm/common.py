@@ -37,6 +37,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``stored``, but in buckets by ``key``, so that a later grouping by it needs no shuffle."""
+    spark = df.sparkSession
+    table = f"tidemark_{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(partitions_for(spark), key).option("path", f"{shared_dir(spark)}/{table}").saveAsTable(table)
+    return spark.table(table)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

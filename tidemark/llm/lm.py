@@ -3,9 +3,9 @@
 1. ``chunks``: each task turns its texts into chunks of about a million tokens:
    local word numbers and the words' hashes, stored once.
 2. Each chunk sends its distinct words, pairs and triples (with their training
-   counts) to shards; a word goes by its hash, a pair or triple by its first two
-   words, so a frequent word is spread over all shards and what a chunk sends is
-   already summed. A shard merges all chunks' counts into a trie (see ``trie``),
+   counts) to shards; all go by their first word's hash, and those of the ``HOT`` most
+   frequent words by their first two words, so that such a word is spread over all
+   shards. What a chunk sends is already summed. A shard merges all chunks' counts into a trie (see ``trie``),
    maps it from a file and answers each chunk's n-grams from it.
 3. Chunks meet their answers and score their texts.
 
@@ -36,17 +36,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slim, stored
+from .common import slim, stored_by
 from .trie import MISSING, Trie, from_code
 
 K2, K3 = 300.0, 8.0
 #: Tokens of a chunk and (all orders together) n-grams of a shard, about.
-CHUNK_TOKENS, SHARD_TOKENS = 1 << 20, 2_000_000
+CHUNK_TOKENS, SHARD_TOKENS = 1 << 21, 2_000_000
+#: Frequent words that are spread, and how many of a chunk stand for election.
+HOT, TOP = 1024, 256
 #: The end token and the mark before a text; no word has a space.
 END, BEGIN = b" end", b" begin"
 
 _GOLD, _C1 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_32 = np.uint64(32)
+_32, _24 = np.uint64(32), np.uint64(24)
+
+
+class Numbers(dict):
+    """Words by number, in the order of their first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -58,6 +68,16 @@ def is_held_out(doc_id: object, folds: int = 10) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % folds == 0
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers as four compressed byte planes."""
+    return zstandard.ZstdCompressor(3).compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def from_planes(block: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(raw.T).view("<u4").ravel()
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed block."""
     head = np.array([len(arrays), *(x for a in arrays for x in (a.dtype.itemsize, len(a)))], np.int64)
@@ -82,13 +102,13 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int = CHUN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
-        number: dict[bytes, int] = {END: 0, BEGIN: 1}
+        number = Numbers({END: 0, BEGIN: 1})
         ids, lengths, held, found = [], [], [], []
         for batch in batches:
             arrow_kind = batch.schema[0].type
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = tokens(text)
-                found.append(np.fromiter([number.setdefault(w, len(number)) for w in words], np.uint32, len(words)))
+                found.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
                 ids.append(doc_id)
                 lengths.append(len(words) + 1)
                 held.append(is_held_out(doc_id))
@@ -96,30 +116,31 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int = CHUN
                 if made_tokens >= chunk_tokens:
                     yield _chunk(part, made, arrow_kind, ids, lengths, held, found, number)
                     made += 1
-                    number = {END: 0, BEGIN: 1}
+                    number = Numbers({END: 0, BEGIN: 1})
                     ids, lengths, held, found = [], [], [], []
         if ids:
             yield _chunk(part, made, arrow_kind, ids, lengths, held, found, number)
 
-    fields = [T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("n_tokens", T.ArrayType(T.LongType())), T.StructField("held_out", T.ArrayType(T.BooleanType())), T.StructField("tokens", T.LongType()), T.StructField("hashes", T.BinaryType()), T.StructField("numbers", T.BinaryType())]
+    fields = [T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("n_tokens", T.ArrayType(T.LongType())), T.StructField("held_out", T.ArrayType(T.BooleanType())), T.StructField("tokens", T.LongType()), T.StructField("hashes", T.BinaryType()), T.StructField("numbers", T.BinaryType()), T.StructField("tops", T.MapType(T.LongType(), T.LongType()))]
     return rows.mapInArrow(run, T.StructType(fields))
 
 
 def _chunk(part: int, made: int, kind: pa.DataType, ids: list, lengths: list, held: list, found: list, number: dict) -> pa.RecordBatch:
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
     numbers = np.concatenate(found) if found else np.empty(0, np.uint32)
-    if len(number) <= 1 << 16:
-        numbers = numbers.astype(np.uint16)
+    counts = np.bincount(numbers, minlength=len(number))
+    top = np.argsort(-counts, kind="stable")[:TOP]
     return pa.RecordBatch.from_pydict({
         "chunk": pa.array([(part << 24) + made], pa.int64()), "ids": pa.array([ids], pa.list_(kind)), "n_tokens": pa.array([lengths], pa.list_(pa.int64())), "held_out": pa.array([held], pa.list_(pa.bool_())),
-        "tokens": pa.array([sum(lengths)], pa.int64()), "hashes": pa.array([hashes.tobytes()], pa.binary()), "numbers": pa.array([packed(numbers)], pa.binary()),
+        "tokens": pa.array([sum(lengths)], pa.int64()), "hashes": pa.array([hashes.tobytes()], pa.binary()), "numbers": pa.array([planes(numbers)], pa.binary()),
+        "tops": pa.array([list(zip(hashes[top].view(np.int64).tolist(), counts[top].tolist(), strict=True))], pa.map_(pa.int64(), pa.int64())),
     })
 
 
 class Ngrams:
     """The distinct words, pairs and triples of a chunk, by shard and then sorted."""
 
-    def __init__(self, hashes: np.ndarray, numbers: np.ndarray, lengths: np.ndarray, held: np.ndarray, shards: int):
+    def __init__(self, hashes: np.ndarray, numbers: np.ndarray, lengths: np.ndarray, held: np.ndarray, shards: int, hot: np.ndarray):
         end = np.cumsum(lengths) - 1  # places of the end tokens
         n = int(lengths.sum())
         stream = np.zeros(n, np.int64)
@@ -148,7 +169,8 @@ class Ngrams:
         width = len(keys)
         pair, of_pair = np.unique(rank[before] * width + key[stream], return_inverse=True)
         p_first, p_key = sorted_hashes[pair // width], keys[pair % width]
-        shard = _shard(p_first ^ (p_key.astype(np.uint64) * _GOLD), shards)
+        spread = np.isin(p_first, hot)
+        shard = _shard(np.where(spread, p_first ^ (p_key.astype(np.uint64) * _GOLD), p_first), shards)
         order = np.argsort(shard, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -169,12 +191,13 @@ class Ngrams:
         children = np.bincount(self.tri_pair, minlength=len(self.pair_hash))
         for s in range(shards):
             ps, ts, ws = slice(p[s], p[s + 1]), slice(t[s], t[s + 1]), slice(w[s], w[s + 1])
-            heads = self.pair_hash[ps]
+            heads = self.pair_hash[ps] >> _24
             new = np.ones(len(heads), bool)
             new[1:] = heads[1:] != heads[:-1]
             at = np.flatnonzero(new)
             runs = np.diff(np.append(at, len(heads)))
-            yield packed(self.word_hash[ws], _narrow(self.word_count[ws]), heads[at], _narrow(runs), self.pair_key[ps], _narrow(self.pair_count[ps]), _narrow(children[ps]), self.tri_key[ts], _narrow(self.tri_count[ts]))
+            context = heads[at]
+            yield packed(self.word_hash[ws], _narrow(self.word_count[ws]), (context >> np.uint64(8)).astype(np.uint32), context.astype(np.uint8), _narrow(runs), self.pair_key[ps], _narrow(self.pair_count[ps]), _narrow(children[ps]), self.tri_key[ts], _narrow(self.tri_count[ts]))
 
 
 def _narrow(x: np.ndarray) -> np.ndarray:
@@ -186,23 +209,27 @@ def _shard(x: np.ndarray, shards: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) * _C1 >> _32).astype(np.int64) % shards
 
 
-def _sent(block: bytes) -> tuple:
-    """(word hash, count), (first hash, key, count) and (pair number, key, count) of a chunk's block."""
-    w_hash, w_count, heads, runs, p_key, p_count, children, t_key, t_count = unpacked(block)
-    p_hash = np.repeat(heads, runs)
-    t_pair = np.repeat(np.arange(len(p_key)), children)
-    return w_hash, w_count.astype(np.int64), p_hash, p_key, p_count.astype(np.int64), t_pair, t_key, t_count.astype(np.int64)
+class Sent:
+    """What a chunk sent to a shard."""
+
+    def __init__(self, block: bytes):
+        self.words, count, high, low, runs, self.keys, self.pair_count, children, self.tri_keys, self.tri_count = unpacked(block)
+        self.word_count, self.runs = count.astype(np.int64), runs.astype(np.int64)
+        self.contexts = (high.astype(np.uint64) << np.uint64(8)) | low
+        self.tri_pair = np.repeat(np.arange(len(self.keys)), children)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = CHUNK_TOKENS, shard_tokens: int = SHARD_TOKENS, k2: float = K2, k3: float = K3) -> DataFrame:
     """Base and model scores of every text."""
     kind = slim(docs, id_col).schema[0].dataType
-    cut = stored(chunks(docs, id_col, text_col, chunk_tokens), "chunks")
+    cut = stored_by(chunks(docs, id_col, text_col, chunk_tokens), "chunks", "chunk")
     total = cut.agg(F.sum("tokens")).first()[0] or 0
     shards = max(1, -(-total // shard_tokens))
+    frequent = cut.select(F.explode("tops").alias("h", "c")).groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(HOT).collect()
+    hot = np.sort(np.array([r["h"] for r in frequent], np.int64).view(np.uint64))
 
-    def ngrams_of(batch: dict) -> Ngrams:
-        return Ngrams(np.frombuffer(batch["hashes"], np.uint64), unpacked(batch["numbers"])[0].astype(np.int64), np.array(batch["n_tokens"], np.int64), np.array(batch["held_out"], bool), shards)
+    def ngrams_of(row: dict) -> Ngrams:
+        return Ngrams(np.frombuffer(row["hashes"], np.uint64), from_planes(row["numbers"]).astype(np.int64), np.array(row["n_tokens"], np.int64), np.array(row["held_out"], bool), shards, hot)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,10 +239,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int64()), "chunk": pa.array([one["chunk"]], pa.int64()), "block": pa.array([block], pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
-        sent = [_sent(b.as_py()) for b in table.column("block")]
-        words = tuple(np.concatenate([x[i] for x in sent]) for i in (0, 1))
-        pairs = tuple(np.concatenate([x[i] for x in sent]) for i in (2, 3, 4))
-        triples = tuple(np.concatenate(x) for x in ([x[2][x[5]] for x in sent], [x[3][x[5]] for x in sent], [x[6] for x in sent], [x[7] for x in sent]))
+        sent = [Sent(b.as_py()) for b in table.column("block")]
+        words = np.concatenate([x.words for x in sent]), np.concatenate([x.word_count for x in sent])
+        pairs = np.concatenate([np.repeat(x.contexts, x.runs) for x in sent]), np.concatenate([x.keys for x in sent]), np.concatenate([x.pair_count for x in sent])
+        starts = np.cumsum([0, *(len(x.keys) for x in sent)])
+        triples = np.concatenate([x.tri_pair + at for x, at in zip(sent, starts[:-1], strict=True)]), np.concatenate([x.tri_keys for x in sent]), np.concatenate([x.tri_count for x in sent])
         begin = np.uint64(xxhash.xxh3_64_intdigest(BEGIN))
         real = (words[0] != begin) & (words[1] > 0)
         vocabulary, n_train = len(np.unique(words[0][real])), int(words[1][real].sum())
@@ -223,9 +251,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         with tempfile.TemporaryDirectory() as folder:
             trie = Trie.build(words, pairs, triples, k3).saved(f"{folder}/trie")
             del words, pairs, triples
-            for w_hash, _, p_hash, p_key, _, t_pair, t_key, _ in sent:
-                number, p_code = trie.pair_values(p_hash, p_key)
-                blocks.append(packed(trie.word_counts(w_hash).astype(np.uint64), p_code, trie.triple_values(number[t_pair], t_key), np.array([vocabulary, n_train], np.uint64)))
+            for x in sent:
+                number, p_code = trie.pair_values(x.contexts, x.runs, x.keys)
+                blocks.append(packed(_narrow(trie.word_counts(x.words)), p_code, trie.triple_values(number[x.tri_pair], x.tri_keys), np.array([vocabulary, n_train], np.uint64)))
             del trie
         return pa.table({"chunk": table.column("chunk"), "shard": table.column("shard"), "block": pa.array(blocks, pa.binary())})
 
@@ -253,7 +281,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             "train_tokens": np.full(len(lengths), n_train, np.int64), "base_score": np.add.reduceat(base, grams.first), "score": np.add.reduceat(np.log10(p), grams.first),
         })
 
-    asked = cut.mapInArrow(send, "shard long, chunk long, block binary")
+    asked = cut.drop("ids", "tops").mapInArrow(send, "shard long, chunk long, block binary")
     answers = asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, block binary")
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")), *(T.StructField(c, T.DoubleType()) for c in ("base_score", "score"))])
     return cut.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)

@@ -1,8 +1,8 @@
 """Elias-Fano sequences and an n-gram trie of three levels over them.
 
-A trie holds words of one shard by their hashes. Level 1 has the words; below a
-node, level 2 has its successors and level 3 theirs, each by a 32-bit hash of the
-word. All sequences are monotone: the keys of a level are (parent's number, hash)
+A trie holds words of one shard by their hashes. Level 1 has the words (64 bits) and
+the contexts among them (40 bits); below a context, level 2 has its successors and
+level 3 theirs, each by a 32-bit hash of the word. All sequences are monotone: the keys of a level are (parent's number, hash)
 pairs, and the pointers count the children before each node. A lookup goes down
 from the context: it finds the first key not less than (node, word) within the
 node's range and compares. Values are quantised to 16 bits. ``saved`` writes the
@@ -16,7 +16,7 @@ import numpy as np
 #: Codes are 1024 times a base-2 logarithm; this one means "not there".
 STEP, MISSING = 1024.0, np.uint16(0xFFFF)
 
-_U1, _U6 = np.uint64(1), np.uint64(6)
+_U1, _U6, _32 = np.uint64(1), np.uint64(6), np.uint64(32)
 
 
 class EliasFano:
@@ -145,90 +145,90 @@ def from_code(code: np.ndarray) -> np.ndarray:
 class Trie:
     """Counts of words, pairs and triples of one shard as a queryable trie."""
 
-    def __init__(self, nodes: EliasFano, counts: np.ndarray, pairs: EliasFano, pair_codes: np.ndarray, pair_pointers: EliasFano, triples: EliasFano, triple_codes: np.ndarray, triple_pointers: EliasFano):
-        self.nodes, self.counts = nodes, counts
-        self.pairs, self.pair_codes, self.pair_pointers = pairs, pair_codes, pair_pointers
-        self.triples, self.triple_codes, self.triple_pointers = triples, triple_codes, triple_pointers
+    SEQUENCES = ("words", "nodes", "node_pointers", "pairs", "pair_pointers", "triples")
+    VALUES = ("word_values", "pair_codes", "triple_codes")
+
+    def __init__(self, **parts: EliasFano | np.ndarray):
+        for name in (*self.SEQUENCES, *self.VALUES):
+            setattr(self, name, parts[name])
 
     @classmethod
     def build(cls, words: tuple, pairs: tuple, triples: tuple, prior: float) -> Trie:
-        """From (hash, count), (hash, key, count) and (hash, key, key, count) arrays, in any order and with repeats.
+        """From words (hash, count), pairs (context, key, count) and triples (index into ``pairs``, key, count).
 
-        A triple's value is its smoothed probability c / (context's count + prior),
-        a pair's is its count (its context is counted in another shard).
+        Rows come in any order and repeat. A triple's value is its smoothed probability
+        c / (context's count + prior); a pair's is its count, for its context may be
+        counted in another shard.
         """
-        w_hash, w_count = _summed(words[:1], words[1])
-        p_hash, p_key, p_count = _summed(pairs[:2], pairs[2])
-        t_hash, t_mid, t_key, t_count = _summed(triples[:3], triples[3])
-        keys = np.unique(np.concatenate([w_hash, p_hash]))
-        counts = np.zeros(len(keys), np.int64)
-        counts[np.searchsorted(keys, w_hash)] = w_count
-        parent = np.searchsorted(keys, p_hash)
-        p_key64 = (parent.astype(np.uint64) << np.uint64(32)) | p_key
-        t_parent = np.searchsorted(p_key64, (np.searchsorted(keys, t_hash).astype(np.uint64) << np.uint64(32)) | t_mid)
-        t_key64 = (t_parent.astype(np.uint64) << np.uint64(32)) | t_key
-        share = t_count / (p_count[t_parent] + prior) if len(t_count) else np.empty(0)
+        word, word_count = merged(*words)
+        seen = pairs[2] > 0
+        nodes = np.unique(pairs[0][seen])
+        pair64 = (np.searchsorted(nodes, pairs[0]).astype(np.uint64) << _32) | pairs[1].astype(np.uint64)
+        pair, pair_count = merged(pair64, pairs[2])
+        seen = triples[2] > 0
+        parent = np.searchsorted(pair, pair64[triples[0][seen]])
+        triple, triple_count = merged((parent.astype(np.uint64) << _32) | triples[1][seen].astype(np.uint64), triples[2][seen])
+        parent = (triple >> _32).astype(np.int64)
+        share = triple_count / (pair_count[parent] + prior)
         return cls(
-            EliasFano.of(keys), counts, EliasFano.of(p_key64), to_code(p_count), EliasFano.of(np.searchsorted(parent, np.arange(len(keys) + 1))),
-            EliasFano.of(t_key64), to_code(1 / share), EliasFano.of(np.searchsorted(t_parent, np.arange(len(p_key64) + 1))),
+            words=EliasFano.of(word), word_values=word_count, nodes=EliasFano.of(nodes), node_pointers=EliasFano.of(np.searchsorted((pair >> _32).astype(np.int64), np.arange(len(nodes) + 1))),
+            pairs=EliasFano.of(pair), pair_codes=to_code(pair_count), pair_pointers=EliasFano.of(np.searchsorted(parent, np.arange(len(pair) + 1))),
+            triples=EliasFano.of(triple), triple_codes=to_code(1 / share),
         )
 
     def saved(self, path: str) -> Trie:
         """The same trie over a memory-mapped file."""
-        parts = [self.counts, self.pair_codes, self.triple_codes]
-        sequences = (self.nodes, self.pairs, self.pair_pointers, self.triples, self.triple_pointers)
-        for s in sequences:
-            parts += s.arrays()
+        sequences = {n: getattr(self, n) for n in self.SEQUENCES}
+        parts = [getattr(self, n) for n in self.VALUES] + [a for s in sequences.values() for a in s.arrays()]
         offsets, at = [], 0
         with open(path, "wb") as f:
             for a in parts:
-                f.write(b"\0" * (-at % 8))
-                at += -at % 8
+                at += f.write(b"\0" * (-at % 8))
                 offsets.append(at)
                 at += f.write(np.ascontiguousarray(a).tobytes())
             f.write(b"\0" * 8)
         mapped = np.memmap(path, np.uint8, "r")
         views = [mapped[o : o + a.nbytes].view(a.dtype) for o, a in zip(offsets, parts, strict=True)]
-        again = [EliasFano(s.size, s.low_bits, *views[3 + 3 * i : 6 + 3 * i]) for i, s in enumerate(sequences)]
-        return Trie(again[0], views[0], again[1], views[1], again[2], again[3], views[2], again[4])
+        again = {n: EliasFano(s.size, s.low_bits, *views[3 + 3 * i : 6 + 3 * i]) for i, (n, s) in enumerate(sequences.items())}
+        return Trie(**again, **dict(zip(self.VALUES, views, strict=False)))
 
     def word_counts(self, hashes: np.ndarray) -> np.ndarray:
-        at = self.nodes.find(hashes)
-        return np.where(at >= 0, self.counts[np.maximum(at, 0)], 0) if len(self.counts) else np.zeros(len(hashes), np.int64)
+        at = self.words.find(hashes)
+        return np.where(at >= 0, self.word_values[np.maximum(at, 0)], 0) if len(self.word_values) else np.zeros(len(hashes), np.int64)
 
-    def pair_values(self, hashes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(number, code) of pairs: number -1 and ``MISSING`` for those not there."""
-        return _below(self.pairs, self.pair_codes, self.nodes.find(hashes), keys)
+    def pair_values(self, contexts: np.ndarray, runs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number, code) of the successors ``keys`` of contexts, each with as many as its run."""
+        return _below(self.pairs, self.pair_codes, np.repeat(self.nodes.find(contexts), runs), keys)
 
     def triple_values(self, pair: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Codes of the successors ``keys`` below pairs by number."""
+        """Codes of the successors ``keys`` below pairs by number; -1 has none."""
         return _below(self.triples, self.triple_codes, pair, keys)[1]
 
     def children(self, pair: int) -> tuple[int, int]:
         """The range of a pair's successors in level 3."""
-        lo, hi = self.triple_pointers.get(np.array([pair, pair + 1]))
+        lo, hi = self.pair_pointers.get(np.array([pair, pair + 1]))
         return int(lo), int(hi)
 
 
 def _below(level: EliasFano, codes: np.ndarray, parent: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     number = np.full(len(keys), -1, np.int64)
     known = np.flatnonzero(parent >= 0)
-    number[known] = level.find((parent[known].astype(np.uint64) << np.uint64(32)) | keys[known].astype(np.uint64))
+    number[known] = level.find((parent[known].astype(np.uint64) << _32) | keys[known].astype(np.uint64))
     code = np.full(len(keys), MISSING, np.uint16)
-    hit = number >= 0
+    hit = np.flatnonzero(number >= 0)
     code[hit] = codes[number[hit]]
     return number, code
 
 
-def _summed(keys: tuple, counts: np.ndarray) -> tuple:
-    """Rows with a count, sorted by their keys, with the counts of equal rows added."""
+def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys with a count, sorted, with the counts of equal keys added."""
     some = counts > 0
-    keys, counts = tuple(np.asarray(k, np.uint64)[some] for k in keys), counts[some]
-    order = np.lexsort(keys[::-1])
-    keys, counts = tuple(k[order] for k in keys), counts[order]
-    if not len(counts):
-        return (*keys, counts)
-    new = np.ones(len(counts), bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    keys, counts = keys[some], counts[some]
+    if not len(keys):
+        return keys, counts.astype(np.int64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
     at = np.flatnonzero(new)
-    return (*(k[at] for k in keys), np.add.reduceat(counts, at))
+    return keys[at], np.add.reduceat(counts[order].astype(np.int64), at)
