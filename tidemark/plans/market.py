@@ -565,6 +565,82 @@ def latency(spark, sf_dir):
     return V.ticks(spark, sf_dir).groupBy("symbol").agg(F.max(ms).cast("int").alias("max_ms"), F.round(F.avg(ms), 4).alias("avg_ms"))
 
 
+@query(V.with_views(("index_snaps",), "SELECT index_name, date_trunc('second', exchange_ts) AS exchange_ts, value, NULL::DOUBLE AS changed_value, total_volume, up_count FROM index_snaps"))
+def normalize_index(spark, sf_dir):
+    """Tolerant numbers of index records."""
+    s = V.index_snaps(spark, sf_dir)
+    raw = s.select(F.col("index_name").alias("indexName"), F.unix_seconds(F.col("exchange_ts").cast("timestamp")).alias("transactTime"), F.col("value").cast("string").alias("valueIndexes"), F.lit("n/a").alias("changedValue"), F.col("total_volume").cast("string").alias("totalVolumeTraded"), F.col("up_count").cast("string").alias("fluctuationUpIssueCount"))
+    return N.normalize_index(raw).select("index_name", F.col("exchange_ts").cast("timestamp_ntz").alias("exchange_ts"), "value", "changed_value", "total_volume", "up_count")
+
+
+@query(V.with_views(("ticks",), "SELECT symbol, CAST(sum(quantity) AS BIGINT) AS sell_volume, 0::BIGINT AS n_buy, min(date_trunc('second', exchange_ts)) AS producer_ts FROM ticks GROUP BY 1"))
+def normalize_foreign(spark, sf_dir):
+    """P5."""
+    raw = V.ticks(spark, sf_dir).select("symbol", F.col("quantity").cast("string").alias("sellVolume"), F.lit("none").alias("buyVolume"), F.unix_seconds(F.col("exchange_ts").cast("timestamp")).alias("receivedAt"))
+    return N.normalize_foreign(raw).groupBy("symbol").agg(F.sum("sell_volume").alias("sell_volume"), F.count("buy_volume").alias("n_buy"), F.min(F.col("producer_ts").cast("timestamp_ntz")).alias("producer_ts"))
+
+
+@query(V.with_views(("ticks",), "SELECT symbol, max(price) AS expected_price, CAST(max(quantity) AS BIGINT) AS expected_qty, count(*) AS n FROM ticks GROUP BY 1"))
+def normalize_expected_price(spark, sf_dir):
+    """P6."""
+    raw = V.ticks(spark, sf_dir).select("symbol", F.col("price").alias("expectedTradePrice"), F.col("quantity").cast("string").alias("expectedTradeQuantity"), F.lit(1704160800.0).alias("receivedAt"))
+    return N.normalize_expected_price(raw).groupBy("symbol").agg(F.max("expected_price").alias("expected_price"), F.max("expected_qty").alias("expected_qty"), F.count("producer_ts").alias("n"))
+
+
+@query(V.with_views(("quotes",), "SELECT event_id, bid_levels[1].price AS bid_price1, bid_levels[2].qtty AS bid_qty2, NULL::DOUBLE AS ask_price1, NULL::DOUBLE AS spread, len(bid_levels) AS depth FROM quotes"))
+def normalize_quotes(spark, sf_dir):
+    """Books flattened to levels; a missing side has none."""
+    level = lambda x: F.struct(x["price"].alias("price"), x["qtty"].alias("quantity"))
+    raw = V.quotes(spark, sf_dir).select(F.col("event_id").cast("string").alias("symbol"), F.transform("bid_levels", level).alias("bid"), F.lit(None).cast("array<struct<price:double,quantity:int>>").alias("offer"))
+    return N.normalize_quotes(raw).select(F.col("symbol").cast("bigint").alias("event_id"), "bid_price1", "bid_qty2", "ask_price1", "spread", F.size("bid_levels").cast("bigint").alias("depth"))
+
+
+@query(V.with_views(("instruments",), "SELECT symbol, market_id, index_name, CAST(final_trade_date AS VARCHAR) AS final_trade_date FROM instruments WHERE id % 10 <> 0"))
+def normalize_instruments(spark, sf_dir):
+    """Lists of indexes to comma lists; rows without a key are dropped."""
+    raw = V.instruments(spark, sf_dir).select(F.when(F.col("id") % 10 != 0, F.col("symbol")).alias("symbol"), F.col("market_id").alias("marketId"), F.split("index_name", ",").alias("indexName"), F.date_format("final_trade_date", "yyyyMMdd").alias("finalTradeDate"))
+    return N.normalize_instruments(raw).select("symbol", "market_id", "index_name", F.col("final_trade_date").cast("string").alias("final_trade_date"))
+
+
+@query(V.with_views(("ticks",), "SELECT event_id, CASE WHEN k % 2 = 0 THEN CAST(quantity AS DOUBLE) WHEN k % 3 = 0 THEN price END AS value FROM ticks"))
+def unwrap_union(spark, sf_dir):
+    """The member of a tagged union that is set."""
+    u = V.ticks(spark, sf_dir).select("event_id", F.struct(F.when(F.col("k") % 2 == 0, F.col("quantity")).alias("i"), F.when((F.col("k") % 2 != 0) & (F.col("k") % 3 == 0), F.col("price")).alias("d")).alias("u"))
+    return u.select("event_id", N.unwrap_union(F.col("u.i").cast("double"), F.col("u.d")).alias("value"))
+
+
+@query(V.with_views(("instruments", "secdef"), "SELECT symbol, market_id FROM instruments WHERE symbol IN (SELECT symbol FROM secdef) UNION ALL SELECT symbol, arg_max(market_id, (trading_date, market_id, board_id)) FROM secdef WHERE symbol NOT IN (SELECT symbol FROM instruments) GROUP BY symbol"))
+def fallback_rows(spark, sf_dir):
+    """Rows from the master, and from the newest definition for what it lacks."""
+    s = V.secdef(spark, sf_dir)
+    return instruments.fallback_rows(s, V.instruments(spark, sf_dir).select("symbol", "market_id"), s)
+
+
+@query(V.with_views(("ticks",), "SELECT symbol, CAST(coalesce(max(CASE WHEN side = 1 THEN CAST(exchange_ts AS DATE) END), max(CASE WHEN k < 90 THEN CAST(exchange_ts AS DATE) END), DATE '2024-02-01') AS VARCHAR) AS final_trade_date FROM coded WHERE symbol NOT IN (SELECT symbol FROM coded WHERE event_id % 500 = 0) GROUP BY 1",
+    coded="SELECT '41I1F' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS symbol, side, k, exchange_ts, event_id FROM ticks JOIN (SELECT event_id, user_id FROM events) USING (event_id)"))
+def register_contracts(spark, sf_dir):
+    """Missing contracts with the day of their last trade, else quote, else the range's end."""
+    users = V.table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("41I1F"), F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("symbol"))
+    coded = V.ticks(spark, sf_dir).drop("symbol").join(users, "event_id")
+    known = coded.filter("event_id % 500 = 0").select("symbol").distinct()
+    master = known.select("symbol", F.lit("DVX").alias("market_id"), F.lit("FU").alias("security_group_id"), _day("2024-01-01").alias("final_trade_date"), F.lit(True).alias("is_active"))
+    out = instruments.register_contracts(master, coded, coded.filter("side = 1"), coded.filter("k < 90"), F.lit("2024-02-01"))
+    return out.filter(~F.col("is_active")).select("symbol", F.col("final_trade_date").cast("string").alias("final_trade_date"))
+
+
+@query(V.with_views(("calendar",), "SELECT len(list(trading_date)) AS n, CAST(min(trading_date) AS VARCHAR) AS first_in_range, (SELECT CAST(min(trading_date) AS VARCHAR) FROM calendar) AS first_day FROM calendar WHERE trading_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-20'"))
+def days_within(spark, sf_dir):
+    """The days of a range as a list."""
+    one = calendar.days_within(V.calendar(spark, sf_dir), _day("2024-01-08"), _day("2024-01-20"))
+    return one.select(F.size("days").cast("bigint").alias("n"), F.element_at("days", 1).cast("string").alias("first_in_range"), F.col("first_day").cast("string").alias("first_day"))
+
+
+@query(V.with_views(("counters",), "SELECT event_id, CASE WHEN p IS NULL THEN NULL WHEN value < p THEN value ELSE value - p END AS increase FROM (SELECT *, lag(value) OVER (PARTITION BY symbol ORDER BY ts) AS p FROM counters)"))
+def counter_increase(spark, sf_dir):
+    """The rise since the sample before."""
+    return ops_metrics.counter_increase(V.counters(spark, sf_dir), ("symbol",)).select("event_id", "increase")
+
+
 # Operations
 
 _NOW = "1998-01-01 00:00:00"
