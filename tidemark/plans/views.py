@@ -39,8 +39,8 @@ def index_snaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ceiling and floor of each symbol and day from the mean price of the day before."""
-    per = ticks(spark, sf_dir).groupBy("symbol", F.to_date("exchange_ts").alias("day")).agg(F.round(F.avg("price"), 4).alias("mean"))
+    """Ceiling and floor of each symbol and day from the mean price (in whole hundredths) of the day before."""
+    per = ticks(spark, sf_dir).groupBy("symbol", F.to_date("exchange_ts").alias("day")).agg((F.expr("sum(cast(round(price * 100) as bigint)) div count(*)") / 100).alias("mean"))
     before = per.withColumn("mean", F.lag("mean").over(Window.partitionBy("symbol").orderBy("day"))).filter("mean IS NOT NULL")
     return before.select("symbol", "day", (F.col("mean") * 4).alias("ceiling_price"), (F.col("mean") * 0.05).alias("floor_price"))
 
@@ -114,7 +114,7 @@ SQL = {
     "uticks": _TICK.format(symbol="'U' || user_id"),
     "quotes": "SELECT symbol, CASE WHEN k % 17 <> 0 THEN price END AS bid_price1, price + (k - 5) / 100 AS ask_price1, list_slice([{'price': price - 0, 'qtty': quantity}, {'price': price - 0.1, 'qtty': quantity + 1}, {'price': price - 0.2, 'qtty': quantity + 2}], 1, k % 4) AS bid_levels, exchange_ts, gateway_ts, event_id, k, board_id FROM ticks",
     "index_snaps": "SELECT symbol AS index_name, price AS value, CAST(sum(quantity) OVER (PARTITION BY symbol, CAST(exchange_ts AS DATE) ORDER BY exchange_ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total_volume, k AS up_count, exchange_ts, gateway_ts FROM ticks",
-    "bands": "SELECT symbol, day, mean * 4 AS ceiling_price, mean * 0.05 AS floor_price FROM (SELECT symbol, day, lag(mean) OVER (PARTITION BY symbol ORDER BY day) AS mean FROM (SELECT symbol, CAST(exchange_ts AS DATE) AS day, round(avg(price), 4) AS mean FROM ticks GROUP BY ALL)) WHERE mean IS NOT NULL",
+    "bands": "SELECT symbol, day, mean * 4 AS ceiling_price, mean * 0.05 AS floor_price FROM (SELECT symbol, day, lag(mean) OVER (PARTITION BY symbol ORDER BY day) AS mean FROM (SELECT symbol, CAST(exchange_ts AS DATE) AS day, CAST(sum(CAST(round(price * 100) AS BIGINT)) // count(*) AS BIGINT) / 100 AS mean FROM ticks GROUP BY ALL)) WHERE mean IS NOT NULL",
     "calendar": f"SELECT DISTINCT CAST(ts AS DATE) AS trading_date FROM events WHERE isodow(ts) < 6 AND CAST(ts AS DATE) NOT IN ({', '.join(f"DATE '{h}'" for h in HOLIDAYS)})",
     "instruments": f"SELECT c_name AS symbol, [{', '.join(repr(m) for m in MARKETS)}][n_regionkey + 1] AS market_id, c_mktsegment AS security_group_id, CASE c_custkey % 6 WHEN 0 THEN 'VN30,VN100' WHEN 1 THEN 'VN100' WHEN 2 THEN 'HNX30' WHEN 3 THEN 'VN300' END AS index_name, c_acctbal > 0 AS is_active, CASE WHEN n_regionkey = 2 THEN DATE '1997-01-01' + CAST(c_custkey % 400 AS INTEGER) END AS final_trade_date, c_custkey AS id FROM customer JOIN nation ON c_nationkey = n_nationkey",
     "secdef": f"""SELECT symbol, market_id, CASE WHEN id % 7 = 0 THEN 'G3' ELSE 'G1' END AS board_id, CASE WHEN id % 11 = 0 THEN 'HALT' ELSE 'OPEN' END AS security_status, DATE '1999-01-01' AS final_trade_date, CASE WHEN id % 5 = 0 THEN DATE '1997-06-27' ELSE DATE '{SECDEF_DAY}' END AS trading_date
