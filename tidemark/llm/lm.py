@@ -44,6 +44,8 @@ K2, K3 = 300.0, 8.0
 CHUNK_TOKENS, SHARD_TOKENS = 1 << 21, 2_000_000
 #: Frequent words that are spread, and how many of a chunk stand for election.
 HOT, TOP = 1024, 256
+#: Tokens scored at a time.
+SLICE = 1 << 18
 #: The end token and the mark before a text; no word has a space.
 END, BEGIN = b" end", b" begin"
 
@@ -143,20 +145,20 @@ class Ngrams:
     def __init__(self, hashes: np.ndarray, numbers: np.ndarray, lengths: np.ndarray, held: np.ndarray, shards: int, hot: np.ndarray):
         end = np.cumsum(lengths) - 1  # places of the end tokens
         n = int(lengths.sum())
-        stream = np.zeros(n, np.int64)
+        first = end - lengths + 1
+        stream = np.zeros(n, np.int32)
         is_word = np.ones(n, bool)
         is_word[end] = False
         stream[is_word] = numbers
-        first = end - lengths + 1
-        before = np.empty(n, np.int64)
+        before = np.empty(n, np.int32)
         before[1:] = stream[:-1]
         before[first] = 1
-        train = np.repeat(~held, lengths).astype(np.int64)
+        train = np.repeat(~held, lengths)
         self.stream, self.before, self.first = stream, before, first
         # words
         order = np.lexsort((hashes, _shard(hashes, shards)))
         self.word_order, self.word_shard = order, _shard(hashes, shards)[order]
-        counts = np.bincount(stream, train, len(hashes)).astype(np.int64)
+        counts = np.bincount(stream[train], minlength=len(hashes))
         counts[1] = int((~held).sum())
         self.word_hash, self.word_count = hashes[order], counts[order]
         # pairs: by shard, first word's hash, second word's 32-bit key
@@ -167,21 +169,23 @@ class Ngrams:
         keys, key_of_rank = np.unique(key32, return_inverse=True)
         key = key_of_rank[rank]
         width = len(keys)
-        pair, of_pair = np.unique(rank[before] * width + key[stream], return_inverse=True)
+        pair, of_pair = _numbered(rank[before] * width + key[stream])
         p_first, p_key = sorted_hashes[pair // width], keys[pair % width]
         spread = np.isin(p_first, hot)
         shard = _shard(np.where(spread, p_first ^ (p_key.astype(np.uint64) * _GOLD), p_first), shards)
         order = np.argsort(shard, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         self.of_pair = place[of_pair]
+        del of_pair
         self.pair_shard, self.pair_hash, self.pair_key = shard[order], p_first[order], p_key[order]
-        self.pair_count = np.bincount(self.of_pair, train, len(order)).astype(np.int64)
+        self.pair_count = np.bincount(self.of_pair[train], minlength=len(order))
         # triples: by their first two words' pair, which ends one place earlier
-        self.tri_at = np.setdiff1d(np.arange(n), first, assume_unique=True)
-        tri, self.of_tri = np.unique(self.of_pair[self.tri_at - 1] * width + key[stream[self.tri_at]], return_inverse=True)
+        inner = np.ones(n, bool)
+        inner[first] = False
+        tri, self.of_tri = _numbered(self.of_pair[:-1][inner[1:]].astype(np.int64) * width + key[stream[inner]])
         self.tri_pair, self.tri_key = tri // width, keys[tri % width]
-        self.tri_count = np.bincount(self.of_tri, train[self.tri_at], len(tri)).astype(np.int64)
+        self.tri_count = np.bincount(self.of_tri[train[inner]], minlength=len(tri))
 
     def blocks(self, shards: int) -> Iterator[bytes]:
         """What goes to each shard."""
@@ -200,6 +204,17 @@ class Ngrams:
             yield packed(self.word_hash[ws], _narrow(self.word_count[ws]), (context >> np.uint64(8)).astype(np.uint32), context.astype(np.uint8), _narrow(runs), self.pair_key[ps], _narrow(self.pair_count[ps]), _narrow(children[ps]), self.tri_key[ts], _narrow(self.tri_count[ts]))
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the number of each given one (32 bits)."""
+    order = np.argsort(keys).astype(np.int32)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    number = np.empty(len(keys), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    return keys[new], number
+
+
 def _narrow(x: np.ndarray) -> np.ndarray:
     top = int(x.max()) if len(x) else 0
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
@@ -229,7 +244,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hot = np.sort(np.array([r["h"] for r in frequent], np.int64).view(np.uint64))
 
     def ngrams_of(row: dict) -> Ngrams:
-        return Ngrams(np.frombuffer(row["hashes"], np.uint64), from_planes(row["numbers"]).astype(np.int64), np.array(row["n_tokens"], np.int64), np.array(row["held_out"], bool), shards, hot)
+        return Ngrams(np.frombuffer(row["hashes"], np.uint64), from_planes(row["numbers"]), np.array(row["n_tokens"], np.int64), np.array(row["held_out"], bool), shards, hot)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,19 +281,26 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         count = np.empty(len(w_sorted), np.float64)
         count[grams.word_order] = w_sorted
         p1 = (count + 0.1) / (n_train + 0.1 * (vocabulary + 1))
-        p1 = p1[grams.stream]
         pair_count = from_code(p_code)
-        p = (pair_count[grams.of_pair] + k2 * p1) / (count[grams.before] + k2)
-        base = np.log10(p1)
-        context = pair_count[grams.of_pair[grams.tri_at - 1]]
-        code = t_code[grams.of_tri]
-        share = np.where(code == MISSING, 0.0, 1 / np.maximum(from_code(code), 1.0))
-        p[grams.tri_at] = share + k3 / (context + k3) * p[grams.tri_at]
+        share = np.where(t_code == MISSING, 0.0, 1 / np.maximum(from_code(t_code), 1.0))
         lengths = np.array(one["n_tokens"], np.int64)
-        known = (count[grams.stream] > 0).astype(np.int64)
+        sums: list[list[np.ndarray]] = [[], [], []]
+        cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // SLICE, prepend=-1))
+        for lo, hi in zip(cuts, [*cuts[1:], len(lengths)], strict=True):  # documents, some hundred thousand tokens at a time
+            a = grams.first[lo]
+            at, first = slice(a, a + int(lengths[lo:hi].sum())), grams.first[lo:hi] - a
+            word, pair = p1[grams.stream[at]], pair_count[grams.of_pair[at]]
+            p = (pair + k2 * word) / (count[grams.before[at]] + k2)
+            inner = np.ones(len(p), bool)
+            inner[first] = False
+            tri = grams.of_tri[a - lo : a - lo + int(inner.sum())]
+            p[inner] = share[tri] + k3 / (pair[:-1][inner[1:]] + k3) * p[inner]
+            for total, x in zip(sums, (count[grams.stream[at]] > 0, np.log10(word), np.log10(p)), strict=True):
+                total.append(np.add.reduceat(x.astype(np.int64) if x.dtype == bool else x, first))
+        known, base, model = map(np.concatenate, sums)
         return pa.table({
-            id_col: own.column("ids").combine_chunks().flatten(), "held_out": pa.array(one["held_out"], pa.bool_()), "n_tokens": lengths, "n_known": np.add.reduceat(known, grams.first),
-            "train_tokens": np.full(len(lengths), n_train, np.int64), "base_score": np.add.reduceat(base, grams.first), "score": np.add.reduceat(np.log10(p), grams.first),
+            id_col: own.column("ids").combine_chunks().flatten(), "held_out": pa.array(one["held_out"], pa.bool_()), "n_tokens": lengths, "n_known": known,
+            "train_tokens": np.full(len(lengths), n_train, np.int64), "base_score": base, "score": model,
         })
 
     asked = cut.drop("ids", "tops").mapInArrow(send, "shard long, chunk long, block binary")
