@@ -307,10 +307,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = keyed.withColumn("tid", F.xxhash64("text"))
     ids = stored(keyed.select("id", "tid"), "ids")
     roots = near_duplicate_classes(keyed.select("tid", "text"), threshold, words, bands, rows)
-    named = ids.join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
-    per_text = named.groupBy("root", "tid").agg(F.min("id").alias("low"), F.count("*").alias("n"))
-    classes = per_text.groupBy("root").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_docs"), F.count("*").alias("class_texts"))
-    return named.join(classes, "root").select(F.col("id").alias(id_col), "class_id", "class_docs", "class_texts", "root", "tid")
+    # Copies are counted first, then texts by class; both joins read plain tables, so a
+    # text or class with very many rows is split over tasks.
+    counted = ids.groupBy("tid").agg(F.min("id").alias("low"), F.count("*").alias("n")).join(roots, "tid", "left")
+    per_text = stored(counted.select("tid", F.coalesce("root", "tid").alias("root"), "low", "n"), "per_text")
+    classes = stored(per_text.groupBy("root").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_docs"), F.count("*").alias("class_texts")), "classes")
+    named = stored(per_text.join(classes, "root").select("tid", "root", "class_id", "class_docs", "class_texts"), "named")
+    return ids.join(named, "tid").select(F.col("id").alias(id_col), "class_id", "class_docs", "class_texts", "root", "tid")
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
