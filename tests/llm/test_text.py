@@ -252,6 +252,15 @@ def test_support_counts_different_texts(spark):
     assert all(not r.terms for r in found)
 
 
+def test_terms_beside_an_entity_of_one_text(spark):
+    rows = [(0, "mail the okapi breeder at solo@lab.example for more")] + [(1 + i, f"mail the quick text at number {i} for more") for i in range(200)]
+    df = spark.createDataFrame(rows + [(999, rows[0][1])], "doc_id bigint, text string")
+    for r in pii.find_spans(df).collect():
+        got = {rows[0][1][t.start : t.end] for t in r.terms}
+        assert got == ({"okapi", "breeder"} if r.id in (0, 999) else set())
+    assert {r.text for r in pii.redact(df).filter("doc_id in (0, 999)").collect()} == {"mail the [TERM] [TERM] at [EMAIL] for more"}
+
+
 def test_redaction_of_odd_rows(odd_docs, no_docs):
     out = pii.redact(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()

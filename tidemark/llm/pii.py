@@ -3,13 +3,14 @@
 Patterns find protected entities: addresses and numbers, and the groups that they
 belong to (a mail domain, a network, a number's prefix). Words near an entity may
 reveal it even when the entity itself is gone. For each (entity, term) pair the
-corpus gives PMI = log2(D * co / (df_entity * df_term)) over documents, and the
-entity's information content is IC = log2(D / df_entity). A term whose PMI is at
-least ``DISCLOSURE`` of the IC, seen with the entity in ``SUPPORT`` different
-texts or more, tells the entity apart, so its places near the entity become spans
-of kind ``term``. ``redact`` replaces spans by general names.
-
-Only built-in expressions. Counts of terms are taken over all documents; pairs
+corpus gives PMI = log2(D * co / (df_entity * df_term)) over different texts, and
+the entity's information content is IC = log2(D / df_entity). Each df is taken with
+``SMOOTH`` more texts, so rare pairs count from one text on but weigh less than
+the same share of many. A term whose PMI is at least ``DISCLOSURE`` of the IC tells
+the entity apart, so its places near the entity become spans of kind ``term``.
+``redact`` replaces spans by general names.
+
+Only built-in expressions. Counts of terms are taken over all texts; pairs
 are formed within ``CONTEXT`` code points of an entity only, so their number
 grows with the entities and not with their square.
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import slim, stored
 
-CONTEXT, DISCLOSURE, SUPPORT = 64, 0.8, 3
+CONTEXT, DISCLOSURE, SMOOTH = 64, 0.8, 1
 KINDS = ("email", "ip", "card", "phone", "term")
 NAMES = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
@@ -142,35 +143,40 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """In how many documents each term occurs, over the whole corpus."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(f"`{text_col}`")), F.lit(TERM), F.lit(0)))
-    return slim(docs, text_col).select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df_term"))
+    """In how many different texts each term occurs, over the whole corpus."""
+    text = F.col(f"`{text_col}`")
+    texts = slim(docs, text_col).filter(text.isNotNull()).groupBy(F.xxhash64(text).alias("h")).agg(F.first(text).alias("text"))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    return texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df_term"))
+
+
+def reveals(co: Column, df_entity: Column, df_term: Column, n_texts: int, disclosure: float) -> Column:
+    """Whether a term seen with an entity in ``co`` texts tells it apart."""
+    content = F.log2(F.lit(float(n_texts)) / (df_entity + SMOOTH))
+    pmi = F.log2(co * F.lit(float(n_texts)) / ((df_entity + SMOOTH) * (df_term + SMOOTH)))
+    return (content > 0) & (pmi >= disclosure * content)
 
 
-def disclosing(scanned: DataFrame, counts: DataFrame, n_docs: int, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def disclosing(scanned: DataFrame, counts: DataFrame, n_texts: int, disclosure: float = DISCLOSURE) -> DataFrame:
     """(id, h, terms): for each row the places of terms that reveal an entity beside them."""
     near = scanned.filter(F.size("near") > 0).select("id", "h", "base", F.explode("near").alias("e"))
     near = near.select("id", "h", "base", "e.entities", F.explode("e.words").alias("w"))
     clear = near.filter(~F.exists("base", lambda s: (s["start"] < F.col("w.end")) & (s["end"] > F.col("w.start")))).drop("base")
     places = clear.select("id", "h", F.explode("entities").alias("entity"), F.col("w.value").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end"))
-    entities = scanned.filter(F.size("base") > 0).select("id", "h", F.explode(F.array_distinct(F.flatten(F.transform("base", lambda s: entity_keys(s["kind"], s["value"]))))).alias("entity"))
+    entities = scanned.filter(F.size("base") > 0).select("h", F.explode(F.flatten(F.transform("base", lambda s: entity_keys(s["kind"], s["value"])))).alias("entity")).distinct()
     df_entity = entities.groupBy("entity").agg(F.count("*").alias("df_entity"))
-    # Documents are counted through one row for each (entity, term, text).
-    by_text = places.select("id", "h", "entity", "term").distinct().groupBy("entity", "term", "h").agg(F.count("*").alias("n"))
-    pairs = by_text.groupBy("entity", "term").agg(F.sum("n").alias("co"), F.count("*").alias("texts")).filter(F.col("texts") >= support)
+    pairs = places.select("h", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("co"))
     known = pairs.join(df_entity, "entity").join(counts, "term")
-    content = F.log2(F.lit(float(n_docs)) / F.col("df_entity"))
-    pmi = F.log2(F.col("co") * F.lit(float(n_docs)) / (F.col("df_entity") * F.col("df_term")))
-    strong = known.filter((content > 0) & (pmi >= disclosure * content)).select("entity", "term")
+    strong = known.filter(reveals(F.col("co"), F.col("df_entity"), F.col("df_term"), n_texts, disclosure)).select("entity", "term")
     kept = places.join(strong, ["entity", "term"]).groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
     return kept
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
     """(id, h, base, terms) for each row of ``docs``."""
     scanned = stored(scan(docs, id_col, text_col), "scanned")
-    n_docs = scanned.count()
-    terms = disclosing(scanned, term_counts(docs, text_col), n_docs, disclosure, support)
+    n_texts = scanned.select("h").distinct().count()
+    terms = disclosing(scanned, term_counts(docs, text_col), n_texts, disclosure)
     other = terms.select(F.col("id").alias("id2"), F.col("h").alias("h2"), "terms")
     joined = scanned.drop("near").join(other, (F.col("h") == F.col("h2")) & F.col("id").eqNullSafe(F.col("id2")), "left")
     return joined.select("id", "h", "base", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int>>")).alias("terms"))
