@@ -261,6 +261,16 @@ def test_terms_beside_an_entity_of_one_text(spark):
     assert {r.text for r in pii.redact(df).filter("doc_id in (0, 999)").collect()} == {"mail the [TERM] [TERM] at [EMAIL] for more"}
 
 
+def test_terms_are_marked_in_the_whole_text(spark):
+    text = "Okapi breeder. " + "mail the quick text for more " * 40 + "solo@lab.example " + "mail the quick text for more " * 40 + "okapi"
+    rows = [(0, text)] + [(1 + i, f"mail the quick text at number {i} for more") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.id: [text[t.start : t.end] for t in r.terms] for r in pii.find_spans(df).collect()}
+    assert found.pop(0) == ["Okapi", "breeder", "okapi"] and not any(found.values())
+    clean = pii.redact(df).filter("doc_id = 0").first().text
+    assert clean.startswith("[TERM] [TERM]. mail the") and clean.endswith("for more [TERM]") and "kapi" not in clean
+
+
 def test_redaction_of_odd_rows(odd_docs, no_docs):
     out = pii.redact(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()

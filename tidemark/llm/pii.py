@@ -1,18 +1,20 @@
 """Personal data: fixed patterns, then information-theoretic sanitisation of what surrounds them.
 
 Patterns find protected entities: addresses and numbers, and the groups that they
-belong to (a mail domain, a network, a number's prefix). Words near an entity may
+belong to (a mail domain, a network, a number's prefix). Words of the same text may
 reveal it even when the entity itself is gone. For each (entity, term) pair the
 corpus gives PMI = log2(D * co / (df_entity * df_term)) over different texts, and
 the entity's information content is IC = log2(D / df_entity). Each df is taken with
 ``SMOOTH`` more texts, so rare pairs count from one text on but weigh less than
 the same share of many. A term whose PMI is at least ``DISCLOSURE`` of the IC tells
-the entity apart, so its places near the entity become spans of kind ``term``.
+the entity apart, so all its places in the entity's texts become spans of kind
+``term``.
 ``redact`` replaces spans by general names.
 
-Only built-in expressions. Counts of terms are taken over all texts; pairs
-are formed within ``CONTEXT`` code points of an entity only, so their number
-grows with the entities and not with their square.
+Only built-in expressions. All counts are of different texts. A pair is formed only
+where its PMI could be high enough if the rarer of the two always stood with the
+other; entities of one text alone need no pairs, since each of the text's terms is
+seen once with all of them.
 
 Cases: a null text counts as empty; a null id is kept; repeated rows (same id and
 text) get the same spans; spans of different kinds may overlap and ``redact``
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import slim, stored
 
-CONTEXT, DISCLOSURE, SMOOTH = 64, 0.8, 1
+DISCLOSURE, SMOOTH = 0.8, 1
+BLOCK = 256
 KINDS = ("email", "ip", "card", "phone", "term")
 NAMES = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
@@ -57,16 +60,25 @@ def matches(text: Column, pattern: str, kind: str) -> Column:
 
 
 def _placed(found: Column, gaps: Column, kind: str) -> Column:
-    start = F.struct(F.lit(0).alias("at"), no_spans().alias("out"))
+    """Folds blocks of ``BLOCK`` matches, each from where the one before it ends: a fold copies what it has at each step."""
+    n = F.size(found)
+    step_of = lambda i: F.length(F.get(gaps, i)) + F.length(F.get(found, i))
+    upto = lambda first: F.sequence(first, F.least(first + BLOCK, n) - 1)
+
+    def ahead(acc: Column, first: Column) -> Column:
+        end = acc["at"] + F.aggregate(upto(first), F.lit(0), lambda a, i: a + step_of(i))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(first.alias("first"), acc["at"].alias("at")))).alias("out"))
 
     def step(acc: Column, i: Column) -> Column:
         value = F.get(found, i)
-        begin = acc["at"] + F.length(F.get(gaps, i))
-        end = begin + F.length(value)
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), value.alias("value"))
+        end = acc["at"] + step_of(i)
+        span = F.struct(F.lit(kind).alias("kind"), (end - F.length(value)).alias("start"), end.alias("end"), value.alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda acc: acc["out"])).otherwise(no_spans())
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,at:int>>").alias("out"))
+    blocks = F.aggregate(F.sequence(F.lit(0), n - 1, F.lit(BLOCK)), begin, ahead, lambda acc: acc["out"])
+    spans = F.transform(blocks, lambda b: F.aggregate(upto(b["first"]), F.struct(b["at"].alias("at"), no_spans().alias("out")), step, lambda acc: acc["out"]))
+    return F.when(n > 0, F.flatten(spans)).otherwise(no_spans())
 
 
 def _digits(value: Column) -> Column:
@@ -114,18 +126,6 @@ def base_spans(text: Column) -> Column:
     return F.concat(*parts)
 
 
-def _near_words(text: Column, start: Column, end: Column) -> Column:
-    """Words (with their places) whole within ``CONTEXT`` code points before or after a span."""
-    before = F.greatest(start - CONTEXT, F.lit(0))
-    left = F.substring(text, before + 1, start - before)
-    right = F.substring(text, end + 1, F.lit(CONTEXT))
-    whole_left = F.filter(matches(left, TERM, "term"), lambda s: (s["start"] > 0) | (before == 0))
-    whole_right = F.filter(matches(right, TERM, "term"), lambda s: (s["end"] < CONTEXT) & (s["start"] > 0))
-    whole_left = F.filter(whole_left, lambda s: s["end"] < start - before)
-    moved = lambda spans, by: F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), (s["start"] + by).alias("start"), (s["end"] + by).alias("end"), F.lower(s["value"]).alias("value")))
-    return F.concat(moved(whole_left, before), moved(whole_right, end))
-
-
 def entity_keys(kind: Column, value: Column) -> Column:
     """The protected entities of a value: itself, and the group it belongs to (domain, network, prefix)."""
     value = F.lower(value)
@@ -135,11 +135,11 @@ def entity_keys(kind: Column, value: Column) -> Column:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, h, base, near) for each row: spans of the patterns and the words around them. ``h`` is a hash of the text."""
+    """(id, h, base, words) for each row: spans of the patterns and, where there are any, all words with their places. ``h`` is a hash of the text."""
     rows = slim(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     found = rows.withColumn("base", base_spans(F.col("text")))
-    around = F.transform("base", lambda s: F.struct(entity_keys(s["kind"], s["value"]).alias("entities"), _near_words(F.col("text"), s["start"], s["end"]).alias("words")))
-    return found.select("id", F.xxhash64("text").alias("h"), "base", around.alias("near"))
+    words = F.transform(matches(F.col("text"), TERM, "term"), lambda s: F.struct(F.lower(s["value"]).alias("term"), s["start"].alias("start"), s["end"].alias("end")))
+    return found.select("id", F.xxhash64("text").alias("h"), "base", F.when(F.size("base") > 0, words).alias("words"))
 
 
 def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -158,18 +158,27 @@ def reveals(co: Column, df_entity: Column, df_term: Column, n_texts: int, disclo
 
 
 def disclosing(scanned: DataFrame, counts: DataFrame, n_texts: int, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(id, h, terms): for each row the places of terms that reveal an entity beside them."""
-    near = scanned.filter(F.size("near") > 0).select("id", "h", "base", F.explode("near").alias("e"))
-    near = near.select("id", "h", "base", "e.entities", F.explode("e.words").alias("w"))
-    clear = near.filter(~F.exists("base", lambda s: (s["start"] < F.col("w.end")) & (s["end"] > F.col("w.start")))).drop("base")
-    places = clear.select("id", "h", F.explode("entities").alias("entity"), F.col("w.value").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end"))
-    entities = scanned.filter(F.size("base") > 0).select("h", F.explode(F.flatten(F.transform("base", lambda s: entity_keys(s["kind"], s["value"])))).alias("entity")).distinct()
+    """(id, h, terms): for each row all places of terms that reveal an entity of its text."""
+    held = scanned.filter(F.size("base") > 0)
+    entities = held.select("h", F.explode(F.flatten(F.transform("base", lambda s: entity_keys(s["kind"], s["value"])))).alias("entity")).distinct()
     df_entity = entities.groupBy("entity").agg(F.count("*").alias("df_entity"))
-    pairs = places.select("h", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("co"))
-    known = pairs.join(df_entity, "entity").join(counts, "term")
-    strong = known.filter(reveals(F.col("co"), F.col("df_entity"), F.col("df_term"), n_texts, disclosure)).select("entity", "term")
-    kept = places.join(strong, ["entity", "term"]).groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    return kept
+    holders = stored(entities.join(df_entity, "entity"), "holders")
+    words = held.select("h", F.explode(F.array_distinct(F.transform("words", lambda w: w["term"]))).alias("term")).distinct()
+    terms = stored(words.join(counts, "term"), "terms")
+
+    def passing(co: Column) -> Column:
+        return reveals(co, F.col("df_entity"), F.col("df_term"), n_texts, disclosure)
+
+    alone = holders.filter("df_entity = 1").select("h", "df_entity").distinct()
+    single = terms.join(alone, "h").filter(passing(F.lit(1))).select("h", "term")
+    pairs = terms.join(holders.filter("df_entity > 1"), "h").filter(passing(F.least("df_entity", "df_term")))
+    known = pairs.groupBy("entity", "term").agg(F.count("*").alias("co"), F.first("df_entity").alias("df_entity"), F.first("df_term").alias("df_term"))
+    strong = known.filter(passing(F.col("co"))).select("entity", "term")
+    several = pairs.select("h", "entity", "term").join(strong, ["entity", "term"]).select("h", "term")
+    places = held.select("id", "h", "base", F.explode("words").alias("w")).select("id", "h", "base", "w.*")
+    hit = places.join(single.unionByName(several).distinct(), ["h", "term"])
+    clear = hit.filter(~F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))))
+    return clear.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
@@ -178,7 +187,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_texts = scanned.select("h").distinct().count()
     terms = disclosing(scanned, term_counts(docs, text_col), n_texts, disclosure)
     other = terms.select(F.col("id").alias("id2"), F.col("h").alias("h2"), "terms")
-    joined = scanned.drop("near").join(other, (F.col("h") == F.col("h2")) & F.col("id").eqNullSafe(F.col("id2")), "left")
+    joined = scanned.drop("words").join(other, (F.col("h") == F.col("h2")) & F.col("id").eqNullSafe(F.col("id2")), "left")
     return joined.select("id", "h", "base", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int>>")).alias("terms"))
 
 
