@@ -31,6 +31,11 @@ def test_rendering(html, text):
     assert html_text.render(html) == text
 
 
+@pytest.mark.parametrize("html", ["a<textarea></textarea>b", "a&#1;b<p>&#1;</p>", "a<xmp></xmp><noembed></noembed><noframes></noframes>b"])
+def test_empty_texts(html):
+    assert html_text.render(html).replace("\n", "").startswith("a") and "b" in html_text.render(html)
+
+
 def test_deep_and_long_pages():
     assert html_text.render("<div>" * 20_000 + "x") == "x"
     assert html_text.render("<a " + "x" * 200_000) == ""

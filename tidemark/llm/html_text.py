@@ -106,6 +106,8 @@ class Flow:
         self.indent = 0
 
     def text(self, data: str, pre: bool) -> None:
+        if not data:
+            return
         if pre:
             first, *rest = data.split("\n")
             if first:
