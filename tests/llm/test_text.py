@@ -23,6 +23,10 @@ PAGES = [
     ("1 < 2 and <3", "1 < 2 and <3"), ("<pre>a\n  b</pre>c", "a\n  b\n\nc"), ("", ""), (None, ""), ("plain", "plain"), ("<p>unclosed <b>tags</p><i>go on", "unclosed tags\n\ngo on"), ("</div></p>stray", "stray"), ("<!-- open", ""), ("<script>never ends", ""),
     ("<h1>T</h1>x<hr>y <img alt='pic'>", "T\n\nx\n\ny pic"),
     ("<dl><dt>t<dd>d</dl>", "t\n  d"),
+    ("<html><head><title>T</title><p>Hello", "Hello"), ("<head><meta charset=x><title>T</title>Hello", "Hello"), ("<head><noscript><img alt=no></noscript><title>T</title></head>Hello", "Hello"), ("<head><link rel=x>\n<style>p{}</style><h1>H</h1>x", "H\n\nx"),
+    ("a <svg viewBox='0 0 1 1'/>b<p>c", "a b\n\nc"), ("a <svg><title/><path d='m'/><text>one</text><g><text>two</text></g><defs><text>no</text></defs>no</svg> b", "a one two b"), ("a <svg><path><p>b", "a\n\nb"),
+    ("x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z", "x y=2 z"), ("<svg><foreignObject><p>in</p></foreignObject></svg>out", "in\n\nout"),
+    ("pick <select><option>one<option>two<optgroup label=g><option>three</select> now", "pick\none\ntwo\nthree\nnow"), ("<datalist><option>no</datalist>yes", "yes"),
 ]
 
 

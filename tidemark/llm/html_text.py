@@ -26,7 +26,14 @@ from .common import slim
 
 # HTML's elements by what they mean for layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style template noscript iframe object svg math datalist audio video canvas select".split())
+HIDDEN = frozenset("head title script style template noscript iframe object datalist audio video canvas annotation annotation-xml".split())
+#: Start tags that leave an open head open.
+HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+#: Parts of a drawing that are not drawn where they stand, elements that show text in it, and HTML that ends a drawing or formula left open.
+UNDRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
+DRAWN = frozenset("text foreignobject".split())
+LEAVES = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+HOSTS = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr".split())
 BLOCK = PARAGRAPH | frozenset("html body address article aside details dialog dd div dt figcaption footer form header hgroup legend li main menu nav section summary center caption thead tbody tfoot tr optgroup option".split())
@@ -35,7 +42,7 @@ IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "thead": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption"}, {"table"}), "tbody": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption"}, {"table"}),
-    "tfoot": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption"}, {"table"}), "option": ({"option"}, {"select", "datalist"}), "body": ({"head"}, set()),
+    "tfoot": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption"}, {"table"}), "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select", "datalist"}), "body": ({"head"}, set()),
 }
 #: A start tag of these ends an open paragraph.
 ENDS_P = frozenset("address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -45,13 +52,14 @@ SCOPE = frozenset("table td th caption html".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_SLASHED = re.compile(r"=\s*[^\s\"'>=]*/\Z")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 _NONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
 
 def tokens(html: str) -> Iterator[tuple[str, str, str]]:
     """(kind, name or text, attributes) in document order; kinds: text, start, end."""
-    at, n = 0, len(html)
+    at, n, drawings = 0, len(html), 0
     while at < n:
         lt = html.find("<", at)
         if lt < 0:
@@ -69,13 +77,20 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
         if not name:
             continue
         yield ("end" if m[1] else "start"), name, m[3]
-        if not m[1] and name in RAW:
+        if name in ("svg", "math") and (m[1] or not closed(m[3])):
+            drawings = max(0, drawings - 1) if m[1] else drawings + 1
+        if not m[1] and name in RAW and not (drawings and closed(m[3])):
             close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, at)
             stop = close.start() if close else n
             yield "text", html[at:stop], ""
             at = stop
 
 
+def closed(attrs: str) -> bool:
+    """Whether a start tag ends in a slash that isn't part of an unquoted value."""
+    return attrs.endswith("/") and not _SLASHED.search(attrs)
+
+
 def attributes(attrs: str) -> dict[str, str]:
     """Attributes by lower-case name; the first of a name counts."""
     out: dict[str, str] = {}
@@ -223,6 +238,8 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
         elif name == "pre":
             pre -= 1
             flow.block(1)
+        elif name == "text" and open_names.get("svg"):
+            flow.text(" ", False)
         elif name in BLOCK:
             flow.block(1 if name in PARAGRAPH else 0)
 
@@ -241,8 +258,13 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
                 leave()
 
     for kind, name, attrs in found:
+        if stack and stack[-1][0] == "head" and (name not in HEAD if kind == "start" else kind == "text" and name.strip(" \t\n\r\f")):
+            while stack and stack[-1][0] == "head":
+                leave()
         if kind == "text":
             if not unseen:
+                if open_names.get("svg") and not any(open_names.get(x) for x in DRAWN):
+                    continue
                 if tables and tables[-1]["cell"] is None and not name.strip():
                     continue
                 flow.text(entities.unescape(name) if "&" in name else name, bool(pre))
@@ -252,7 +274,14 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
                 end_until(*IMPLIED[name])
             if name in ENDS_P:
                 end_until({"p"}, SCOPE)
-            gone = hidden(name, attrs)
+            foreign = open_names.get("svg") or open_names.get("math")
+            if foreign and name in LEAVES and not any(open_names.get(x) for x in HOSTS):
+                while open_names.get("svg") or open_names.get("math"):
+                    leave()
+                foreign = 0
+            if (foreign or name in ("svg", "math")) and closed(attrs) and not (name not in ("svg", "math") and open_names.get("foreignobject")):
+                continue
+            gone = hidden(name, attrs) or bool(foreign) and name in UNDRAWN
             if name in VOID:
                 if unseen or gone:
                     continue
@@ -290,6 +319,8 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
                     flow.marker = f"{lists[-1][1]}. " if lists[-1][0] == "ol" else "* "
                 else:
                     flow.marker = "* "
+            elif name == "text" and foreign:
+                flow.text(" ", False)
             elif name == "pre":
                 flow.block(1)
                 pre += 1
