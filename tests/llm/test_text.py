@@ -5,6 +5,7 @@ import html as entities
 import json
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -190,6 +191,17 @@ def test_license_scan_equals_brute_force(spark, docs, texts):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 6)) == brute_scan(cases[r.doc_id]), r.doc_id
 
 
+def test_license_templates_verbatim_and_wrapped(spark):
+    rows = []
+    for label, text in licenses.TEMPLATES:
+        for width in (1000, 40, 24):
+            rows.append((len(rows), label, "Some words\n\n" + "\n * ".join(textwrap.wrap(text, width)) + "\n\nmore words"))
+    strewn = "all " + "one two three four five " * 20 + "rights " + "six seven eight nine ten " * 20 + "reserved"
+    df = spark.createDataFrame([*((i, t) for i, _, t in rows), (-1, strewn)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.labels or "").split(",") for r in licenses.scan_documents(df).collect()}
+    assert not [(label, t) for i, label, t in rows if label not in got[i]] and got[-1] == [""]
+
+
 def test_license_scan_of_odd_rows(odd_docs, no_docs):
     rows = licenses.scan_documents(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -1,11 +1,13 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-Templates and blocks (sentences of each line) are sets of words. Tokens are
+Templates and blocks (sentences of each paragraph, over its joined lines) are sets
+of words. Tokens are
 ordered by how rarely they occur in the corpus. A block holds at least the share
 ``CONTAINMENT`` of a template's tokens only if it has one of the template's
 rarest tokens (prefix filter), enough of its tokens at all (length filter) and
 enough of them after the first common one (positional filter); what passes is
-verified exactly. No block that reaches the threshold is missed.
+verified exactly, in the block's windows of the template's length and half of it more
+(and ``SLACK`` words), so that words strewn over a long block make no statement.
 
 The templates are a fixed list, so their tokens, the token counts and the prefix
 index are small whatever the corpus; blocks without a prefix token are never
@@ -28,7 +30,8 @@ from .common import ascii_lower, slim
 
 CONTAINMENT = 0.8
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BLOCK_END = r"\n|(?<=[.!?;])\s"
+BLOCK_END = r"\n\s*\n|(?<=[.!?])\s"
+SLACK = 4
 
 #: Fixed phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -62,6 +65,12 @@ def template_sets(templates: list[tuple[str, str]]) -> list[tuple[str, list[str]
     return [(label, sorted({w for w in re.findall(r"[a-z0-9]+", text.lower())})) for label, text in templates]
 
 
+def window_share(words: Column, tokens: Column, length: Column) -> Column:
+    """The largest share of a template's tokens in ``length`` consecutive words of a block."""
+    at = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_contains(tokens, F.get(words, i - 1)))
+    return F.array_max(F.transform(at, lambda i: F.size(F.array_intersect(F.slice(words, i, length), tokens)))) / F.size(tokens)
+
+
 def phrase_places(lower: Column, words: Column, phrase: str) -> Column:
     """Starts (words from 0) of all places where a phrase's words stand consecutively."""
     parts = phrase.split()
@@ -93,14 +102,15 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     worded = rows.withColumn("words", words_of(F.col("lower")))
     counts = token_counts(worded, vocabulary)
     rank = {t: i for i, t in enumerate(sorted(vocabulary, key=lambda t: (counts.get(t, 0), t)))}
+    lengths = [n + n // 2 + SLACK for n in (len(re.findall(r"[a-z0-9]+", text.lower())) for _, text in templates or TEMPLATES)]
     index, prefix_tokens = [], set()
     for n, (label, tokens) in enumerate(sets):
         ordered = sorted(tokens, key=rank.__getitem__)
         need = math.ceil(containment * len(ordered) - 1e-9)
         for at, token in enumerate(ordered[: len(ordered) - need + 1]):
             prefix_tokens.add(token)
-            index.append((token, n, label, at, need, ordered))
-    prefixes = spark.createDataFrame(index, "token string, template int, label string, at int, need int, tokens array<string>")
+            index.append((token, n, label, at, need, lengths[n], ordered))
+    prefixes = spark.createDataFrame(index, "token string, template int, label string, at int, need int, length int, tokens array<string>")
     least = min((x[4] for x in index), default=1)
 
     gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -114,13 +124,14 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = found.select("rid", "id", "n_words", "blocks", F.size(every).cast("long").alias("n_base"), F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"), base.alias("base"))
     block = found.select("*", F.posexplode_outer("blocks").alias("number", "block")).drop("blocks")
     known = F.transform(F.array_intersect(words_of(F.col("block")), F.array(*map(F.lit, vocabulary))), lambda t: F.struct(F.element_at(order, t).alias("rank"), t.alias("token")))
-    ranked = block.withColumn("known", F.array_sort(F.coalesce(known, F.array().cast("array<struct<rank:int,token:string>>"))))
+    ranked = block.withColumn("words", words_of(F.col("block"))).withColumn("known", F.array_sort(F.coalesce(known, F.array().cast("array<struct<rank:int,token:string>>"))))
     # Length filter before expanding: too few known tokens can't reach any template.
     ranked = ranked.withColumn("known", F.when(F.size("known") >= least, F.transform("known", lambda k: k["token"])).otherwise(F.array().cast("array<string>")))
-    tokens = ranked.select("rid", "id", "n_words", "n_base", "first_word", "last_word", "base", "number", "known", F.posexplode_outer("known").alias("pos", "token"))
+    tokens = ranked.select("rid", "id", "n_words", "n_base", "first_word", "last_word", "base", "number", "known", "words", F.posexplode_outer("known").alias("pos", "token"))
     joined = tokens.join(F.broadcast(prefixes), "token", "left")
     likely = F.least(F.size("tokens") - F.col("at"), F.size("known") - F.col("pos")) + F.least("at", "pos") >= F.col("need")
-    share = F.when(likely & (F.size("known") >= F.col("need")), F.size(F.array_intersect("known", "tokens")) / F.size("tokens")).otherwise(0.0)
+    reached = likely & (F.size("known") >= F.col("need")) & (F.size(F.array_intersect("known", "tokens")) >= F.col("need"))
+    share = F.when(reached, window_share(F.col("words"), F.col("tokens"), F.col("length"))).otherwise(0.0)
     verified = joined.withColumn("share", share).withColumn("hit", F.col("share") * F.size("tokens") >= F.col("need") - 1e-6)
     pair = F.struct(F.col("number").alias("block"), "share", "label")
     one = verified.groupBy("rid").agg(*(F.first(c).alias(c) for c in ("id", "n_words", "n_base", "first_word", "last_word", "base")), F.collect_set(F.when(F.col("hit"), pair)).alias("pairs"))
