@@ -202,6 +202,15 @@ def test_license_templates_verbatim_and_wrapped(spark):
     assert not [(label, t) for i, label, t in rows if label not in got[i]] and got[-1] == [""]
 
 
+def test_all_licenses_of_a_block_count(spark):
+    cases = {
+        "All rights reserved, redistribution and use in source and binary forms, with or without modification, are allowed": "bsd,reserved", "Licensed under CC BY 4.0.": "cc-by", "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa",
+        "Released under the MIT License, licensed under the Apache License, Version 2.0": "apache-2.0,mit", "Licensed under the GNU Affero General Public License": "agpl,gpl",
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")
+    assert [r.labels for r in licenses.scan_documents(df).orderBy("doc_id").collect()] == list(cases.values())
+
+
 def test_license_scan_of_odd_rows(odd_docs, no_docs):
     rows = licenses.scan_documents(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -55,6 +55,11 @@ TEMPLATES = [
     ("reserved", "All rights reserved."),
 ]
 
+#: Words without which a block isn't of a label's license: its kin share all others.
+REQUIRED = {"lgpl": "lesser", "agpl": "affero", "cc-by-nc": "nc", "cc-by-sa": "sa"}
+#: Kin of which only the likest in a block count.
+FAMILY = {"gpl": "gpl", "lgpl": "gpl", "agpl": "gpl"}
+
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
@@ -109,8 +114,8 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         need = math.ceil(containment * len(ordered) - 1e-9)
         for at, token in enumerate(ordered[: len(ordered) - need + 1]):
             prefix_tokens.add(token)
-            index.append((token, n, label, at, need, lengths[n], ordered))
-    prefixes = spark.createDataFrame(index, "token string, template int, label string, at int, need int, length int, tokens array<string>")
+            index.append((token, n, label, at, need, lengths[n], ordered, REQUIRED.get(label), FAMILY.get(label, label)))
+    prefixes = spark.createDataFrame(index, "token string, template int, label string, at int, need int, length int, tokens array<string>, required string, family string")
     least = min((x[4] for x in index), default=1)
 
     gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -132,11 +137,11 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     likely = F.least(F.size("tokens") - F.col("at"), F.size("known") - F.col("pos")) + F.least("at", "pos") >= F.col("need")
     reached = likely & (F.size("known") >= F.col("need")) & (F.size(F.array_intersect("known", "tokens")) >= F.col("need"))
     share = F.when(reached, window_share(F.col("words"), F.col("tokens"), F.col("length"))).otherwise(0.0)
-    verified = joined.withColumn("share", share).withColumn("hit", F.col("share") * F.size("tokens") >= F.col("need") - 1e-6)
-    pair = F.struct(F.col("number").alias("block"), "share", "label")
+    verified = joined.withColumn("share", share).withColumn("hit", (F.col("share") * F.size("tokens") >= F.col("need") - 1e-6) & (F.col("required").isNull() | F.array_contains("known", F.col("required"))))
+    pair = F.struct(F.col("number").alias("block"), "share", "label", "family")
     one = verified.groupBy("rid").agg(*(F.first(c).alias(c) for c in ("id", "n_words", "n_base", "first_word", "last_word", "base")), F.collect_set(F.when(F.col("hit"), pair)).alias("pairs"))
-    # A block's labels are those of its likest templates: kin of a license share most words.
-    extra = F.transform(F.filter("pairs", lambda p: ~F.exists("pairs", lambda q: (q["block"] == p["block"]) & (q["share"] > p["share"]))), lambda p: p["label"])
+    # All licenses of a block count, but of kin, which share most words, only the likest.
+    extra = F.transform(F.filter("pairs", lambda p: ~F.exists("pairs", lambda q: (q["block"] == p["block"]) & (q["family"] == p["family"]) & (q["share"] > p["share"]))), lambda p: p["label"])
     joined_labels = F.array_join(F.array_sort(F.array_union("base", extra)), ",")
     score = F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("pairs", lambda p: p["share"])), F.lit(0.0)))
     return one.select(F.col("id").alias(id_col), "n_words", "n_base", "first_word", "last_word", F.array_join(F.array_sort("base"), ",").alias("base_labels"), joined_labels.alias("labels"), score.alias("score"))
