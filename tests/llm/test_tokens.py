@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, lm, packing, trie
 
@@ -31,6 +32,20 @@ def test_safe_pieces_keep_the_ids(texts):
             assert bpe.encode_text(text, enc, size).tolist() == enc.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("char", [" ", "\n", "^", "a", "7", "中", " \n\t"])
+def test_a_million_of_one_character(char):
+    enc = bpe.encoding(bpe.rank_file())
+    whole = char * (1_000_000 // len(char))
+    for text in (whole, "start" + whole + "end", whole + "end " + whole):
+        ids = bpe.encode_text(text, enc)
+        assert bpe.decode_ids(ids, enc).decode() == text
+        packed = packing.document_ids(text, packing.ChunkIds(enc, packing.added_tokens()))
+        assert (packed[:-1] == ids).all()
+    # what the library can take whole has the same ids
+    for text in (char * 20_000, "start" + char * 20_000 + "end" + char * 9_000 + " x"):
+        assert bpe.encode_text(text, enc).tolist() == enc.encode_ordinary(text)
+
+
 def test_bytes_that_are_no_text_decode():
     enc = bpe.encoding(bpe.rank_file())
     ids = bpe.encode_text("中文😀", enc)
@@ -41,8 +56,7 @@ def test_ids_are_those_of_the_tokenizers_library(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    chunks = packing.ChunkIds(bpe.encoding(bpe.rank_file()))
+    chunks = packing.ChunkIds(bpe.encoding(bpe.rank_file()), packing.added_tokens())
     samples = [*texts.values(), None, "", "  two  blanks ", "tab\tand\nline \n x", "<|endoftext|> a", "é😀  x", "ends ", " starts"]
     for text in samples:
         assert packing.document_ids(text, chunks)[:-1].tolist() == t.encode(text or "", add_special_tokens=False).ids
@@ -83,7 +97,7 @@ def check_packed(rows, lengths):
 
 
 def test_packing_is_whole_gapless_and_dense(docs, texts):
-    chunks = packing.ChunkIds(bpe.encoding(bpe.rank_file()))
+    chunks = packing.ChunkIds(bpe.encoding(bpe.rank_file()), packing.added_tokens())
     ids = {d: packing.document_ids(t, chunks) for d, t in texts.items()}
     rows = packing.pack(packing.token_pieces(docs).persist()).collect()
     fill = check_packed(rows, {d: len(x) for d, x in ids.items()})
@@ -92,6 +106,12 @@ def test_packing_is_whole_gapless_and_dense(docs, texts):
         assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
 
 
+def test_equal_rows_do_not_crowd_a_group(spark):
+    rows = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one text").alias("text"))
+    groups = packing.pack(packing.token_pieces(rows).persist()).groupBy(F.expr("sequence_id div 16777216").alias("g")).count().collect()
+    assert sum(r["count"] for r in groups) == 100_000 and max(r["count"] for r in groups) < 1.2 * packing.GROUP_DOCS
+
+
 def test_packing_of_odd_rows(odd_docs, no_docs):
     rows = packing.pack(packing.token_pieces(odd_docs).persist(), group_docs=3).collect()
     assert sum(r.start == 0 for r in rows) == odd_docs.count()

@@ -1,13 +1,16 @@
 """Byte-level BPE by the tiktoken library from a local rank file.
 
 ``encode_documents`` encodes whole texts; long ones are first cut at safe
-boundaries: before a single space that stands between two characters that are
-not white space. The pre-split pattern never matches across such a place, so
-the ids are those of the uncut text.
-
-Cases: a null text counts as empty and has no ids; repeated rows give repeated
-results; a null id stays null; extra columns are ignored; an empty table gives
-an empty result.
+boundaries: before the last white-space character of a run that other text
+follows. The pre-split pattern never matches across such a place, so the ids are
+those of the uncut text. The rest of a run is one match, so a run of more than
+``LONG_RUN`` is merged as such: the library's pattern matcher recurses over it and
+would overflow its stack.
+
+Cases: a null text counts as empty and has no ids; texts and runs of any one
+character may be of any length; repeated rows give repeated results; a null id
+stays null; extra columns are ignored; an empty table gives an empty result. A
+``pattern`` of one's own must treat white space as the standard one does.
 """
 
 from __future__ import annotations
@@ -26,7 +29,11 @@ from .common import slim
 #: Texts beyond so many characters are encoded piece by piece.
 PIECE_CHARS = 1 << 16
 
-_SAFE = regex.compile(r"(?<=\S) (?=\S)")
+#: White space in a row beyond so many characters is merged without the pattern.
+LONG_RUN = 4096
+
+_SAFE = regex.compile(r"\s(?=\S)")
+_RUN = regex.compile(rf"\s{{{LONG_RUN},}}+")
 _ENCODINGS: dict = {}
 
 
@@ -49,6 +56,17 @@ def encoding(path: str, pattern: str | None = None):
     return _ENCODINGS[path, pattern]
 
 
+def long_runs(text: str) -> Iterator[tuple[str, bool]]:
+    """``text`` in parts, where True marks a long run of white space (without its last character if text follows)."""
+    start = 0
+    for run in _RUN.finditer(text) if len(text) >= LONG_RUN else ():
+        end = run.end() - (run.end() < len(text))
+        yield text[start : run.start()], False
+        yield text[run.start() : end], True
+        start = end
+    yield text[start:], False
+
+
 def safe_pieces(text: str, piece_chars: int = PIECE_CHARS) -> Iterator[str]:
     """Cut ``text`` at safe boundaries into pieces of about ``piece_chars``."""
     start = 0
@@ -64,9 +82,12 @@ def safe_pieces(text: str, piece_chars: int = PIECE_CHARS) -> Iterator[str]:
 def encode_text(text: str | None, enc, piece_chars: int = PIECE_CHARS) -> np.ndarray:
     """Ids of a whole text as little-endian unsigned 32-bit integers."""
     text = text or ""
-    if len(text) <= piece_chars:
+    if len(text) <= min(piece_chars, LONG_RUN):
         return np.array(enc.encode_ordinary(text), "<u4")
-    return np.concatenate([np.array(enc.encode_ordinary(p), "<u4") for p in safe_pieces(text, piece_chars)])
+    ids = []
+    for part, is_run in long_runs(text):
+        ids += [enc._encode_single_piece(part)] if is_run else map(enc.encode_ordinary, safe_pieces(part, piece_chars))
+    return np.concatenate([np.array(x, "<u4") for x in ids])
 
 
 def decode_ids(ids: np.ndarray, enc) -> bytes:

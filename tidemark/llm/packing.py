@@ -1,8 +1,9 @@
 """Sequence packing: first-fit decreasing over a tournament tree of bin capacities.
 
-Documents are dealt at random (by a hash of their id) into groups of about
-``group_docs`` and each group is packed on its own, so the work spreads over
-the cluster and no task holds more than its group. A document of more than
+Rows are dealt at random (by a hash of id, text and the row's place in the table,
+stored with the row) into groups of about ``group_docs`` and each group is packed on
+its own, so the work spreads over the cluster and no task holds more than its group,
+however many rows are equal. A document of more than
 ``width`` ids gives full pieces, which are sequences of their own, and one
 remainder, which first-fit decreasing places in the leftmost bin with room.
 
@@ -11,15 +12,18 @@ A chunk between safe boundaries (before a space that stands between two
 characters other than white space) always has the same ids, so they are kept in
 a bounded table for each worker. The ids are those of the `tokenizers` library
 for the same vocabulary (a test holds them against it); tiktoken does the
-merges because it needs a third of the time.
+merges because it needs a third of the time. The vocabulary's added tokens, which
+that library takes out of a text before all else, are taken out first.
 
-Cases: a null text is empty and has the end id alone; a null id is kept;
-repeated ids are packed apart (rows are dealt by id and text); extra columns are
-ignored; an empty table gives an empty result.
+Cases: a null text is empty and has the end id alone; a null id is kept; texts
+and runs of one character may be of any length; repeated rows and ids are packed
+apart; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import encoding, rank_file
+from .bpe import encode_text, encoding, rank_file
 from .common import slim
 
 WIDTH, END_ID, GROUP_DOCS = 2048, 1, 4096
@@ -42,36 +46,56 @@ _SAFE = regex.compile(r"(?<=\S) (?=\S)")
 _PLAIN = regex.compile(r"\s(?:\s)|^\s|\s$")
 
 
+def added_tokens(path: str | None = None) -> dict[str, int]:
+    """The added tokens of a tokenizer file, which are found as they stand, and their ids."""
+    with open(path or rank_file("byte_bpe_50k.json"), encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in found):
+        raise ValueError("added tokens that depend on what surrounds them are not supported")
+    return {t["content"]: t["id"] for t in found}
+
+
 class ChunkIds(dict):
     """Ids of chunks between safe boundaries as bytes."""
 
-    def __init__(self, enc):
+    def __init__(self, enc, added: dict[str, int] | None = None):
         super().__init__()
-        self.enc = enc
+        self.enc, self.added = enc, added or {}
+        self.cuts = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= CACHE_CHUNKS:
             self.clear()
-        ids = np.array(self.enc.encode_ordinary(chunk), "<u4").tobytes()
+        ids = encode_text(chunk, self.enc).tobytes()
         if len(chunk) <= 64:
             self[chunk] = ids
         return ids
 
+    def of(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
+        first, *rest = _SAFE.split(text) if _PLAIN.search(text) else text.split(" ")
+        return self[first] + b"".join([self[c] for c in map(" ".__add__, rest)])
+
 
 def document_ids(text: str | None, chunks: ChunkIds, end_id: int = END_ID) -> np.ndarray:
     """All ids of a document with the end id, unsigned 32-bit little-endian."""
-    text = text or ""
-    first, *rest = _SAFE.split(text) if _PLAIN.search(text) else text.split(" ")
-    body = chunks[first] + b"".join([chunks[c] for c in map(" ".__add__, rest)])
-    return np.append(np.frombuffer(body, "<u4"), np.uint32(end_id)).astype("<u4")
+    text, body, start = text or "", [], 0
+    for cut in chunks.cuts.finditer(text) if chunks.cuts else ():
+        body += [chunks.of(text[start : cut.start()]), np.uint32(chunks.added[cut[0]]).astype("<u4").tobytes()]
+        start = cut.end()
+    body.append(chunks.of(text[start:]))
+    return np.append(np.frombuffer(b"".join(body), "<u4"), np.uint32(end_id)).astype("<u4")
+
 
+def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, end_id: int = END_ID, vocabulary: str | None = None, tokenizer: str | None = None) -> DataFrame:
+    """One row for each document: its count of ids and the CRC-32 of each piece of ``width``, without the ids.
 
-def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, end_id: int = END_ID, vocabulary: str | None = None) -> DataFrame:
-    """One row for each document: its count of ids and the CRC-32 of each piece of ``width``, without the ids."""
-    path = vocabulary or rank_file()
+    ``vocabulary`` is the rank file of the merges and ``tokenizer`` the file with the added tokens.
+    """
+    path, added = vocabulary or rank_file(), added_tokens(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = ChunkIds(encoding(path))
+        chunks = ChunkIds(encoding(path), added)
         for batch in batches:
             total, crcs = [], []
             for text in batch.column(1).to_pylist():
@@ -81,7 +105,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 crcs.append([zlib.crc32(raw[a : a + 4 * width]) for a in range(0, len(raw), 4 * width)])
             yield pa.RecordBatch.from_pydict({id_col: batch.column(0), "salt": batch.column(2), "doc_tokens": pa.array(total, pa.int64()), "crcs": pa.array(crcs, pa.list_(pa.int64()))})
 
-    rows = slim(docs, id_col, text_col).withColumn("salt", F.xxhash64(f"`{id_col}`", f"`{text_col}`"))
+    rows = slim(docs, id_col, text_col).withColumn("salt", F.xxhash64(f"`{id_col}`", f"`{text_col}`", F.monotonically_increasing_id()))
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(run, f"`{id_col}` {kind}, salt long, doc_tokens long, crcs array<long>")
 
@@ -120,7 +144,7 @@ def first_fit_decreasing(sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.
 
 
 def pack(pieces: DataFrame, id_col: str = "doc_id", width: int = WIDTH, group_docs: int = GROUP_DOCS, seed: int = 17) -> DataFrame:
-    """Pack what ``token_pieces`` gives; ``pieces`` is read twice, so store it first."""
+    """Pack what ``token_pieces`` gives; ``pieces`` is read twice and its salts must not change, so store it first."""
     n = pieces.count()
     groups = max(1, -(-n // group_docs))
     kind = pieces.schema[id_col].dataType
