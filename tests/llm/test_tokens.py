@@ -133,17 +133,44 @@ def test_elias_fano(n):
         assert (ef.find(asked) == want).all()
 
 
+def test_elias_fano_within_ranges():
+    rng = np.random.default_rng(1)
+    ef = trie.EliasFano.of(data := np.sort(rng.integers(0, 300, 500)))
+    first = rng.integers(0, 500, 4000)
+    last, asked = first + rng.integers(0, 60, 4000).clip(max=500 - first), rng.integers(0, 310, 4000)
+    for x, a, b, got in zip(asked, first, last, ef.find(asked, first, last).tolist(), strict=True):
+        hit = np.flatnonzero(data[a:b] == x)
+        assert got == (a + hit[0] if len(hit) else -1)
+
+
 def test_trie_from_a_file(tmp_path):
-    words = (np.array([9, 5, 9], np.uint64), np.array([3, 3, 1]))
-    pairs = (np.array([5, 5, 9, 5], np.uint64), np.array([1, 7, 1, 1], np.uint32), np.array([1, 1, 0, 1]))
-    triples = (np.array([0, 3, 0, 2]), np.array([2, 4, 4, 1], np.uint32), np.array([1, 1, 0, 0]))
-    t = trie.Trie.build(words, pairs, triples, 8.0).saved(str(tmp_path / "t"))
-    assert t.word_counts(np.array([5, 6, 9], np.uint64)).tolist() == [3, 0, 4]
-    number, code = t.pair_values(np.array([5, 9], np.uint64), np.array([2, 1]), np.array([1, 2, 1], np.uint32))
-    assert number.tolist() == [0, -1, -1] and trie.from_code(code).round(3).tolist() == [2, 0, 0]
-    codes = t.triple_values(np.array([0, 0, 0, 1, -1]), np.array([2, 4, 3, 2, 2], np.uint32))
-    assert (1 / trie.from_code(codes[:2])).tolist() == pytest.approx([1 / 10] * 2, rel=1e-3) and (codes[2:] == trie.MISSING).all()
-    assert t.children(0) == (0, 2) and t.children(1) == (2, 2)
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(5, 1 << 63, 60).astype(np.uint64))
+    keys[:4] = 1, 2, 3, 4
+    n = 4000
+    text = rng.choice(keys, n, p=(w := 1 / np.arange(1, len(keys) + 1)) / w.sum())
+    count = Counter(text.tolist()), Counter(zip(text.tolist(), text[1:].tolist())), Counter(zip(text.tolist(), text[1:].tolist(), text[2:].tolist()))
+    unseen = (rng.random(n - 1) < 0.2).astype(int)  # asked for, not learned
+    words = text, np.ones(n, int)
+    pairs = text[:-1], text[1:], 1 - unseen
+    triples = np.arange(n - 2), text[2:], 1 - unseen[1:] * unseen[:-1]
+    pair_count = Counter((a, b) for a, b, c in zip(text.tolist(), text[1:].tolist(), pairs[2]) if c)
+    tri_count = Counter(t for t, c in zip(zip(text.tolist(), text[1:].tolist(), text[2:].tolist()), triples[2]) if c and t[:2] in pair_count)
+    known = lambda a, b=None: np.where(a == 1, 5000, -1) if b is None else np.where((a == 1) & (b == 2), 900, -1)
+    triples[2][[pair_count[text[i], text[i + 1]] == 0 for i in range(n - 2)]] = 0
+    t = trie.Trie.build(words, pairs, triples, 300.0, 8.0, lambda c: (c + 0.1) / 4100, known).saved(str(tmp_path / "t"))
+    w = t.dictionary.find(text)
+    assert t.word_counts[w].tolist() == [count[0][x] for x in text.tolist()]
+    assert trie.from_code(t.word_codes[w]) == pytest.approx((t.word_counts[w] + 0.1) / 4100, rel=1e-3)
+    number = t.level2.find(w[:-1], np.ones(n - 1, int), w[1:])
+    of = lambda a: 5000 if a == 1 else count[0][a]
+    both = lambda a, b: 900 if (a, b) == (1, 2) else pair_count[a, b]
+    want = [both(a, b) / (of(a) + 300) if pair_count[a, b] else 0 for a, b in zip(text.tolist(), text[1:].tolist())]
+    assert trie.from_code(t.level2.code(number)) == pytest.approx(np.array(want), rel=1e-3)
+    third = t.level3.find(number[:-1], np.ones(n - 2, int), w[2:])
+    want = [tri_count[a, b, c] / (both(a, b) + 8) if pair_count[a, b] else 0 for a, b, c in zip(text.tolist(), text[1:].tolist(), text[2:].tolist())]
+    assert trie.from_code(t.level3.code(third)) == pytest.approx(np.array(want), rel=1e-3)
+    assert t.level2.find(np.array([0, -1]), np.array([2, 1]), np.array([-1, 59, 0])).tolist()[::2] == [-1, -1] and t.dictionary.find(np.array([7], np.uint64)).tolist() == [-1]
 
 
 def brute_scores(texts, k2=lm.K2, k3=lm.K3):
@@ -175,7 +202,7 @@ def brute_scores(texts, k2=lm.K2, k3=lm.K3):
 
 def test_lm_scores_equal_counting(docs, texts):
     want = brute_scores(texts)
-    for options in ({}, {"chunk_tokens": 3000, "shard_tokens": 20_000}):
+    for options in ({}, {"chunk_tokens": 3000, "shard_tokens": 20_000}, {"chunk_tokens": 3000, "shard_tokens": 20_000, "short": 40, "hot": 20, "hottest": 10}):
         rows = lm.score_documents(docs, **options).collect()
         assert len(rows) == len(texts)
         for r in rows:
@@ -184,6 +211,17 @@ def test_lm_scores_equal_counting(docs, texts):
             assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=2e-3)
 
 
+def test_chunks_send_only_what_they_have(docs):
+    own = lm.chunks(docs, "doc_id", "text", 500).first()
+    own = {n: np.array(own[n]) if n != "numbers" else bytes(own[n]) for n in ("n_tokens", "held_out", "words", "train", "numbers")}
+    common = lm.Common(own["words"][2:30].view(np.uint64), own["train"][2:30], 20, 10)
+    few, many = (lm.Ngrams(own, common, n).rows(0, n) for n in (3, 100_000))
+    assert few.num_rows == 3 and many.num_rows < 10_000
+    for name, kind in lm.SENT.items():
+        sums = {len(lm._joined([x.column(name)], kind)[0]) for x in (few, many)}
+        assert len(sums) == 1 or name in ("p_key", "p_far", "p_count", "children", "c_key", "c_far", "runs")
+
+
 def test_lm_helps_on_held_out_text(docs):
     rows = [r for r in lm.score_documents(docs).collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)

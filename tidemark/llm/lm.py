@@ -2,18 +2,31 @@
 
 1. ``chunks``: each task turns its texts into chunks of about a million tokens:
    local word numbers and the words' hashes, stored once.
-2. Each chunk sends its distinct words, pairs and triples (with their training
-   counts) to shards; all go by their first word's hash, and those of the ``HOT`` most
-   frequent words by their first two words, so that such a word is spread over all
-   shards. What a chunk sends is already summed. A shard merges all chunks' counts into a trie (see ``trie``),
-   maps it from a file and answers each chunk's n-grams from it.
-3. Chunks meet their answers and score their texts.
+2. The chunks' words are counted over the corpus (a table on Spark). The ``SHORT`` most
+   frequent ones get two-byte keys in what is sent later, all others keep their hash;
+   that changes what a key costs and nothing else.
+3. Each chunk sends its distinct words, pairs and triples (with their training counts,
+   so already summed) to shards, by their first word. What would crowd a shard is
+   spread: pairs of the ``HOT`` most frequent words go by both words, triples that
+   begin with two of the ``HOTTEST`` words by all three; the counts of those words and
+   pairs, a table of fixed size, are known to all shards. A shard merges all chunks'
+   counts into a trie (see ``trie``), maps it from a file and answers each chunk's
+   n-grams from it. That file lives as long as the task's answer; a task that is run
+   again builds it again.
+4. Chunks meet their answers and score their texts.
 
 The model is a triple model with Dirichlet smoothing at each order:
 p(w|u,v) = c(uvw)/(c(uv)+K3) + K3/(c(uv)+K3) * p(w|v), p(w|v) = (c(vw) + K2 p(w)) /
 (c(v)+K2), and p(w) is the base. A text starts after a mark that is never
 predicted and ends with an end token. Nothing is pruned and no order is capped:
-what is gathered grows with the corpus, and a shard's size stays as it is.
+what is gathered grows with the corpus, and a shard's size stays as it is. A chunk and a
+shard share a row of what is sent only if they share an n-gram, all rows of a chunk are
+cut from the same arrays, and each shard and each chunk is one partition, so no task
+grows with the corpus.
+
+Words are told apart by 63 bits of a hash: among 10^9 different words two would share
+theirs with a probability of 0.05. Within a shard words are their ranks, so nothing is
+cut further. Codes of probabilities are exact to 0.04 %.
 
 Cases: a null text is empty and has the end token alone; a null id counts as held
 out (its remainder is not known to differ from 0); repeated rows are learned and
@@ -36,21 +49,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slim, stored_by
-from .trie import MISSING, Trie, from_code
+from .common import Scratch, slim, stored
+from .trie import Trie, coded, from_code, to_code
 
 K2, K3 = 300.0, 8.0
-#: Tokens of a chunk and (all orders together) n-grams of a shard, about.
-CHUNK_TOKENS, SHARD_TOKENS = 1 << 21, 2_000_000
-#: Frequent words that are spread, and how many of a chunk stand for election.
-HOT, TOP = 1024, 256
+#: Tokens of a chunk and tokens whose n-grams make a shard, about.
+CHUNK_TOKENS, SHARD_TOKENS = 1 << 20, 2_000_000
+#: Words with short keys, whose pairs are spread, and whose triples are spread.
+SHORT, HOT, HOTTEST = 65_535, 1024, 128
 #: Tokens scored at a time.
 SLICE = 1 << 18
 #: The end token and the mark before a text; no word has a space.
 END, BEGIN = b" end", b" begin"
 
 _GOLD, _C1 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_32, _24 = np.uint64(32), np.uint64(24)
+_32, _LONG = np.uint64(32), np.uint64(1 << 63)
+
+#: What a chunk sends to a shard, by name and width: words, contexts, their pairs and those' triples.
+SENT = {"w_key": "u2", "w_far": "u8", "w_count": "u4", "c_key": "u2", "c_far": "u8", "runs": "u4", "p_key": "u2", "p_far": "u8", "p_count": "u4", "children": "u4", "t_key": "u2", "t_far": "u8", "t_count": "u4"}
+#: What a shard answers: counts and codes of words, rests of contexts, codes and rests of pairs, codes of triples.
+ANSWERED = {"w_counts": "i8", "w_codes": "u2", "c_rests": "u2", "p_codes": "u2", "p_rests": "u2", "t_codes": "u2"}
 
 
 class Numbers(dict):
@@ -80,30 +98,20 @@ def from_planes(block: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.T).view("<u4").ravel()
 
 
-def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed block."""
-    head = np.array([len(arrays), *(x for a in arrays for x in (a.dtype.itemsize, len(a)))], np.int64)
-    return zstandard.ZstdCompressor(1).compress(head.tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+def word_key(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) | 1 << 63
 
 
-def unpacked(block: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(block)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    head = np.frombuffer(raw, np.int64, 2 * n, 8).reshape(n, 2)
-    out, at = [], 8 + 16 * n
-    for width, size in head.tolist():
-        out.append(np.frombuffer(raw, f"u{width}", size, at))
-        at += width * size
-    return out
+BEGIN_KEY = word_key(BEGIN)
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
-    """(chunk, ids, n_tokens, held_out, hashes, numbers) of all texts."""
+    """(part, made, ids, n_tokens, held_out, tokens, words, train, every, numbers) of all texts; ``words`` are keys, with their counts."""
     rows = slim(docs, id_col, text_col)
     kind = rows.schema[0].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made = TaskContext.get().partitionId(), 0
+        part, made, n = TaskContext.get().partitionId(), 0, 0
         number = Numbers({END: 0, BEGIN: 1})
         ids, lengths, held, found = [], [], [], []
         for batch in batches:
@@ -114,94 +122,164 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int = CHUN
                 ids.append(doc_id)
                 lengths.append(len(words) + 1)
                 held.append(is_held_out(doc_id))
-                made_tokens = sum(lengths) if len(lengths) % 64 == 0 or len(words) > 10_000 else 0
-                if made_tokens >= chunk_tokens:
+                n += lengths[-1]
+                if n >= chunk_tokens:
                     yield _chunk(part, made, arrow_kind, ids, lengths, held, found, number)
-                    made += 1
+                    made, n = made + 1, 0
                     number = Numbers({END: 0, BEGIN: 1})
                     ids, lengths, held, found = [], [], [], []
         if ids:
             yield _chunk(part, made, arrow_kind, ids, lengths, held, found, number)
 
-    fields = [T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("n_tokens", T.ArrayType(T.LongType())), T.StructField("held_out", T.ArrayType(T.BooleanType())), T.StructField("tokens", T.LongType()), T.StructField("hashes", T.BinaryType()), T.StructField("numbers", T.BinaryType()), T.StructField("tops", T.MapType(T.LongType(), T.LongType()))]
-    return rows.mapInArrow(run, T.StructType(fields))
+    fields = [("part", T.IntegerType()), ("made", T.IntegerType()), ("ids", T.ArrayType(kind)), ("n_tokens", T.ArrayType(T.LongType())), ("held_out", T.ArrayType(T.BooleanType())), ("tokens", T.LongType()), *((c, T.ArrayType(T.LongType())) for c in ("words", "train", "every")), ("numbers", T.BinaryType())]
+    return rows.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
 def _chunk(part: int, made: int, kind: pa.DataType, ids: list, lengths: list, held: list, found: list, number: dict) -> pa.RecordBatch:
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
-    numbers = np.concatenate(found) if found else np.empty(0, np.uint32)
-    counts = np.bincount(numbers, minlength=len(number))
-    top = np.argsort(-counts, kind="stable")[:TOP]
+    keys = np.fromiter(map(word_key, number), np.uint64, len(number))
+    trained = [x for x, h in zip(found, held, strict=True) if not h]
+    every, train = (np.bincount(np.concatenate(x) if x else np.empty(0, np.uint32), minlength=len(number)) for x in (found, trained))
+    every[:2], train[:2] = len(ids), len(trained)
+    longs = pa.list_(pa.int64())
     return pa.RecordBatch.from_pydict({
-        "chunk": pa.array([(part << 24) + made], pa.int64()), "ids": pa.array([ids], pa.list_(kind)), "n_tokens": pa.array([lengths], pa.list_(pa.int64())), "held_out": pa.array([held], pa.list_(pa.bool_())),
-        "tokens": pa.array([sum(lengths)], pa.int64()), "hashes": pa.array([hashes.tobytes()], pa.binary()), "numbers": pa.array([planes(numbers)], pa.binary()),
-        "tops": pa.array([list(zip(hashes[top].view(np.int64).tolist(), counts[top].tolist(), strict=True))], pa.map_(pa.int64(), pa.int64())),
+        "part": pa.array([part], pa.int32()), "made": pa.array([made], pa.int32()), "ids": pa.array([ids], pa.list_(kind)), "n_tokens": pa.array([lengths], longs), "held_out": pa.array([held], pa.list_(pa.bool_())),
+        "tokens": pa.array([sum(lengths)], pa.int64()), "words": pa.array([keys.view(np.int64)], longs), "train": pa.array([train], longs), "every": pa.array([every], longs), "numbers": pa.array([planes(np.concatenate(found))], pa.binary()),
     })
 
 
-class Ngrams:
-    """The distinct words, pairs and triples of a chunk, by shard and then sorted."""
+class Common:
+    """The most frequent words: their keys by rank, and counts that every shard knows."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, hot: int = HOT, hottest: int = HOTTEST):
+        self.keys, self.counts, self.hot, self.hottest = keys, counts, hot, hottest
+        self.order = np.argsort(keys)
+        self.sorted = keys[self.order]
+        self.pair_counts = np.zeros((hottest, hottest), np.int64)
+
+    def ranks(self, keys: np.ndarray) -> np.ndarray:
+        """Rank of each key, ``SHORT`` for the others."""
+        if not len(self.sorted):
+            return np.full(len(keys), SHORT)
+        at = np.minimum(np.searchsorted(self.sorted, keys), len(self.sorted) - 1)
+        return np.where(self.sorted[at] == keys, self.order[at], SHORT)
+
+    def known(self, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
+        """Counts of hot words, or of pairs of the hottest; -1 for others. Keys are those within a trie."""
+        if second is None:
+            hot = first < np.uint64(min(self.hot, len(self.counts)))
+            return np.where(hot, self.counts[np.where(hot, first, 0).astype(np.int64)] if len(self.counts) else 0, -1)
+        hot = (first < np.uint64(self.hottest)) & (second < np.uint64(self.hottest))
+        return np.where(hot, self.pair_counts[np.where(hot, first, 0).astype(np.int64), np.where(hot, second, 0).astype(np.int64)], -1)
 
-    def __init__(self, hashes: np.ndarray, numbers: np.ndarray, lengths: np.ndarray, held: np.ndarray, shards: int, hot: np.ndarray):
+
+class Stream:
+    """The tokens of a chunk in order, each with the one before it, as local numbers."""
+
+    def __init__(self, numbers: np.ndarray, lengths: np.ndarray, held: np.ndarray):
         end = np.cumsum(lengths) - 1  # places of the end tokens
-        n = int(lengths.sum())
-        first = end - lengths + 1
-        stream = np.zeros(n, np.int32)
-        is_word = np.ones(n, bool)
+        self.first = end - lengths + 1
+        self.now = np.zeros(int(lengths.sum()), np.int32)
+        is_word = np.ones(len(self.now), bool)
         is_word[end] = False
-        stream[is_word] = numbers
-        before = np.empty(n, np.int32)
-        before[1:] = stream[:-1]
-        before[first] = 1
-        train = np.repeat(~held, lengths)
-        self.stream, self.before, self.first = stream, before, first
+        self.now[is_word] = numbers
+        self.before = np.empty_like(self.now)
+        self.before[1:] = self.now[:-1]
+        self.before[self.first] = 1
+        self.train = np.repeat(~held, lengths)
+
+    def hottest_pairs(self, ranks: np.ndarray, hottest: int) -> np.ndarray:
+        """Training counts of all pairs of the hottest words."""
+        a, b = ranks[self.before], ranks[self.now]
+        both = self.train & (a < hottest) & (b < hottest)
+        return np.bincount(a[both] * hottest + b[both], minlength=hottest * hottest)
+
+
+class Ngrams:
+    """The distinct words, pairs and triples of a chunk, by shard and then sorted.
+
+    A pair has an entry in its own shard and in each that has a triple of it.
+    """
+
+    def __init__(self, own: dict, common: Common, shards: int):
+        keys = own["words"].view(np.uint64)
+        ranks = common.ranks(keys)
+        self.stream = s = Stream(from_planes(own["numbers"]), own["n_tokens"], own["held_out"])
+        key = np.where(ranks < SHORT, ranks.astype(np.uint64), keys)
+        order = np.argsort(key)
+        place = np.empty(len(key), np.int64)
+        place[order] = np.arange(len(key))
+        key, ranks, width = key[order], ranks[order], len(key)
         # words
-        order = np.lexsort((hashes, _shard(hashes, shards)))
-        self.word_order, self.word_shard = order, _shard(hashes, shards)[order]
-        counts = np.bincount(stream[train], minlength=len(hashes))
-        counts[1] = int((~held).sum())
-        self.word_hash, self.word_count = hashes[order], counts[order]
-        # pairs: by shard, first word's hash, second word's 32-bit key
-        rank = np.empty(len(hashes), np.int64)
-        rank[np.argsort(hashes)] = np.arange(len(hashes))
-        sorted_hashes = np.sort(hashes)
-        key32 = (sorted_hashes >> _32).astype(np.uint32)
-        keys, key_of_rank = np.unique(key32, return_inverse=True)
-        key = key_of_rank[rank]
-        width = len(keys)
-        pair, of_pair = _numbered(rank[before] * width + key[stream])
-        p_first, p_key = sorted_hashes[pair // width], keys[pair % width]
-        spread = np.isin(p_first, hot)
-        shard = _shard(np.where(spread, p_first ^ (p_key.astype(np.uint64) * _GOLD), p_first), shards)
-        order = np.argsort(shard, kind="stable")
-        place = np.empty(len(order), np.int32)
-        place[order] = np.arange(len(order), dtype=np.int32)
-        self.of_pair = place[of_pair]
-        del of_pair
-        self.pair_shard, self.pair_hash, self.pair_key = shard[order], p_first[order], p_key[order]
-        self.pair_count = np.bincount(self.of_pair[train], minlength=len(order))
-        # triples: by their first two words' pair, which ends one place earlier
-        inner = np.ones(n, bool)
-        inner[first] = False
-        tri, self.of_tri = _numbered(self.of_pair[:-1][inner[1:]].astype(np.int64) * width + key[stream[inner]])
-        self.tri_pair, self.tri_key = tri // width, keys[tri % width]
-        self.tri_count = np.bincount(self.of_tri[train[inner]], minlength=len(tri))
-
-    def blocks(self, shards: int) -> Iterator[bytes]:
-        """What goes to each shard."""
-        every = np.arange(shards + 1)
-        w, p = np.searchsorted(self.word_shard, every), np.searchsorted(self.pair_shard, every)
-        t = np.searchsorted(self.tri_pair, p)
-        children = np.bincount(self.tri_pair, minlength=len(self.pair_hash))
-        for s in range(shards):
-            ps, ts, ws = slice(p[s], p[s + 1]), slice(t[s], t[s + 1]), slice(w[s], w[s + 1])
-            heads = self.pair_hash[ps] >> _24
-            new = np.ones(len(heads), bool)
-            new[1:] = heads[1:] != heads[:-1]
-            at = np.flatnonzero(new)
-            runs = np.diff(np.append(at, len(heads)))
-            context = heads[at]
-            yield packed(self.word_hash[ws], _narrow(self.word_count[ws]), (context >> np.uint64(8)).astype(np.uint32), context.astype(np.uint8), _narrow(runs), self.pair_key[ps], _narrow(self.pair_count[ps]), _narrow(children[ps]), self.tri_key[ts], _narrow(self.tri_count[ts]))
+        shard = _shard(key, shards)
+        self.word_order = np.argsort(shard, kind="stable")
+        self.word_shard, self.word_count = shard[self.word_order], own["train"][order][self.word_order]
+        self.word_place = place
+        # pairs
+        now = place[s.now]
+        pair, self.of_pair = _numbered(place[s.before] * width + now)
+        above, suc = pair // width, pair % width
+        home = np.where(ranks[above] < common.hot, _shard(key[above] ^ (key[suc] * _GOLD + _32), shards), shard[above])
+        # triples begin with the pair that ends one place earlier
+        inner = np.ones(len(now), bool)
+        inner[s.first] = False
+        tri, of_tri = _numbered(self.of_pair[:-1][inner[1:]].astype(np.int64) * width + now[inner])
+        del now
+        t_pair, t_suc = tri // width, tri % width
+        hot = (ranks[above] < common.hottest) & (ranks[suc] < common.hottest)
+        t_shard = np.where(hot[t_pair], _shard((key[above] * _C1 ^ key[suc])[t_pair] * _GOLD ^ key[t_suc], shards), home[t_pair])
+        entry = np.unique(np.concatenate([home * len(pair) + np.arange(len(pair)), (t_shard * len(pair) + t_pair)[hot[t_pair]]]))
+        self.entry_of_pair = np.searchsorted(entry, home * len(pair) + np.arange(len(pair))).astype(np.int32)
+        t_entry = np.searchsorted(entry, t_shard * len(pair) + t_pair)
+        t_order = np.argsort(t_entry, kind="stable")
+        place = np.empty(len(tri), np.int32)
+        place[t_order] = np.arange(len(tri), dtype=np.int32)
+        self.of_tri = place[of_tri]
+        del of_tri
+        self.entry_shard, e_pair = entry // max(1, len(pair)), entry % max(1, len(pair))
+        p_count = np.bincount(self.of_pair[s.train], minlength=len(pair))
+        t_count = np.bincount(self.of_tri[s.train[inner]], minlength=len(tri))
+        self.tri_shard = t_shard[t_order]
+        self.context = above[e_pair]
+        self.context_at = np.flatnonzero(np.diff(self.entry_shard * width + self.context, prepend=-1))
+        runs = np.diff(np.append(self.context_at, len(entry)))
+        self.parts = {
+            "w": (self.word_shard, key[self.word_order], ranks[self.word_order], {"w_count": self.word_count}), "c": (self.entry_shard[self.context_at], *_both(key, ranks, self.context[self.context_at]), {"runs": runs}),
+            "p": (self.entry_shard, *_both(key, ranks, suc[e_pair]), {"p_count": p_count[e_pair], "children": np.bincount(t_entry, minlength=len(entry))}), "t": (self.tri_shard, *_both(key, ranks, t_suc[t_order]), {"t_count": t_count}),
+        }
+        self.context_of_entry = np.repeat(np.arange(len(self.context_at)), runs)
+
+    def rows(self, chunk: int, shards: int) -> pa.RecordBatch:
+        """What goes to each shard that has something of this chunk."""
+        there = np.unique(np.concatenate([p[0] for p in self.parts.values()]))
+        out = {"shard": pa.array(there, pa.int32()), "chunk": pa.array(np.full(len(there), chunk), pa.int64())}
+        for name, (shard, key, ranks, more) in self.parts.items():
+            at = np.append(np.searchsorted(shard, there), len(shard))
+            far = np.flatnonzero(ranks == SHORT)
+            out[f"{name}_key"] = _slices(ranks.astype(np.uint16), at)
+            out[f"{name}_far"] = _slices(key[far], np.searchsorted(far, at))
+            out |= {n: _slices(v.astype(SENT[n]), at) for n, v in more.items()}
+        return pa.RecordBatch.from_pydict({n: out[n] for n in ("shard", "chunk", *SENT)})
+
+
+def _both(key: np.ndarray, ranks: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return key[at], ranks[at]
+
+
+def _slices(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Bytes of ``values`` from each place to the next."""
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _joined(columns: list[pa.Array], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of binary columns in one array, and how many each row has."""
+    values, sizes = [], []
+    for c in columns:
+        if not len(c):
+            continue
+        at = np.frombuffer(c.buffers()[1], np.int32, len(c) + 1, 4 * c.offset)
+        values.append(np.frombuffer(c.buffers()[2], np.uint8, at[-1] - at[0], at[0]) if at[-1] > at[0] else np.empty(0, np.uint8))
+        sizes.append(np.diff(at) // np.dtype(kind).itemsize)
+    return np.concatenate([np.empty(0, np.uint8), *values]).view(kind), np.concatenate([np.empty(0, np.int64), *sizes])
 
 
 def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,95 +293,153 @@ def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[new], number
 
 
-def _narrow(x: np.ndarray) -> np.ndarray:
-    top = int(x.max()) if len(x) else 0
-    return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
-
-
 def _shard(x: np.ndarray, shards: int) -> np.ndarray:
-    return ((x ^ (x >> np.uint64(29))) * _C1 >> _32).astype(np.int64) % shards
-
-
-class Sent:
-    """What a chunk sent to a shard."""
-
-    def __init__(self, block: bytes):
-        self.words, count, high, low, runs, self.keys, self.pair_count, children, self.tri_keys, self.tri_count = unpacked(block)
-        self.word_count, self.runs = count.astype(np.int64), runs.astype(np.int64)
-        self.contexts = (high.astype(np.uint64) << np.uint64(8)) | low
-        self.tri_pair = np.repeat(np.arange(len(self.keys)), children)
-
-
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = CHUNK_TOKENS, shard_tokens: int = SHARD_TOKENS, k2: float = K2, k3: float = K3) -> DataFrame:
+    x = (x ^ (x >> np.uint64(31))) * _C1
+    return (((x ^ (x >> np.uint64(29))) * _GOLD) >> _32).astype(np.int64) % shards
+
+
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of one value of the first column at a time, from rows sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), len(keys)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if held and held[0].column(0)[0].as_py() != keys[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def answers_of(table: pa.Table, common: Common, base, k2: float, k3: float) -> pa.RecordBatch:
+    """A shard's answers to the chunks of ``table`` (columns of ``SENT``)."""
+    sent, sizes = {}, {}
+    for name, kind in SENT.items():
+        sent[name], sizes[name] = _joined(table.column(name).chunks, kind)
+    keys = {}
+    for part in "wcpt":
+        keys[part] = sent[f"{part}_key"].astype(np.uint64)
+        keys[part][sent[f"{part}_key"] == SHORT] = sent[f"{part}_far"]
+    children, runs = sent["children"].astype(np.int64), sent["runs"].astype(np.int64)
+    words = keys["w"], sent["w_count"].astype(np.int64)
+    pairs = np.repeat(keys["c"], runs), keys["p"], sent["p_count"]
+    triples = np.repeat(np.arange(len(keys["p"])), children), keys["t"], sent["t_count"]
+    with tempfile.TemporaryDirectory() as folder:
+        trie = Trie.build(words, pairs, triples, k2, k3, base, common.known).saved(f"{folder}/trie")
+        del words, pairs, triples
+        w, c = trie.dictionary.find(keys["w"]), trie.dictionary.find(keys["c"])
+        pair = trie.level2.find(c, runs, trie.dictionary.find(keys["p"]))
+        triple = trie.level3.find(pair, children, trie.dictionary.find(keys["t"]))
+        counts = np.where(w >= 0, trie.word_counts[np.maximum(w, 0)], 0) if len(trie.word_counts) else np.zeros(len(w), np.int64)
+        # a word without a count has the base's probability, a context without one leaves all to the shorter
+        values = {
+            "w_counts": counts, "w_codes": np.where(w >= 0, coded(trie.word_codes, w), to_code(base(np.zeros(1)))[0]), "c_rests": np.where(c >= 0, coded(trie.word_rest, c), 0),
+            "p_codes": trie.level2.code(pair), "p_rests": np.where(pair >= 0, coded(trie.pair_rest, pair), 0), "t_codes": trie.level3.code(triple),
+        }
+        del trie
+    out = {"chunk": table.column("chunk").combine_chunks(), "shard": table.column("shard").combine_chunks()}
+    for (name, value), size in zip(values.items(), ("w_key", "w_key", "c_key", "p_key", "p_key", "t_key"), strict=True):
+        out[name] = _slices(value.astype(ANSWERED[name]), np.concatenate([[0], np.cumsum(sizes[size])]))
+    return pa.RecordBatch.from_pydict(out)
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = CHUNK_TOKENS, shard_tokens: int = SHARD_TOKENS, k2: float = K2, k3: float = K3, short: int = SHORT, hot: int = HOT, hottest: int = HOTTEST) -> DataFrame:
     """Base and model scores of every text."""
+    spark = docs.sparkSession
     kind = slim(docs, id_col).schema[0].dataType
-    cut = stored_by(chunks(docs, id_col, text_col, chunk_tokens), "chunks", "chunk")
-    total = cut.agg(F.sum("tokens")).first()[0] or 0
-    shards = max(1, -(-total // shard_tokens))
-    frequent = cut.select(F.explode("tops").alias("h", "c")).groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(HOT).collect()
-    hot = np.sort(np.array([r["h"] for r in frequent], np.int64).view(np.uint64))
+    cut = stored(chunks(docs, id_col, text_col, chunk_tokens), "chunks")
+    # chunks are numbered through; the driver has a row for each task that made some
+    made = cut.groupBy("part").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens")).collect()
+    starts, at = np.zeros(max((r["part"] for r in made), default=0) + 1, np.int64), 0
+    for r in sorted(made):
+        starts[r["part"]], at = at, at + r["n"]
+    shards, n_chunks = max(1, -(-sum(r["tokens"] for r in made) // shard_tokens)), max(1, at)
+    with Scratch(spark) as scratch:
+        word = cut.select(F.explode(F.arrays_zip("words", "train", "every")).alias("w")).select("w.*")
+        counted = scratch.stored(word.groupBy("words").agg(F.sum("train").alias("train"), F.sum("every").alias("every")), "words")
+        n_train, vocabulary = counted.filter(F.col("words") != BEGIN_KEY - (1 << 64)).agg(F.coalesce(F.sum("train"), F.lit(0)), F.count_if(F.col("train") > 0)).first()
+        top = counted.orderBy(F.desc("every"), "words").limit(short).select("words", "train").toPandas()
+    common = Common(top["words"].to_numpy(np.int64).view(np.uint64), top["train"].to_numpy(np.int64), hot, hottest)
+
+    def base(count: np.ndarray) -> np.ndarray:
+        return (count + 0.1) / (n_train + 0.1 * (vocabulary + 1))
+
+    def own_of(batch: pa.RecordBatch | pa.Table, row: int) -> dict:
+        own = {n: batch.column(n)[row] for n in ("n_tokens", "held_out", "words", "train", "numbers")}
+        return {n: v.as_py() if n == "numbers" else np.asarray(v.values) if n != "held_out" else v.values.to_numpy(zero_copy_only=False) for n, v in own.items()}
+
+    places = spark.sparkContext.broadcast(starts)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(hottest * hottest, np.int64)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                own = own_of(batch, row)
+                total += Stream(from_planes(own["numbers"]), own["n_tokens"], own["held_out"]).hottest_pairs(common.ranks(own["words"].view(np.uint64)), hottest)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"pair": pa.array(some, pa.int64()), "n": pa.array(total[some], pa.int64())})
 
-    def ngrams_of(row: dict) -> Ngrams:
-        return Ngrams(np.frombuffer(row["hashes"], np.uint64), from_planes(row["numbers"]), np.array(row["n_tokens"], np.int64), np.array(row["held_out"], bool), shards, hot)
+    own_columns = ("part", "made", "n_tokens", "held_out", "words", "train", "numbers")
+    for pair, n in cut.select(*own_columns).mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():
+        common.pair_counts[pair // hottest, pair % hottest] = n
+    shared = spark.sparkContext.broadcast(common)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                one = batch.slice(row, 1).to_pylist()[0]
-                for s, block in enumerate(ngrams_of(one).blocks(shards)):
-                    yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int64()), "chunk": pa.array([one["chunk"]], pa.int64()), "block": pa.array([block], pa.binary())})
-
-    def answer(table: pa.Table) -> pa.Table:
-        sent = [Sent(b.as_py()) for b in table.column("block")]
-        words = np.concatenate([x.words for x in sent]), np.concatenate([x.word_count for x in sent])
-        pairs = np.concatenate([np.repeat(x.contexts, x.runs) for x in sent]), np.concatenate([x.keys for x in sent]), np.concatenate([x.pair_count for x in sent])
-        starts = np.cumsum([0, *(len(x.keys) for x in sent)])
-        triples = np.concatenate([x.tri_pair + at for x, at in zip(sent, starts[:-1], strict=True)]), np.concatenate([x.tri_keys for x in sent]), np.concatenate([x.tri_count for x in sent])
-        begin = np.uint64(xxhash.xxh3_64_intdigest(BEGIN))
-        real = (words[0] != begin) & (words[1] > 0)
-        vocabulary, n_train = len(np.unique(words[0][real])), int(words[1][real].sum())
-        blocks = []
-        with tempfile.TemporaryDirectory() as folder:
-            trie = Trie.build(words, pairs, triples, k3).saved(f"{folder}/trie")
-            del words, pairs, triples
-            for x in sent:
-                number, p_code = trie.pair_values(x.contexts, x.runs, x.keys)
-                blocks.append(packed(_narrow(trie.word_counts(x.words)), p_code, trie.triple_values(number[x.tri_pair], x.tri_keys), np.array([vocabulary, n_train], np.uint64)))
-            del trie
-        return pa.table({"chunk": table.column("chunk"), "shard": table.column("shard"), "block": pa.array(blocks, pa.binary())})
-
-    def score(own: pa.Table, answers: pa.Table) -> pa.Table:
-        one = own.to_pylist()[0]
-        grams = ngrams_of(one)
-        parts = [unpacked(b.as_py()) for b in answers.sort_by("shard").column("block")]
-        w_sorted, p_code, t_code = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        vocabulary, n_train = (int(sum(p[3][i] for p in parts)) for i in (0, 1))
-        count = np.empty(len(w_sorted), np.float64)
-        count[grams.word_order] = w_sorted
-        p1 = (count + 0.1) / (n_train + 0.1 * (vocabulary + 1))
-        pair_count = from_code(p_code)
-        share = np.where(t_code == MISSING, 0.0, 1 / np.maximum(from_code(t_code), 1.0))
-        lengths = np.array(one["n_tokens"], np.int64)
+                chunk = int(places.value[batch.column("part")[row].as_py()]) + batch.column("made")[row].as_py()
+                yield Ngrams(own_of(batch, row), shared.value, shards).rows(chunk, shards)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_group(batches):
+            yield answers_of(table, shared.value, base, k2, k3)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_group(batches):
+            yield scored(table)
+
+    def scored(table: pa.Table) -> pa.RecordBatch:
+        """The scores of a chunk from its row, which comes first, and its answers by shard."""
+        own = own_of(table, 0)
+        grams = Ngrams(own, shared.value, shards)
+        s = grams.stream
+        got = {n: _joined(table.slice(1).column(n).chunks, k)[0] for n, k in ANSWERED.items()}
+        count, p1 = np.empty(len(own["words"]), np.int64), np.empty(len(own["words"]))
+        count[grams.word_order], p1[grams.word_order] = got["w_counts"], from_code(got["w_codes"])
+        count, p1 = count[grams.word_place], p1[grams.word_place]
+        exact = base(count)
+        share2, rest2 = from_code(got["p_codes"]), from_code(got["c_rests"])[grams.context_of_entry]
+        rest3, share3 = from_code(got["p_rests"]), from_code(got["t_codes"])
+        lengths = own["n_tokens"]
         sums: list[list[np.ndarray]] = [[], [], []]
         cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // SLICE, prepend=-1))
         for lo, hi in zip(cuts, [*cuts[1:], len(lengths)], strict=True):  # documents, some hundred thousand tokens at a time
-            a = grams.first[lo]
-            at, first = slice(a, a + int(lengths[lo:hi].sum())), grams.first[lo:hi] - a
-            word, pair = p1[grams.stream[at]], pair_count[grams.of_pair[at]]
-            p = (pair + k2 * word) / (count[grams.before[at]] + k2)
+            a = s.first[lo]
+            at, first = slice(a, a + int(lengths[lo:hi].sum())), s.first[lo:hi] - a
+            entry = grams.entry_of_pair[grams.of_pair[at]]
+            p = share2[entry] + rest2[entry] * p1[s.now[at]]
             inner = np.ones(len(p), bool)
             inner[first] = False
             tri = grams.of_tri[a - lo : a - lo + int(inner.sum())]
-            p[inner] = share[tri] + k3 / (pair[:-1][inner[1:]] + k3) * p[inner]
-            for total, x in zip(sums, (count[grams.stream[at]] > 0, np.log10(word), np.log10(p)), strict=True):
+            p[inner] = share3[tri] + rest3[entry[:-1][inner[1:]]] * p[inner]
+            for total, x in zip(sums, (count[s.now[at]] > 0, np.log10(exact[s.now[at]]), np.log10(p)), strict=True):
                 total.append(np.add.reduceat(x.astype(np.int64) if x.dtype == bool else x, first))
-        known, base, model = map(np.concatenate, sums)
-        return pa.table({
-            id_col: own.column("ids").combine_chunks().flatten(), "held_out": pa.array(one["held_out"], pa.bool_()), "n_tokens": lengths, "n_known": known,
-            "train_tokens": np.full(len(lengths), n_train, np.int64), "base_score": base, "score": model,
+        known, plain, model = map(np.concatenate, sums)
+        return pa.RecordBatch.from_pydict({
+            id_col: table.column("ids")[0].values, "held_out": pa.array(own["held_out"], pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known, pa.int64()),
+            "train_tokens": pa.array(np.full(len(lengths), n_train, np.int64)), "base_score": plain, "score": model,
         })
 
-    asked = cut.drop("ids", "tops").mapInArrow(send, "shard long, chunk long, block binary")
-    answers = asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, block binary")
+    binary = lambda names: ", ".join(f"{n} binary" for n in names)
+    asked = cut.select(*own_columns).mapInArrow(send, f"shard int, chunk long, {binary(SENT)}")
+    answers = asked.repartitionById(shards, "shard").sortWithinPartitions("shard").mapInArrow(answer, f"chunk long, shard int, {binary(ANSWERED)}")
+    # broadcast: a number for each task that read the table
+    numbers = spark.createDataFrame(list(enumerate(starts.tolist())), "part int, start long")
+    own = cut.join(F.broadcast(numbers), "part").select((F.col("start") + F.col("made")).alias("chunk"), F.lit(-1).alias("shard"), "ids", "n_tokens", "held_out", "words", "train", "numbers")
+    both = own.unionByName(answers, allowMissingColumns=True).withColumn("at", F.col("chunk").cast("int"))
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")), *(T.StructField(c, T.DoubleType()) for c in ("base_score", "score"))])
-    return cut.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
+    return both.repartitionById(n_chunks, "at").sortWithinPartitions("chunk", "shard").drop("at").mapInArrow(score, schema)

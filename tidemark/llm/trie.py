@@ -1,22 +1,28 @@
 """Elias-Fano sequences and an n-gram trie of three levels over them.
 
-A trie holds words of one shard by their hashes. Level 1 has the words (64 bits) and
-the contexts among them (40 bits); below a context, level 2 has its successors and
-level 3 theirs, each by a 32-bit hash of the word. All sequences are monotone: the keys of a level are (parent's number, hash)
-pairs, and the pointers count the children before each node. A lookup goes down
-from the context: it finds the first key not less than (node, word) within the
-node's range and compares. Values are quantised to 16 bits. ``saved`` writes the
-arrays of a trie to one file and maps it, so a large shard is paged in as asked.
+A trie holds one shard's words, pairs and triples. Its dictionary is the sorted
+sequence of the words' 64-bit keys; within the trie a word is its rank there. Each level
+is one monotone sequence: the ranks of a node's successors, ascending, shifted by where
+the siblings before them ended, so that the whole level never decreases. Monotone
+pointers say where each node's successors start. A lookup goes down from the context:
+it takes the context's two pointers and the shift before the first, and seeks the
+successor of (shift + rank) between the pointers only.
+
+Every node has its smoothed probability, quantised to 16 bits, and those that are
+contexts the weight that they leave to the shorter context. ``saved`` writes the arrays
+of a trie to one file and maps it, so a large shard is paged in as asked.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
-#: Codes are 1024 times a base-2 logarithm; this one means "not there".
+#: Codes are -1024 times the base-2 logarithm of a probability; this one means "not there".
 STEP, MISSING = 1024.0, np.uint16(0xFFFF)
 
-_U1, _U6, _32 = np.uint64(1), np.uint64(6), np.uint64(32)
+_U1, _U6 = np.uint64(1), np.uint64(6)
 
 
 class EliasFano:
@@ -65,16 +71,19 @@ class EliasFano:
         out[inner] = np.where(past, self.size, np.minimum(found, self.size))
         return out
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of the first element not less than each ``x`` if it equals it, else -1."""
+    def find(self, x: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | int | None = None) -> np.ndarray:
+        """Index from ``first`` up to ``last`` of the first element not less than each ``x`` if it equals it, else -1."""
         x = np.asarray(x, np.uint64)
         if not self.size or not len(x):
             return np.full(len(x), -1, np.int64)
         bucket = x >> np.uint64(self.low_bits)
-        lo, hi = self._before(bucket), self._before(bucket + _U1)
+        # successor search among the elements that share the high part, within the given range
+        lo, hi = np.maximum(self._before(bucket), first), self._before(bucket + _U1)
+        if last is not None:
+            hi = np.minimum(hi, last)
         low = x & np.uint64((1 << self.low_bits) - 1)
         end = hi.copy()
-        while True:  # successor search among the elements of the bucket
+        while True:
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
                 break
@@ -132,48 +141,96 @@ def _unpack(words: np.ndarray, bits: int, at: np.ndarray) -> np.ndarray:
     return value & np.uint64((1 << bits) - 1)
 
 
-def to_code(x: np.ndarray) -> np.ndarray:
-    """Quantise the base-2 logarithm of numbers from 1 up."""
-    return np.minimum(np.rint(np.log2(x) * STEP), 65534).astype(np.uint16)
+def to_code(p: np.ndarray) -> np.ndarray:
+    """Quantise probabilities."""
+    return np.minimum(np.rint(-np.log2(p) * STEP), 65534).astype(np.uint16)
 
 
 def from_code(code: np.ndarray) -> np.ndarray:
-    """The number of a code; 0 for what is missing."""
-    return np.where(code == MISSING, 0.0, np.exp2(code / STEP))
+    """The probability of a code; 0 for what is missing."""
+    return np.where(code == MISSING, 0.0, np.exp2(code / -STEP))
+
+
+class Level:
+    """Successors of the nodes of the level above: their ranks, where each node's start, and their codes."""
+
+    def __init__(self, ids: EliasFano, pointers: EliasFano, codes: np.ndarray):
+        self.ids, self.pointers, self.codes = ids, pointers, codes
+
+    @classmethod
+    def of(cls, parent: np.ndarray, rank: np.ndarray, parents: int, codes: np.ndarray) -> Level:
+        """From nodes sorted by (number of the parent, rank)."""
+        starts = np.searchsorted(parent, np.arange(parents + 1))
+        full = np.flatnonzero(np.diff(starts))
+        shift = np.zeros(parents, np.int64)
+        shift[full[1:]] = np.cumsum(rank[starts[full[:-1] + 1] - 1])
+        return cls(EliasFano.of(rank + shift[parent]), EliasFano.of(starts), codes)
+
+    def find(self, parent: np.ndarray, runs: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Numbers of the successors ``rank`` of parents, each with as many as its run; -1 where parent or word is none."""
+        there = parent >= 0
+        at = np.where(there, parent, 0)
+        if not self.ids.size or not len(rank):
+            return np.full(len(rank), -1, np.int64)
+        first, last = self.pointers.get(at).astype(np.int64), self.pointers.get(at + 1).astype(np.int64)
+        shift = np.where(first > 0, self.ids.get(np.maximum(first - 1, 0)), np.uint64(0))
+        first, last, shift, there = (np.repeat(v, runs) for v in (first, np.where(there, last, first), shift, there))
+        asked = np.flatnonzero(there & (rank >= 0))
+        out = np.full(len(rank), -1, np.int64)
+        out[asked] = self.ids.find(shift[asked] + rank[asked].astype(np.uint64), first[asked], last[asked])
+        return out
+
+    def code(self, number: np.ndarray) -> np.ndarray:
+        return coded(self.codes, number)
+
+
+def coded(codes: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The codes of nodes by number, ``MISSING`` for -1."""
+    return np.where(number >= 0, codes[np.maximum(number, 0)], MISSING) if len(codes) else np.full(len(number), MISSING)
 
 
 class Trie:
-    """Counts of words, pairs and triples of one shard as a queryable trie."""
+    """Smoothed probabilities of the words, pairs and triples of one shard."""
 
-    SEQUENCES = ("words", "nodes", "node_pointers", "pairs", "pair_pointers", "triples")
-    VALUES = ("word_values", "pair_codes", "triple_codes")
+    SEQUENCES = ("dictionary", "pairs", "pair_pointers", "triples", "triple_pointers")
+    VALUES = ("word_counts", "word_codes", "word_rest", "pair_codes", "pair_rest", "triple_codes")
 
     def __init__(self, **parts: EliasFano | np.ndarray):
         for name in (*self.SEQUENCES, *self.VALUES):
             setattr(self, name, parts[name])
+        self.level2 = Level(self.pairs, self.pair_pointers, self.pair_codes)
+        self.level3 = Level(self.triples, self.triple_pointers, self.triple_codes)
 
     @classmethod
-    def build(cls, words: tuple, pairs: tuple, triples: tuple, prior: float) -> Trie:
-        """From words (hash, count), pairs (context, key, count) and triples (index into ``pairs``, key, count).
+    def build(cls, words: tuple, pairs: tuple, triples: tuple, k2: float, k3: float, base: Callable, known: Callable) -> Trie:
+        """From words (key, count), pairs (context's key, key, count) and triples (index into ``pairs``, key, count).
 
-        Rows come in any order and repeat. A triple's value is its smoothed probability
-        c / (context's count + prior); a pair's is its count, for its context may be
-        counted in another shard.
+        Rows come in any order and repeat. ``base`` gives the probabilities of counts of
+        words; ``known`` gives, for keys and pairs of keys, counts that this shard can't
+        tell by itself, or -1. A node's probability is its count over its context's count
+        and the prior, which is the weight left to the shorter context.
         """
-        word, word_count = merged(*words)
-        seen = pairs[2] > 0
-        nodes = np.unique(pairs[0][seen])
-        pair64 = (np.searchsorted(nodes, pairs[0]).astype(np.uint64) << _32) | pairs[1].astype(np.uint64)
-        pair, pair_count = merged(pair64, pairs[2])
-        seen = triples[2] > 0
-        parent = np.searchsorted(pair, pair64[triples[0][seen]])
-        triple, triple_count = merged((parent.astype(np.uint64) << _32) | triples[1][seen].astype(np.uint64), triples[2][seen])
-        parent = (triple >> _32).astype(np.int64)
-        share = triple_count / (pair_count[parent] + prior)
+        held = words[1] > 0, pairs[2] > 0, triples[2] > 0
+        keys = np.unique(np.concatenate([words[0][held[0]], pairs[0][held[1]], pairs[1][held[1]], triples[1][held[2]]]))
+        dictionary, size = EliasFano.of(keys), max(1, len(keys))
+        at, count = merged(np.searchsorted(keys, words[0][held[0]]), words[1][held[0]])
+        word_counts = np.zeros(len(keys), np.int64)
+        word_counts[at] = count
+        own = known(keys)
+        context_counts = np.where(own >= 0, own, word_counts)
+        pair_of = np.searchsorted(keys, pairs[0]) * size + np.searchsorted(keys, pairs[1])
+        pair, pair_counts = merged(pair_of[held[1]], pairs[2][held[1]])
+        above, rank = pair // size, pair % size
+        own = known(keys[above], keys[rank]) if len(pair) else pair
+        pair_counts = np.where(own >= 0, own, pair_counts)
+        parent = np.searchsorted(pair, pair_of[triples[0][held[2]]])
+        triple, triple_counts = merged(parent * size + np.searchsorted(keys, triples[1][held[2]]), triples[2][held[2]])
+        level2 = Level.of(above, rank, len(keys), to_code(pair_counts / (context_counts[above] + k2)))
+        level3 = Level.of(triple // size, triple % size, len(pair), to_code(triple_counts / (pair_counts[triple // size] + k3)))
         return cls(
-            words=EliasFano.of(word), word_values=word_count, nodes=EliasFano.of(nodes), node_pointers=EliasFano.of(np.searchsorted((pair >> _32).astype(np.int64), np.arange(len(nodes) + 1))),
-            pairs=EliasFano.of(pair), pair_codes=to_code(pair_count), pair_pointers=EliasFano.of(np.searchsorted(parent, np.arange(len(pair) + 1))),
-            triples=EliasFano.of(triple), triple_codes=to_code(1 / share),
+            dictionary=dictionary, word_counts=word_counts, word_codes=to_code(base(word_counts)), word_rest=to_code(k2 / (context_counts + k2)),
+            pairs=level2.ids, pair_pointers=level2.pointers, pair_codes=level2.codes, pair_rest=to_code(k3 / (pair_counts + k3)),
+            triples=level3.ids, triple_pointers=level3.pointers, triple_codes=level3.codes,
         )
 
     def saved(self, path: str) -> Trie:
@@ -189,41 +246,13 @@ class Trie:
             f.write(b"\0" * 8)
         mapped = np.memmap(path, np.uint8, "r")
         views = [mapped[o : o + a.nbytes].view(a.dtype) for o, a in zip(offsets, parts, strict=True)]
-        again = {n: EliasFano(s.size, s.low_bits, *views[3 + 3 * i : 6 + 3 * i]) for i, (n, s) in enumerate(sequences.items())}
+        n = len(self.VALUES)
+        again = {name: EliasFano(s.size, s.low_bits, *views[n + 3 * i : n + 3 + 3 * i]) for i, (name, s) in enumerate(sequences.items())}
         return Trie(**again, **dict(zip(self.VALUES, views, strict=False)))
 
-    def word_counts(self, hashes: np.ndarray) -> np.ndarray:
-        at = self.words.find(hashes)
-        return np.where(at >= 0, self.word_values[np.maximum(at, 0)], 0) if len(self.word_values) else np.zeros(len(hashes), np.int64)
-
-    def pair_values(self, contexts: np.ndarray, runs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(number, code) of the successors ``keys`` of contexts, each with as many as its run."""
-        return _below(self.pairs, self.pair_codes, np.repeat(self.nodes.find(contexts), runs), keys)
-
-    def triple_values(self, pair: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Codes of the successors ``keys`` below pairs by number; -1 has none."""
-        return _below(self.triples, self.triple_codes, pair, keys)[1]
-
-    def children(self, pair: int) -> tuple[int, int]:
-        """The range of a pair's successors in level 3."""
-        lo, hi = self.pair_pointers.get(np.array([pair, pair + 1]))
-        return int(lo), int(hi)
-
-
-def _below(level: EliasFano, codes: np.ndarray, parent: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    number = np.full(len(keys), -1, np.int64)
-    known = np.flatnonzero(parent >= 0)
-    number[known] = level.find((parent[known].astype(np.uint64) << _32) | keys[known].astype(np.uint64))
-    code = np.full(len(keys), MISSING, np.uint16)
-    hit = np.flatnonzero(number >= 0)
-    code[hit] = codes[number[hit]]
-    return number, code
-
 
 def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The keys with a count, sorted, with the counts of equal keys added."""
-    some = counts > 0
-    keys, counts = keys[some], counts[some]
+    """The distinct keys, sorted, with the counts of equal keys added."""
     if not len(keys):
         return keys, counts.astype(np.int64)
     order = np.argsort(keys)
