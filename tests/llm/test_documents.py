@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_tokens import check_packed
@@ -73,8 +74,25 @@ def test_signatures_are_unbiased():
         assert abs((sig[0] == sig[1]).mean() - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.035
 
 
+def slow_overlap(a, b):
+    a, b = (dict(zip(k.tolist(), n.tolist())) for k, n in (a, b))
+    both = sum(min(n, b.get(k, 0)) for k, n in a.items())
+    return both / (sum(a.values()) + sum(b.values()) - both)
+
+
+def test_blocks_count_overlaps_exactly(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 16)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("a b c d".split()) for _ in range(rng.randint(1, 40))) for _ in range(60)] + ["word " * 300, "word " * 250]
+    keys, bags = ([f(t) for t in texts] for f in (minhash.bag_keys, minhash.shingles))
+    for threshold in (0.3, 0.8):
+        got = {tuple(p) for p in minhash.alike(keys[:30], keys[20:], threshold).tolist()}
+        assert got == {(i, j) for i in range(30) for j in range(42) if slow_overlap(bags[i], bags[20 + j]) >= threshold}
+
+
 def brute_classes(texts):
     bags = {d: minhash.shingles(t) for d, t in texts.items()}
+    keys = {d: minhash.bag_keys(t) for d, t in texts.items()}
     parent = {d: d for d in texts}
 
     def find(x):
@@ -92,7 +110,8 @@ def brute_classes(texts):
         for k in bags[d][0]:
             having[k].append(d)
     for a, b in {p for v in having.values() for p in itertools.combinations(v, 2)}:
-        if find(a) != find(b) and minhash.overlap(bags[a], bags[b]) >= 0.8:
+        if find(a) != find(b) and slow_overlap(bags[a], bags[b]) >= 0.8:
+            assert minhash.overlap(keys[a], keys[b]) == slow_overlap(bags[a], bags[b])
             link(a, b)
     return {d: find(d) for d in texts}
 
@@ -116,7 +135,7 @@ def test_classes_equal_brute_force(spark, docs, texts):
     assert got == brute_classes(texts)
 
 
-@pytest.mark.parametrize("block", [1024, 8])
+@pytest.mark.parametrize("block", [256, 8])
 def test_crowds_of_near_copies(spark, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)
     texts = planted(random.Random(7))
@@ -126,6 +145,30 @@ def test_crowds_of_near_copies(spark, monkeypatch, block):
     assert sum(got[d] != want[d] for d in texts) == 0
 
 
+@pytest.mark.parametrize("keys", [1 << 20, 300])
+def test_an_original_and_its_edited_copies(spark, monkeypatch, keys):
+    """Copies are alike to the original but not to one another, and all share buckets."""
+    monkeypatch.setattr(minhash, "BLOCK_KEYS", keys)
+    rng = random.Random(11)
+    base = [f"w{rng.randint(0, 999)}" for _ in range(230)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 120):
+        t = base[:]
+        for at in rng.sample(range(0, 230, 12), 5):
+            t[at] = f"new{rng.randint(0, 9999)}"
+        texts[i] = " ".join(t)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r.class_id for r in minhash.near_duplicates(df).collect()} == set(brute_classes(texts).values()) == {0}
+
+
+def test_texts_of_one_hash_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "text_hash", lambda text: F.pmod(F.xxhash64(text), F.lit(3)))
+    texts = {i: f"text number {i} " * (1 + i % 4) for i in range(40)} | {100 + i: f"text number {i} " * (1 + i % 4) for i in range(40)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(df).collect()} == brute_classes(texts)
+    assert sorted(r.doc_id for r in minhash.one_of_each_class(df).collect()) == list(range(40))
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 120)] + [(200, 200)]
     got = {r.tid: r.root for r in minhash.components(spark.createDataFrame(chain, "tid bigint, leader bigint")).collect()}
