@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -146,31 +147,30 @@ def test_elias_fano_within_ranges():
 def test_trie_from_a_file(tmp_path):
     rng = np.random.default_rng(2)
     keys = np.unique(rng.integers(5, 1 << 63, 60).astype(np.uint64))
-    keys[:4] = 1, 2, 3, 4
-    n = 4000
-    text = rng.choice(keys, n, p=(w := 1 / np.arange(1, len(keys) + 1)) / w.sum())
-    count = Counter(text.tolist()), Counter(zip(text.tolist(), text[1:].tolist())), Counter(zip(text.tolist(), text[1:].tolist(), text[2:].tolist()))
-    unseen = (rng.random(n - 1) < 0.2).astype(int)  # asked for, not learned
-    words = text, np.ones(n, int)
-    pairs = text[:-1], text[1:], 1 - unseen
-    triples = np.arange(n - 2), text[2:], 1 - unseen[1:] * unseen[:-1]
-    pair_count = Counter((a, b) for a, b, c in zip(text.tolist(), text[1:].tolist(), pairs[2]) if c)
-    tri_count = Counter(t for t, c in zip(zip(text.tolist(), text[1:].tolist(), text[2:].tolist()), triples[2]) if c and t[:2] in pair_count)
-    known = lambda a, b=None: np.where(a == 1, 5000, -1) if b is None else np.where((a == 1) & (b == 2), 900, -1)
-    triples[2][[pair_count[text[i], text[i + 1]] == 0 for i in range(n - 2)]] = 0
-    t = trie.Trie.build(words, pairs, triples, 300.0, 8.0, lambda c: (c + 0.1) / 4100, known).saved(str(tmp_path / "t"))
-    w = t.dictionary.find(text)
-    assert t.word_counts[w].tolist() == [count[0][x] for x in text.tolist()]
+    n, size = 4000, len(keys)
+    weights = 1 / np.arange(1, size + 1)
+    text = rng.choice(size, n, p=weights / weights.sum())
+    learned = rng.random(n - 1) > 0.2  # the others are only asked for
+    t_learned = learned[1:] & learned[:-1]
+    words, two, three = text.tolist(), list(zip(text.tolist(), text[1:].tolist())), list(zip(text.tolist(), text[1:].tolist(), text[2:].tolist()))
+    w_count, p_count, t_count = Counter(words), Counter(x for x, y in zip(two, learned) if y), Counter(x for x, y in zip(three, t_learned) if y)
+    of_words = lambda x: np.where(x == keys[1], 5000, -1)
+    of_pairs = lambda x, rank: np.where((x == keys[1]) & (rank == 2), 900, -1)
+    build = (keys[text], np.ones(n, int)), (np.arange(n - 1), text[1:], learned.astype(int)), (np.arange(n - 2), text[2:], t_learned.astype(int))
+    t = trie.Trie.build(*build, 300.0, 8.0, lambda c: (c + 0.1) / 4100, of_words, of_pairs).saved(str(tmp_path / "t"))
+    w = t.words.find(keys[text])
+    assert t.word_counts[w].tolist() == [w_count[x] for x in words] and t.words.find(np.array([7], np.uint64)).tolist() == [-1]
     assert trie.from_code(t.word_codes[w]) == pytest.approx((t.word_counts[w] + 0.1) / 4100, rel=1e-3)
-    number = t.level2.find(w[:-1], np.ones(n - 1, int), w[1:])
-    of = lambda a: 5000 if a == 1 else count[0][a]
-    both = lambda a, b: 900 if (a, b) == (1, 2) else pair_count[a, b]
-    want = [both(a, b) / (of(a) + 300) if pair_count[a, b] else 0 for a, b in zip(text.tolist(), text[1:].tolist())]
+    one = lambda a: 5000 if a == 1 else w_count[a]
+    both = lambda a, b: 900 if (a, b) == (1, 2) else p_count[a, b]
+    assert trie.from_code(t.word_rest[w]) == pytest.approx(np.array([300 / (one(x) + 300) for x in words]), rel=1e-3)
+    number = t.level2.find(w[:-1], np.ones(n - 1, int), text[1:])
+    want = [both(a, b) / (one(a) + 300) if p_count[a, b] else 0 for a, b in two]
     assert trie.from_code(t.level2.code(number)) == pytest.approx(np.array(want), rel=1e-3)
-    third = t.level3.find(number[:-1], np.ones(n - 2, int), w[2:])
-    want = [tri_count[a, b, c] / (both(a, b) + 8) if pair_count[a, b] else 0 for a, b, c in zip(text.tolist(), text[1:].tolist(), text[2:].tolist())]
+    third = t.level3.find(number[:-1], np.ones(n - 2, int), text[2:])
+    want = [t_count[x] / (both(*x[:2]) + 8) if t_count[x] else 0 for x in three]
     assert trie.from_code(t.level3.code(third)) == pytest.approx(np.array(want), rel=1e-3)
-    assert t.level2.find(np.array([0, -1]), np.array([2, 1]), np.array([-1, 59, 0])).tolist()[::2] == [-1, -1] and t.dictionary.find(np.array([7], np.uint64)).tolist() == [-1]
+    assert t.level2.find(np.array([0, -1]), np.array([2, 1]), np.array([-1, 1, 0])).tolist()[::2] == [-1, -1]
 
 
 def brute_scores(texts, k2=lm.K2, k3=lm.K3):
@@ -212,14 +212,21 @@ def test_lm_scores_equal_counting(docs, texts):
 
 
 def test_chunks_send_only_what_they_have(docs):
-    own = lm.chunks(docs, "doc_id", "text", 500).first()
+    own = lm.chunks(docs, "doc_id", "text", np.array([5]), 500).first()
+    assert own["slot"] == 5
     own = {n: np.array(own[n]) if n != "numbers" else bytes(own[n]) for n in ("n_tokens", "held_out", "words", "train", "numbers")}
     common = lm.Common(own["words"][2:30].view(np.uint64), own["train"][2:30], 20, 10)
-    few, many = (lm.Ngrams(own, common, n).rows(0, n) for n in (3, 100_000))
+    few, many = (lm.Ngrams(own, common, n).rows(0, 0) for n in (3, 100_000))
     assert few.num_rows == 3 and many.num_rows < 10_000
-    for name, kind in lm.SENT.items():
-        sums = {len(lm._joined([x.column(name)], kind)[0]) for x in (few, many)}
-        assert len(sums) == 1 or name in ("p_key", "p_far", "p_count", "children", "c_key", "c_far", "runs")
+    for name, width in lm.SENT.items():
+        sums = {len(lm._joined(pa.chunked_array([x.column(name)]), width)[0]) for x in (few, many)}
+        assert len(sums) == 1 or name[0] in "wr"  # a hot word has an entry in each shard with its pairs
+
+
+def test_slots_are_dealt_evenly(spark):
+    slots = lm.even_slots(spark, 37)
+    frame = spark.createDataFrame([(int(x),) for x in slots], "slot long").repartition(37, "slot").select(F.spark_partition_id().alias("p"), "slot")
+    assert sorted(r.p for r in frame.collect()) == list(range(37)) and len(set(slots.tolist())) == 37
 
 
 def test_lm_helps_on_held_out_text(docs):

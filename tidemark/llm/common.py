@@ -79,6 +79,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return _written(df, _new_place(df.sparkSession, name))
 
 
+def stored_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like ``stored``, but in buckets by ``key``, so that a later grouping by it needs no shuffle.
+
+    Only the files stay; the catalog's entry, without which Spark writes no buckets, goes at once.
+    """
+    spark = df.sparkSession
+    path = _new_place(spark, name)
+    table = f"tidemark_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,6 +1,6 @@
 """Language-model scores from a sharded Elias-Fano n-gram trie.
 
-1. ``chunks``: each task turns its texts into chunks of about a million tokens:
+1. ``chunks``: each task turns its texts into chunks of about two million tokens:
    local word numbers and the words' hashes, stored once.
 2. The chunks' words are counted over the corpus (a table on Spark). The ``SHORT`` most
    frequent ones get two-byte keys in what is sent later, all others keep their hash;
@@ -21,12 +21,13 @@ p(w|u,v) = c(uvw)/(c(uv)+K3) + K3/(c(uv)+K3) * p(w|v), p(w|v) = (c(vw) + K2 p(w)
 predicted and ends with an end token. Nothing is pruned and no order is capped:
 what is gathered grows with the corpus, and a shard's size stays as it is. A chunk and a
 shard share a row of what is sent only if they share an n-gram, all rows of a chunk are
-cut from the same arrays, and each shard and each chunk is one partition, so no task
-grows with the corpus.
+cut from the same arrays; each shard is one partition, and the chunks of one partition of
+the input are another, so no task grows with the corpus.
 
 Words are told apart by 63 bits of a hash: among 10^9 different words two would share
-theirs with a probability of 0.05. Within a shard words are their ranks, so nothing is
-cut further. Codes of probabilities are exact to 0.04 %.
+theirs with a probability of 0.05. Rare words after a context are told apart by 47 bits:
+among a million that follow the same one, two would share theirs with a probability of
+0.004. Codes of probabilities are exact to 0.04 %.
 
 Cases: a null text is empty and has the end token alone; a null id counts as held
 out (its remainder is not known to differ from 0); repeated rows are learned and
@@ -38,23 +39,23 @@ from __future__ import annotations
 
 import tempfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, slim, stored
+from .common import Scratch, slim, stored_by
 from .trie import Trie, coded, from_code, to_code
 
 K2, K3 = 300.0, 8.0
 #: Tokens of a chunk and tokens whose n-grams make a shard, about.
-CHUNK_TOKENS, SHARD_TOKENS = 1 << 20, 2_000_000
+CHUNK_TOKENS, SHARD_TOKENS = 1 << 21, 2_000_000
 #: Words with short keys, whose pairs are spread, and whose triples are spread.
 SHORT, HOT, HOTTEST = 65_535, 1024, 128
 #: Tokens scored at a time.
@@ -63,12 +64,15 @@ SLICE = 1 << 18
 END, BEGIN = b" end", b" begin"
 
 _GOLD, _C1 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_32, _LONG = np.uint64(32), np.uint64(1 << 63)
+_32 = np.uint64(32)
+#: A rare successor's key: 47 bits of its word's, and one that sets it apart from frequent ones.
+_NEAR, _RARE = np.uint64((1 << 47) - 1), np.uint64(1 << 47)
 
-#: What a chunk sends to a shard, by name and width: words, contexts, their pairs and those' triples.
-SENT = {"w_key": "u2", "w_far": "u8", "w_count": "u4", "c_key": "u2", "c_far": "u8", "runs": "u4", "p_key": "u2", "p_far": "u8", "p_count": "u4", "children": "u4", "t_key": "u2", "t_far": "u8", "t_count": "u4"}
-#: What a shard answers: counts and codes of words, rests of contexts, codes and rests of pairs, codes of triples.
-ANSWERED = {"w_counts": "i8", "w_codes": "u2", "c_rests": "u2", "p_codes": "u2", "p_rests": "u2", "t_codes": "u2"}
+#: What a chunk sends to a shard, by name and bytes: words (with their pairs' number), pairs (with their triples'), triples and spread triples.
+SENT = {"w_key": 2, "w_far": 8, "w_count": 1, "w_count_far": 4, "runs": 1, "runs_far": 4, "p_key": 2, "p_far": 6, "p_count": 1, "p_count_far": 4, "children": 1, "children_far": 4,
+    "t_key": 2, "t_far": 6, "t_count": 1, "t_count_far": 4, "h_first": 1, "h_second": 1, "h_key": 2, "h_far": 6, "h_count": 1, "h_count_far": 4}
+#: What a shard answers: counts, codes and rests of words, codes and rests of pairs, codes of triples.
+ANSWERED = {"w_counts": 8, "w_codes": 2, "w_rests": 2, "p_codes": 2, "p_rests": 2, "t_codes": 2, "h_codes": 2}
 
 
 class Numbers(dict):
@@ -105,13 +109,17 @@ def word_key(word: bytes) -> int:
 BEGIN_KEY = word_key(BEGIN)
 
 
-def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
-    """(part, made, ids, n_tokens, held_out, tokens, words, train, every, numbers) of all texts; ``words`` are keys, with their counts."""
+def chunks(docs: DataFrame, id_col: str, text_col: str, slots: np.ndarray, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+    """(slot, made, ids, n_tokens, held_out, tokens, words, train, numbers) of all texts; ``words`` are keys, with their training counts.
+
+    A chunk is named by its partition's slot and its number there.
+    """
     rows = slim(docs, id_col, text_col)
     kind = rows.schema[0].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made, n = TaskContext.get().partitionId(), 0, 0
+        part = TaskContext.get().partitionId()
+        slot, made, n = int(slots[part % len(slots)]), (part // len(slots)) << 24, 0
         number = Numbers({END: 0, BEGIN: 1})
         ids, lengths, held, found = [], [], [], []
         for batch in batches:
@@ -124,29 +132,38 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int = CHUN
                 held.append(is_held_out(doc_id))
                 n += lengths[-1]
                 if n >= chunk_tokens:
-                    yield _chunk(part, made, arrow_kind, ids, lengths, held, found, number)
+                    yield _chunk(slot, made, arrow_kind, ids, lengths, held, found, number)
                     made, n = made + 1, 0
                     number = Numbers({END: 0, BEGIN: 1})
                     ids, lengths, held, found = [], [], [], []
         if ids:
-            yield _chunk(part, made, arrow_kind, ids, lengths, held, found, number)
+            yield _chunk(slot, made, arrow_kind, ids, lengths, held, found, number)
 
-    fields = [("part", T.IntegerType()), ("made", T.IntegerType()), ("ids", T.ArrayType(kind)), ("n_tokens", T.ArrayType(T.LongType())), ("held_out", T.ArrayType(T.BooleanType())), ("tokens", T.LongType()), *((c, T.ArrayType(T.LongType())) for c in ("words", "train", "every")), ("numbers", T.BinaryType())]
+    fields = [("slot", T.LongType()), ("made", T.LongType()), ("ids", T.ArrayType(kind)), ("n_tokens", T.ArrayType(T.LongType())), ("held_out", T.ArrayType(T.BooleanType())), ("tokens", T.LongType()), *((c, T.ArrayType(T.LongType())) for c in ("words", "train")), ("numbers", T.BinaryType())]
     return rows.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
-def _chunk(part: int, made: int, kind: pa.DataType, ids: list, lengths: list, held: list, found: list, number: dict) -> pa.RecordBatch:
+def _chunk(slot: int, made: int, kind: pa.DataType, ids: list, lengths: list, held: list, found: list, number: dict) -> pa.RecordBatch:
     keys = np.fromiter(map(word_key, number), np.uint64, len(number))
     trained = [x for x, h in zip(found, held, strict=True) if not h]
-    every, train = (np.bincount(np.concatenate(x) if x else np.empty(0, np.uint32), minlength=len(number)) for x in (found, trained))
-    every[:2], train[:2] = len(ids), len(trained)
+    train = np.bincount(np.concatenate([np.empty(0, np.uint32), *trained]), minlength=len(number))
+    train[:2] = len(trained)
     longs = pa.list_(pa.int64())
     return pa.RecordBatch.from_pydict({
-        "part": pa.array([part], pa.int32()), "made": pa.array([made], pa.int32()), "ids": pa.array([ids], pa.list_(kind)), "n_tokens": pa.array([lengths], longs), "held_out": pa.array([held], pa.list_(pa.bool_())),
-        "tokens": pa.array([sum(lengths)], pa.int64()), "words": pa.array([keys.view(np.int64)], longs), "train": pa.array([train], longs), "every": pa.array([every], longs), "numbers": pa.array([planes(np.concatenate(found))], pa.binary()),
+        "slot": pa.array([slot], pa.int64()), "made": pa.array([made], pa.int64()), "ids": pa.array([ids], pa.list_(kind)), "n_tokens": pa.array([lengths], longs), "held_out": pa.array([held], pa.list_(pa.bool_())),
+        "tokens": pa.array([sum(lengths)], pa.int64()), "words": pa.array([keys.view(np.int64)], longs), "train": pa.array([train], longs), "numbers": pa.array([planes(np.concatenate(found))], pa.binary()),
     })
 
 
+def even_slots(spark: SparkSession, n: int) -> np.ndarray:
+    """For each of ``n`` partitions a number that Spark's hash puts there."""
+    rows = spark.range(0, 40 * n + 1000, 1, 1 + n // 100_000).select(F.pmod(F.hash("id"), F.lit(n)).alias("at"), "id").groupBy("at").agg(F.min("id").alias("id"))
+    slots = np.zeros(n, np.int64)
+    for at, number in rows.collect():
+        slots[at] = number
+    return slots
+
+
 class Common:
     """The most frequent words: their keys by rank, and counts that every shard knows."""
 
@@ -163,13 +180,19 @@ class Common:
         at = np.minimum(np.searchsorted(self.sorted, keys), len(self.sorted) - 1)
         return np.where(self.sorted[at] == keys, self.order[at], SHORT)
 
-    def known(self, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
-        """Counts of hot words, or of pairs of the hottest; -1 for others. Keys are those within a trie."""
-        if second is None:
-            hot = first < np.uint64(min(self.hot, len(self.counts)))
-            return np.where(hot, self.counts[np.where(hot, first, 0).astype(np.int64)] if len(self.counts) else 0, -1)
+    def context_counts(self, keys: np.ndarray) -> np.ndarray:
+        """Counts of hot words, by their keys within a trie; -1 for others."""
+        hot = keys < np.uint64(min(self.hot, len(self.counts)))
+        out = np.full(len(keys), -1, np.int64)
+        out[hot] = self.counts[keys[hot].astype(np.int64)]
+        return out
+
+    def of_pairs(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Counts of pairs of the hottest words, by their keys; -1 for others."""
         hot = (first < np.uint64(self.hottest)) & (second < np.uint64(self.hottest))
-        return np.where(hot, self.pair_counts[np.where(hot, first, 0).astype(np.int64), np.where(hot, second, 0).astype(np.int64)], -1)
+        out = np.full(len(first), -1, np.int64)
+        out[hot] = self.pair_counts[first[hot].astype(np.int64), second[hot].astype(np.int64)]
+        return out
 
 
 class Stream:
@@ -197,7 +220,7 @@ class Stream:
 class Ngrams:
     """The distinct words, pairs and triples of a chunk, by shard and then sorted.
 
-    A pair has an entry in its own shard and in each that has a triple of it.
+    A word has an entry in its own shard and, if it is hot, in each that has pairs of it.
     """
 
     def __init__(self, own: dict, common: Common, shards: int):
@@ -206,80 +229,127 @@ class Ngrams:
         self.stream = s = Stream(from_planes(own["numbers"]), own["n_tokens"], own["held_out"])
         key = np.where(ranks < SHORT, ranks.astype(np.uint64), keys)
         order = np.argsort(key)
-        place = np.empty(len(key), np.int64)
-        place[order] = np.arange(len(key))
+        place = np.empty(len(key), np.int32)
+        place[order] = np.arange(len(key), dtype=np.int32)
         key, ranks, width = key[order], ranks[order], len(key)
-        # words
-        shard = _shard(key, shards)
-        self.word_order = np.argsort(shard, kind="stable")
-        self.word_shard, self.word_count = shard[self.word_order], own["train"][order][self.word_order]
-        self.word_place = place
-        # pairs
-        now = place[s.now]
-        pair, self.of_pair = _numbered(place[s.before] * width + now)
+        now = place[s.now].astype(np.int64)
+        # pairs, by shard
+        pair, of_pair = _numbered(place[s.before] * np.int64(width) + now)
         above, suc = pair // width, pair % width
-        home = np.where(ranks[above] < common.hot, _shard(key[above] ^ (key[suc] * _GOLD + _32), shards), shard[above])
+        word_shard = _shard(key, shards)
+        shard = np.where(ranks[above] < common.hot, _shard(key[above] ^ (key[suc] * _GOLD + _32), shards), word_shard[above])
+        order = np.argsort(shard, kind="stable")
+        at = np.empty(len(order), np.int32)
+        at[order] = np.arange(len(order), dtype=np.int32)
+        self.of_pair = at[of_pair]
+        del of_pair
+        above, suc, shard = above[order], suc[order], shard[order]
+        p_count = np.bincount(self.of_pair[s.train], minlength=len(order))
         # triples begin with the pair that ends one place earlier
         inner = np.ones(len(now), bool)
         inner[s.first] = False
-        tri, of_tri = _numbered(self.of_pair[:-1][inner[1:]].astype(np.int64) * width + now[inner])
+        tri, self.of_tri = _numbered(self.of_pair[:-1][inner[1:]] * np.int64(width) + now[inner])
         del now
         t_pair, t_suc = tri // width, tri % width
-        hot = (ranks[above] < common.hottest) & (ranks[suc] < common.hottest)
-        t_shard = np.where(hot[t_pair], _shard((key[above] * _C1 ^ key[suc])[t_pair] * _GOLD ^ key[t_suc], shards), home[t_pair])
-        entry = np.unique(np.concatenate([home * len(pair) + np.arange(len(pair)), (t_shard * len(pair) + t_pair)[hot[t_pair]]]))
-        self.entry_of_pair = np.searchsorted(entry, home * len(pair) + np.arange(len(pair))).astype(np.int32)
-        t_entry = np.searchsorted(entry, t_shard * len(pair) + t_pair)
-        t_order = np.argsort(t_entry, kind="stable")
-        place = np.empty(len(tri), np.int32)
-        place[t_order] = np.arange(len(tri), dtype=np.int32)
-        self.of_tri = place[of_tri]
-        del of_tri
-        self.entry_shard, e_pair = entry // max(1, len(pair)), entry % max(1, len(pair))
-        p_count = np.bincount(self.of_pair[s.train], minlength=len(pair))
         t_count = np.bincount(self.of_tri[s.train[inner]], minlength=len(tri))
-        self.tri_shard = t_shard[t_order]
-        self.context = above[e_pair]
-        self.context_at = np.flatnonzero(np.diff(self.entry_shard * width + self.context, prepend=-1))
-        runs = np.diff(np.append(self.context_at, len(entry)))
+        spread = ((ranks[above] < common.hottest) & (ranks[suc] < common.hottest))[t_pair]
+        h = np.flatnonzero(spread)
+        h_shard = _shard((key[above[t_pair[h]]] * _C1 ^ key[suc[t_pair[h]]]) * _GOLD ^ key[t_suc[h]], shards)
+        order = np.argsort(h_shard, kind="stable")
+        h, h_shard = h[order], h_shard[order]
+        near = np.flatnonzero(~spread)
+        self.tri_of_answer = np.concatenate([near, h])
+        # words, with the number of their pairs in a shard
+        entry = np.unique(np.concatenate([word_shard * width + np.arange(width), (shard * width + above)[ranks[above] < common.hot]]))
+        e_shard, e_word = entry // width, entry % width
+        self.entry_of_pair = np.searchsorted(entry, shard * width + above).astype(np.int32)
+        self.entry_of_word = np.searchsorted(entry, word_shard * width + np.arange(width))[place]
+        home = e_shard == word_shard[e_word]
+        far = np.where(ranks < SHORT, np.uint64(0), key & _NEAR | _RARE)
+        first = lambda i: (ranks[i].astype(np.uint16), key[i][ranks[i] == SHORT].view(np.uint8).reshape(-1, 8))
+        after = lambda i: (ranks[i].astype(np.uint16), far[i][ranks[i] == SHORT].view(np.uint8).reshape(-1, 8)[:, :6])
         self.parts = {
-            "w": (self.word_shard, key[self.word_order], ranks[self.word_order], {"w_count": self.word_count}), "c": (self.entry_shard[self.context_at], *_both(key, ranks, self.context[self.context_at]), {"runs": runs}),
-            "p": (self.entry_shard, *_both(key, ranks, suc[e_pair]), {"p_count": p_count[e_pair], "children": np.bincount(t_entry, minlength=len(entry))}), "t": (self.tri_shard, *_both(key, ranks, t_suc[t_order]), {"t_count": t_count}),
+            "w": (e_shard, *first(e_word), {"w_count": np.where(home, own["train"][np.argsort(place)][e_word], 0), "runs": np.bincount(self.entry_of_pair, minlength=len(entry))}),
+            "p": (shard, *after(suc), {"p_count": p_count, "children": np.bincount(t_pair[near], minlength=len(shard))}), "t": (shard[t_pair[near]], *after(t_suc[near]), {"t_count": t_count[near]}),
+            "h": (h_shard, *after(t_suc[h]), {"h_first": ranks[above[t_pair[h]]], "h_second": ranks[suc[t_pair[h]]], "h_count": t_count[h]}),
         }
-        self.context_of_entry = np.repeat(np.arange(len(self.context_at)), runs)
 
-    def rows(self, chunk: int, shards: int) -> pa.RecordBatch:
+    def rows(self, slot: int, made: int) -> pa.RecordBatch:
         """What goes to each shard that has something of this chunk."""
         there = np.unique(np.concatenate([p[0] for p in self.parts.values()]))
-        out = {"shard": pa.array(there, pa.int32()), "chunk": pa.array(np.full(len(there), chunk), pa.int64())}
-        for name, (shard, key, ranks, more) in self.parts.items():
+        out = {"shard": pa.array(there, pa.int32()), "slot": pa.array(np.full(len(there), slot), pa.int64()), "made": pa.array(np.full(len(there), made), pa.int64())}
+        for name, (shard, key, far, more) in self.parts.items():
             at = np.append(np.searchsorted(shard, there), len(shard))
-            far = np.flatnonzero(ranks == SHORT)
-            out[f"{name}_key"] = _slices(ranks.astype(np.uint16), at)
-            out[f"{name}_far"] = _slices(key[far], np.searchsorted(far, at))
-            out |= {n: _slices(v.astype(SENT[n]), at) for n, v in more.items()}
-        return pa.RecordBatch.from_pydict({n: out[n] for n in ("shard", "chunk", *SENT)})
-
-
-def _both(key: np.ndarray, ranks: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return key[at], ranks[at]
+            out[f"{name}_key"] = _slices(key, at)
+            out[f"{name}_far"] = _slices(far, np.searchsorted(np.flatnonzero(key == SHORT), at))
+            for n, v in more.items():
+                out[n] = _slices(np.minimum(v, 255).astype(np.uint8), at)
+                if f"{n}_far" in SENT:
+                    large = np.flatnonzero(v >= 255)
+                    out[f"{n}_far"] = _slices(v[large].astype(np.uint32), np.searchsorted(large, at))
+        return pa.RecordBatch.from_pydict({n: out[n] for n in ("shard", "slot", "made", *SENT)})
 
 
 def _slices(values: np.ndarray, at: np.ndarray) -> pa.Array:
-    """Bytes of ``values`` from each place to the next."""
-    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
-
-
-def _joined(columns: list[pa.Array], kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """All values of binary columns in one array, and how many each row has."""
-    values, sizes = [], []
-    for c in columns:
-        if not len(c):
-            continue
-        at = np.frombuffer(c.buffers()[1], np.int32, len(c) + 1, 4 * c.offset)
-        values.append(np.frombuffer(c.buffers()[2], np.uint8, at[-1] - at[0], at[0]) if at[-1] > at[0] else np.empty(0, np.uint8))
-        sizes.append(np.diff(at) // np.dtype(kind).itemsize)
-    return np.concatenate([np.empty(0, np.uint8), *values]).view(kind), np.concatenate([np.empty(0, np.int64), *sizes])
+    """Bytes of the rows of ``values`` from each place to the next."""
+    width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _joined(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column as rows of ``width``, and how many each row of the column has."""
+    values, sizes = [np.empty(0, np.uint8)], [np.empty(0, np.int64)]
+    for c in column.chunks:
+        if len(c):
+            at = np.frombuffer(c.buffers()[1], np.int32, len(c) + 1, 4 * c.offset)
+            values.append(np.frombuffer(c.buffers()[2], np.uint8, at[-1] - at[0], at[0]) if at[-1] > at[0] else values[0])
+            sizes.append(np.diff(at) // width)
+    return np.concatenate(values).reshape(-1, width), np.concatenate(sizes)
+
+
+class Received:
+    """All that chunks sent to a shard, chunk by chunk."""
+
+    def __init__(self, table: pa.Table):
+        self.sizes = {}
+        for name, width in SENT.items():
+            value, self.sizes[name] = _joined(table.column(name), width)
+            if width == 6:
+                wide = np.zeros((len(value), 8), np.uint8)
+                wide[:, :6] = value
+                value = wide
+            setattr(self, name, value.view({1: "u1", 2: "u2", 4: "u4"}.get(width, "u8")).ravel())
+        for name in ("w_count", "runs", "p_count", "children", "t_count", "h_count"):
+            value = getattr(self, name).astype(np.int64)
+            value[value == 255] = getattr(self, f"{name}_far")
+            setattr(self, name, value)
+        self.keys = self.w_key.astype(np.uint64)
+        self.keys[self.w_key == SHORT] = self.w_far
+        # ranks of successors: of the frequent ones by a table, of the others among all that came
+        short = np.zeros(SHORT + 1, bool)
+        for key in (self.p_key, self.t_key, self.h_key, self.h_first, self.h_second):
+            short[key] = True
+        short[SHORT] = False
+        self.dictionary = np.concatenate([np.flatnonzero(short).astype(np.uint64), np.unique(np.concatenate([self.p_far, self.t_far, self.h_far]))])
+        table = np.cumsum(short) - 1
+        self.p_rank, self.t_rank, self.h_rank = (self._ranks(table, key, far) for key, far in ((self.p_key, self.p_far), (self.t_key, self.t_far), (self.h_key, self.h_far)))
+        # spread triples come without their words and pairs
+        pair = np.unique(self.h_first.astype(np.int64) << 16 | self.h_second)
+        self.own_words, self.own_pairs = len(self.keys), len(self.p_rank)
+        self.h_pair = self.own_pairs + np.searchsorted(pair, self.h_first.astype(np.int64) << 16 | self.h_second)
+        self.keys = np.concatenate([self.keys, (pair >> 16).astype(np.uint64)])
+        self.w_count = np.concatenate([self.w_count, np.zeros(len(pair), np.int64)])
+        self.runs = np.concatenate([self.runs, np.ones(len(pair), np.int64)])
+        self.p_rank = np.concatenate([self.p_rank, table[pair & 0xFFFF]])
+        self.children = np.concatenate([self.children, np.zeros(len(pair), np.int64)])
+        learned = np.zeros(len(pair), np.int64)
+        learned[np.searchsorted(pair, (self.h_first.astype(np.int64) << 16 | self.h_second)[self.h_count > 0])] = 1
+        self.p_count = np.concatenate([self.p_count, learned])
+
+    def _ranks(self, table: np.ndarray, key: np.ndarray, far: np.ndarray) -> np.ndarray:
+        out = table[key]
+        out[key == SHORT] = np.searchsorted(self.dictionary, far)
+        return out
 
 
 def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -315,35 +385,30 @@ def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def answers_of(table: pa.Table, common: Common, base, k2: float, k3: float) -> pa.RecordBatch:
+def answers_of(table: pa.Table, common: Common, base: Callable, k2: float, k3: float) -> pa.RecordBatch:
     """A shard's answers to the chunks of ``table`` (columns of ``SENT``)."""
-    sent, sizes = {}, {}
-    for name, kind in SENT.items():
-        sent[name], sizes[name] = _joined(table.column(name).chunks, kind)
-    keys = {}
-    for part in "wcpt":
-        keys[part] = sent[f"{part}_key"].astype(np.uint64)
-        keys[part][sent[f"{part}_key"] == SHORT] = sent[f"{part}_far"]
-    children, runs = sent["children"].astype(np.int64), sent["runs"].astype(np.int64)
-    words = keys["w"], sent["w_count"].astype(np.int64)
-    pairs = np.repeat(keys["c"], runs), keys["p"], sent["p_count"]
-    triples = np.repeat(np.arange(len(keys["p"])), children), keys["t"], sent["t_count"]
+    r = Received(table)
+    triples = np.concatenate([np.repeat(np.arange(len(r.p_rank)), r.children), r.h_pair]), np.concatenate([r.t_rank, r.h_rank])
     with tempfile.TemporaryDirectory() as folder:
-        trie = Trie.build(words, pairs, triples, k2, k3, base, common.known).saved(f"{folder}/trie")
-        del words, pairs, triples
-        w, c = trie.dictionary.find(keys["w"]), trie.dictionary.find(keys["c"])
-        pair = trie.level2.find(c, runs, trie.dictionary.find(keys["p"]))
-        triple = trie.level3.find(pair, children, trie.dictionary.find(keys["t"]))
-        counts = np.where(w >= 0, trie.word_counts[np.maximum(w, 0)], 0) if len(trie.word_counts) else np.zeros(len(w), np.int64)
+        pairs = np.repeat(np.arange(len(r.keys)), r.runs), r.p_rank, r.p_count
+        of_pairs = lambda keys, ranks: common.of_pairs(keys, r.dictionary[ranks])
+        trie = Trie.build((r.keys, r.w_count), pairs, (*triples, np.concatenate([r.t_count, r.h_count])), k2, k3, base, common.context_counts, of_pairs).saved(f"{folder}/trie")
+        del pairs
+        w = trie.words.find(r.keys)
+        pair = trie.level2.find(w, r.runs, r.p_rank)
+        triple = trie.level3.find(pair[: r.own_pairs], r.children[: r.own_pairs], r.t_rank)
+        spread = trie.level3.find(pair[r.h_pair], np.ones(len(r.h_pair), np.int64), r.h_rank)
         # a word without a count has the base's probability, a context without one leaves all to the shorter
+        w, pair = w[: r.own_words], pair[: r.own_pairs]
+        seen = w >= 0
         values = {
-            "w_counts": counts, "w_codes": np.where(w >= 0, coded(trie.word_codes, w), to_code(base(np.zeros(1)))[0]), "c_rests": np.where(c >= 0, coded(trie.word_rest, c), 0),
-            "p_codes": trie.level2.code(pair), "p_rests": np.where(pair >= 0, coded(trie.pair_rest, pair), 0), "t_codes": trie.level3.code(triple),
+            "w_counts": np.where(seen, trie.word_counts[np.maximum(w, 0)], 0) if len(trie.word_counts) else np.zeros(len(w), np.int64), "w_codes": np.where(seen, coded(trie.word_codes, w), to_code(base(np.zeros(1)))[0]),
+            "w_rests": np.where(seen, coded(trie.word_rest, w), 0), "p_codes": trie.level2.code(pair), "p_rests": np.where(pair >= 0, coded(trie.pair_rest, pair), 0), "t_codes": trie.level3.code(triple), "h_codes": trie.level3.code(spread),
         }
         del trie
-    out = {"chunk": table.column("chunk").combine_chunks(), "shard": table.column("shard").combine_chunks()}
-    for (name, value), size in zip(values.items(), ("w_key", "w_key", "c_key", "p_key", "p_key", "t_key"), strict=True):
-        out[name] = _slices(value.astype(ANSWERED[name]), np.concatenate([[0], np.cumsum(sizes[size])]))
+    out = {n: table.column(n).combine_chunks() for n in ("slot", "made", "shard")}
+    for name, value in values.items():
+        out[name] = _slices(value.astype(f"u{ANSWERED[name]}"), np.concatenate([[0], np.cumsum(r.sizes[f"{name[0]}_key"])]))
     return pa.RecordBatch.from_pydict(out)
 
 
@@ -351,18 +416,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Base and model scores of every text."""
     spark = docs.sparkSession
     kind = slim(docs, id_col).schema[0].dataType
-    cut = stored(chunks(docs, id_col, text_col, chunk_tokens), "chunks")
-    # chunks are numbered through; the driver has a row for each task that made some
-    made = cut.groupBy("part").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens")).collect()
-    starts, at = np.zeros(max((r["part"] for r in made), default=0) + 1, np.int64), 0
-    for r in sorted(made):
-        starts[r["part"]], at = at, at + r["n"]
-    shards, n_chunks = max(1, -(-sum(r["tokens"] for r in made) // shard_tokens)), max(1, at)
+    buckets = min(docs.rdd.getNumPartitions() or 1, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    cut = stored_by(chunks(docs, id_col, text_col, even_slots(spark, buckets), chunk_tokens), "chunks", "slot", buckets)
+    shards = max(1, -(-(cut.agg(F.sum("tokens")).first()[0] or 0) // shard_tokens))
     with Scratch(spark) as scratch:
-        word = cut.select(F.explode(F.arrays_zip("words", "train", "every")).alias("w")).select("w.*")
-        counted = scratch.stored(word.groupBy("words").agg(F.sum("train").alias("train"), F.sum("every").alias("every")), "words")
-        n_train, vocabulary = counted.filter(F.col("words") != BEGIN_KEY - (1 << 64)).agg(F.coalesce(F.sum("train"), F.lit(0)), F.count_if(F.col("train") > 0)).first()
-        top = counted.orderBy(F.desc("every"), "words").limit(short).select("words", "train").toPandas()
+        word = cut.select(F.explode(F.arrays_zip("words", "train")).alias("w")).select("w.*").filter("train > 0")
+        counted = scratch.stored(word.groupBy("words").agg(F.sum("train").alias("train")), "words")
+        n_train, vocabulary = counted.filter(F.col("words") != BEGIN_KEY - (1 << 64)).agg(F.coalesce(F.sum("train"), F.lit(0)), F.count("*")).first()
+        top = counted.orderBy(F.desc("train"), "words").limit(short).toPandas()
     common = Common(top["words"].to_numpy(np.int64).view(np.uint64), top["train"].to_numpy(np.int64), hot, hottest)
 
     def base(count: np.ndarray) -> np.ndarray:
@@ -372,8 +433,6 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         own = {n: batch.column(n)[row] for n in ("n_tokens", "held_out", "words", "train", "numbers")}
         return {n: v.as_py() if n == "numbers" else np.asarray(v.values) if n != "held_out" else v.values.to_numpy(zero_copy_only=False) for n, v in own.items()}
 
-    places = spark.sparkContext.broadcast(starts)
-
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(hottest * hottest, np.int64)
         for batch in batches:
@@ -383,7 +442,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"pair": pa.array(some, pa.int64()), "n": pa.array(total[some], pa.int64())})
 
-    own_columns = ("part", "made", "n_tokens", "held_out", "words", "train", "numbers")
+    own_columns = ("slot", "made", "n_tokens", "held_out", "words", "train", "numbers")
     for pair, n in cut.select(*own_columns).mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():
         common.pair_counts[pair // hottest, pair % hottest] = n
     shared = spark.sparkContext.broadcast(common)
@@ -391,55 +450,53 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                chunk = int(places.value[batch.column("part")[row].as_py()]) + batch.column("made")[row].as_py()
-                yield Ngrams(own_of(batch, row), shared.value, shards).rows(chunk, shards)
+                yield Ngrams(own_of(batch, row), shared.value, shards).rows(batch.column("slot")[row].as_py(), batch.column("made")[row].as_py())
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_group(batches):
             yield answers_of(table, shared.value, base, k2, k3)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by_group(batches):
-            yield scored(table)
-
-    def scored(table: pa.Table) -> pa.RecordBatch:
-        """The scores of a chunk from its row, which comes first, and its answers by shard."""
-        own = own_of(table, 0)
+    def score(owns: pa.Table, answers: pa.Table) -> pa.Table:
+        """The scores of a partition's chunks, each with its answers by shard."""
+        answers, out = answers.sort_by([("made", "ascending"), ("shard", "ascending")]), []
+        made = answers.column("made").to_numpy()
+        for row in range(owns.num_rows):
+            number = owns.column("made")[row].as_py()
+            a, b = np.searchsorted(made, (number, number + 1))
+            out.append(scored(owns.column("ids")[row].values, own_of(owns, row), answers.slice(a, b - a)))
+        return pa.concat_tables(out)
+
+    def scored(ids: pa.Array, own: dict, answers: pa.Table) -> pa.Table:
         grams = Ngrams(own, shared.value, shards)
         s = grams.stream
-        got = {n: _joined(table.slice(1).column(n).chunks, k)[0] for n, k in ANSWERED.items()}
-        count, p1 = np.empty(len(own["words"]), np.int64), np.empty(len(own["words"]))
-        count[grams.word_order], p1[grams.word_order] = got["w_counts"], from_code(got["w_codes"])
-        count, p1 = count[grams.word_place], p1[grams.word_place]
+        got = {n: _joined(answers.column(n), w)[0].view(f"u{w}").ravel() for n, w in ANSWERED.items()}
+        count, p1 = got["w_counts"][grams.entry_of_word].astype(np.int64), from_code(got["w_codes"])[grams.entry_of_word]
         exact = base(count)
-        share2, rest2 = from_code(got["p_codes"]), from_code(got["c_rests"])[grams.context_of_entry]
-        rest3, share3 = from_code(got["p_rests"]), from_code(got["t_codes"])
+        rest2, share2, rest3 = from_code(got["w_rests"])[grams.entry_of_pair], from_code(got["p_codes"]), from_code(got["p_rests"])
+        share3 = np.empty(len(grams.tri_of_answer))
+        share3[grams.tri_of_answer] = from_code(np.concatenate([got["t_codes"], got["h_codes"]]))
         lengths = own["n_tokens"]
         sums: list[list[np.ndarray]] = [[], [], []]
         cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // SLICE, prepend=-1))
         for lo, hi in zip(cuts, [*cuts[1:], len(lengths)], strict=True):  # documents, some hundred thousand tokens at a time
             a = s.first[lo]
             at, first = slice(a, a + int(lengths[lo:hi].sum())), s.first[lo:hi] - a
-            entry = grams.entry_of_pair[grams.of_pair[at]]
-            p = share2[entry] + rest2[entry] * p1[s.now[at]]
+            pair = grams.of_pair[at]
+            p = share2[pair] + rest2[pair] * p1[s.now[at]]
             inner = np.ones(len(p), bool)
             inner[first] = False
             tri = grams.of_tri[a - lo : a - lo + int(inner.sum())]
-            p[inner] = share3[tri] + rest3[entry[:-1][inner[1:]]] * p[inner]
+            p[inner] = share3[tri] + rest3[pair[:-1][inner[1:]]] * p[inner]
             for total, x in zip(sums, (count[s.now[at]] > 0, np.log10(exact[s.now[at]]), np.log10(p)), strict=True):
                 total.append(np.add.reduceat(x.astype(np.int64) if x.dtype == bool else x, first))
         known, plain, model = map(np.concatenate, sums)
-        return pa.RecordBatch.from_pydict({
-            id_col: table.column("ids")[0].values, "held_out": pa.array(own["held_out"], pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known, pa.int64()),
+        return pa.table({
+            id_col: ids, "held_out": pa.array(own["held_out"], pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known, pa.int64()),
             "train_tokens": pa.array(np.full(len(lengths), n_train, np.int64)), "base_score": plain, "score": model,
         })
 
     binary = lambda names: ", ".join(f"{n} binary" for n in names)
-    asked = cut.select(*own_columns).mapInArrow(send, f"shard int, chunk long, {binary(SENT)}")
-    answers = asked.repartitionById(shards, "shard").sortWithinPartitions("shard").mapInArrow(answer, f"chunk long, shard int, {binary(ANSWERED)}")
-    # broadcast: a number for each task that read the table
-    numbers = spark.createDataFrame(list(enumerate(starts.tolist())), "part int, start long")
-    own = cut.join(F.broadcast(numbers), "part").select((F.col("start") + F.col("made")).alias("chunk"), F.lit(-1).alias("shard"), "ids", "n_tokens", "held_out", "words", "train", "numbers")
-    both = own.unionByName(answers, allowMissingColumns=True).withColumn("at", F.col("chunk").cast("int"))
+    asked = cut.select(*own_columns).mapInArrow(send, f"shard int, slot long, made long, {binary(SENT)}")
+    answers = asked.repartitionById(shards, "shard").sortWithinPartitions("shard").mapInArrow(answer, f"slot long, made long, shard int, {binary(ANSWERED)}")
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")), *(T.StructField(c, T.DoubleType()) for c in ("base_score", "score"))])
-    return both.repartitionById(n_chunks, "at").sortWithinPartitions("chunk", "shard").drop("at").mapInArrow(score, schema)
+    return cut.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(score, schema)

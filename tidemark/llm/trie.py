@@ -1,9 +1,9 @@
 """Elias-Fano sequences and an n-gram trie of three levels over them.
 
-A trie holds one shard's words, pairs and triples. Its dictionary is the sorted
-sequence of the words' 64-bit keys; within the trie a word is its rank there. Each level
-is one monotone sequence: the ranks of a node's successors, ascending, shifted by where
-the siblings before them ended, so that the whole level never decreases. Monotone
+A trie holds one shard's words, pairs and triples. Level 1 is the sorted sequence of the
+words' 64-bit keys; as a successor, a word is its rank in the trie's dictionary. Each level
+below is one monotone sequence: the ranks of a node's successors, ascending, shifted by
+where the siblings before them ended, so that the whole level never decreases. Monotone
 pointers say where each node's successors start. A lookup goes down from the context:
 it takes the context's two pointers and the shift before the first, and seeks the
 successor of (shift + rank) between the pointers only.
@@ -192,7 +192,7 @@ def coded(codes: np.ndarray, number: np.ndarray) -> np.ndarray:
 class Trie:
     """Smoothed probabilities of the words, pairs and triples of one shard."""
 
-    SEQUENCES = ("dictionary", "pairs", "pair_pointers", "triples", "triple_pointers")
+    SEQUENCES = ("words", "pairs", "pair_pointers", "triples", "triple_pointers")
     VALUES = ("word_counts", "word_codes", "word_rest", "pair_codes", "pair_rest", "triple_codes")
 
     def __init__(self, **parts: EliasFano | np.ndarray):
@@ -202,34 +202,35 @@ class Trie:
         self.level3 = Level(self.triples, self.triple_pointers, self.triple_codes)
 
     @classmethod
-    def build(cls, words: tuple, pairs: tuple, triples: tuple, k2: float, k3: float, base: Callable, known: Callable) -> Trie:
-        """From words (key, count), pairs (context's key, key, count) and triples (index into ``pairs``, key, count).
+    def build(cls, words: tuple, pairs: tuple, triples: tuple, k2: float, k3: float, base: Callable, context_counts: Callable, pair_counts: Callable) -> Trie:
+        """From words (key, count), pairs (index into ``words``, rank, count) and triples (index into ``pairs``, rank, count).
 
         Rows come in any order and repeat. ``base`` gives the probabilities of counts of
-        words; ``known`` gives, for keys and pairs of keys, counts that this shard can't
-        tell by itself, or -1. A node's probability is its count over its context's count
-        and the prior, which is the weight left to the shorter context.
+        words. ``context_counts`` and ``pair_counts`` give counts that this shard can't tell
+        by itself, or -1, for keys and for keys with ranks. A node's probability is its
+        count over its context's count and the prior, which is the weight left to the
+        shorter context.
         """
-        held = words[1] > 0, pairs[2] > 0, triples[2] > 0
-        keys = np.unique(np.concatenate([words[0][held[0]], pairs[0][held[1]], pairs[1][held[1]], triples[1][held[2]]]))
-        dictionary, size = EliasFano.of(keys), max(1, len(keys))
-        at, count = merged(np.searchsorted(keys, words[0][held[0]]), words[1][held[0]])
-        word_counts = np.zeros(len(keys), np.int64)
-        word_counts[at] = count
-        own = known(keys)
-        context_counts = np.where(own >= 0, own, word_counts)
-        pair_of = np.searchsorted(keys, pairs[0]) * size + np.searchsorted(keys, pairs[1])
-        pair, pair_counts = merged(pair_of[held[1]], pairs[2][held[1]])
+        held = pairs[2] > 0, triples[2] > 0
+        some = words[1] > 0
+        some[pairs[0][held[0]]] = True
+        keys, counts = merged(words[0][some], words[1][some])
+        number = np.searchsorted(keys, words[0])
+        known = context_counts(keys)
+        context = np.where(known >= 0, known, counts)
+        size = 1 + int(max(pairs[1].max(initial=0), triples[1].max(initial=0)))
+        pair_of = number[pairs[0]] * size + pairs[1]
+        pair, p_counts = merged(pair_of[held[0]], pairs[2][held[0]])
         above, rank = pair // size, pair % size
-        own = known(keys[above], keys[rank]) if len(pair) else pair
-        pair_counts = np.where(own >= 0, own, pair_counts)
-        parent = np.searchsorted(pair, pair_of[triples[0][held[2]]])
-        triple, triple_counts = merged(parent * size + np.searchsorted(keys, triples[1][held[2]]), triples[2][held[2]])
-        level2 = Level.of(above, rank, len(keys), to_code(pair_counts / (context_counts[above] + k2)))
-        level3 = Level.of(triple // size, triple % size, len(pair), to_code(triple_counts / (pair_counts[triple // size] + k3)))
+        known = pair_counts(keys[above], rank)
+        p_counts = np.where(known >= 0, known, p_counts)
+        parent = np.searchsorted(pair, pair_of[triples[0][held[1]]])
+        triple, t_counts = merged(parent * size + triples[1][held[1]], triples[2][held[1]])
+        level2 = Level.of(above, rank, len(keys), to_code(p_counts / (context[above] + k2)))
+        level3 = Level.of(triple // size, triple % size, len(pair), to_code(t_counts / (p_counts[triple // size] + k3)))
         return cls(
-            dictionary=dictionary, word_counts=word_counts, word_codes=to_code(base(word_counts)), word_rest=to_code(k2 / (context_counts + k2)),
-            pairs=level2.ids, pair_pointers=level2.pointers, pair_codes=level2.codes, pair_rest=to_code(k3 / (pair_counts + k3)),
+            words=EliasFano.of(keys), word_counts=counts, word_codes=to_code(base(counts)), word_rest=to_code(k2 / (context + k2)),
+            pairs=level2.ids, pair_pointers=level2.pointers, pair_codes=level2.codes, pair_rest=to_code(k3 / (p_counts + k3)),
             triples=level3.ids, triple_pointers=level3.pointers, triple_codes=level3.codes,
         )
 
