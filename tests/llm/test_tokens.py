@@ -125,10 +125,12 @@ def test_packing_of_odd_rows(odd_docs, no_docs):
 def test_elias_fano(n):
     rng = np.random.default_rng(n)
     values = np.sort(rng.integers(0, 1 << 62, n).astype(np.uint64))
-    for data in (values, values >> np.uint64(50), np.unique(values >> np.uint64(48))):
+    for data in (values, values >> np.uint64(50), np.unique(values >> np.uint64(48)), values // np.uint64(1 << 62), np.arange(n, dtype=np.uint64)):
         ef, m = trie.EliasFano.of(data), len(data)
         assert (ef.get(np.arange(m)) == data).all()
-        asked = np.concatenate([data, data + np.uint64(1), rng.integers(0, 1 << 62, 50).astype(np.uint64)])
+        if m > 1:
+            assert (np.array(ef.two(np.arange(m - 1))) == np.array([data[:-1], data[1:]])).all()
+        asked = np.concatenate([data, data + np.uint64(1), np.uint64([1 << 63, (1 << 64) - 1]), rng.integers(0, 1 << 62, 50).astype(np.uint64)])
         at = np.searchsorted(data, asked)
         want = np.where((at < m) & (data[np.minimum(at, max(m - 1, 0))] == asked) if m else np.zeros(len(asked), bool), at, -1)
         assert (ef.find(asked) == want).all()
@@ -212,7 +214,7 @@ def test_lm_scores_equal_counting(docs, texts):
 
 
 def test_chunks_send_only_what_they_have(docs):
-    own = lm.chunks(docs, "doc_id", "text", np.array([5]), 500).first()
+    own = lm.chunks(docs, "doc_id", "text", np.array([[5, 6]]), 500).first()
     assert own["slot"] == 5
     own = {n: np.array(own[n]) if n != "numbers" else bytes(own[n]) for n in ("n_tokens", "held_out", "words", "train", "numbers")}
     common = lm.Common(own["words"][2:30].view(np.uint64), own["train"][2:30], 20, 10)

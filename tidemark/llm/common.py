@@ -87,6 +87,9 @@ def stored_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     path = _new_place(spark, name)
     table = f"tidemark_{uuid.uuid4().hex}"
+    most = "spark.sql.sources.bucketing.maxBuckets"
+    if buckets > int(spark.conf.get(most)):
+        spark.conf.set(most, buckets)
     df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
     rows = spark.table(table)
     spark.sql(f"DROP TABLE {table}")

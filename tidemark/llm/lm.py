@@ -58,6 +58,8 @@ K2, K3 = 300.0, 8.0
 CHUNK_TOKENS, SHARD_TOKENS = 1 << 21, 2_000_000
 #: Words with short keys, whose pairs are spread, and whose triples are spread.
 SHORT, HOT, HOTTEST = 65_535, 1024, 128
+#: Bytes of an input partition whose chunks are scored in one task, about.
+SLOT_BYTES = 4 << 20
 #: Tokens scored at a time.
 SLICE = 1 << 18
 #: The end token and the mark before a text; no word has a space.
@@ -71,8 +73,8 @@ _NEAR, _RARE = np.uint64((1 << 47) - 1), np.uint64(1 << 47)
 #: What a chunk sends to a shard, by name and bytes: words (with their pairs' number), pairs (with their triples'), triples and spread triples.
 SENT = {"w_key": 2, "w_far": 8, "w_count": 1, "w_count_far": 4, "runs": 1, "runs_far": 4, "p_key": 2, "p_far": 6, "p_count": 1, "p_count_far": 4, "children": 1, "children_far": 4,
     "t_key": 2, "t_far": 6, "t_count": 1, "t_count_far": 4, "h_first": 1, "h_second": 1, "h_key": 2, "h_far": 6, "h_count": 1, "h_count_far": 4}
-#: What a shard answers: counts, codes and rests of words, codes and rests of pairs, codes of triples.
-ANSWERED = {"w_counts": 8, "w_codes": 2, "w_rests": 2, "p_codes": 2, "p_rests": 2, "t_codes": 2, "h_codes": 2}
+#: What a shard answers: counts, codes and rests of words, codes of pairs and triples.
+ANSWERED = {"w_counts": 8, "w_codes": 2, "w_rests": 2, "p_codes": 2, "t_codes": 2, "h_codes": 2}
 
 
 class Numbers(dict):
@@ -112,14 +114,15 @@ BEGIN_KEY = word_key(BEGIN)
 def chunks(docs: DataFrame, id_col: str, text_col: str, slots: np.ndarray, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """(slot, made, ids, n_tokens, held_out, tokens, words, train, numbers) of all texts; ``words`` are keys, with their training counts.
 
-    A chunk is named by its partition's slot and its number there.
+    A chunk is named by its slot and its number there; a partition's chunks have its slots
+    in turn, of which there are as many for each (``slots`` has a row for a partition).
     """
     rows = slim(docs, id_col, text_col)
     kind = rows.schema[0].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        slot, made, n = int(slots[part % len(slots)]), (part // len(slots)) << 24, 0
+        made, n = 0, 0
         number = Numbers({END: 0, BEGIN: 1})
         ids, lengths, held, found = [], [], [], []
         for batch in batches:
@@ -132,25 +135,25 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, slots: np.ndarray, chunk
                 held.append(is_held_out(doc_id))
                 n += lengths[-1]
                 if n >= chunk_tokens:
-                    yield _chunk(slot, made, arrow_kind, ids, lengths, held, found, number)
+                    yield _chunk(part, made, slots, arrow_kind, ids, lengths, held, found, number)
                     made, n = made + 1, 0
                     number = Numbers({END: 0, BEGIN: 1})
                     ids, lengths, held, found = [], [], [], []
         if ids:
-            yield _chunk(slot, made, arrow_kind, ids, lengths, held, found, number)
+            yield _chunk(part, made, slots, arrow_kind, ids, lengths, held, found, number)
 
     fields = [("slot", T.LongType()), ("made", T.LongType()), ("ids", T.ArrayType(kind)), ("n_tokens", T.ArrayType(T.LongType())), ("held_out", T.ArrayType(T.BooleanType())), ("tokens", T.LongType()), *((c, T.ArrayType(T.LongType())) for c in ("words", "train")), ("numbers", T.BinaryType())]
     return rows.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
-def _chunk(slot: int, made: int, kind: pa.DataType, ids: list, lengths: list, held: list, found: list, number: dict) -> pa.RecordBatch:
+def _chunk(part: int, made: int, slots: np.ndarray, kind: pa.DataType, ids: list, lengths: list, held: list, found: list, number: dict) -> pa.RecordBatch:
     keys = np.fromiter(map(word_key, number), np.uint64, len(number))
     trained = [x for x, h in zip(found, held, strict=True) if not h]
     train = np.bincount(np.concatenate([np.empty(0, np.uint32), *trained]), minlength=len(number))
     train[:2] = len(trained)
     longs = pa.list_(pa.int64())
     return pa.RecordBatch.from_pydict({
-        "slot": pa.array([slot], pa.int64()), "made": pa.array([made], pa.int64()), "ids": pa.array([ids], pa.list_(kind)), "n_tokens": pa.array([lengths], longs), "held_out": pa.array([held], pa.list_(pa.bool_())),
+        "slot": pa.array([slots[part % len(slots), made % slots.shape[1]]], pa.int64()), "made": pa.array([part << 24 | made], pa.int64()), "ids": pa.array([ids], pa.list_(kind)), "n_tokens": pa.array([lengths], longs), "held_out": pa.array([held], pa.list_(pa.bool_())),
         "tokens": pa.array([sum(lengths)], pa.int64()), "words": pa.array([keys.view(np.int64)], longs), "train": pa.array([train], longs), "numbers": pa.array([planes(np.concatenate(found))], pa.binary()),
     })
 
@@ -195,6 +198,26 @@ class Common:
         return out
 
 
+def most_frequent(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the most frequent words, frequent ones first: as many whole steps of an eighth of a power of two as give no more than ``most``."""
+    step = F.floor(F.log2("train") * 8).alias("step")
+    least, n = None, 0
+    for r in sorted(counted.groupBy(step).count().collect(), reverse=True):
+        n += r["count"]
+        if n > most:
+            break
+        least = r["step"]
+    rows = [] if least is None else counted.filter(F.floor(F.log2("train") * 8) >= least).collect()
+    rows.sort(key=lambda r: (-r["train"], r["words"]))
+    return np.array([r["words"] for r in rows], np.int64).view(np.uint64), np.array([r["train"] for r in rows], np.int64)
+
+
+def _bytes(size: str) -> int:
+    """Bytes of a setting such as 128MB, 16m or 1048576b."""
+    digits = size.rstrip("bBkKmMgG")
+    return int(digits) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30}[size[len(digits) :][:1].lower()]
+
+
 class Stream:
     """The tokens of a chunk in order, each with the one before it, as local numbers."""
 
@@ -403,7 +426,7 @@ def answers_of(table: pa.Table, common: Common, base: Callable, k2: float, k3: f
         seen = w >= 0
         values = {
             "w_counts": np.where(seen, trie.word_counts[np.maximum(w, 0)], 0) if len(trie.word_counts) else np.zeros(len(w), np.int64), "w_codes": np.where(seen, coded(trie.word_codes, w), to_code(base(np.zeros(1)))[0]),
-            "w_rests": np.where(seen, coded(trie.word_rest, w), 0), "p_codes": trie.level2.code(pair), "p_rests": np.where(pair >= 0, coded(trie.pair_rest, pair), 0), "t_codes": trie.level3.code(triple), "h_codes": trie.level3.code(spread),
+            "w_rests": np.where(seen, coded(trie.word_rest, w), 0), "p_codes": trie.level2.code(pair), "t_codes": trie.level3.code(triple), "h_codes": trie.level3.code(spread),
         }
         del trie
     out = {n: table.column(n).combine_chunks() for n in ("slot", "made", "shard")}
@@ -416,15 +439,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Base and model scores of every text."""
     spark = docs.sparkSession
     kind = slim(docs, id_col).schema[0].dataType
-    buckets = min(docs.rdd.getNumPartitions() or 1, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
-    cut = stored_by(chunks(docs, id_col, text_col, even_slots(spark, buckets), chunk_tokens), "chunks", "slot", buckets)
+    partitions, each = docs.rdd.getNumPartitions() or 1, -(-_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) // SLOT_BYTES)
+    slots = even_slots(spark, partitions * each).reshape(partitions, each)
+    cut = stored_by(chunks(docs, id_col, text_col, slots, chunk_tokens), "chunks", "slot", slots.size)
     shards = max(1, -(-(cut.agg(F.sum("tokens")).first()[0] or 0) // shard_tokens))
     with Scratch(spark) as scratch:
         word = cut.select(F.explode(F.arrays_zip("words", "train")).alias("w")).select("w.*").filter("train > 0")
         counted = scratch.stored(word.groupBy("words").agg(F.sum("train").alias("train")), "words")
         n_train, vocabulary = counted.filter(F.col("words") != BEGIN_KEY - (1 << 64)).agg(F.coalesce(F.sum("train"), F.lit(0)), F.count("*")).first()
-        top = counted.orderBy(F.desc("train"), "words").limit(short).toPandas()
-    common = Common(top["words"].to_numpy(np.int64).view(np.uint64), top["train"].to_numpy(np.int64), hot, hottest)
+        top = most_frequent(counted, short)
+    common = Common(*top, hot, hottest)
 
     def base(count: np.ndarray) -> np.ndarray:
         return (count + 0.1) / (n_train + 0.1 * (vocabulary + 1))
@@ -472,7 +496,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         got = {n: _joined(answers.column(n), w)[0].view(f"u{w}").ravel() for n, w in ANSWERED.items()}
         count, p1 = got["w_counts"][grams.entry_of_word].astype(np.int64), from_code(got["w_codes"])[grams.entry_of_word]
         exact = base(count)
-        rest2, share2, rest3 = from_code(got["w_rests"])[grams.entry_of_pair], from_code(got["p_codes"]), from_code(got["p_rests"])
+        rest2, share2 = from_code(got["w_rests"])[grams.entry_of_pair], from_code(got["p_codes"])
+        rest3 = k3 / (share2 / rest2 * k2 + k3)  # a pair's count is its share of its context's and the prior, which the rest tells
         share3 = np.empty(len(grams.tri_of_answer))
         share3[grams.tri_of_answer] = from_code(np.concatenate([got["t_codes"], got["h_codes"]]))
         lengths = own["n_tokens"]

@@ -8,8 +8,8 @@ pointers say where each node's successors start. A lookup goes down from the con
 it takes the context's two pointers and the shift before the first, and seeks the
 successor of (shift + rank) between the pointers only.
 
-Every node has its smoothed probability, quantised to 16 bits, and those that are
-contexts the weight that they leave to the shorter context. ``saved`` writes the arrays
+Every node has its smoothed probability, quantised to 16 bits, and a word also the weight
+that it leaves to the shorter context; a pair's follows from these two. ``saved`` writes the arrays
 of a trie to one file and maps it, so a large shard is paged in as asked.
 """
 
@@ -71,6 +71,18 @@ class EliasFano:
         out[inner] = np.where(past, self.size, np.minimum(found, self.size))
         return out
 
+    def _window(self, at: np.ndarray) -> np.ndarray:
+        """The 64 bits of the high parts that begin at each place; none past the end."""
+        at = np.minimum(at, (len(self.high) - 1) * 64)
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        after = self.high[np.minimum(word + 1, len(self.high) - 1)] << (np.uint64(63) - shift) << _U1
+        return (self.high[word] >> shift) | np.where(word + 1 < len(self.high), after, np.uint64(0))
+
+    def _ones_from(self, at: np.ndarray) -> np.ndarray:
+        """How many ones stand in a row from each place, at most 64."""
+        zeros = ~self._window(at)
+        return np.bitwise_count((zeros & -zeros) - _U1).astype(np.int64)
+
     def find(self, x: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | int | None = None) -> np.ndarray:
         """Index from ``first`` up to ``last`` of the first element not less than each ``x`` if it equals it, else -1."""
         x = np.asarray(x, np.uint64)
@@ -78,7 +90,11 @@ class EliasFano:
             return np.full(len(x), -1, np.int64)
         bucket = x >> np.uint64(self.low_bits)
         # successor search among the elements that share the high part, within the given range
-        lo, hi = np.maximum(self._before(bucket), first), self._before(bucket + _U1)
+        lo = self._before(bucket)
+        hi = lo + self._ones_from(lo + np.minimum(bucket, np.uint64(64 * len(self.high))).astype(np.int64))
+        full = np.flatnonzero(hi - lo == 64)
+        hi[full] = self._before(bucket[full] + _U1)
+        lo = np.maximum(lo, first)
         if last is not None:
             hi = np.minimum(hi, last)
         low = x & np.uint64((1 << self.low_bits) - 1)
@@ -97,9 +113,8 @@ class EliasFano:
         out[hit] = lo[hit]
         return out
 
-    def get(self, at: np.ndarray) -> np.ndarray:
-        """The elements at these indexes."""
-        at = np.asarray(at, np.int64)
+    def _place(self, at: np.ndarray) -> np.ndarray:
+        """Where in the high parts the ones of these indexes stand."""
         word = np.searchsorted(self.ones, at, side="right") - 1
         rest = (at - self.ones[word]).astype(np.uint64)
         bits = self.high[word]
@@ -111,8 +126,25 @@ class EliasFano:
             rest = np.where(right, rest - count, rest)
             place += np.where(right, w, np.uint64(0))
             bits = np.where(right, bits >> w, bits)
-        high = (word * 64 + place.astype(np.int64) - at).astype(np.uint64)
-        return (high << np.uint64(self.low_bits)) | self._lows(at)
+        return word * 64 + place.astype(np.int64)
+
+    def get(self, at: np.ndarray) -> np.ndarray:
+        """The elements at these indexes."""
+        at = np.asarray(at, np.int64)
+        return self._value(at, self._place(at))
+
+    def _value(self, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return ((place - at).astype(np.uint64) << np.uint64(self.low_bits)) | self._lows(at)
+
+    def two(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The elements at these indexes, and those after them."""
+        at = np.asarray(at, np.int64)
+        place = self._place(at)
+        ahead = self._window(place + 1)
+        after = place + 1 + np.bitwise_count((ahead & -ahead) - _U1).astype(np.int64)
+        far = np.flatnonzero(ahead == 0)
+        after[far] = self._place(at[far] + 1)
+        return self._value(at, place), self._value(at + 1, after)
 
     def arrays(self) -> list[np.ndarray]:
         return [self.low, self.high, self.ones]
@@ -168,16 +200,19 @@ class Level:
 
     def find(self, parent: np.ndarray, runs: np.ndarray, rank: np.ndarray) -> np.ndarray:
         """Numbers of the successors ``rank`` of parents, each with as many as its run; -1 where parent or word is none."""
-        there = parent >= 0
-        at = np.where(there, parent, 0)
-        if not self.ids.size or not len(rank):
-            return np.full(len(rank), -1, np.int64)
-        first, last = self.pointers.get(at).astype(np.int64), self.pointers.get(at + 1).astype(np.int64)
-        shift = np.where(first > 0, self.ids.get(np.maximum(first - 1, 0)), np.uint64(0))
-        first, last, shift, there = (np.repeat(v, runs) for v in (first, np.where(there, last, first), shift, there))
-        asked = np.flatnonzero(there & (rank >= 0))
         out = np.full(len(rank), -1, np.int64)
-        out[asked] = self.ids.find(shift[asked] + rank[asked].astype(np.uint64), first[asked], last[asked])
+        asked = np.flatnonzero((parent >= 0) & (runs > 0))
+        if not self.ids.size or not len(asked):
+            return out
+        first, last = (x.astype(np.int64) for x in self.pointers.two(parent[asked]))
+        shift = np.zeros(len(first), np.uint64)
+        later = np.flatnonzero((first > 0) & (first < last))
+        shift[later] = self.ids.get(first[later] - 1)
+        runs, ends = runs[asked], np.cumsum(runs)[asked]
+        row = np.repeat(ends - runs - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+        some = np.repeat(first < last, runs) & (rank[row] >= 0)
+        row, group = row[some], np.repeat(np.arange(len(asked)), runs)[some]
+        out[row] = self.ids.find(shift[group] + rank[row].astype(np.uint64), first[group], last[group])
         return out
 
     def code(self, number: np.ndarray) -> np.ndarray:
@@ -193,7 +228,7 @@ class Trie:
     """Smoothed probabilities of the words, pairs and triples of one shard."""
 
     SEQUENCES = ("words", "pairs", "pair_pointers", "triples", "triple_pointers")
-    VALUES = ("word_counts", "word_codes", "word_rest", "pair_codes", "pair_rest", "triple_codes")
+    VALUES = ("word_counts", "word_codes", "word_rest", "pair_codes", "triple_codes")
 
     def __init__(self, **parts: EliasFano | np.ndarray):
         for name in (*self.SEQUENCES, *self.VALUES):
@@ -230,7 +265,7 @@ class Trie:
         level3 = Level.of(triple // size, triple % size, len(pair), to_code(t_counts / (p_counts[triple // size] + k3)))
         return cls(
             words=EliasFano.of(keys), word_counts=counts, word_codes=to_code(base(counts)), word_rest=to_code(k2 / (context + k2)),
-            pairs=level2.ids, pair_pointers=level2.pointers, pair_codes=level2.codes, pair_rest=to_code(k3 / (p_counts + k3)),
+            pairs=level2.ids, pair_pointers=level2.pointers, pair_codes=level2.codes,
             triples=level3.ids, triple_pointers=level3.pointers, triple_codes=level3.codes,
         )
 
