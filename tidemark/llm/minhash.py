@@ -48,7 +48,7 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
 ROUNDS = 2
 #: Members verified against one leader in a group; texts of a block and shingles in it, about.
-CROWD, BLOCK, BLOCK_KEYS = 400, 256, 1 << 20
+CROWD, BLOCK, BLOCK_KEYS = 128, 256, 1 << 20
 #: Shingles of two blocks compared at a time.
 COLUMNS = 1 << 13
 #: Shingles signed at a time.
@@ -339,7 +339,8 @@ def near_duplicate_classes(texts: DataFrame, threshold: float = THRESHOLD, words
         crowded = scratch.stored(banded.join(shared, "band"), "bands")
         met = crowded.groupBy("tid").agg(F.sum("n").alias("degree"))
         roots = scratch.stored(met.select("tid", "degree", F.col("tid").alias("root")), "roots")
-        own = texts.join(roots.select("tid"), "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text"))
+        # copies go before the shuffle, so that no text has more rows in it than tasks
+        own = texts.groupBy("tid").agg(F.first("text").alias("text")).join(roots.select("tid"), "tid", "left_semi")
         bags = scratch.stored(_bags(own, words), "bags")
         for k in range(rounds + 1):
             placed = crowded.select("band", "tid", "size").join(roots, "tid")
