@@ -45,18 +45,28 @@ def digest(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block, usedforsecurity=False).digest()).decode()
 
 
-def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = "2024-01-01T00:00:00Z") -> DataFrame:
-    """Response records of pages: (id, record_id, target_uri, warc_date, http_headers, payload)."""
-    rows = slim(pages, id_col, url_col, html_col)
+def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date_col: str | None = None, status_col: str | None = None, date: str = "2024-01-01T00:00:00Z", status: str = "200 OK") -> DataFrame:
+    """Response records of pages: (id, record_id, target_uri, warc_date, http_headers, payload).
+
+    Date and status line come from ``date_col`` and ``status_col`` where given and not null.
+    """
+    rows = slim(pages, *dict.fromkeys(c for c in (id_col, url_col, html_col, date_col, status_col) if c))
+    given = lambda c, other: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(other)) if c else F.lit(other)
+    at, line = given(date_col, date), given(status_col, status)
     html = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
-    headers = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(html).cast("string"), F.lit("\r\n\r\n"))
-    return rows.select(F.col(f"`{id_col}`"), _record_id(F.concat_ws(" ", F.lit("response"), F.col(f"`{id_col}`").cast("string"), F.col(f"`{url_col}`"))).alias("record_id"), F.col(f"`{url_col}`").alias("target_uri"), F.lit(date).alias("warc_date"), headers.alias("http_headers"), html.alias("payload"))
+    headers = F.concat(F.lit("HTTP/1.1 "), line, F.lit("\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(html).cast("string"), F.lit("\r\n\r\n"))
+    name = [F.col(f"`{id_col}`").cast("string"), F.col(f"`{url_col}`"), at, line, F.sha2(F.col(f"`{html_col}`"), 256)]
+    return rows.select(F.col(f"`{id_col}`"), _record_id(*name).alias("record_id"), F.col(f"`{url_col}`").alias("target_uri"), at.alias("warc_date"), headers.alias("http_headers"), html.alias("payload"))
 
 
-def _record_id(name: Column) -> Column:
-    h = F.sha1(name)
-    parts = [F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(F.lit("a"), F.substring(h, 18, 3)), F.substring(h, 21, 12)]
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
+def _record_id(*parts: Column) -> Column:
+    """A version 5 UUID of the parts, each with its length or a mark of null."""
+    marked = [F.when(p.isNull(), "-").otherwise(F.concat(F.length(p).cast("string"), F.lit(":"), p)) for p in parts]
+    h = F.sha1(F.concat_ws(" ", F.lit("response"), *marked))
+    # the variant's two bits are 10, so its digit is one of 8, 9, a, b
+    variant = F.substring(F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab" * 4), 1, 1)
+    pieces = [F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12)]
+    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *pieces), F.lit(">"))
 
 
 def _child_id(source: str, kind: str) -> str:
@@ -88,10 +98,10 @@ def _resolved(base: str | None, link: str) -> str:
         return link
 
 
-def parse_headers(http_headers: str) -> tuple[str, dict[str, str]]:
-    """Status line and fields of an HTTP header block."""
+def parse_headers(http_headers: str) -> tuple[str, list[list[str]]]:
+    """Status line and (name, value) of each field of an HTTP header block, in order."""
     first, *rest = http_headers.split("\r\n") if http_headers else [""]
-    return first, {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in rest) if k.strip()}
+    return first, [[k.strip(), v.strip()] for k, _, v in (x.partition(":") for x in rest) if k.strip()]
 
 
 def derive(record_id: str, target: str | None, date: str | None, http_headers: str | None, payload: str | None) -> list[dict]:
