@@ -53,6 +53,15 @@ def test_log_ratio_equals_counting(spark, sf_dir, docs, texts):
         assert r.llr == pytest.approx(want[b].mean() if len(b) else 0.0, abs=1e-9) and r.kept == (not r.base_failed and r.llr >= quality.THRESHOLD)
 
 
+def test_trusted_ids(spark):
+    labels = spark.createDataFrame([("a", 1, 0), ("a", 0, 0), ("b", 1, None), ("c", 1, 1), (None, 1, 0), ("d", None, 0), ("e", 1, 0), ("e", 1, 0)], "doc_id string, quality int, toxic int").selectExpr("*", "1 as good")
+    assert quality.trusted_ids(labels, kind="string") == {"b", "e"} and len(quality.trusted_ids(labels, 1, "string")) == 1
+    words = " ".join(f"w{i % 70}" for i in range(60))
+    docs = spark.createDataFrame([("b", words), ("x", words + " y " * 5000), (None, words), ("z", None)], "doc_id string, text string")
+    rows = {r.doc_id: r for r in quality.score_documents(docs, labels).collect()}
+    assert rows["b"].llr > rows["x"].llr and not rows["z"].kept and rows[None].n_words == 60
+
+
 def test_verdicts_on_labels(spark, sf_dir):
     labels = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/labels.parquet").collect()}
     rows = [r for r in queries.op8_quality_rules(spark, sf_dir.replace("sf0.001", "sf0.01")).collect() if r.doc_id in labels and not r.base_failed]
