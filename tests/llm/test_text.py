@@ -9,6 +9,7 @@ import textwrap
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import fingerprints, html_text, licenses, pii, queries, warc
 
@@ -105,7 +106,16 @@ def test_dates_statuses_and_repeated_headers(spark):
 # Fingerprints
 
 
-def slow_level(names):
+M64 = (1 << 64) - 1
+
+
+def slow_mix(x):
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & M64
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & M64
+    return x ^ (x >> 31)
+
+
+def slow_level(names, level):
     """One level of the parsing, name by name."""
     runs = []
     for x in names:
@@ -113,7 +123,47 @@ def slow_level(names):
             runs[-1][1] += 1
         else:
             runs.append([x, 1])
-    return runs
+    names = []
+    for x, n in runs:
+        if n > 1:
+            x = slow_mix((x + n * 0x94D049BB133111EB) & M64)
+            x = x >> 32 | 1 << 21 if level == 1 else x
+        names.append(x)
+    labels = names
+    for _ in range(4):
+        tossed = []
+        for i, x in enumerate(labels):
+            differs = x ^ labels[i - 1] if i else 1
+            k = (differs & -differs).bit_length() - 1
+            tossed.append(2 * k + (x >> k & 1))
+        labels = tossed
+    starts = [0] + [i for i in range(2, len(labels)) if labels[i] > labels[i - 1] and (i + 1 == len(labels) or labels[i] > labels[i + 1])]
+    phrases = [names[a:b] for a, b in zip(starts, [*starts[1:], len(names)])]
+    out = []
+    for phrase in phrases:
+        total = len(phrase)
+        for k, x in enumerate(phrase):
+            v = (x + 1) * 0xBF58476D1CE4E5B9 & M64
+            v = (v ^ v >> 29) * pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) & M64
+            total += v
+        out.append(slow_mix(total & M64))
+    return out
+
+
+def slow_sketch(text):
+    names, kept = [ord(c) for c in text], set()
+    for level in range(1, fingerprints.LAST_LEVEL + 1):
+        names = slow_level(names, level) if names else []
+        if level >= fingerprints.FIRST_LEVEL:
+            kept |= {slow_mix(x) for x in names}
+    return sorted(kept)[: fingerprints.SKETCH]
+
+
+def test_parsing_equals_a_slow_one():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(a) for _ in range(rng.randint(0, 1500))) for a in ("ab", "aab c", "abcdefghijklmnop .", "é😀中a") for _ in range(12)] + ["", "a", "aa", "ab", "aba", "a" * 500, "ab" * 300]
+    for text, got in zip(texts, fingerprints.sketches(texts), strict=True):
+        assert got.tolist() == slow_sketch(text)
 
 
 def test_interior_phrases_do_not_depend_on_the_offset():
@@ -160,18 +210,36 @@ def check_fingerprints(found, ordered):
 
 @pytest.mark.parametrize("size", [20_000, 1 << 22])
 def test_fingerprints_of_a_table(docs, texts, size):
-    rows = fingerprints.fingerprint_documents(docs, bucket_bytes=size).collect()
-    check_fingerprints(rows, sorted((d, t or "") for d, t in texts.items()))
+    rows = fingerprints.fingerprint_documents(docs, range_bytes=size).collect()
+    check_fingerprints(rows, sorted((d, t or "") for d, t in texts.items()))  # no id twice
     assert np.mean([r.near_edited for r in rows]) > 0.25 > 0.1 > np.mean([r.near_next for r in rows])
 
 
+def in_order(df):
+    rows = df.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("h", F.xxhash64("t")).collect()
+    return [(r.doc_id, r.t) for r in sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or type(r.doc_id)(), r.h) if r.doc_id is not None else (False, 0, r.h))]
+
+
 def test_fingerprints_of_odd_rows(odd_docs, no_docs):
-    ordered = sorted(((r.doc_id, r.text or "") for r in odd_docs.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1].encode()))
     for size in (50, 1 << 22):
-        check_fingerprints(fingerprints.fingerprint_documents(odd_docs, bucket_bytes=size).collect(), ordered)
+        check_fingerprints(fingerprints.fingerprint_documents(odd_docs, range_bytes=size).collect(), in_order(odd_docs))
     assert fingerprints.fingerprint_documents(no_docs).count() == 0
 
 
+def test_skewed_repeated_and_named_ids_spread_over_tasks(spark):
+    rng = random.Random(6)
+    ids = [f"doc-{i}" for i in range(150)] + ["z"] * 100 + [None] * 250
+    rows = [(d, "one text of all " * 4 if d in ("z", None) else " ".join(rng.choice("ab cd ef gh ij".split()) for _ in range(20))) for d in ids]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(5)
+    out = fingerprints.fingerprint_documents(df, range_bytes=4000)
+    check_fingerprints(out.collect(), in_order(df))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 500 and max(sizes) < 60
+    wide = spark.createDataFrame([(1 << 60 if i == 0 else i % 7, f"t {i}") for i in range(90)], "doc_id bigint, text string")
+    check_fingerprints(fingerprints.fingerprint_documents(wide, range_bytes=600).collect(), in_order(wide))
+
+
 # Licenses
 
 WORD = re.compile(licenses.WORD)

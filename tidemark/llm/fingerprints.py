@@ -9,31 +9,37 @@ phrase starts depends on a few names around it only, so equal substrings get the
 same interior phrases whatever their offset. The fingerprint is a bottom-k sketch
 of the phrase names of levels 2 to 4; the likeness of two is their estimated Jaccard resemblance.
 
+Short texts have few names (one of twenty characters three to seven), so their likeness
+is coarse: texts of a few words that differ in one may have any likeness down to 0.
+
 Cases: a null text is empty; the empty text's fingerprint is the empty string,
-alike (1.0) only to another empty one; equal texts have equal fingerprints; rows
-are ordered by (id, text) with null ids first, so ties and repeated rows have a
-defined next row; extra columns are ignored; an empty table gives an empty result.
+alike (1.0) only to another empty one; equal texts have equal fingerprints; ids may be of
+any type that Spark can sort; rows are ordered by (id, hash of the text) with null ids
+first, so ties and repeated rows have a defined next row, and equal rows, however many,
+spread over tasks; texts of any length are parsed in one piece; extra columns are ignored;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions_for, slim
+from .common import Scratch, slim
 
 #: Names kept in a fingerprint; levels whose names count.
 SKETCH, FIRST_LEVEL, LAST_LEVEL = 96, 2, 4
 #: Characters parsed at a time.
 BATCH_CHARS = 1 << 20
-#: Bytes of a range of ids; at most so many cells are counted to find the ranges.
-BUCKET_BYTES, CELLS = 6 << 20, 1 << 16
-ARROW = {"bigint": pa.int64(), "int": pa.int32()}
+#: Bytes of text in a range of rows, about.
+RANGE_BYTES = 8 << 20
 
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Odd multipliers for the places in a phrase, which has far fewer than 64 names.
@@ -173,67 +179,98 @@ def _chunks(pairs: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield held
 
 
-def _ranges(rows: DataFrame, bucket_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with the range of ids they fall in, and for each range the first id of the one after it.
+def _key(row_id: object, text_hash: int, number: int) -> tuple:
+    """Sorts as the rows do: null ids first, then id, hash of the text and number of the row."""
+    return (row_id is not None, row_id, text_hash, number) if row_id is not None else (False, 0, text_hash, number)
 
-    Ids are counted in at most ``CELLS`` equal cells, and runs of cells of about
-    ``bucket_bytes`` make a range; only those counts reach the driver.
-    """
-    spark = rows.sparkSession
-    lo, hi = rows.agg(F.min("id"), F.max("id")).first()
-    step = max(1.0, (float(hi) - float(lo) + 1) / CELLS) if lo is not None else 1.0
-    cell = F.coalesce(F.floor((F.col("id").cast("double") - F.lit(float(lo or 0))) / step), F.lit(-1)).cast("long")
-    celled = rows.withColumn("cell", cell)
-    cells = sorted(celled.groupBy("cell").agg(F.sum(F.octet_length("text") + 64).alias("b"), F.min("id").alias("first")).collect())
-    bucket_of, heads, held = [], [], None
-    for c, n, first in cells:
-        if held is None or held + n > bucket_bytes:
-            heads.append((len(heads), first))
-            held = 0
-        held += n
-        bucket_of.append((c, len(heads) - 1))
-    table = spark.createDataFrame(bucket_of or [(0, 0)], "cell long, bucket long")
-    kind = rows.schema["id"].dataType.simpleString()
-    before = [((b - 1) % len(heads), b, first) for b, first in heads] or [(0, 0, None)]
-    return celled.join(F.broadcast(table), "cell").select("bucket", "id", "text"), spark.createDataFrame(before, f"to_bucket long, of_bucket long, first_id {kind}")
 
+def range_starts(rows: DataFrame, range_bytes: int) -> list[tuple]:
+    """Keys of the first row of each range of about ``range_bytes``, from (id, hash, number, bytes).
 
-def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    Only narrow rows are sorted; a key for each range reaches the driver.
+    """
+    with Scratch(rows.sparkSession) as scratch:
+        narrow = scratch.stored(rows.select("id", "hash", "number", (F.octet_length("text") + 64).alias("bytes")), "keys")
+        total = narrow.agg(F.sum("bytes")).first()[0] or 0
+        ranged = narrow.repartitionByRange(max(1, -(-total // (8 * range_bytes))), F.col("id").asc_nulls_first(), "hash", "number")
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = range_bytes
+            for batch in batches:
+                ends = np.cumsum(batch.column(3).to_numpy()) + held
+                before, at = ends - batch.column(3).to_numpy(), []
+                while (i := int(np.searchsorted(before, range_bytes))) < len(ends):
+                    at.append(i)
+                    ends, before = ends - before[i], before - before[i]
+                held = int(ends[-1]) if len(ends) else held
+                yield batch.take(pa.array(at, pa.int64())).select([0, 1, 2])
+
+        starts = ranged.sortWithinPartitions(F.col("id").asc_nulls_first(), "hash", "number").mapInArrow(cut, narrow.select("id", "hash", "number").schema)
+        return sorted(_key(*r) for r in starts.collect())
+
+
+def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Fingerprint every text and its edited text, and compare with both it and the next row.
 
-    Rows are dealt into ranges of (integer) ids of about ``bucket_bytes``; each
-    range also gets the first row of the range after it and is worked through in
-    order, so the text is shuffled once.
+    Rows are dealt into ranges of their order, of about ``range_bytes`` each; a range also
+    gets the first row of the one after it and is worked through in order, so the text is
+    shuffled once.
     """
-    rows = slim(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = slim(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).withColumns({"hash": F.xxhash64("text"), "number": F.monotonically_increasing_id()})
     kind = rows.schema["id"].dataType.simpleString()
-    placed, heads = _ranges(rows, bucket_bytes)
-    head_rows = placed.join(F.broadcast(heads), (F.col("bucket") == F.col("of_bucket")) & F.col("id").eqNullSafe(F.col("first_id")))
-    head_text = head_rows.groupBy("to_bucket").agg(F.min("text").alias("text"))
-    both = placed.withColumn("head", F.lit(False)).unionByName(head_text.select(F.col("to_bucket").alias("bucket"), F.lit(None).cast(kind).alias("id"), "text", F.lit(True).alias("head")))
+    starts = range_starts(rows, range_bytes) or [_key(None, 0, 0)]
+    shared = rows.sparkSession.sparkContext.broadcast(starts)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row with its range, and again, as its head, with the range before one that begins with such a row."""
+        keys, sent = shared.value, set()
+        heads: dict[tuple, list[int]] = {}
+        for i, key in enumerate(keys):
+            heads.setdefault(key[:3], []).append(i)
+        for batch in batches:
+            at, range_of, head = [], [], []
+            for i, (row_id, text_hash, number) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True)):
+                key = _key(row_id, text_hash, number)
+                at.append(i)
+                range_of.append(max(0, bisect_right(keys, key) - 1))
+                head.append(False)
+                # equal rows have equal texts, so one of them for each task will do
+                if key[:3] in heads and key[:3] not in sent:
+                    sent.add(key[:3])
+                    for k in heads[key[:3]]:
+                        at.append(i)
+                        range_of.append((k - 1) % len(keys))
+                        head.append(True)
+            rows_of = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(range_of, pa.int32()), pa.array(head, pa.bool_()), *rows_of.columns], names=["range", "head", "id", "text", "hash", "number"])
 
     def with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         """(id, text, next text); a range's rows come in order, then its head row."""
-        held = bucket = None
+        held = place = None
         for batch in batches:
-            for b, i, t, is_head in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                if b != bucket:
-                    bucket, held = b, None
+            for b, is_head, i, t in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if b != place:
+                    place, held = b, None
                 if held is not None:
                     yield *held, t
                 held = None if is_head else (i, t)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(with_next(batches)):
+        first = next(batches, None)
+        if first is None:
+            return
+        arrow_kind = first.column(2).type
+        for chunk in _chunks(with_next(chain([first], batches))):
             ids, texts, nexts = zip(*chunk, strict=True)
             changed = [edited(t, n) for t, n in zip(texts, nexts, strict=True)]
-            own, following, other = sketches([*texts]), None, sketches(changed)
+            own, other = sketches([*texts]), sketches(changed)
             # the next row is usually the next of the chunk
             odd = [i for i in range(len(texts)) if i + 1 == len(texts) or texts[i + 1] is not nexts[i]]
             spare = dict(zip(odd, sketches([nexts[i] for i in odd]), strict=True))
             following = [spare.get(i) if i in spare else own[i + 1] for i in range(len(texts))]
             yield pa.RecordBatch.from_pydict({
-                "id": pa.array(ids, ARROW[kind]), "n_chars": pa.array(map(len, texts), pa.int64()),
+                "id": pa.array(ids, arrow_kind), "n_chars": pa.array(map(len, texts), pa.int64()),
                 "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in changed],
                 "fingerprint": [encode(s) for s in own], "edited_fingerprint": [encode(s) for s in other],
                 "near_edited": [likeness(a, b) for a, b in zip(own, other, strict=True)],
@@ -241,6 +278,6 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
             })
 
     schema = f"id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    n = partitions_for(rows.sparkSession, heads.count())
-    dealt = both.repartition(n, "bucket").sortWithinPartitions("bucket", "head", F.col("id").asc_nulls_first(), "text")
-    return dealt.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    dealt = rows.mapInArrow(deal, f"range int, head boolean, id {kind}, text string, hash long, number long").repartitionById(len(starts), "range")
+    ordered = dealt.sortWithinPartitions("range", "head", F.col("id").asc_nulls_first(), "hash", "number").select("range", "head", "id", "text")
+    return ordered.mapInArrow(run, schema).withColumnRenamed("id", id_col)
