@@ -3,9 +3,12 @@
 import hashlib
 import html as entities
 import json
+import math
 import random
 import re
 import textwrap
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -350,6 +353,52 @@ def test_query_digest(spark, sf_dir, texts):
         assert r.n_email == sum(s.startswith("email") for s in want) and (r.spans or "").startswith(",".join(want))
 
 
+def brute_terms(texts):
+    """Term places by counting each pair of entity and term over different texts."""
+    texts = sorted({t or "" for t in texts})
+    words = {t: [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W_]+", t)] for t in texts}
+    base = {t: [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in brute_spans(t))] for t in texts}
+    entities = {}
+    for t in texts:
+        keys = set()
+        for kind, a, b in base[t]:
+            value = t[a:b].lower()
+            digits = re.sub("[^0-9]", "", value)
+            group = {"email": value.rpartition("@")[2], "ip": ".".join(value.split(".")[:2]), "card": digits[:6], "phone": digits[:4]}[kind]
+            keys |= {(kind, value), (kind, "in", group)}
+        entities[t] = keys
+    df_term = Counter(w for t in texts for w in {w for w, _, _ in words[t]})
+    df_entity = Counter(e for t in texts for e in entities[t])
+    co = Counter((e, w) for t in texts for e in entities[t] for w in {w for w, _, _ in words[t]})
+    n, out = len(texts), {}
+    for t in texts:
+        content = {e: math.log2(n / (df_entity[e] + pii.SMOOTH)) for e in entities[t]}
+        told = {w for w in {w for w, _, _ in words[t]} for e in entities[t] if content[e] > 0 and math.log2(co[e, w] * n / ((df_entity[e] + pii.SMOOTH) * (df_term[w] + pii.SMOOTH))) >= pii.DISCLOSURE * content[e]}
+        out[t] = [(a, b) for w, a, b in words[t] if w in told and not any(x < b and y > a for _, x, y in base[t])]
+    return out
+
+
+def test_terms_equal_counting(spark, docs, texts):
+    rng = random.Random(8)
+    rare = ["okapi", "zebra", "quokka", "tapir", "Lemur"]
+    more = [" ".join([rng.choice(rare), "writes", "mail", "to", f"p{rng.randint(0, 3)}@{rng.choice('ab')}.org", "and", rng.choice(rare), "10.0.0." + str(rng.randint(0, 2))]) for _ in range(30)]
+    cases = {**texts, **{10_000_000 + i: t for i, t in enumerate(more)}}
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(10_000_000 + i, t) for i, t in enumerate(more)], "doc_id bigint, text string"))
+    want, found = brute_terms(cases.values()), pii.find_spans(df).collect()
+    assert len(found) == len(cases) and sum(len(r.terms) for r in found) > 20
+    for r in found:
+        assert [(t.start, t.end) for t in r.terms] == want[cases[r.id] or ""], r.id
+
+
+def test_many_matches_in_one_text(spark):
+    parts = [f"u{i}@mail.example 中😀 okapi{i % 900}" for i in range(20_000)]
+    rows = [(0, " ".join(parts)), (1, "nothing here"), (2, None)] + [(3 + i, f"filler {i}") for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    start = time.time()
+    one = pii.redact(df).filter("doc_id = 0").first().text
+    assert time.time() - start < 60 and "@" not in one and one.count("[EMAIL]") == one.count("😀 okapi") + one.count("😀 [TERM]") == 20_000
+
+
 def test_disclosing_terms(spark):
     rows = [(i, f"number {i} the zebrafish lab writes to boss@lab.example about item{i} today") for i in range(5)]
     rows += [(100 + i, f"the quick text number {i} writes about today and other{i} things") for i in range(60)]

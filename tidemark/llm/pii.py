@@ -16,23 +16,29 @@ where its PMI could be high enough if the rarer of the two always stood with the
 other; entities of one text alone need no pairs, since each of the text's terms is
 seen once with all of them.
 
-Cases: a null text counts as empty; a null id is kept; repeated rows (same id and
-text) get the same spans; spans of different kinds may overlap and ``redact``
-joins overlapping ones; extra columns are ignored or, in ``redact``, kept; an
-empty table gives an empty result.
+Work on one text grows with its length and its matches, not with their product: spans
+are placed block by block, overlaps are found by windows over a text's spans, and
+``redact`` cuts its pieces from blocks of the text.
+
+Cases: a null text counts as empty; a null id is kept; texts and their matches may be of
+any number that fits a row; repeated rows (same id and text) get the same spans; spans of
+different kinds may overlap and ``redact`` joins overlapping ones, under the name of the
+first; extra columns are ignored or, in ``redact``, kept; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slim, stored
 
 DISCLOSURE, SMOOTH = 0.8, 1
-BLOCK = 256
+#: Matches placed in one fold, and characters of a text's blocks.
+BLOCK, PIECE = 256, 4096
 KINDS = ("email", "ip", "card", "phone", "term")
 NAMES = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
@@ -175,9 +181,17 @@ def disclosing(scanned: DataFrame, counts: DataFrame, n_texts: int, disclosure:
     known = pairs.groupBy("entity", "term").agg(F.count("*").alias("co"), F.first("df_entity").alias("df_entity"), F.first("df_term").alias("df_term"))
     strong = known.filter(passing(F.col("co"))).select("entity", "term")
     several = pairs.select("h", "entity", "term").join(strong, ["entity", "term"]).select("h", "term")
-    places = held.select("id", "h", "base", F.explode("words").alias("w")).select("id", "h", "base", "w.*")
-    hit = places.join(single.unionByName(several).distinct(), ["h", "term"])
-    clear = hit.filter(~F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))))
+    # no array of a text is carried along with each of its words
+    places = held.select("id", "h", F.explode("words").alias("w")).select("id", "h", "w.*")
+    told = single.unionByName(several).distinct()
+    hit = stored(places.join(told, ["h", "term"]), "hits")
+    # a place is clear if no base span that begins at or before it ends after its start, and the next one begins after its end
+    marked = hit.select("id", "h", "start", "end", F.lit(True).alias("term")).unionByName(held.select("id", "h", F.explode(F.col("base")).alias("s"), F.lit(False).alias("term")).select("id", "h", "s.start", "s.end", "term"))
+    # both windows grow from their first row: one that ends at the last row would be gone through anew for each
+    up, down = (Window.partitionBy("id", "h").orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow) for o in (("start", "term"), (F.desc("start"), F.desc("term"))))
+    ends = F.max(F.when(~F.col("term"), F.col("end"))).over(up)
+    begins = F.min(F.when(~F.col("term"), F.col("start"))).over(down)
+    clear = marked.withColumns({"ends": ends, "begins": begins}).filter("term AND coalesce(ends <= start, true) AND coalesce(begins >= end, true)")
     return clear.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
 
 
@@ -196,21 +210,33 @@ def listed(spans: Column, kind: Column | None = None) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"] if kind is None else kind, s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _without_overlaps(spans: DataFrame) -> DataFrame:
+    """(id, h, pieces) of rows with spans: each kept span's kind, where it starts, and where the text before it starts; then the end."""
+    every = F.concat(F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))), F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("term").alias("kind"))))
+    single = spans.filter((F.size("base") > 0) | (F.size("terms") > 0)).dropDuplicates(["id", "h"]).select("id", "h", F.explode(every).alias("s")).select("id", "h", "s.*")
+    order = Window.partitionBy("id", "h").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    before = single.withColumn("before", F.coalesce(F.max("end").over(order), F.lit(0)))
+    kept = F.collect_list(F.when(F.col("start") >= F.col("before"), F.struct("start", "before", "kind")))
+    return before.groupBy("id", "h").agg(F.array_sort(kept).alias("pieces"), F.max("end").alias("last"))
+
+
+def _from_blocks(blocks: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start`` to ``end`` of a text in blocks of ``PIECE``."""
+    first = F.floor(start / PIECE).cast("int")
+    n = F.ceil(end / PIECE).cast("int") - first
+    return F.when(end > start, F.substring(F.array_join(F.slice(blocks, first + 1, F.greatest(n, F.lit(1))), ""), start - first * PIECE + 1, end - start)).otherwise("")
+
+
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span of its text replaced by the general name of its kind."""
-    spans = find_spans(docs, id_col, text_col)
-    every = F.concat(F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))), F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("term").alias("kind"))))
-    hit = spans.filter((F.size("base") > 0) | (F.size("terms") > 0)).select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.array_sort(every).alias("__spans")).dropDuplicates(["__id", "__h"])
+    hit = _without_overlaps(find_spans(docs, id_col, text_col)).select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("pieces").alias("__pieces"), F.col("last").alias("__last"))
     text = F.col(f"`{text_col}`")
     keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(text, F.lit(""))))
     names = F.create_map(*[F.lit(x) for kv in NAMES.items() for x in kv])
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        out = F.when(fresh, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.element_at(names, s["kind"]))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("__spans", begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     joined = keyed.join(hit, (F.col("__key") == F.col("__h")) & F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left")
-    return joined.withColumn(text_col, F.when(F.col("__spans").isNotNull(), clean).otherwise(text)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    pieces = lambda x: F.array_join(F.transform(x["pieces"], lambda p: F.concat(_from_blocks(x["blocks"], p["before"], p["start"]), F.element_at(names, p["kind"]))), "")
+    # the blocks are made once for a text: they reach the lambdas as a variable
+    once = F.array(F.struct(blocks.alias("blocks"), F.col("__pieces").alias("pieces"), F.col("__last").alias("last"), F.length(text).alias("n")))
+    clean = F.element_at(F.transform(once, lambda x: F.concat(pieces(x), _from_blocks(x["blocks"], x["last"], x["n"]))), 1)
+    return joined.withColumn(text_col, F.when(F.col("__pieces").isNotNull(), clean).otherwise(text)).select(*(F.col(f"`{c}`") for c in docs.columns))
