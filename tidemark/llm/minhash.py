@@ -339,8 +339,8 @@ def near_duplicate_classes(texts: DataFrame, threshold: float = THRESHOLD, words
         crowded = scratch.stored(banded.join(shared, "band"), "bands")
         met = crowded.groupBy("tid").agg(F.sum("n").alias("degree"))
         roots = scratch.stored(met.select("tid", "degree", F.col("tid").alias("root")), "roots")
-        # copies go before the shuffle, so that no text has more rows in it than tasks
-        own = texts.groupBy("tid").agg(F.first("text").alias("text")).join(roots.select("tid"), "tid", "left_semi")
+        # copies go before the shuffle, so that no text has more rows in it than tasks; a semi-join would be moved before the grouping
+        own = texts.groupBy("tid").agg(F.first("text").alias("text")).join(roots.select("tid"), "tid")
         bags = scratch.stored(_bags(own, words), "bags")
         for k in range(rounds + 1):
             placed = crowded.select("band", "tid", "size").join(roots, "tid")
