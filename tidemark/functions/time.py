@@ -19,7 +19,7 @@ OPENING_AUCTION, CLOSING_AUCTION = (9 * 60, 9 * 60 + 15), (14 * 60 + 30, 14 * 60
 
 #: Canonical candle widths.
 WIDTHS = {"1min": "1 minute", "3min": "3 minutes", "5min": "5 minutes", "15min": "15 minutes", "30min": "30 minutes", "1H": "1 hour", "1D": "1 day", "1W": "1 week"}
-#: Accepted spellings of each width.
+#: Accepted spellings of each width, by length of the width (a bare number is minutes).
 SPELLINGS = {"1": "1min", "1min": "1min", "3": "3min", "3min": "3min", "5": "5min", "5min": "5min", "15": "15min", "15min": "15min", "30": "30min", "30min": "30min", "60": "1H", "1h": "1H", "1H": "1H", "d": "1D", "D": "1D", "1d": "1D", "1D": "1D", "w": "1W", "W": "1W", "1w": "1W", "1W": "1W"}
 
 

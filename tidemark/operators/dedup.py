@@ -23,14 +23,22 @@ def first_occurrences(rows: DataFrame, fingerprint: dict[str, Column], order: li
     return keyed.withColumn("__rank", rank).filter("__rank = 1").select(*rows.columns)
 
 
-def new_rows(incoming: DataFrame, stored: DataFrame, fingerprint: dict[str, Column], order: list[str], ts: str = "exchange_ts") -> DataFrame:
+def new_rows(incoming: DataFrame, stored: DataFrame, fingerprint: dict[str, Column], order: list[str], ts: str = "exchange_ts", by: str | None = None) -> DataFrame:
     """Incoming rows, each fingerprint once, that are not stored yet.
 
-    Only the stored side's range of times that comes in is read; nulls equal each other.
+    The incoming side's first and last time are looked up (one row), so that the stored
+    side is read with plain bounds, which reach its files; ``by`` names a column of stored
+    dates of these times, whose partitions are then pruned as well. Nulls equal each other.
     """
     once = first_occurrences(incoming, fingerprint, order).withColumns({f"__{k}": c for k, c in fingerprint.items()})
-    span = incoming.agg(F.date_trunc("second", F.min(ts)).alias("lo"), F.max(ts).alias("hi"))
-    near = stored.join(F.broadcast(span), (F.col(ts) >= F.col("lo")) & (F.col(ts) <= F.col("hi") + F.expr("INTERVAL 1 SECOND")))
+    low, high = incoming.agg(F.date_trunc("second", F.min(ts)), F.max(ts)).first()
+    if low is None:
+        return once.select(*incoming.columns)
+    kind = incoming.schema[ts].dataType.simpleString()
+    low, high = F.lit(low).cast(kind), F.lit(high).cast(kind) + F.expr("INTERVAL 1 SECOND")
+    near = stored.filter((F.col(ts) >= low) & (F.col(ts) <= high))
+    if by:
+        near = near.filter((F.col(by) >= low.cast("date")) & (F.col(by) <= high.cast("date")))
     known = near.select(*(c.alias(f"__s_{k}") for k, c in fingerprint.items())).distinct()
     match = F.lit(True)
     for k in fingerprint:

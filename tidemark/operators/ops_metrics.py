@@ -86,4 +86,4 @@ def active_counts(instruments: DataFrame, secdef: DataFrame, as_of: Column) -> D
 
 def within_retention(ranges: DataFrame, policy: DataFrame, as_of: Column, start: str = "range_start") -> DataFrame:
     """Ranges whose start a target still keeps, by each target's days."""
-    return ranges.join(F.broadcast(policy), "target").filter(F.col(start) >= as_of - F.make_dt_interval(days=F.col("keep_days"))).drop("keep_days")
+    return ranges.join(policy, "target").filter(F.col(start) >= as_of - F.make_dt_interval(days=F.col("keep_days"))).drop("keep_days")

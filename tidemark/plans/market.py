@@ -301,10 +301,10 @@ def table_health(spark, sf_dir):
 
 # Deduplication
 
-@query(V.with_views(("dup_trades",), "SELECT event_id, copy FROM (SELECT *, row_number() OVER (PARTITION BY symbol, epoch_us(exchange_ts) // 1000, round(price, 4), quantity, side ORDER BY event_id, copy) AS rn FROM dup_trades WHERE event_id % 2 = 0) i WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM ticks s WHERE s.event_id % 6 = 0 AND s.symbol = i.symbol AND epoch_us(s.exchange_ts) // 1000 = epoch_us(i.exchange_ts) // 1000 AND round(s.price, 4) = round(i.price, 4) AND s.quantity = i.quantity AND s.side = i.side)"))
+@query(V.with_views(("dup_trades",), "SELECT event_id, copy FROM (SELECT *, row_number() OVER (PARTITION BY symbol, epoch_us(exchange_ts) // 1000, round(price, 4), quantity, side ORDER BY event_id, copy) AS rn FROM dup_trades) i WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM ticks s WHERE s.event_id % 6 = 0 AND s.symbol = i.symbol AND epoch_us(s.exchange_ts) // 1000 = epoch_us(i.exchange_ts) // 1000 AND round(s.price, 4) = round(i.price, 4) AND s.quantity = i.quantity AND s.side = i.side)"))
 def dedup_trades(spark, sf_dir):
     """Incoming trades against stored ones."""
-    incoming = V.dup_trades(spark, sf_dir).filter("event_id % 2 = 0")
+    incoming = V.dup_trades(spark, sf_dir)
     stored = V.ticks(spark, sf_dir).filter("event_id % 6 = 0")
     return dedup.new_rows(incoming, stored, dedup.trade_fingerprint(), ["event_id", "copy"]).select("event_id", "copy")
 
@@ -317,12 +317,12 @@ def dedup_quotes_null(spark, sf_dir):
     return dedup.first_occurrences(q, dedup.quote_fingerprint(), ["event_id"]).select("event_id")
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber <= 3 EXCEPT SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R') GROUP BY ALL")
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem EXCEPT SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R') GROUP BY ALL")
 def dedup_bars(spark, sf_dir):
     """Keyed rows that are not stored yet."""
     rows = V.table(spark, sf_dir, "lineitem")
     keys = ("l_orderkey", "l_linenumber")
-    fresh = dedup.new_bars(rows.filter("l_linenumber <= 3"), rows.filter("l_returnflag = 'R'"), keys)
+    fresh = dedup.new_bars(rows, rows.filter("l_returnflag = 'R'"), keys)
     return fresh.groupBy(*keys).agg(F.count("*").alias("n"))
 
 

@@ -85,9 +85,11 @@ def route(raw: DataFrame, normalize: Callable[[DataFrame], DataFrame], boards: l
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
-        sinks.overwrite_partitions(batch.withColumn("batch_id", F.lit(number)), bronze, ["batch_id", "date"])
-        sinks.overwrite_partitions(filter_boards(batch, boards).withColumn("batch_id", F.lit(number)), serving, ["batch_id"])
-        batch.unpersist()
+        try:
+            sinks.overwrite_partitions(batch.withColumn("batch_id", F.lit(number)), bronze, ["batch_id", "date"])
+            sinks.overwrite_partitions(filter_boards(batch, boards).withColumn("batch_id", F.lit(number)), serving, ["batch_id"])
+        finally:
+            batch.unpersist()
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
