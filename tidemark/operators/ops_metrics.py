@@ -8,30 +8,37 @@ from pyspark.sql import functions as F
 from ..functions.time import MARKET_TZ, local_time
 
 
-def _duration_s(start: str = "start_date", end: str = "end_date") -> Column:
-    return (F.unix_micros(F.col(end).cast("timestamp")) - F.unix_micros(F.col(start).cast("timestamp"))) / 1000000
+def _duration_us(start: str = "start_date", end: str = "end_date") -> Column:
+    return F.unix_micros(F.col(end).cast("timestamp")) - F.unix_micros(F.col(start).cast("timestamp"))
 
 
-def _half_up(value: Column, places: int) -> Column:
-    """Rounded as the decimal number would be: a tie goes up though the double lies just below it."""
-    return F.round(value + 1e-9, places)
+def _quotient(total: Column, parts: Column, places: int) -> Column:
+    """Whole total / whole parts, rounded half away from zero in integers, so that ties don't hang on a double."""
+    up = 10**places
+    whole = F.call_function("div", F.abs(total) * (2 * up) + parts, parts * 2)
+    return F.signum(total) * whole / up
+
+
+def _mean_of(value: Column, unit: int, places: int) -> Column:
+    """The mean of whole values in units of so many, rounded."""
+    return _quotient(F.sum(value), F.count(value) * unit, places)
 
 
 def run_history(runs: DataFrame, as_of: Column, hours: int = 24, keys: tuple[str, ...] = ("dag_id", "state")) -> DataFrame:
     """Runs started in the last hours by job and state: count, last end, mean seconds."""
     recent = runs.filter((F.col("start_date") >= as_of - F.make_dt_interval(hours=F.lit(hours))) & (F.col("start_date") <= as_of))
-    return recent.groupBy(*keys).agg(F.count("*").alias("n"), F.max("end_date").alias("last_end"), _half_up(F.avg(_duration_s()), 1).alias("avg_s"))
+    return recent.groupBy(*keys).agg(F.count("*").alias("n"), F.max("end_date").alias("last_end"), _mean_of(_duration_us(), 1000000, 1).alias("avg_s"))
 
 
 def task_history(runs: DataFrame, as_of: Column, days: int = 7, keys: tuple[str, ...] = ("dag_id", "task_id", "state")) -> DataFrame:
     """Count, mean and longest minutes of the last days by job, task and state."""
     recent = runs.filter((F.col("start_date") >= as_of - F.make_dt_interval(days=F.lit(days))) & (F.col("start_date") <= as_of))
-    return recent.groupBy(*keys).agg(F.count("*").alias("n"), _half_up(F.avg(_duration_s()) / 60, 2).alias("avg_min"), _half_up(F.max(_duration_s()) / 60, 2).alias("max_min"))
+    return recent.groupBy(*keys).agg(F.count("*").alias("n"), _mean_of(_duration_us(), 60000000, 2).alias("avg_min"), _quotient(F.max(_duration_us()), F.lit(60000000).cast("long"), 2).alias("max_min"))
 
 
 def hourly_duration(runs: DataFrame, state: str = "success", keys: tuple[str, ...] = ("dag_id",)) -> DataFrame:
     hour = F.date_trunc("hour", "start_date").cast("timestamp_ntz")
-    return runs.filter(F.col("state") == state).groupBy(*keys, hour.alias("hour")).agg(_half_up(F.avg(_duration_s()), 1).alias("avg_s"))
+    return runs.filter(F.col("state") == state).groupBy(*keys, hour.alias("hour")).agg(_mean_of(_duration_us(), 1000000, 1).alias("avg_s"))
 
 
 def runs_on_day(runs: DataFrame, as_of: Column, state: str = "success", tz: str = MARKET_TZ) -> DataFrame:
@@ -50,7 +57,7 @@ def service_metrics(counts: DataFrame, keys: tuple[str, ...] = ("service_name",)
     ``counts`` has messages, errors, reconnects and lag of a service over ``elapsed_s``.
     """
     per = counts.groupBy(*keys, F.window(ts, window)["start"].alias("ts"), "label").agg(F.sum("messages").alias("m"), F.sum("errors").alias("error_count"), F.sum("reconnects").alias("reconnects"), F.max("lag").alias("lag"), F.sum("elapsed_s").alias("s"))
-    rate = per.withColumn("msg_rate", _half_up(F.col("m") / F.greatest("s", F.lit(1)), 4))
+    rate = per.withColumn("msg_rate", _quotient(F.col("m"), F.greatest("s", F.lit(1)), 4))
     number = lambda c: F.col(c).cast("double")
     return rate.select("ts", *keys, "label", F.explode(F.create_map(*[x for n in ("msg_rate", "error_count", "reconnects", "lag") for x in (F.lit(n), number(n))])).alias("metric_name", "metric_value")).filter(F.col("metric_value").isNotNull())
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.time import MARKET_TZ, is_auction_time, local_time, minute_of_day, session_start, trading_date
 
@@ -52,16 +56,21 @@ def _in_session(ts: str, tz: str) -> Column:
 def tick_gaps(rows: DataFrame, seconds: int = TICK_GAP_S, ts: str = "exchange_ts", tz: str = MARKET_TZ, by_session: bool = False, keys: list[str] | None = None) -> DataFrame:
     """Gaps between neighbouring ticks within a local day (or session) longer than ``seconds``.
 
-    Days are partitions of their own; with ``by_session`` the lunch break is no gap.
+    With ``by_session`` the lunch break is no gap. Neighbours are found within each hour,
+    and only the first and last tick of an hour are put in one order over a day, so that
+    a busy day of all symbols is not sorted by one task.
     """
     inside = rows.filter(_in_session(ts, tz)).withColumn("day", trading_date(ts, tz))
     parts = [*(keys or []), "day"]
     if by_session:
         inside, parts = inside.withColumn("session", F.when(minute_of_day(local_time(ts, tz)) < 720, "AM").otherwise("PM")), [*parts, "session"]
-    before = F.lag(ts).over(Window.partitionBy(*parts).orderBy(ts))
-    gapped = inside.withColumn("gap_start", before).filter(F.col("gap_start").isNotNull())
-    length = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("gap_start").cast("timestamp"))) / 1000000
-    return gapped.select(*parts, "gap_start", F.col(ts).alias("gap_end"), length.alias("gap_s")).filter(F.col("gap_s") > seconds)
+    cell = F.date_trunc("hour", F.col(ts))
+    within = inside.select(*parts, F.lag(ts).over(Window.partitionBy(*parts, cell).orderBy(ts)).alias("gap_start"), F.col(ts).alias("gap_end"))
+    ends = inside.groupBy(*parts, cell.alias("__cell")).agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    between = ends.select(*parts, F.lag("hi").over(Window.partitionBy(*parts).orderBy("__cell")).alias("gap_start"), F.col("lo").alias("gap_end"))
+    both = within.unionByName(between).filter(F.col("gap_start").isNotNull())
+    length = (F.unix_micros(F.col("gap_end").cast("timestamp")) - F.unix_micros(F.col("gap_start").cast("timestamp"))) / 1000000
+    return both.withColumn("gap_s", length).filter(F.col("gap_s") > seconds)
 
 
 def market_gaps(rows: DataFrame, seconds: int = TICK_GAP_S, ts: str = "exchange_ts", tz: str = MARKET_TZ) -> DataFrame:
@@ -137,18 +146,43 @@ def alert_transitions(states: DataFrame, keys: list[str] = ("key",), ts: str = "
     """FIRE and RECOVER events of each key from its check results in order.
 
     A key that fires while inactive becomes active. An ok result ends that, if the key
-    never recovered or its last recovery is at least the cooldown ago. A fold over
-    the results of one key (checks run every minute or so, a few hundred a day).
+    never recovered or its last recovery is at least the cooldown ago. At equal times ok
+    comes before firing; results without a time or an outcome are left out.
+
+    Results that can't be events go first: a firing one right after another, and an ok
+    one whose predecessor is ok and a cooldown or more after the start of the last
+    firing, as the key has recovered by then. What is left is folded as a sorted stream
+    that holds two values of one key, so a long history needs no memory.
     """
-    ordered = states.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.col(ts).alias("ts"), F.col(firing).alias("firing")))).alias("rows"))
-    kind = f"array<struct<ts:{states.schema[ts].dataType.simpleString()},event:string>>"
-    begin = F.struct(F.lit(False).alias("active"), F.lit(None).cast("bigint").alias("recovered"), F.array().cast(kind).alias("out"))
-
-    def step(acc: Column, r: Column) -> Column:
-        fire = r["firing"] & ~acc["active"]
-        recover = ~r["firing"] & acc["active"] & (acc["recovered"].isNull() | (r["us"] - acc["recovered"] >= cooldown_s * 1000000))
-        event = F.when(fire, "FIRE").when(recover, "RECOVER")
-        out = F.when(event.isNotNull(), F.concat(acc["out"], F.array(F.struct(r["ts"].alias("ts"), event.alias("event"))))).otherwise(acc["out"])
-        return F.struct((fire | (acc["active"] & ~recover)).alias("active"), F.when(recover, r["us"]).otherwise(acc["recovered"]).alias("recovered"), out.alias("out"))
-
-    return ordered.select(*keys, F.explode(F.aggregate("rows", begin, step, lambda acc: acc["out"])).alias("e")).select(*keys, "e.ts", "e.event")
+    keys, wait = list(keys), cooldown_s * 1000000
+    rows = states.filter(F.col(ts).isNotNull() & F.col(firing).isNotNull())
+    rows = rows.select(*keys, F.col(ts).alias("ts"), F.col(firing).alias("__on"), F.unix_micros(F.col(ts).cast("timestamp")).alias("__us"))
+    order = Window.partitionBy(*keys).orderBy("__us", "__on")
+    rows = rows.withColumns({"__was": F.lag("__on").over(order), "__before": F.lag("__us").over(order)})
+    began = F.max(F.when(F.col("__on") & ~F.coalesce("__was", F.lit(False)), F.col("__us"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("__began", began)
+    idle = F.col("__began").isNull() | (~F.col("__was") & (F.col("__before") >= F.col("__began") + wait))
+    rows = rows.filter(F.when(F.col("__on"), ~F.coalesce("__was", F.lit(False))).otherwise(~idle)).drop("__was", "__before", "__began")
+    out = StructType([*(states.schema[k] for k in keys), StructField("ts", states.schema[ts].dataType), StructField("event", StringType())])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, active, recovered = None, False, None
+        for batch in batches:
+            names = list(zip(*(batch.column(i).to_pylist() for i in range(len(keys))), strict=True)) if keys else [()] * batch.num_rows
+            at, events = [], []
+            for i, (key, on, us) in enumerate(zip(names, batch.column("__on").to_pylist(), batch.column("__us").to_pylist(), strict=True)):
+                if key != last:
+                    last, active, recovered = key, False, None
+                if on and not active:
+                    active = True
+                    at.append(i)
+                    events.append("FIRE")
+                elif not on and active and (recovered is None or us - recovered >= wait):
+                    active, recovered = False, us
+                    at.append(i)
+                    events.append("RECOVER")
+            taken = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(taken.column(i) for i in range(len(keys) + 1)), pa.array(events, pa.string())], names=[*keys, "ts", "event"])
+
+    dealt = rows.repartition(*keys) if keys else rows.coalesce(1)
+    return dealt.sortWithinPartitions(*keys, "__us", "__on").mapInArrow(fold, out)

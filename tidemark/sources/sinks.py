@@ -37,9 +37,9 @@ def _drop(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
-def append_partitioned(df: DataFrame, path: str, by: list[str], merge_schema: bool = True) -> None:
-    """Append; an empty frame writes nothing, new columns are merged on reading."""
-    df.write.mode("append").partitionBy(*by).option("mergeSchema", str(merge_schema).lower()).parquet(path)
+def append_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
+    """Append; an empty frame writes nothing. Readers merge new columns (``mergeSchema``)."""
+    df.write.mode("append").partitionBy(*by).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
@@ -81,13 +81,29 @@ def insert_absent(df: DataFrame, path: str, keys: list[str], by: list[str]) -> N
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """The whole table anew; an empty frame is refused."""
+    """The whole table anew; an empty frame is refused.
+
+    The new files are complete before the old folder is moved aside, and the old one
+    comes back if the new one can't take its place.
+    """
+    spark = df.sparkSession
     staged, where = _staged(df, path)
     if staged.isEmpty():
-        _drop(df.sparkSession, where)
+        _drop(spark, where)
         raise ValueError("an empty frame would clear the table")
-    staged.write.mode("overwrite").parquet(path)
-    _drop(df.sparkSession, where)
+    fs, place = _fs(spark, path)
+    aside = _fs(spark, f"{path.rstrip('/')}_old_{uuid.uuid4().hex}")[1]
+    had = fs.exists(place)
+    if had and not fs.rename(place, aside):
+        _drop(spark, where)
+        raise OSError(f"{path} can't be moved")
+    if not fs.rename(_fs(spark, where)[1], place):
+        if had:
+            fs.rename(aside, place)
+        raise OSError(f"{where} can't take the place of {path}")
+    if had:
+        fs.delete(aside, True)
+    spark.catalog.refreshByPath(path)
 
 
 def daily_snapshot(df: DataFrame, path: str, day: str) -> None:
@@ -95,12 +111,19 @@ def daily_snapshot(df: DataFrame, path: str, day: str) -> None:
     overwrite_partitions(df.withColumn("date", F.lit(day)), path, ["date"])
 
 
-def archive_day(messages: DataFrame, path: str, epoch_columns: list[str], ts: str, tz: str) -> None:
-    """Replayed records to bronze: epoch milliseconds to times, date stamp, append."""
+def archive_day(messages: DataFrame, path: str, epoch_columns: list[str], ts: str, tz: str, keys: list[str] | None = None) -> None:
+    """Replayed records to bronze: epoch milliseconds to times, date stamp, append.
+
+    With ``keys`` (such as topic, partition and offset) records that are there already
+    are left out, so that a day may be archived again.
+    """
     from ..functions.normalize import epoch_columns as to_times
 
-    timed = to_times(messages, *epoch_columns)
-    append_partitioned(timed.withColumn("date", partition_stamp(ts, tz)), path, ["date"])
+    timed = to_times(messages, *epoch_columns).withColumn("date", partition_stamp(ts, tz))
+    if keys:
+        insert_absent(timed.dropDuplicates(keys), path, keys, ["date"])
+    else:
+        append_partitioned(timed, path, ["date"])
 
 
 def compact(spark: SparkSession, path: str, day: str, cluster: str = "symbol", order: str = "exchange_ts", files: int = 8) -> None:
@@ -131,9 +154,8 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
 
 def pending(ranges: DataFrame, ledger: DataFrame, keys: tuple[str, ...] = ("symbol", "data_type", "range_start", "range_end")) -> DataFrame:
     """Ranges that the ledger does not have as done, with the token to resume from."""
-    open_ = ranges.join(ledger.filter("done").select(*keys).distinct(), list(keys), "left_anti")
-    last = ledger.groupBy(*keys).agg(F.max_by("next_token", "page").alias("resume_token"), F.max("page").alias("last_page"))
-    return open_.join(last, list(keys), "left")
+    last = ledger.groupBy(*keys).agg(F.max_by("next_token", "page").alias("resume_token"), F.max("page").alias("last_page"), F.max("done").alias("__done"))
+    return ranges.join(last, list(keys), "left").filter(~F.coalesce("__done", F.lit(False))).drop("__done")
 
 
 def clear_overlapping(ledger: DataFrame, ranges: DataFrame, keys: tuple[str, ...] = ("symbol", "data_type")) -> DataFrame:
