@@ -6,9 +6,14 @@ set off by an empty line, list items with their markers and indents, and tables
 with cells padded into columns. All visible text is kept; there is no guess at
 a "main" part.
 
-Cases: null or empty html gives empty text; broken markup (stray or missing end
+Text of an invisible element goes, that of a visible one inside it stays. Lists
+count from ``start`` and ``value``; cells over several rows keep their columns.
+
+Cases: null or empty html gives empty text; null ids stay null; an empty table of
+pages gives an empty result; broken markup (stray or missing end
 tags, unclosed comments and scripts) is closed as browsers do; markup without
 any tag is text; repeated rows give repeated results; extra columns are ignored.
+Very long pages and tables are laid out whole, within one page's memory.
 Nesting is held in lists, so very deep pages need no recursion.
 """
 
@@ -54,7 +59,10 @@ _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SLASHED = re.compile(r"=\s*[^\s\"'>=]*/\Z")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
-_NONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_NONE = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+#: Kinds of input that show their value.
+SHOWN_INPUTS = frozenset("button email number reset search submit tel text url".split())
 
 
 def tokens(html: str) -> Iterator[tuple[str, str, str]]:
@@ -100,15 +108,29 @@ def attributes(attrs: str) -> dict[str, str]:
 
 
 def hidden(name: str, attrs: str) -> bool:
-    """Whether an element and all below it stay out of sight."""
+    """Whether an element and all below it take no part in the layout."""
     if name in HIDDEN:
         return True
-    if not attrs or "hid" not in attrs.lower() and "none" not in attrs.lower() and "collapse" not in attrs.lower():
+    if not attrs or "hid" not in attrs.lower() and "none" not in attrs.lower():
         return False
     found = attributes(attrs)
     return "hidden" in found or bool(_NONE.search(found.get("style", ""))) or name == "input" and found.get("type", "").lower() == "hidden"
 
 
+def veil(attrs: str, before: bool) -> bool:
+    """Whether an element's own text is invisible: it inherits that unless its style says otherwise."""
+    if "visib" not in attrs.lower():
+        return before
+    said = _VISIBILITY.findall(attributes(attrs).get("style", ""))
+    return said[-1].lower() != "visible" if said else before
+
+
+def whole(text: str, default: int) -> int:
+    """The whole number that an attribute starts with."""
+    m = re.match(r"\s*([+-]?\d{1,9})", text)
+    return int(m[1]) if m else default
+
+
 class Flow:
     """Lines of one block container: the page or a table cell."""
 
@@ -167,32 +189,55 @@ def width_of(text: str) -> int:
     return len(text) if text.isascii() else sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
-def table_lines(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of (cell lines, column span) as lines with aligned columns."""
-    widths: list[int] = []
+def table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """Rows of (cell lines, columns, rows) as lines with aligned columns.
+
+    A cell stands in the first of its rows; in the others its columns stay empty. Where
+    a cell over several columns is wider than they are, the last of them grows.
+    """
+    held: dict[int, int] = {}  # column -> rows that a cell from above still covers
+    placed: list[list[tuple[list[str], int, int]]] = []
     for row in rows:
-        at = 0
-        for lines, span in row:
-            widths.extend([0] * (at + span - len(widths)))
-            if span == 1:
-                widths[at] = max(widths[at], max(map(width_of, lines), default=0))
+        at, out, new = 0, [], {}
+        for lines, span, down in row:
+            while at in held:
+                out.append(([], at, 1))
+                at += 1
+            out.append((lines, at, span))
+            if down > 1:
+                new.update((c, down) for c in range(at, at + span))
             at += span
+        out.extend(([], c, 1) for c in range(at, max(held, default=-1) + 1))
+        placed.append(out)
+        held = {c: n - 1 for c, n in (held | new).items() if n > 1}
+    widths = [0] * max((at + span for row in placed for _, at, span in row), default=0)
+    for row in placed:
+        for lines, at, span in row:
+            if span == 1 and lines:
+                widths[at] = max(widths[at], max(map(width_of, lines)))
+    for row in placed:
+        for lines, at, span in row:
+            if span > 1 and lines:
+                widths[at + span - 1] += max(0, max(map(width_of, lines)) - sum(widths[at : at + span]) - 3 * (span - 1))
     out = []
-    for row in rows:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            at, parts = 0, []
-            for lines, span in row:
+    for row in placed:
+        for k in range(max((len(lines) for lines, _, _ in row), default=0)):
+            parts = []
+            for lines, at, span in row:
                 cell = lines[k] if k < len(lines) else ""
                 wide = sum(widths[at : at + span]) + 3 * (span - 1)
                 parts.append(cell + " " * max(0, wide - width_of(cell)))
-                at += span
             out.append(" | ".join(parts).rstrip())
     return out
 
 
-def _span(attrs: str) -> int:
-    m = re.search(r"colspan\s*=\s*[\"']?\s*(\d{1,4})", attrs, re.I)
-    return min(1000, max(1, int(m[1]))) if m else 1
+def _spans(attrs: str) -> tuple[int, int]:
+    """Columns and rows of a cell, within HTML's limits; 0 rows reach to the end."""
+    if "span" not in attrs.lower():
+        return 1, 1
+    found = attributes(attrs)
+    down = whole(found.get("rowspan", ""), 1)
+    return min(1000, max(1, whole(found.get("colspan", ""), 1))), 65534 if down == 0 else min(65534, max(1, down))
 
 
 def render(html: str | None) -> str:
@@ -203,15 +248,16 @@ def render(html: str | None) -> str:
 def layout(found: Iterable[tuple[str, str, str]]) -> str:
     """The laid-out text of a page's tokens."""
     flow = Flow()
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, bool, bool]] = []  # name, hidden, whether text was invisible before
     open_names: dict[str, int] = {}
     lists: list[list] = []  # kind, counter
     tables: list[dict] = []
     unseen = pre = 0
+    veiled = False
 
     def leave() -> None:
-        nonlocal flow, unseen, pre
-        name, is_hidden = stack.pop()
+        nonlocal flow, unseen, pre, veiled
+        name, is_hidden, veiled = stack.pop()
         open_names[name] -= 1
         if is_hidden:
             unseen -= 1
@@ -219,11 +265,11 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
         if unseen:
             return
         if name in ("td", "th") and tables and tables[-1]["cell"] is not None:
-            outer, span = tables[-1]["cell"]
+            outer, span, down = tables[-1]["cell"]
             tables[-1]["cell"] = None
             if not tables[-1]["rows"]:
                 tables[-1]["rows"].append([])
-            tables[-1]["rows"][-1].append((flow.result(), span))
+            tables[-1]["rows"][-1].append((flow.result(), span, down))
             flow = outer
         elif name == "table" and tables:
             done = tables.pop()
@@ -238,7 +284,10 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
         elif name == "pre":
             pre -= 1
             flow.block(1)
-        elif name == "text" and open_names.get("svg"):
+        elif name == "li":
+            flow.block(0)
+            flow.marker = ""
+        elif name == "button" or name == "text" and open_names.get("svg"):
             flow.text(" ", False)
         elif name in BLOCK:
             flow.block(1 if name in PARAGRAPH else 0)
@@ -262,7 +311,7 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
             while stack and stack[-1][0] == "head":
                 leave()
         if kind == "text":
-            if not unseen:
+            if not unseen and not veiled:
                 if open_names.get("svg") and not any(open_names.get(x) for x in DRAWN):
                     continue
                 if tables and tables[-1]["cell"] is None and not name.strip():
@@ -283,7 +332,7 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
                 continue
             gone = hidden(name, attrs) or bool(foreign) and name in UNDRAWN
             if name in VOID:
-                if unseen or gone:
+                if unseen or gone or veil(attrs, veiled):
                     continue
                 if name == "br":
                     flow.close(True)
@@ -293,8 +342,13 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
                     alt = attributes(attrs).get("alt", "")
                     if alt.strip():
                         flow.text(alt, False)
+                elif name == "input" and "value" in attrs.lower():
+                    own = attributes(attrs)
+                    if own.get("type", "text").lower() in SHOWN_INPUTS:
+                        flow.text(f" {own.get('value', '')} ", False)
                 continue
-            stack.append((name, gone))
+            stack.append((name, gone, veiled))
+            veiled = veil(attrs, veiled)
             open_names[name] = open_names.get(name, 0) + 1
             if gone:
                 unseen += 1
@@ -306,20 +360,20 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
             elif name == "tr" and tables and tables[-1]["cell"] is None:
                 tables[-1]["rows"].append([])
             elif name in ("td", "th") and tables and tables[-1]["cell"] is None:
-                tables[-1]["cell"] = (flow, _span(attrs))
+                tables[-1]["cell"] = (flow, *_spans(attrs))
                 flow = Flow()
             elif name in ("ul", "ol", "menu"):
                 flow.block(0 if lists else 1)
-                lists.append([name, 0])
+                lists.append([name, whole(attributes(attrs).get("start", ""), 1) - 1 if attrs else 0])
                 flow.indent = len(lists)
             elif name == "li":
                 flow.block(0)
                 if lists:
-                    lists[-1][1] += 1
-                    flow.marker = f"{lists[-1][1]}. " if lists[-1][0] == "ol" else "* "
+                    lists[-1][1] = whole(attributes(attrs).get("value", "") if attrs else "", lists[-1][1] + 1)
+                    flow.marker = "" if veiled else f"{lists[-1][1]}. " if lists[-1][0] == "ol" else "* "
                 else:
-                    flow.marker = "* "
-            elif name == "text" and foreign:
+                    flow.marker = "" if veiled else "* "
+            elif name == "button" or name == "text" and foreign:
                 flow.text(" ", False)
             elif name == "pre":
                 flow.block(1)
