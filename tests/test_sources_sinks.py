@@ -95,6 +95,13 @@ def test_archive_of_a_day(spark, tmp_path):
     assert got["B"] is None and got["A"].microsecond == 123000
 
 
+def test_archive_of_a_day_again(spark, tmp_path):
+    records = lambda *ids: spark.createDataFrame([(0, i, "1704160800123") for i in ids], "partition int, offset int, exchange_ts string")
+    for ids in ((1, 2, 2), (1, 2, 3)):
+        sinks.archive_day(records(*ids), str(tmp_path / "b"), ["exchange_ts"], "exchange_ts", "Asia/Ho_Chi_Minh", keys=["partition", "offset"])
+    assert sorted(r.offset for r in spark.read.parquet(str(tmp_path / "b")).collect()) == [1, 2, 3]
+
+
 def test_decoded_messages(spark):
     m = spark.createDataFrame([(b'{"symbol": "A", "price": 2.5}', 3, 7)], "value binary, partition int, offset bigint")
     r = readers.decode(m, schemas.TRADE).first()
