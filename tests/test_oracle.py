@@ -3,9 +3,9 @@
 import pandas as pd
 import pytest
 
-from tidemark.plans import market
+from tidemark.plans import market, registry
 
-SQL = market.oracle_sql()
+SQL = registry.oracle_sql()
 
 
 def _rows(df: pd.DataFrame) -> list[tuple]:
@@ -19,7 +19,7 @@ def _rows(df: pd.DataFrame) -> list[tuple]:
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_as_sql(spark, sf_dir, duck, name):
-    own, theirs = market.queries()[name](spark, sf_dir).toPandas(), duck.execute(SQL[name]).df()
+    own, theirs = registry.queries()[name](spark, sf_dir).toPandas(), duck.execute(SQL[name]).df()
     assert sorted(own.columns) == sorted(theirs.columns)
     for c in own.columns:  # a nullable whole number comes as a float
         if own[c].dtype != theirs[c].dtype and "float" in (own[c].dtype.kind.replace("f", "float"), theirs[c].dtype.kind.replace("f", "float")):
@@ -28,6 +28,12 @@ def test_same_as_sql(spark, sf_dir, duck, name):
 
 
 def test_every_query_without_sql_runs(spark, sf_dir):
-    for name, f in market.queries().items():
+    for name, f in registry.queries().items():
         if name not in SQL:
             assert f(spark, sf_dir).count() > 0, name
+
+
+@pytest.mark.parametrize("name", sorted(market._DATES))
+def test_date_columns_are_dates_before_they_are_shown_as_text(spark, sf_dir, name):
+    types = dict(registry.queries()[name].__wrapped__(spark, sf_dir).dtypes)
+    assert {types[c] for c in market._DATES[name]} == {"date"}

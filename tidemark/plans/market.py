@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,26 +10,8 @@ from ..functions import time as T
 from ..operators import calendar, candles, dedup, futures, instruments, ops_metrics, quality, silver
 from ..sources import readers, sinks
 from . import views as V
-
-Query = Callable[[SparkSession, str], DataFrame]
-_FOUND: dict[str, tuple[Query, str | None]] = {}
-
-
-def query(sql: str | None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _FOUND[f.__name__] = (f, sql)
-        return f
-
-    return add
-
-
-def queries() -> dict[str, Query]:
-    return {n: f for n, (f, _) in _FOUND.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {n: s for n, (_, s) in _FOUND.items() if s}
-
+from .registry import FOUND as _FOUND
+from .registry import Query, query
 
 def _quotient(total: str, parts: str, places: int) -> str:
     """SQL of whole total / whole parts, rounded in integers."""
@@ -758,7 +738,7 @@ def _with_text_dates(f: Query, names: tuple[str, ...]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f(spark, sf_dir).withColumns({n: F.col(n).cast("string") for n in names})
 
-    run.__name__, run.__doc__ = f.__name__, f.__doc__
+    run.__name__, run.__doc__, run.__wrapped__ = f.__name__, f.__doc__, f
     return run
 
 

@@ -18,16 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ticks(spark: SparkSession, sf_dir: str, by_user: bool = False) -> DataFrame:
     """Events as trades: few symbols by type, or one a user."""
+    t = as_ticks(table(spark, sf_dir, "events"))
+    return (t.withColumn("symbol", F.concat(F.lit("U"), F.col("user_id").cast("string"))) if by_user else t).drop("user_id")
+
+
+def as_ticks(events: DataFrame) -> DataFrame:
+    """Rows of events, of a table or a stream, as trades by type."""
     k = F.get_json_object("props", "$.k").cast("int")
-    symbol = F.concat(F.lit("U"), F.col("user_id").cast("string")) if by_user else F.col("event_type")
-    return table(spark, sf_dir, "events").withColumn("k", k).select(
-        symbol.alias("symbol"), F.col("value").alias("price"), (F.col("k") + 1).alias("quantity"), F.when(F.col("k") % 2 == 0, 1).otherwise(2).alias("side"), F.when(F.col("k") % 10 == 0, "G3").otherwise("G1").alias("board_id"),
-        F.col("ts").alias("exchange_ts"), (F.col("ts") + F.make_dt_interval(secs=(F.col("k") / 1000).cast("decimal(18,6)"))).alias("gateway_ts"), "event_id", "k",
+    return events.withColumn("k", k).select(
+        F.col("event_type").alias("symbol"), F.col("value").alias("price"), (F.col("k") + 1).alias("quantity"), F.when(F.col("k") % 2 == 0, 1).otherwise(2).alias("side"), F.when(F.col("k") % 10 == 0, "G3").otherwise("G1").alias("board_id"),
+        F.col("ts").alias("exchange_ts"), (F.col("ts") + F.make_dt_interval(secs=(F.col("k") / 1000).cast("decimal(18,6)"))).alias("gateway_ts"), "event_id", "k", "user_id",
     )
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = ticks(spark, sf_dir)
+    return as_quotes(ticks(spark, sf_dir))
+
+
+def as_quotes(t: DataFrame) -> DataFrame:
+    """Ticks with a bid, an ask and up to three levels of depth."""
     level = lambda i: F.struct((F.col("price") - i / 10).alias("price"), (F.col("quantity") + i).alias("qtty"))
     levels = F.slice(F.array(*(level(i) for i in range(3))), 1, F.col("k") % 4)
     return t.select("symbol", F.when(F.col("k") % 17 != 0, F.col("price")).alias("bid_price1"), (F.col("price") + (F.col("k") - 5) / 100).alias("ask_price1"), levels.alias("bid_levels"), "exchange_ts", "gateway_ts", "event_id", "k", "board_id")

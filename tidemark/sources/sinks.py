@@ -7,6 +7,9 @@ dies leaves the old table whole.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +24,23 @@ def _fs(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+_LOCAL: list[str] = []
+
+
+def new_place(spark: SparkSession, name: str) -> str:
+    """A path for a new table in the shared folder, ``spark.checkpoint.dir``; only a local session may leave that unset."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if not _LOCAL:
+            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="spark-tables-"))
+            atexit.register(shutil.rmtree, _LOCAL[0].removeprefix("file://"), True)
+        where = _LOCAL[0]
+    return f"{where.rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, place = _fs(spark, path)
     return fs.exists(place)
