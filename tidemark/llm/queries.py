@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, html_text, licenses, lm, minhash, packing, pii, quality, warc
+from . import bpe, filter_audit, fingerprints, html_text, langid, licenses, lm, minhash, packing, pii, quality, variants, warc
 from .common import read_table, stored
 
 
@@ -56,11 +56,23 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses(read_table(spark, sf_dir, "pages")))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_lm_score, op2_pack_sequences, op3_html_text, op4_fingerprints, op5_license_scan, op6_byte_bpe, op7_personal_data, op8_quality_rules, op9_near_duplicates, op10_warc_derivatives]
+    found = [op1_lm_score, op2_pack_sequences, op3_html_text, op4_fingerprints, op5_license_scan, op6_byte_bpe, op7_personal_data, op8_quality_rules, op9_near_duplicates, op10_warc_derivatives, op11_language_id, op12_filter_audit, op13_spelling_variants]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    """No entry: hashing, parsing and tokenizing have no SQL form; tests hold each against brute force."""
-    return {}
+    """The others hash, parse or tokenize, which has no SQL form; tests hold each against brute force."""
+    return {"op12_filter_audit": filter_audit.ORACLE_SQL}
