@@ -1,11 +1,14 @@
 """Streams give what their batch twins give; state survives a restart."""
 
 import datetime as dt
+import random
 import shutil
+import time
 
 from pyspark.sql import functions as F
 
 from tidemark.operators import candles, dedup, quality
+from tidemark.sources import journal, rollup
 from tidemark.streaming import streams
 
 TICK = "symbol string, exchange_ts timestamp, price double, quantity int, side int, session_vol bigint, kafka_offset bigint"
@@ -144,13 +147,89 @@ def test_route_and_sinks_of_a_stream(spark, tmp_path):
     stream = source(spark, tmp_path / "in", TICK + ", board_id string")
     stamp = F.date_format("exchange_ts", "yyyy-MM-dd")
     for _ in range(2):  # the second run finds nothing new and must not double anything
-        streams.route(stream, lambda df: df, ["G1"], str(tmp_path / "bronze"), str(tmp_path / "serving"), str(tmp_path / "cp"), stamp).awaitTermination()
+        streams.route(stream, lambda df: df, ["G1"], str(tmp_path / "bronze"), str(tmp_path / "serving"), str(tmp_path / "cp"), stamp, application="route").awaitTermination()
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 40 and spark.read.parquet(str(tmp_path / "serving")).count() == 30
-    shutil.rmtree(tmp_path / "cp")  # a lost checkpoint replays batch 0 over itself
-    streams.to_bronze(stream.withColumn("date", stamp), str(tmp_path / "bronze"), str(tmp_path / "cp")).awaitTermination()
+    shutil.rmtree(tmp_path / "cp")  # a lost checkpoint replays batch 0, which the ledger has
+    streams.to_bronze(stream.withColumn("date", stamp), str(tmp_path / "bronze"), str(tmp_path / "cp"), application="route").awaitTermination()
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 40
     streams.to_serving(stream, str(tmp_path / "table"), str(tmp_path / "cp2"), ["symbol", "price"]).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "table")).columns == ["symbol", "price"]
     wanted = spark.createDataFrame([("S1",)], "symbol string")
-    streams.with_universe(stream, lambda s: wanted, streams._batch_sink(str(tmp_path / "uni"), []), str(tmp_path / "cp3")).awaitTermination()
+    streams.with_universe(stream, lambda s: wanted, lambda batch, n: journal.append_batch(batch.withColumn("date", stamp), str(tmp_path / "uni"), ["date"], "uni", n), str(tmp_path / "cp3")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "uni")).select("symbol").distinct().collect() == wanted.collect()
+
+
+def states(query):
+    return [sum(s.numRowsTotal for s in p.stateOperators) for p in query.recentProgress if p.stateOperators]
+
+
+def fed(spark, tmp_path, name, make, batches, schema):
+    """A stream over batches that come one after another; its rows and the state after each."""
+    place, seen = tmp_path / name, []
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(place / "in"))
+        q = make(source(spark, place / "in", schema)).writeStream.format("parquet").option("path", str(place / "out")).option("checkpointLocation", str(place / "cp")).outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+        seen.append(states(q)[-1])
+    return spark.read.parquet(str(place / "out")).collect(), seen
+
+
+def test_state_of_resets_ends_with_the_day(spark, tmp_path):
+    day = lambda d, n: [(f"S{k}", START + dt.timedelta(days=d, minutes=k), k, 5) for k in range(n)]
+    schema = "symbol string, exchange_ts timestamp, kafka_offset bigint, session_vol bigint"
+    _, seen = fed(spark, tmp_path, "resets", lambda s: streams.reset_stream(s, lookback="1 hour"), [day(0, 40), day(1, 30), day(2, 20), day(3, 1), day(4, 1)], schema)
+    assert seen[0] == 40 and max(seen) <= 70 and seen[-1] <= 2
+
+
+def test_state_of_alerts_and_marks_ends(spark, tmp_path):
+    at = lambda m, n, on: [(f"k{k}", START + dt.timedelta(minutes=m, seconds=k), on) for k in range(n)]
+    batches = [at(0, 30, True), at(1, 25, False), at(200, 1, True), at(400, 1, False), at(600, 1, True)]
+    got, seen = fed(spark, tmp_path, "alerts", lambda s: streams.alert_stream(s, lookback="10 minutes"), batches, "key string, ts timestamp, firing boolean")
+    want = quality.alert_transitions(spark.createDataFrame([r for b in batches for r in b], "key string, ts timestamp, firing boolean")).collect()
+    assert sorted((r.key, r.ts, r.event) for r in got) == sorted((r.key, r.ts, r.event) for r in want)
+    assert seen[0] == 30 and seen[1] == 30 and seen[-1] <= 6  # five keys are still active
+    found = [[(f"c{k}", START + dt.timedelta(hours=h, minutes=k)) for k in range(n)] for h, n in ((0, 12), (5, 1), (10, 1))]
+    marks, seen = fed(spark, tmp_path, "marks", lambda s: streams.mark_stream(s, "10 minutes"), found, "check_name string, ts timestamp")
+    assert seen[0] >= 10 and seen[-1] <= 2 and len(marks) == 14
+
+
+def test_alerts_of_a_stream_with_ties_and_nulls(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [("k", None if rng.random() < 0.05 else START + dt.timedelta(seconds=100 * rng.randrange(60)), None if rng.random() < 0.1 else rng.random() < 0.5) for _ in range(200)]
+    schema = "key string, ts timestamp, firing boolean"
+    got, _ = fed(spark, tmp_path, "ties", streams.alert_stream, [rows], schema)
+    want = quality.alert_transitions(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.ts, r.event) for r in got) == sorted((r.ts, r.event) for r in want) and len(want) > 10
+
+
+def test_stored_candles_follow_late_ticks_of_a_stream(spark, tmp_path):
+    late = ticks(spark, 20).withColumn("price", F.col("price") + 3)
+    places = [str(tmp_path / n) for n in ("table", "store", "cp")]
+    for part in (ticks(spark, 60, 60), ticks(spark, 60), late):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        streams.maintained_candles(source(spark, tmp_path / "in"), *places, candle=lambda t: candles.ohlcv(t, gateway=None)).awaitTermination()
+    everything = spark.read.schema(TICK).parquet(str(tmp_path / "in"))
+    assert everything.count() == 140
+    own = rollup.bars(spark, places[1]).drop("touches", "turnover")
+    assert sorted(own.collect()) == sorted(candles.ohlcv(everything.withColumn("exchange_ts", F.col("exchange_ts").cast("timestamp")), gateway=None).select(*own.columns).collect())
+    assert [n for n in journal.Store(spark, places[0]).names() if not n.startswith("_")] == ["date=2024-01-02"]
+
+
+def test_metrics_come_with_the_batches(spark, tmp_path):
+    ticks(spark, 50).coalesce(1).write.parquet(str(tmp_path / "in"))
+    listener = streams.MetricsListener(spark, str(tmp_path / "metrics"))
+    spark.streams.addListener(listener)
+    try:
+        rows = streams.observed(source(spark, tmp_path / "in"), "trades", n=F.count("*"), skipped=F.count_if(F.col("kafka_offset") % 4 == 0))
+        q = rows.filter("kafka_offset % 4 <> 0").writeStream.queryName("m").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        for _ in range(60):
+            if (tmp_path / "metrics" / "_SUCCESS").exists():
+                break
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+    assert not listener.problems
+    got = {r.metric_name: r.metric_value for r in spark.read.parquet(str(tmp_path / "metrics")).filter("service_name = 'm' AND label = '0'").collect()}
+    assert got["trades.n"] == 50 and got["trades.skipped"] == 13 and got["input_rows"] == 50 and "batch_ms" in got
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 37

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scan
+
 
 def trade_fingerprint(ts: str = "exchange_ts") -> dict[str, Column]:
     """Symbol, millisecond, price to 4 places, quantity and side."""
@@ -56,21 +58,24 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[Column | str])
     return rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*descending))).filter("__rank = 1").drop("__rank")
 
 
-def runs(rows: DataFrame, keys: list[str], order: str, value: list[str]) -> DataFrame:
-    """Runs of equal values in order: first and last of ``order`` and their length."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    same = F.lit(True)
-    for v in value:
-        same = same & F.col(v).eqNullSafe(F.lag(v).over(w))
-    marked = rows.withColumn("__new", F.when(same & F.lag(order).over(w).isNotNull(), 0).otherwise(1))
-    numbered = marked.withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return numbered.groupBy(*keys, *value, "__run").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n")).drop("__run")
+def runs(rows: DataFrame, keys: list[str], order: str, value: list[str], slice_s: int = scan.SLICE_S) -> DataFrame:
+    """Runs of equal values in order of a time: its first and last and their length.
+
+    A run is told by where it starts. Keys are cut into slices (see ``scan``), so a run may
+    span many tasks, which sum their shares of it.
+    """
+    before = scan.lag(rows.select(*dict.fromkeys([*keys, order, *value])), keys, [order], {"__there": order, **{f"__was_{i}": v for i, v in enumerate(value)}}, slice_s)
+    same = F.col("__there").isNotNull()
+    for i, v in enumerate(value):
+        same = same & F.col(v).eqNullSafe(F.col(f"__was_{i}"))
+    marked = before.withColumn("__start", F.when(~same, F.col(order)))
+    placed = scan.last_mark(marked, keys, [order], "__start", "__run", slice_s)
+    return placed.groupBy(*keys, *value, "__run").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n")).drop("__run")
 
 
-def counter_resets(rows: DataFrame, keys: list[str], order: list[str], counter: str, max_jump: int | None = None) -> DataFrame:
+def counter_resets(rows: DataFrame, keys: list[str], order: list[str], counter: str, max_jump: int | None = None, slice_s: int = scan.SLICE_S) -> DataFrame:
     """Rows whose cumulative counter is below the one before it (or, on request, jumped)."""
-    before = F.lag(counter).over(Window.partitionBy(*keys).orderBy(*order))
-    with_before = rows.withColumn("previous", before)
+    with_before = scan.lag(rows, keys, order, {"previous": counter}, slice_s)
     bad = F.col(counter) < F.col("previous")
     if max_jump is not None:
         bad = bad | (F.col(counter) - F.col("previous") > max_jump)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import MARKET_TZ, local_time
+from . import scan
 
 
 def _duration_us(start: str = "start_date", end: str = "end_date") -> Column:
@@ -67,18 +68,21 @@ def consumer_lag(offsets: DataFrame, keys: tuple[str, ...] = ("group_id", "topic
     return offsets.groupBy(*keys).agg(F.sum(F.greatest(F.lit(0), F.col("end_offset") - F.coalesce("committed_offset", F.lit(0)))).alias("lag"))
 
 
-def counter_increase(samples: DataFrame, keys: tuple[str, ...], ts: str = "ts", value: str = "value") -> DataFrame:
-    """The rise since the sample before; after a reset, the whole value."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    before = F.lag(value).over(w)
-    return samples.withColumn("increase", F.when(before.isNull(), None).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before))
+def counter_increase(samples: DataFrame, keys: tuple[str, ...], ts: str = "ts", value: str = "value", slice_s: int = scan.SLICE_S) -> DataFrame:
+    """The rise since the sample before; after a reset, the whole value.
+
+    A counter's history is cut into slices (see ``scan``), so one counter is many tasks.
+    """
+    before = scan.lag(samples, list(keys), [ts], {"__previous": value}, slice_s)
+    rise = F.when(F.col("__previous").isNull(), None).when(F.col(value) < F.col("__previous"), F.col(value)).otherwise(F.col(value) - F.col("__previous"))
+    return before.withColumn("increase", rise).drop("__previous")
 
 
-def counter_rate(samples: DataFrame, keys: tuple[str, ...], seconds: int, ts: str = "ts", value: str = "value") -> DataFrame:
+def counter_rate(samples: DataFrame, keys: tuple[str, ...], seconds: int, ts: str = "ts", value: str = "value", slice_s: int = scan.SLICE_S) -> DataFrame:
     """Rise a second over the trailing window, resets allowed for."""
-    risen = counter_increase(samples, keys, ts, value).withColumn("__s", F.unix_micros(F.col(ts).cast("timestamp")))
-    back = Window.partitionBy(*keys).orderBy("__s").rangeBetween(-seconds * 1000000, Window.currentRow)
-    return risen.withColumn("rate", F.coalesce(F.sum("increase").over(back), F.lit(0)) / seconds).drop("__s")
+    risen = counter_increase(samples, keys, ts, value, slice_s)
+    summed = scan.trailing(risen, list(keys), ts, seconds, F.sum("increase"), "__risen", slice_s)
+    return summed.withColumn("rate", F.coalesce("__risen", F.lit(0)) / seconds).drop("__risen")
 
 
 def run_totals(results: DataFrame, keys: tuple[str, ...] = ("resolution",)) -> DataFrame:

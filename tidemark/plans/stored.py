@@ -7,6 +7,8 @@ order in which files come; the SQL holds for a table in one file.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from ..functions import normalize as N
 from ..functions.time import MARKET_TZ, partition_stamp
 from ..operators import candles
 from ..schemas import CANDLE
-from ..sources import readers, sinks
+from ..sources import avro, journal, readers, rollup, sinks
 from ..streaming import streams
 from . import market
 from . import views as V
@@ -201,6 +203,81 @@ def candle_series(spark, sf_dir):
     return rows.join(ahead, "part").select((F.col("ahead") + F.col("m") - F.shiftleft("part", 33) + 1).alias("n"), "symbol", "time", "close")
 
 
+def _batch_of(event: str = "event_id") -> str:
+    """The batch in which a tick comes: a tenth each comes late, in two batches."""
+    return f"CASE {event} % 10 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END"
+
+
+def _fed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """A table of ticks and a store of their candles, fed in three batches with a refresh after each."""
+    table, store = sinks.new_place(spark, "ticks"), sinks.new_place(spark, "candles")
+    t = V.ticks(spark, sf_dir).withColumn("date", F.date_format("exchange_ts", "yyyy-MM-dd"))
+    for number in range(3):
+        batch = t.filter(F.expr(_batch_of()) == number)
+        journal.append_batch(batch, table, ["date"], "ticks", number)
+        rollup.log_touched(batch, store, number)
+        rollup.refresh(spark, spark.read.parquet(table), store, candles.ohlcv)
+    return spark.read.parquet(table), store
+
+
+@query(V.with_views(("ticks",), f"SELECT * FROM ({market._OHLCV.format(w='1 minute')}) JOIN (SELECT symbol, time_bucket(INTERVAL '1 minute', exchange_ts) AS bucket, count(DISTINCT {_batch_of()}) AS touches FROM ticks GROUP BY 1, 2) USING (symbol, bucket)"))
+def refreshed_candles(spark, sf_dir):
+    """Stored candles after two late batches, and from how many batches each was made."""
+    _, store = _fed(spark, sf_dir)
+    return rollup.bars(spark, store).withColumn("turnover", F.round("turnover", 4))
+
+
+@query(V.with_views(("ticks",), f"SELECT symbol, bucket, open, high, low, close, volume FROM ({market._OHLCV.format(w='15 minutes')}) WHERE bucket >= TIMESTAMP '2024-01-10' AND bucket < TIMESTAMP '2024-01-16'"))
+def refreshed_live(spark, sf_dir):
+    """A4: wider candles of a range from refreshed ones and newer ticks."""
+    table, store = _fed(spark, sf_dir)
+    start, end = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-10", "2024-01-16"))
+    middle = F.lit("2024-01-13").cast("timestamp_ntz")
+    kept = rollup.bars(spark, store, until=middle)
+    live = candles.ohlcv_live(kept, table.filter(F.col("exchange_ts") < end), "15 minutes", start, end)
+    return live.filter(F.col("bucket") < end).select("symbol", "bucket", "open", "high", "low", "close", "volume")
+
+
+@query(V.with_views(("secdef",), f"SELECT symbol, market_id, board_id, security_status, trading_date::VARCHAR AS trading_date FROM secdef WHERE trading_date = DATE '{V.SECDEF_DAY}'"))
+def jdbc_snapshot(spark, sf_dir):
+    """One day of a database's table, read in parallel between bounds that the database gives."""
+    url, properties = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "queryTimeout": "120"}
+    readers.write_jdbc(V.secdef(spark, sf_dir).withColumn("hashed", F.crc32("symbol")), url, "secdef", properties, "overwrite", 4)
+    rows = readers.read_jdbc(spark, url, "secdef", properties, V.SECDEF_DAY, "hashed", partitions=4)
+    found = rows.select("symbol", "market_id", "board_id", "security_status", F.col("trading_date").cast("string").alias("trading_date"))
+    path = sinks.new_place(spark, "secdef")
+    found.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+_AVRO_1 = """{"type": "record", "name": "Trade", "fields": [{"name": "symbol", "type": "string"}, {"name": "price", "type": "float"}, {"name": "quantity", "type": "int"}, {"name": "board", "type": ["null", "string"], "default": null}, {"name": "exchange_ts", "type": {"type": "long", "logicalType": "timestamp-micros"}}]}"""
+_AVRO_2 = """{"type": "record", "name": "Trade", "fields": [{"name": "exchange_ts", "type": {"type": "long", "logicalType": "timestamp-micros"}}, {"name": "symbol", "type": "string"}, {"name": "price", "type": "double"}, {"name": "quantity", "type": "long"}, {"name": "board_id", "type": ["null", "string"], "default": null, "aliases": ["board"]}, {"name": "side", "type": "int", "default": 0}]}"""
+
+
+@query(V.with_views(("ticks",), "SELECT event_id AS kafka_offset, CASE WHEN k % 3 = 0 THEN 1 WHEN k % 31 <> 1 THEN 2 END AS schema_id, CASE WHEN k % 3 = 0 OR k % 31 <> 1 THEN symbol END AS symbol, CASE WHEN k % 3 = 0 THEN CAST(CAST(price AS FLOAT) AS DOUBLE) WHEN k % 31 <> 1 THEN price END AS price, CASE WHEN k % 3 = 0 OR k % 31 <> 1 THEN CAST(quantity AS BIGINT) END AS quantity, CASE WHEN k % 3 = 0 OR k % 31 <> 1 THEN board_id END AS board_id, CASE WHEN k % 3 = 0 THEN 0 WHEN k % 31 <> 1 THEN side END AS side, CASE WHEN k % 3 = 0 OR k % 31 <> 1 THEN exchange_ts END AS exchange_ts, CASE WHEN NOT (k % 3 = 0 OR k % 31 <> 1) THEN 'no frame' END AS problem FROM ticks"))
+def avro_topic(spark, sf_dir):
+    """Messages of two schema versions framed for a registry, and some without a frame, as one table."""
+    t = V.ticks(spark, sf_dir).withColumns({"exchange_ts": F.col("exchange_ts").cast("timestamp"), "offset": F.col("event_id"), "partition": F.lit(0)})
+    old = avro.encode(t.filter("k % 3 = 0").withColumnRenamed("board_id", "board"), _AVRO_1, 1, keep=("partition", "offset"))
+    new = avro.encode(t.filter("k % 3 <> 0 AND k % 31 <> 1"), _AVRO_2, 2, keep=("partition", "offset"))
+    bad = t.filter("k % 3 <> 0 AND k % 31 = 1").select("partition", "offset", F.encode(F.lit("{}"), "UTF-8").alias("value"))
+    rows = readers.decode_topic(old.unionByName(new).unionByName(bad), "trade", {1: _AVRO_1, 2: _AVRO_2}, _AVRO_2)
+    return _ntz(rows.select("kafka_offset", "schema_id", "symbol", "price", "quantity", "board_id", "side", "exchange_ts", "problem"), "exchange_ts")
+
+
+@query(V.with_views(("ticks",), f"SELECT event_id AS kafka_offset, symbol, price, {_DATE} AS date, {_DATE} = '2024-01-16' AS clustered FROM ticks"))
+def clustered_day(spark, sf_dir):
+    """K9: one day of trades in files of a size, by the Z-order of symbol and price."""
+    path, t = sinks.new_place(spark, "trades"), _trades(V.ticks(spark, sf_dir))
+    sinks.append_partitioned(t, path, ["date"])
+    before = set(spark.read.parquet(path).inputFiles())
+    sinks.compact(spark, path, "2024-01-16", ["symbol", "price"], file_bytes=4096)
+    kept = [f for f in spark.read.parquet(path).inputFiles() if f in before]
+    days = sorted({f.split("date=")[1].split("/")[0] for f in kept})
+    rows = readers.read_table(spark, path, "trade")
+    return rows.select("kafka_offset", "symbol", "price", "date", (~F.col("date").isin(*days)).alias("clustered"))
+
+
 # Streams
 
 
@@ -228,6 +305,15 @@ def stream_candles(spark, sf_dir):
     return _ntz(bars, "bucket").withColumn("turnover", F.round("turnover", 4))
 
 
+@query(V.with_views(("ticks",), f"SELECT *, CAST(1 AS BIGINT) AS touches FROM ({market._OHLCV.format(w='1 minute')})"))
+def stream_maintained(spark, sf_dir):
+    """A stream into a table of ticks and a store of refreshed candles."""
+    table, store = sinks.new_place(spark, "ticks"), sinks.new_place(spark, "candles")
+    rows = _events(spark, sf_dir).drop("user_id")
+    streams.maintained_candles(rows, table, store, sinks.new_place(spark, "offsets")).awaitTermination()
+    return rollup.bars(spark, store).withColumn("turnover", F.round("turnover", 4))
+
+
 @query(V.with_views(("ticks",), f"SELECT * FROM (SELECT symbol AS index_name, time_bucket(INTERVAL '1 minute', exchange_ts) AS bucket, arg_min(price, exchange_ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, exchange_ts) AS close, max(event_id) - min(event_id) AS volume, arg_max(k, exchange_ts) AS up_count FROM ticks GROUP BY 1, 2) WHERE {_CLOSED}"))
 def stream_index(spark, sf_dir):
     """Index candles of a stream."""

@@ -8,12 +8,14 @@ from pyspark.sql import types as T
 
 from ..functions.time import MARKET_TZ, replay_start
 from ..schemas import CANDLE, KINDS
+from . import avro, journal
 
 
 def read_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """A bronze or reference table with its schema; Delta where its reader is present and asked for by ``delta:``."""
+    """A bronze or reference table with its schema; Delta where its reader is present and asked for by ``delta:``. A writer's unfinished swap is finished first."""
     if path.startswith("delta:"):
         return spark.read.format("delta").load(path.removeprefix("delta:"))
+    journal.settle(spark, path)
     return spark.read.schema(KINDS[kind]).parquet(path)
 
 
@@ -35,20 +37,28 @@ def stream_table(spark: SparkSession, path: str, kind: str, files_per_batch: int
     return spark.readStream.schema(KINDS[kind]).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def stream_topic(spark: SparkSession, servers: str, topic: str, kind: str, start: str = "earliest", rows_per_batch: int | None = None) -> DataFrame:
-    """A stream of JSON records of a topic. Needs Spark's Kafka package on the class path."""
+def stream_topic(spark: SparkSession, servers: str, topic: str, kind: str, start: str = "earliest", rows_per_batch: int | None = None, schemas: dict[int, str] | None = None, reader_schema: str | None = None) -> DataFrame:
+    """A stream of a topic's records: JSON, or Avro framed for a registry if its ``schemas`` are given. Needs Spark's Kafka package."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", start)
     if rows_per_batch:
         reader = reader.option("maxOffsetsPerTrigger", rows_per_batch)
-    return decode(reader.load(), KINDS[kind])
+    return decode_topic(reader.load(), kind, schemas, reader_schema)
 
 
-def replay_topic(spark: SparkSession, servers: str, topic: str, kind: str, start_ms: int, end_ms: int | None = None) -> DataFrame:
+def decode_topic(messages: DataFrame, kind: str, schemas: dict[int, str] | None = None, reader_schema: str | None = None) -> DataFrame:
+    """Messages (value, partition, offset) as rows of a feed; of Avro ones that can't be read, ``problem`` says why."""
+    if schemas is None:
+        return decode(messages, KINDS[kind])
+    rows = avro.decode(messages, schemas, reader_schema or next(iter(schemas.values())))
+    return rows.withColumnsRenamed({"partition": "kafka_partition", "offset": "kafka_offset"})
+
+
+def replay_topic(spark: SparkSession, servers: str, topic: str, kind: str, start_ms: int, end_ms: int | None = None, schemas: dict[int, str] | None = None, reader_schema: str | None = None) -> DataFrame:
     """A bounded read of a topic between two times, both included. Needs the Kafka package."""
     reader = spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingTimestamp", str(start_ms))
     if end_ms is not None:
         reader = reader.option("endingTimestamp", str(end_ms + 1))
-    return decode(reader.load(), KINDS[kind])
+    return decode_topic(reader.load(), kind, schemas, reader_schema)
 
 
 def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
@@ -57,13 +67,6 @@ def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
     return messages.select(body, "partition", "offset").select("r.*", F.col("partition").alias("__partition"), F.col("offset").alias("__offset")).withColumns({"kafka_partition": F.col("__partition"), "kafka_offset": F.col("__offset")}).drop("__partition", "__offset")
 
 
-def decode_avro(messages: DataFrame, schema_json: str) -> DataFrame:
-    """Fields of Avro message values. Needs Spark's Avro package."""
-    from pyspark.sql.avro.functions import from_avro
-
-    return messages.select(from_avro("value", schema_json).alias("r")).select("r.*")
-
-
 def between(rows: DataFrame, start: Column, end: Column | None = None, ts: str = "exchange_ts") -> DataFrame:
     """Rows of a range of time, both ends included."""
     kept = rows.filter(F.col(ts) >= start)
@@ -79,15 +82,29 @@ def snapshot(rows: DataFrame, day: Column, column: str = "trading_date") -> Data
     return rows.filter(F.col(column) == day)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str], day: str | None = None, key: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 16) -> DataFrame:
-    """A database table, in parallel by a numeric key if one is given. Needs the database's driver."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**properties)
-    if key and bounds:
-        reader = reader.options(partitionColumn=key, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions)
-    rows = reader.load()
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str], day: str | None = None, key: str | None = None, bounds: tuple | None = None, partitions: int = 16) -> DataFrame:
+    """A database table, in parallel by a number, date or time column ``key``. Needs the database's driver.
+
+    Without ``bounds`` the database is asked for the key's least and largest value (one
+    row). Rows outside of bounds, and those with a null key, are read all the same.
+    """
+    reader = spark.read.format("jdbc").option("url", url).options(**properties)
+    if key:
+        if bounds is None:
+            named = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(key)
+            bounds = tuple(reader.option("query", f"SELECT MIN({named}) AS low, MAX({named}) AS high FROM {table}").load().first())
+            reader = spark.read.format("jdbc").option("url", url).options(**properties)
+        if bounds[0] is not None:
+            reader = reader.options(partitionColumn=key, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions)
+    rows = reader.option("dbtable", table).load()
     return rows.filter(F.col("trading_date") == day) if day else rows
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], mode: str = "append", partitions: int = 16) -> None:
+    """Rows into a database table, by at most so many connections."""
+    df.coalesce(partitions).write.format("jdbc").option("url", url).option("dbtable", table).options(**properties).mode(mode).save()
+
+
 #: Record schemas of the landed API pages.
 TRADE_ITEM = "symbol string, marketId string, boardId string, time string, matchPrice double, matchQtty int, side string, totalVolumeTraded bigint, highestPrice double, lowestPrice double, openPrice double, avgPrice double, tradingSessionId string"
 QUOTE_ITEM = "symbol string, marketId string, boardId string, time string, bid array<struct<price:double,quantity:int>>, offer array<struct<price:double,quantity:int>>, totalBidQtty bigint, totalOfferQtty bigint"

@@ -2,7 +2,9 @@
 
 Where a table is read and replaced in one step, the new rows go to a staging folder
 beside it first: Spark can't overwrite files that the same job reads, and a job that
-dies leaves the old table whole.
+dies leaves the old table whole. Ranges, compactions and numbered batches go through the
+table's journal (see ``journal``); a whole table is replaced by renaming its folder, which
+is atomic on HDFS and local disks only.
 """
 
 from __future__ import annotations
@@ -11,12 +13,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import partition_stamp
 from ..schemas import LEDGER
+from . import journal
 
 
 def _fs(spark: SparkSession, path: str):
@@ -67,34 +71,41 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def replace_where(df: DataFrame, path: str, predicate: Column, by: list[str]) -> None:
+def replace_where(df: DataFrame, path: str, predicate: Column, by: list[str], moved: Callable[[str], None] = lambda _: None) -> None:
     """Delete the rows of the table that meet the predicate, then add ``df``.
 
-    Only partitions with such rows or with new ones are rewritten.
+    Only partitions with such rows or with new ones are rewritten. They change together:
+    the swap of their folders is written to the table's journal first, so a writer that is
+    killed leaves the old table or one that ``recover`` makes the new one (see ``journal``).
     """
     spark = df.sparkSession
     if not table_exists(spark, path):
         return append_partitioned(df, path, by)
+    journal.recover(spark, path)
     old = spark.read.option("mergeSchema", "true").parquet(path)
     gone = F.coalesce(predicate, F.lit(False))
     touched = old.filter(gone).select(*by).unionByName(df.select(*by)).distinct()
     kept = old.join(touched, by, "left_semi").filter(~gone)
-    emptied, where_empty = _staged(touched, path)
-    new, where = _staged(kept.unionByName(df, allowMissingColumns=True), path)
-    overwrite_partitions(new, path, by)
-    # partitions that lost all their rows have nothing to be overwritten with
-    for row in emptied.join(new.select(*by).distinct(), by, "left_anti").toLocalIterator():
-        _drop(spark, path.rstrip("/") + "".join(f"/{c}={row[c]}" for c in by))
-    _drop(spark, where)
-    _drop(spark, where_empty)
+    # one row a folder that loses rows
+    folders = old.filter(gone).select(F.regexp_extract("_metadata.file_path", f"((?:[^/]+=[^/]*/){{{len(by)}}})[^/]+$", 1).alias("f")).distinct()
+    losing = [journal.unescaped(r["f"].rstrip("/")) for r in folders.toLocalIterator()]
+    journal.swap_partitions(kept.unionByName(df, allowMissingColumns=True), path, by, losing, moved)
     return None
 
 
-def insert_absent(df: DataFrame, path: str, keys: list[str], by: list[str]) -> None:
-    """Append the rows whose keys the table does not have."""
+def insert_absent(df: DataFrame, path: str, keys: list[str], by: list[str], ts: str | None = None) -> None:
+    """Append the rows whose keys the table does not have.
+
+    With ``ts``, a time among the keys, only the stored range of the incoming times is read
+    (their bounds, one row, are looked up first); without it, the keys of the whole table.
+    """
     spark = df.sparkSession
     if table_exists(spark, path):
-        df = df.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti")
+        stored = spark.read.parquet(path)
+        if ts:
+            low, high = df.agg(F.min(ts), F.max(ts)).first()
+            stored = stored.filter(F.col(ts).between(F.lit(low), F.lit(high)) | F.lit(low is None))
+        df = df.join(stored.select(*keys).distinct(), keys, "left_anti")
     staged, where = _staged(df, path)
     append_partitioned(staged, path, by)
     _drop(spark, where)
@@ -146,12 +157,51 @@ def archive_day(messages: DataFrame, path: str, epoch_columns: list[str], ts: st
         append_partitioned(timed, path, ["date"])
 
 
-def compact(spark: SparkSession, path: str, day: str, cluster: str = "symbol", order: str = "exchange_ts", files: int = 8) -> None:
-    """Rewrite a date partition as a few files clustered by symbol."""
+#: Bytes of a file after compaction, and cells that each column of a Z-order is cut into.
+FILE_BYTES, CELLS = 128 << 20, 64
+
+
+def cell_bounds(rows: DataFrame, column: str, cells: int = CELLS) -> list:
+    """Lower bounds of equally full ranges of a column, from a sample that Spark draws; at most ``cells`` rows reach the driver."""
+    ranged = rows.select(F.col(column).alias("v")).filter("v IS NOT NULL").repartitionByRange(cells, "v")
+    lows = ranged.groupBy(F.spark_partition_id()).agg(F.min("v").alias("v")).collect()
+    return sorted({r["v"] for r in lows})[1:]
+
+
+def z_value(bounds: dict[str, list], cells: int = CELLS) -> Column:
+    """Interleaved bits of the cells that columns lie in: near in any column is near in the order. Nulls lie in the first cell."""
+    bits = (cells - 1).bit_length()
+    out = F.lit(0).cast("bigint")
+    for k, (column, lows) in enumerate(bounds.items()):
+        cell = F.coalesce(sum((F.when(F.col(column) >= F.lit(low), 1).otherwise(0) for low in lows), F.lit(0)), F.lit(0)).cast("bigint")
+        for bit in range(bits):
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(cell, bit).bitwiseAND(F.lit(1).cast("bigint")), bit * len(bounds) + k))
+    return out
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, place = _fs(spark, path)
+    return fs.getContentSummary(place).getLength() if fs.exists(place) else 0
+
+
+def compact(spark: SparkSession, path: str, day: str, cluster: str | list[str] = "symbol", order: str = "exchange_ts", file_bytes: int = FILE_BYTES) -> int:
+    """Rewrite a date partition as files of about ``file_bytes``; how many files are asked for.
+
+    With one column rows are clustered by it; with several by their Z-order, so that a filter
+    on any of them reads a fraction of the files. Within a file rows are in order of the
+    columns and ``order``. Readers see the old files or the new ones.
+    """
+    columns = [cluster] if isinstance(cluster, str) else list(cluster)
+    journal.recover(spark, path)
+    files = max(1, -(-folder_bytes(spark, f"{path.rstrip('/')}/date={day}") // file_bytes))
     rows = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col("date").cast("string") == day).withColumn("date", F.lit(day))
-    staged, where = _staged(rows.repartitionByRange(files, cluster).sortWithinPartitions(cluster, order), path)
-    overwrite_partitions(staged.coalesce(files), path, ["date"])
-    _drop(spark, where)
+    if len(columns) == 1:
+        dealt = rows.repartitionByRange(files, *columns).sortWithinPartitions(*columns, order)
+    else:
+        z = z_value({c: cell_bounds(rows, c) for c in columns})
+        dealt = rows.withColumn("__z", z).repartitionByRange(files, "__z").sortWithinPartitions("__z", order).drop("__z")
+    journal.swap_partitions(dealt, path, ["date"])
+    return files
 
 
 def prune(rows: DataFrame, keep_days: int, as_of: Column, ts: str = "exchange_ts") -> DataFrame:
