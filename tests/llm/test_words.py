@@ -284,12 +284,33 @@ def test_unseen_words_fall_back(spark):
     """Words that training never saw are told by their letters."""
     train = [("walking talking jumping reading", "en"), ("gehen laufen sprechen lesen", "de")] * 5
     model = langid.fit(spark.createDataFrame(train, "text string, lang string"))
-    seen: dict = {}
+    seen = langid.Remembered()
     assert model.predict("hopping", seen)[0] == "en" and model.predict("machen", seen)[0] == "de"
-    assert "hopping" not in model.words and "hopping" in seen
+    assert "hopping" not in model.words and "hopping" in seen.places
+    long = "walking" * 40
+    assert model.predict(f"{long} hopping", seen)[0] == "en" and long not in seen.places
     assert model.predict("42 !", seen) == ("und", 0.0) and model.predict("", seen) == ("und", 0.0)
 
 
+def test_words_are_runs_of_letters():
+    """Both ways of finding words agree on every character, in context."""
+    for block in range(0, 0x300, 16):
+        text = "".join(f"x{chr(c)}y {chr(c)} " for c in range(block, block + 16))
+        assert langid.LATIN.findall(text) == langid.WORD.findall(text) and not langid.HIGH.search(text)
+    assert langid.words_of("naïve e\u0301t\u0301 語言x 1²½ _a") == ["naïve", "e\u0301t\u0301", "語言x", "a"]
+
+
+def test_remembered_rows_start_anew(spark, monkeypatch):
+    """More unseen words than are remembered, in one text and over many."""
+    train = [("walking talking jumping reading", "en"), ("gehen laufen sprechen lesen", "de")] * 5
+    model = langid.fit(spark.createDataFrame(train, "text string, lang string"))
+    texts = [" ".join(f"{a}{b}ing" for a in "bcdfg" for b in "aeiou"), "machen kochen", "hopping singing"] * 3
+    want = [model.predict(t, langid.Remembered()) for t in texts]
+    monkeypatch.setattr(langid, "FLUSH", 7)
+    seen = langid.Remembered()
+    assert [model.predict(t, seen) for t in texts] == want
+
+
 def test_language_of_odd_rows(spark, odd_docs, no_docs):
     rows = langid.identify(odd_docs).collect()
     assert len(rows) == odd_docs.count()

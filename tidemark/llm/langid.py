@@ -23,6 +23,7 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,6 +38,8 @@ from .common import Scratch, slim
 
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: The same for texts below U+0300, where letters are a short list and there are no marks: several times faster.
+HIGH, LATIN = re.compile("[\u0300-\U0010ffff]"), re.compile("[A-Za-zªµºÀ-ÖØ-öø-ˁˆ-ˑˠ-ˤˬˮ]+")
 #: Longest n-gram, longest word of the model, and the bounds of the model over all languages.
 MOST_LETTERS, LONGEST, MODEL_WORDS, MODEL_GRAMS = 5, 40, 200_000, 200_000
 #: Documents whose checksum leaves ``HELD_OUT`` when divided by ``FOLDS`` are not learned from.
@@ -46,7 +49,8 @@ FLUSH, SALTS = 200_000, 64
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    text = text.lower()
+    return (WORD if HIGH.search(text) else LATIN).findall(text)
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -113,39 +117,70 @@ class Model:
     grams: dict[str, int]
     gram_rows: np.ndarray
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean over the longest n-grams that any language knows; nothing known says nothing."""
-        for n in range(min(MOST_LETTERS, len(word) + 2), 0, -1):
-            known = [at for g in grams_of(word, n) if (at := self.grams.get(g)) is not None]
-            if known:
-                return self.gram_rows[known].mean(axis=0)
-        return np.zeros(len(self.langs))
-
-    def predict(self, text: str, remembered: dict[str, np.ndarray]) -> tuple[str, float]:
+    def known_grams(self, word: str) -> list[int]:
+        """Rows of a word's longest n-grams that any language knows; none if it knows none."""
+        padded, get = f" {word} ", self.grams.get
+        for n in range(min(MOST_LETTERS, len(padded)), 0, -1):
+            found = [at for i in range(len(padded) - n + 1) if (at := get(padded[i : i + n])) is not None]
+            if found:
+                return found
+        return []
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """A row for each word: the mean over its known n-grams; nothing known says nothing."""
+        out = np.zeros((len(words), len(self.langs)))
+        found = [self.known_grams(w) for w in words]
+        sizes = np.array([len(x) for x in found])
+        some = np.flatnonzero(sizes)
+        if len(some):
+            rows = self.gram_rows[[at for x in found for at in x]]
+            out[some] = np.add.reduceat(rows, np.cumsum(sizes[some]) - sizes[some]) / sizes[some, None]
+        return out
+
+    def predict(self, text: str, remembered: Remembered) -> tuple[str, float]:
         """The language and its share; ``remembered`` keeps rows of unseen words between texts."""
         counts = Counter(words_of(text))
         if not counts or not self.langs:
             return UNKNOWN, 0.0
+        places = list(map(self.words.get, counts))
         total = np.zeros(len(self.langs))
-        at = [(k, n) for w, n in counts.items() if (k := self.words.get(w)) is not None]
-        if at:
-            rows, weights = zip(*at, strict=True)
+        known = [(at, n) for at, n in zip(places, counts.values(), strict=True) if at is not None]
+        if known:
+            rows, weights = zip(*known, strict=True)
             total += np.array(weights, float) @ self.word_rows[list(rows)]
-        for word, n in counts.items():
-            if word not in self.words:
-                row = remembered.get(word)
-                if row is None:
-                    row = self.unseen(word)
-                    if len(word) <= LONGEST:
-                        remembered[word] = row
-                total += n * row
-        if len(remembered) >= FLUSH:
-            remembered.clear()
+        if len(known) < len(counts):
+            total += remembered.total(self, counts, [w for w, at in zip(counts, places, strict=True) if at is None])
         mean = total / counts.total()
         best = int(mean.argmax())
         return self.langs[best], float(1 / np.power(10.0, mean - mean[best]).sum())
 
 
+class Remembered:
+    """Rows of unseen words that a task has met, at most ``FLUSH`` before it starts anew; long runs aren't kept."""
+
+    def __init__(self):
+        self.places: dict[str, int] = {}
+        self.table: np.ndarray | None = None
+
+    def total(self, model: Model, counts: Counter, words: list[str]) -> np.ndarray:
+        """The sum of the words' rows, each as often as it is counted."""
+        long = [w for w in words if len(w) > LONGEST]
+        out = np.array([counts[w] for w in long], float) @ model.unseen(long)
+        words = [w for w in words if len(w) <= LONGEST] if long else words
+        if len(self.places) + len(words) > FLUSH:
+            self.places.clear()
+        new = [w for w in words if w not in self.places]
+        start, end = len(self.places), len(self.places) + len(new)
+        if self.table is None or end > len(self.table):
+            grown = np.zeros((2 * end, len(model.langs)))
+            if start:
+                grown[:start] = self.table[:start]
+            self.table = grown
+        self.table[start:end] = model.unseen(new)
+        self.places.update(zip(new, range(start, end), strict=True))
+        return out + np.array([counts[w] for w in words], float) @ self.table[[self.places[w] for w in words]]
+
+
 def _rows(table: dict[tuple[str, str], int], langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
     pieces = {p: k for k, p in enumerate(sorted({p for _, p in table}))}
     totals = np.zeros(len(langs))
@@ -175,7 +210,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, remembered = shared.value, {}
+        own, remembered = shared.value, Remembered()
         for batch in batches:
             found = [own.predict(text or "", remembered) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=[id_col, "lang_pred", "score"])
