@@ -1,30 +1,29 @@
 """Personal data: fixed patterns, then information-theoretic sanitisation of what surrounds them.
 
 Patterns find protected entities: addresses and numbers, and the groups that they
-belong to (a mail domain, a network, a number's prefix). Words of the same text may
-reveal it even when the entity itself is gone. For each (entity, term) pair the
-corpus gives PMI = log2(D * co / (df_entity * df_term)) over different texts, and
-the entity's information content is IC = log2(D / df_entity). Each df is taken with
-``SMOOTH`` more texts, so rare pairs count from one text on but weigh less than
-the same share of many. A term whose PMI is at least ``DISCLOSURE`` of the IC tells
-the entity apart, so all its places in the entity's texts become spans of kind
-``term``.
+belong to (a mail domain, a network, a number's prefix). Words beside an entity may
+reveal it even when the entity itself is gone. The evidence is about pairs: ``co`` counts
+the different texts in which a term stands at most ``NEAR`` places (words and matches, in
+order) from the entity or from a member of its group. Of all D texts df_entity have the entity and df_term the
+term. PMI = log2((co / df_term) / (df_entity / D)) says how much more likely the entity is where
+the term is; for co / df_term the lower end of its Wilson interval is taken (``Z``), so a
+pair seen once or twice weighs less than the same share of many. The entity's information
+content is IC = log2(D / df_entity). A term whose PMI is at least ``DISCLOSURE`` of the IC tells the
+entity apart, and all its places in the texts where it stands beside the entity become
+spans of kind ``term``. Being rare is not enough: a word far from every entity is never one.
 ``redact`` replaces spans by general names.
 
-Only built-in expressions. All counts are of different texts. A pair is formed only
-where its PMI could be high enough if the rarer of the two always stood with the
-other; entities of one text alone need no pairs, since each of the text's terms is
-seen once with all of them.
+Only built-in expressions. All counts are of different texts.
 
 Work on one text grows with its length and its matches, not with their product: spans
-are placed block by block, overlaps are found by windows over a text's spans, and
-``redact`` cuts its pieces from blocks of the text.
+are placed block by block, overlaps are found by windows over a text's spans, a match
+meets at most 2 * ``NEAR`` words, and ``redact`` cuts its pieces from blocks of the text.
 
 Cases: a null text counts as empty; a null id is kept; texts and their matches may be of
 any number that fits a row; repeated rows (same id and text) get the same spans; spans of
 different kinds may overlap and ``redact`` joins overlapping ones, under the name of the
-first; extra columns are ignored or, in ``redact``, kept; an empty table gives an empty
-result.
+first; extra columns are ignored or, in ``redact``, kept whatever their names; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +35,8 @@ from pyspark.sql import functions as F
 
 from .common import slim, stored
 
-DISCLOSURE, SMOOTH = 0.8, 1
+#: Share of the information content; places between a term and an entity; one-sided 90 % interval.
+DISCLOSURE, NEAR, Z = 0.8, 5, 1.28
 #: Matches placed in one fold, and characters of a text's blocks.
 BLOCK, PIECE = 256, 4096
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -157,49 +157,49 @@ def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def reveals(co: Column, df_entity: Column, df_term: Column, n_texts: int, disclosure: float) -> Column:
-    """Whether a term seen with an entity in ``co`` texts tells it apart."""
-    content = F.log2(F.lit(float(n_texts)) / (df_entity + SMOOTH))
-    pmi = F.log2(co * F.lit(float(n_texts)) / ((df_entity + SMOOTH) * (df_term + SMOOTH)))
-    return (content > 0) & (pmi >= disclosure * content)
+    """Whether a term that stands beside an entity in ``co`` texts tells it apart."""
+    share, z2 = co / df_term, Z * Z
+    low = (share + z2 / (2 * df_term) - Z * F.sqrt(share * (1 - share) / df_term + z2 / (4 * df_term * df_term))) / (1 + z2 / df_term)
+    content = F.log2(F.lit(float(n_texts)) / df_entity)
+    return (content > 0) & (F.log2(low) + content >= disclosure * content)
 
 
-def disclosing(scanned: DataFrame, counts: DataFrame, n_texts: int, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(id, h, terms): for each row all places of terms that reveal an entity of its text."""
+def items(scanned: DataFrame) -> DataFrame:
+    """(id, h, start, end, place, term, entities): words outside of base spans, and these, by their place in the text."""
     held = scanned.filter(F.size("base") > 0)
-    entities = held.select("h", F.explode(F.flatten(F.transform("base", lambda s: entity_keys(s["kind"], s["value"])))).alias("entity")).distinct()
-    df_entity = entities.groupBy("entity").agg(F.count("*").alias("df_entity"))
-    holders = stored(entities.join(df_entity, "entity"), "holders")
-    words = held.select("h", F.explode(F.array_distinct(F.transform("words", lambda w: w["term"]))).alias("term")).distinct()
-    terms = stored(words.join(counts, "term"), "terms")
-
-    def passing(co: Column) -> Column:
-        return reveals(co, F.col("df_entity"), F.col("df_term"), n_texts, disclosure)
-
-    alone = holders.filter("df_entity = 1").select("h", "df_entity").distinct()
-    single = terms.join(alone, "h").filter(passing(F.lit(1))).select("h", "term")
-    pairs = terms.join(holders.filter("df_entity > 1"), "h").filter(passing(F.least("df_entity", "df_term")))
-    known = pairs.groupBy("entity", "term").agg(F.count("*").alias("co"), F.first("df_entity").alias("df_entity"), F.first("df_term").alias("df_term"))
-    strong = known.filter(passing(F.col("co"))).select("entity", "term")
-    several = pairs.select("h", "entity", "term").join(strong, ["entity", "term"]).select("h", "term")
     # no array of a text is carried along with each of its words
-    places = held.select("id", "h", F.explode("words").alias("w")).select("id", "h", "w.*")
-    told = single.unionByName(several).distinct()
-    hit = stored(places.join(told, ["h", "term"]), "hits")
-    # a place is clear if no base span that begins at or before it ends after its start, and the next one begins after its end
-    marked = hit.select("id", "h", "start", "end", F.lit(True).alias("term")).unionByName(held.select("id", "h", F.explode(F.col("base")).alias("s"), F.lit(False).alias("term")).select("id", "h", "s.start", "s.end", "term"))
+    words = held.select("id", "h", F.explode("words").alias("w")).select("id", "h", "w.start", "w.end", "w.term", F.lit(None).cast("array<string>").alias("entities"))
+    bases = held.select("id", "h", F.explode("base").alias("s")).select("id", "h", "s.start", "s.end", F.lit(None).cast("string").alias("term"), entity_keys(F.col("s.kind"), F.col("s.value")).alias("entities"))
+    # a word is clear if no base span that begins at or before it ends after its start, and the next one begins after its end
+    is_word = F.col("term").isNotNull()
     # both windows grow from their first row: one that ends at the last row would be gone through anew for each
-    up, down = (Window.partitionBy("id", "h").orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow) for o in (("start", "term"), (F.desc("start"), F.desc("term"))))
-    ends = F.max(F.when(~F.col("term"), F.col("end"))).over(up)
-    begins = F.min(F.when(~F.col("term"), F.col("start"))).over(down)
-    clear = marked.withColumns({"ends": ends, "begins": begins}).filter("term AND coalesce(ends <= start, true) AND coalesce(begins >= end, true)")
-    return clear.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
+    up, down = (Window.partitionBy("id", "h").orderBy(*o).rowsBetween(Window.unboundedPreceding, Window.currentRow) for o in (("start", F.col("term").isNotNull()), (F.desc("start"), F.col("term").isNotNull().desc())))
+    ends = F.max(F.when(~is_word, F.col("end"))).over(up)
+    begins = F.min(F.when(~is_word, F.col("start"))).over(down)
+    clear = words.unionByName(bases).withColumns({"ends": ends, "begins": begins}).filter(~is_word | F.coalesce(F.col("ends") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("begins") >= F.col("end"), F.lit(True)))
+    return clear.withColumn("place", F.dense_rank().over(Window.partitionBy("id", "h").orderBy("start"))).drop("ends", "begins")
+
+
+def disclosing(placed: DataFrame, counts: DataFrame, n_texts: int, disclosure: float = DISCLOSURE) -> DataFrame:
+    """(id, h, terms): for each row all places of terms that reveal an entity of its text."""
+    mentions = placed.filter("term IS NULL").select("h", "place", F.explode("entities").alias("entity")).distinct()
+    df_entity = mentions.select("h", "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_entity"))
+    around = F.filter(F.sequence(F.col("place") - NEAR, F.col("place") + NEAR), lambda at: at > 0)
+    beside = mentions.select("h", "entity", F.explode(around).alias("place"))
+    words = placed.filter("term IS NOT NULL")
+    near = stored(beside.join(words.select("h", "place", "term").distinct(), ["h", "place"]).select("h", "entity", "term").distinct(), "near")
+    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("co")).join(df_entity, "entity").join(counts, "term")
+    strong = pairs.filter(reveals(F.col("co"), F.col("df_entity"), F.col("df_term"), n_texts, disclosure)).select("entity", "term")
+    told = near.join(strong, ["entity", "term"]).select("h", "term").distinct()
+    hit = words.select("id", "h", "start", "end", "term").join(told, ["h", "term"])
+    return hit.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
     """(id, h, base, terms) for each row of ``docs``."""
     scanned = stored(scan(docs, id_col, text_col), "scanned")
     n_texts = scanned.select("h").distinct().count()
-    terms = disclosing(scanned, term_counts(docs, text_col), n_texts, disclosure)
+    terms = disclosing(stored(items(scanned), "items"), term_counts(docs, text_col), n_texts, disclosure)
     other = terms.select(F.col("id").alias("id2"), F.col("h").alias("h2"), "terms")
     joined = scanned.drop("words").join(other, (F.col("h") == F.col("h2")) & F.col("id").eqNullSafe(F.col("id2")), "left")
     return joined.select("id", "h", "base", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int>>")).alias("terms"))
@@ -229,14 +229,16 @@ def _from_blocks(blocks: Column, start: Column, end: Column) -> Column:
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span of its text replaced by the general name of its kind."""
-    hit = _without_overlaps(find_spans(docs, id_col, text_col)).select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("pieces").alias("__pieces"), F.col("last").alias("__last"))
-    text = F.col(f"`{text_col}`")
-    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(text, F.lit(""))))
+    hit = _without_overlaps(find_spans(docs, id_col, text_col))
+    # the caller's columns stand in one struct, so that none of them can clash with ours
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    keyed = rows.select("row", F.col(f"row.`{id_col}`").alias("row_id"), F.col(f"row.`{text_col}`").alias("text"), F.xxhash64(F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))).alias("row_h"))
     names = F.create_map(*[F.lit(x) for kv in NAMES.items() for x in kv])
-    joined = keyed.join(hit, (F.col("__key") == F.col("__h")) & F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left")
-    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    joined = keyed.join(hit, (F.col("row_h") == F.col("h")) & F.col("row_id").eqNullSafe(F.col("id")), "left")
+    blocks = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
     pieces = lambda x: F.array_join(F.transform(x["pieces"], lambda p: F.concat(_from_blocks(x["blocks"], p["before"], p["start"]), F.element_at(names, p["kind"]))), "")
     # the blocks are made once for a text: they reach the lambdas as a variable
-    once = F.array(F.struct(blocks.alias("blocks"), F.col("__pieces").alias("pieces"), F.col("__last").alias("last"), F.length(text).alias("n")))
+    once = F.array(F.struct(blocks.alias("blocks"), "pieces", "last", F.length("text").alias("n")))
     clean = F.element_at(F.transform(once, lambda x: F.concat(pieces(x), _from_blocks(x["blocks"], x["last"], x["n"]))), 1)
-    return joined.withColumn(text_col, F.when(F.col("__pieces").isNotNull(), clean).otherwise(text)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    whole = F.when(F.col("pieces").isNotNull(), clean).otherwise(F.col("text"))
+    return joined.select(*(whole.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
