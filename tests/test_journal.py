@@ -80,6 +80,40 @@ def test_readers_finish_what_a_dead_writer_left(spark, tmp_path):
     assert {r[1] for r in content(spark, path)} == {2}
 
 
+@pytest.mark.parametrize("after", range(0, 8))
+def test_a_killed_whole_replacement_leaves_old_or_new(spark, tmp_path, after):
+    path = f"{tmp_path}/t"
+    frame_ = lambda v, n: spark.range(n).select("id", F.lit(v).alias("v")).repartition(2)
+    sinks.replace_table(frame_(1, 10), path)
+    try:
+        sinks.replace_table(frame_(2, 20), path, killer(after))
+    except Killed:
+        assert journal.recover(spark, path) == 1
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(i, 2) for i in range(20)]
+    with pytest.raises(ValueError):
+        sinks.replace_table(frame_(3, 0), path)
+    assert spark.read.parquet(path).count() == 20
+
+
+def test_merge_updates_moves_and_adds(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "k int, v int, w string, date string"
+    rows = [(k, 1, f"w{k}", f"2024-01-0{k % 3 + 1}") for k in range(9)]
+    sinks.merge(spark.createDataFrame(rows, schema), path, ["k"], ["date"])
+    untouched = sorted(f for f in spark.read.parquet(path).inputFiles() if "date=2024-01-02" in f)
+    # one changes, one moves to another date and empties nothing, one is new
+    new = [(0, 2, None, "2024-01-01"), (3, 2, "x", "2024-01-03"), (20, 2, "n", "2024-01-05")]
+    sinks.merge(spark.createDataFrame(new, schema), path, ["k"], ["date"])
+    want = {r[0]: r for r in rows} | {r[0]: r for r in new}
+    read = lambda: {r.k: (r.k, r.v, r.w, str(r.date)) for r in spark.read.parquet(path).collect()}
+    assert read() == want and spark.read.parquet(path).count() == 10
+    assert sorted(f for f in spark.read.parquet(path).inputFiles() if "date=2024-01-02" in f) == untouched
+    # single columns, nulls keep what is stored; a date that loses its only row goes
+    sinks.merge(spark.createDataFrame([(20, None, "m", "2024-01-05"), (21, 3, "o", "2024-01-01")], schema), path, ["k"], ["date"], ["v", "w"])
+    assert read()[20] == (20, 2, "m", "2024-01-05") and read()[21] == (21, 3, "o", "2024-01-01")
+    sinks.merge(spark.createDataFrame([(20, 4, "p", "2024-01-01")], schema), path, ["k"], ["date"])
+    assert read()[20] == (20, 4, "p", "2024-01-01") and not journal.Store(spark, path).exists("date=2024-01-05")
+
+
 def test_batches_are_added_once(spark, tmp_path):
     path = f"{tmp_path}/t"
     for after in (0, 1, 2):  # a commit that dies, at its start or between files, and is run again

@@ -145,6 +145,16 @@ def inserted_absent(spark, sf_dir):
     return spark.read.schema(CANDLE).parquet(path).select("symbol", F.col("time").cast("timestamp_ntz").alias("time"), "close", "volume", "date")
 
 
+@query(V.with_views(("instruments", "secdef"), "SELECT coalesce(i.symbol, s.symbol) AS symbol, coalesce(s.market_id, i.market_id) AS market_id, CASE WHEN s.symbol IS NULL THEN i.is_active ELSE true END AS is_active FROM instruments i FULL JOIN (SELECT symbol, max(market_id) AS market_id FROM secdef GROUP BY symbol) s ON i.symbol = s.symbol"))
+def merged_master(spark, sf_dir):
+    """K2, K3: definitions merged into a stored master, by market; what is known is updated, what is new is added."""
+    path, master = sinks.new_place(spark, "masters"), V.instruments(spark, sf_dir).select("symbol", "is_active", "market_id")
+    sinks.append_partitioned(master, path, ["market_id"])
+    new = V.secdef(spark, sf_dir).groupBy("symbol").agg(F.max("market_id").alias("market_id")).select("symbol", F.lit(True).alias("is_active"), "market_id")
+    sinks.merge(new, path, ["symbol"], ["market_id"])
+    return spark.read.schema("symbol string, is_active boolean, market_id string").parquet(path)
+
+
 @query(V.with_views(("instruments",), "SELECT symbol, market_id, is_active, '1997-06-27' AS date FROM instruments UNION ALL SELECT symbol, market_id, true, '1997-06-30' FROM instruments WHERE is_active"))
 def daily_snapshots(spark, sf_dir):
     """K6: a master on two days, the second written twice."""

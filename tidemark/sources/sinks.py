@@ -2,9 +2,8 @@
 
 Where a table is read and replaced in one step, the new rows go to a staging folder
 beside it first: Spark can't overwrite files that the same job reads, and a job that
-dies leaves the old table whole. Ranges, compactions and numbered batches go through the
-table's journal (see ``journal``); a whole table is replaced by renaming its folder, which
-is atomic on HDFS and local disks only.
+dies leaves the old table whole. Ranges, merges, compactions, whole tables and numbered
+batches go through the table's journal (see ``journal``).
 """
 
 from __future__ import annotations
@@ -86,9 +85,7 @@ def replace_where(df: DataFrame, path: str, predicate: Column, by: list[str], mo
     gone = F.coalesce(predicate, F.lit(False))
     touched = old.filter(gone).select(*by).unionByName(df.select(*by)).distinct()
     kept = old.join(touched, by, "left_semi").filter(~gone)
-    # one row a folder that loses rows
-    folders = old.filter(gone).select(F.regexp_extract("_metadata.file_path", f"((?:[^/]+=[^/]*/){{{len(by)}}})[^/]+$", 1).alias("f")).distinct()
-    losing = [journal.unescaped(r["f"].rstrip("/")) for r in folders.toLocalIterator()]
+    losing = [journal.unescaped(r["f"].rstrip("/")) for r in _folders(old, None, [], by, gone).toLocalIterator()]
     journal.swap_partitions(kept.unionByName(df, allowMissingColumns=True), path, by, losing, moved)
     return None
 
@@ -111,30 +108,48 @@ def insert_absent(df: DataFrame, path: str, keys: list[str], by: list[str], ts:
     _drop(spark, where)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """The whole table anew; an empty frame is refused.
+def merge(df: DataFrame, path: str, keys: list[str], by: list[str], columns: list[str] | None = None) -> None:
+    """Update the rows whose keys are in ``df``, and add the others (an upsert).
 
-    The new files are complete before the old folder is moved aside, and the old one
-    comes back if the new one can't take its place.
+    ``keys`` are unique in ``df`` and not null. With ``columns`` only these are updated, and a
+    null among the new values keeps the stored one. Only partitions that hold such rows, or
+    get new ones, are rewritten, all at once (see ``journal``); a row whose partition
+    changes moves.
     """
     spark = df.sparkSession
-    staged, where = _staged(df, path)
-    if staged.isEmpty():
-        _drop(spark, where)
+    if not table_exists(spark, path):
+        return append_partitioned(df, path, by)
+    journal.recover(spark, path)
+    old = spark.read.option("mergeSchema", "true").parquet(path)
+    matched = old.join(df.select(*keys), keys, "left_semi")
+    touched = matched.select(*by).unionByName(df.select(*by)).distinct()
+    losing = [journal.unescaped(r["f"].rstrip("/")) for r in _folders(old, matched, keys, by).toLocalIterator()]
+    kept = old.join(touched, by, "left_semi").join(df.select(*keys), keys, "left_anti")
+    new = df
+    if columns is not None:
+        theirs = df.select(*keys, F.lit(True).alias("__new"), *(F.col(c).alias(f"__{i}") for i, c in enumerate(columns)))
+        updated = old.join(theirs, keys).select(*(F.coalesce(f"__{columns.index(c)}", c).alias(c) if c in columns else F.col(c) for c in old.columns))
+        new = updated.unionByName(df.join(old.select(*keys), keys, "left_anti"), allowMissingColumns=True)
+    journal.swap_partitions(kept.unionByName(new, allowMissingColumns=True), path, by, losing)
+    return None
+
+
+def _folders(old: DataFrame, rows: DataFrame | None, keys: list[str], by: list[str], which: Column | None = None) -> DataFrame:
+    """(f) partition folders, as URLs have them, of rows of ``old`` that a condition or a table of keys picks: one row each."""
+    placed = old.select(*(old.columns), F.regexp_extract("_metadata.file_path", f"((?:[^/]+=[^/]*/){{{len(by)}}})[^/]+$", 1).alias("f"))
+    picked = placed.filter(which) if which is not None else placed.join(rows.select(*keys).distinct(), keys, "left_semi")
+    return picked.select("f").distinct()
+
+
+def replace_table(df: DataFrame, path: str, moved: Callable[[str], None] = lambda _: None) -> None:
+    """The whole table anew; an empty frame is refused.
+
+    The new files are complete and noted in the table's journal before an old one is moved.
+    """
+    if df.isEmpty():
         raise ValueError("an empty frame would clear the table")
-    fs, place = _fs(spark, path)
-    aside = _fs(spark, f"{path.rstrip('/')}_old_{uuid.uuid4().hex}")[1]
-    had = fs.exists(place)
-    if had and not fs.rename(place, aside):
-        _drop(spark, where)
-        raise OSError(f"{path} can't be moved")
-    if not fs.rename(_fs(spark, where)[1], place):
-        if had:
-            fs.rename(aside, place)
-        raise OSError(f"{where} can't take the place of {path}")
-    if had:
-        fs.delete(aside, True)
-    spark.catalog.refreshByPath(path)
+    journal.replace_all(df, path, moved=moved)
+    df.sparkSession.catalog.refreshByPath(path)
 
 
 def daily_snapshot(df: DataFrame, path: str, day: str) -> None:
@@ -184,8 +199,8 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(place).getLength() if fs.exists(place) else 0
 
 
-def compact(spark: SparkSession, path: str, day: str, cluster: str | list[str] = "symbol", order: str = "exchange_ts", file_bytes: int = FILE_BYTES) -> int:
-    """Rewrite a date partition as files of about ``file_bytes``; how many files are asked for.
+def compact(spark: SparkSession, path: str, day: str, cluster: str | list[str] = "symbol", order: str = "exchange_ts", files: int | None = None, file_bytes: int = FILE_BYTES) -> int:
+    """Rewrite a date partition as files of about ``file_bytes`` (or as so many); how many are asked for.
 
     With one column rows are clustered by it; with several by their Z-order, so that a filter
     on any of them reads a fraction of the files. Within a file rows are in order of the
@@ -193,7 +208,7 @@ def compact(spark: SparkSession, path: str, day: str, cluster: str | list[str] =
     """
     columns = [cluster] if isinstance(cluster, str) else list(cluster)
     journal.recover(spark, path)
-    files = max(1, -(-folder_bytes(spark, f"{path.rstrip('/')}/date={day}") // file_bytes))
+    files = files or max(1, -(-folder_bytes(spark, f"{path.rstrip('/')}/date={day}") // file_bytes))
     rows = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col("date").cast("string") == day).withColumn("date", F.lit(day))
     if len(columns) == 1:
         dealt = rows.repartitionByRange(files, *columns).sortWithinPartitions(*columns, order)
