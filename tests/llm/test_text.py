@@ -49,6 +49,35 @@ def test_empty_texts(html):
     assert html_text.render(html).replace("\n", "").startswith("a") and "b" in html_text.render(html)
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<ruby>a<rp>(</rp><rt>b</rt><rp>)</rp></ruby>", "ab"), ("x<noembed>no</noembed><noframes>no</noframes>y", "xy"),
+    ("a<dialog>no</dialog>b<dialog open>yes</dialog>", "ab\nyes"), ("<details>no<p>no</p><summary>s<b>t</b></summary><summary>no</summary><img alt=no></details>z", "st\nz"),
+    ("<details open><summary>s</summary>body</details>", "s\nbody"), ("<details><summary>a</summary><details open><summary>no</summary></details></details>b", "a\nb"),
+    ("<style>.a{display:none} #i, p.b {color:red;display: none !important}</style><p class='x a'>no</p><p id=i>no</p><p class=b>no</p><div class=b>d</div>", "d"),
+    ("<style>.a{display:none}</style><style>/* .a{display:block} */ .c{display:none}.c{display:block}</style><p class=a style='display:block'>yes</p><p class=c>too</p>", "yes\n\ntoo"),
+    ("<style>@media print{.a{display:none}} @media screen { .b{display:none} } @import 'x'; i{display:none}</style><p class=a>yes</p><p class=b>no</p>a<i>no</i>", "yes\n\na"),
+    ("<style>span{display:none}.k{display:inline}#n{display:none}</style><span>no</span><span class=k>yes</span><span class=k id=n>no</span>", "yes"),
+    ("<style>div p{display:none} a:hover{display:none} {} .z{display:none</style><div><p>yes</p></div><a>a</a><b class=z>no</b>", "yes\n\na"),
+])
+def test_hidden_by_default_and_by_rules(html, text):
+    assert html_text.render(html) == text
+
+
+def test_nested_pages_below_a_bound_are_linear():
+    """Implied ends and end tags cost the same however deep the page is."""
+    start = time.time()
+    for page in ("<p><td>" + "<div>" * 100_000, "<table><tr><td>" + "<li>" * 100_000, "<ul><li>" + "<b>" * 100_000 + "</i></li>" * 1000, "<p><td>" + "<div></p>" * 50_000, "<dl>" + "<dt><div>" * 50_000 + "</dl>" * 100, "<style>" + "{" * 50_000 + ".a{display:none}" * 5000, "<details>" * 50_000 + "x"):
+        html_text.render(page)
+    assert time.time() - start < 20
+
+
+def test_links_follow_the_base_and_lists_of_images():
+    page = "<a href=' x '>a</a><base target=t><base href='/d/e/'><base href='/f/'><img src=i.png srcset='a.png 1x, b.png 2x,c.png' alt=c><source srcset='m.webp, https://o.example/n.webp 480w'>"
+    links = warc.page_facts(list(html_text.tokens(page)), "https://h.example/p/q")[1]
+    assert [x["url"].removeprefix("https://h.example") for x in links] == ["/d/e/x", "/d/e/i.png", "/d/e/a.png", "/d/e/b.png", "/d/e/c.png", "/d/e/m.webp", "https://o.example/n.webp"]
+    assert warc.srcset_urls(" , ,") == [] and warc.srcset_urls("data:image/png,x 1x") == ["data:image/png,x"]
+
+
 def test_deep_and_long_pages():
     assert html_text.render("<div>" * 20_000 + "x") == "x"
     assert html_text.render("<a " + "x" * 200_000) == ""

@@ -22,6 +22,7 @@ from __future__ import annotations
 import html as entities
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -31,7 +32,7 @@ from .common import slim
 
 # HTML's elements by what they mean for layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style template noscript iframe object datalist audio video canvas annotation annotation-xml".split())
+HIDDEN = frozenset("head title script style template noscript noembed noframes rp iframe object datalist audio video canvas annotation annotation-xml".split())
 #: Start tags that leave an open head open.
 HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 #: Parts of a drawing that are not drawn where they stand, elements that show text in it, and HTML that ends a drawing or formula left open.
@@ -59,7 +60,8 @@ _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SLASHED = re.compile(r"=\s*[^\s\"'>=]*/\Z")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
-_NONE = re.compile(r"display\s*:\s*none", re.I)
+_STYLE = re.compile(r"<style(?:\s[^>]*)?>(.*?)(?:</style|\Z)", re.I | re.S)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 #: Kinds of input that show their value.
 SHOWN_INPUTS = frozenset("button email number reset search submit tel text url".split())
@@ -107,14 +109,66 @@ def attributes(attrs: str) -> dict[str, str]:
     return out
 
 
-def hidden(name: str, attrs: str) -> bool:
+#: Media that a page's own rules may name and that hold for a reader on a screen.
+SCREENS = re.compile(r"@media\s+(?:only\s+)?(?:all|screen)\s*\Z|@(?:layer|supports)\b", re.I)
+_SELECTOR = re.compile(r"(\*|[A-Za-z][\w-]*)?(?:([.#])(-?[A-Za-z_][\w-]*))?\Z")
+_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*([A-Za-z-]+)", re.I)
+_PRELUDE = re.compile(r"[^{}]*")
+
+
+class Rules:
+    """What a page's own style sheets say of ``display``, for selectors of one tag, class or id, or a tag with one of these.
+
+    An id outweighs a class and a class a tag; of equal ones the last counts. Other
+    selectors, linked sheets and media other than the screen are left out.
+    """
+
+    def __init__(self, html: str = ""):
+        self.none: dict[tuple[str, str, str], tuple[int, bool]] = {}
+        self.count = 0
+        if "<style" in html or "<STYLE" in html or "<Style" in html:
+            for m in _STYLE.finditer(html):
+                self._read(m[1])
+
+    def _read(self, css: str) -> None:
+        css, at, open_ = _COMMENT.sub(" ", css).replace("<!--", " ").replace("-->", " "), 0, []
+        while at < len(css):
+            m = _PRELUDE.match(css, at)
+            text, at = m[0], m.end() + 1
+            if css[m.end() : at] == "{":
+                open_.append(text.rpartition(";")[2].strip())
+            elif open_:
+                heads, last = open_[:-1], open_.pop()
+                if all(SCREENS.match(x) for x in heads) and not last.startswith("@") and (said := _DISPLAY.findall(text)):
+                    for selector in last.split(","):
+                        if (own := _SELECTOR.match(selector.strip())) and selector.strip():
+                            self.count += 1
+                            tag = (own[1] or "*").lower()
+                            self.none[(tag, own[2] or "", own[3] or "")] = (self.count, said[-1].lower() == "none")
+
+    def hide(self, name: str, found: dict[str, str]) -> bool:
+        """Whether the rules take an element with these attributes out of the layout."""
+        for kind, values in (("#", [found["id"]] if found.get("id") else []), (".", found.get("class", "").split()), ("", [""])):
+            said = [x for v in values for tag in (name, "*") if (x := self.none.get((tag, kind, v)))]
+            if said:
+                return max(said)[1]
+        return False
+
+
+def hidden(name: str, attrs: str, rules: Rules | None = None) -> bool:
     """Whether an element and all below it take no part in the layout."""
     if name in HIDDEN:
         return True
-    if not attrs or "hid" not in attrs.lower() and "none" not in attrs.lower():
+    ruled = rules is not None and bool(rules.none)
+    if name == "dialog":
+        return "open" not in attributes(attrs)
+    if not ruled and (not attrs or "hid" not in attrs.lower() and "none" not in attrs.lower()):
         return False
-    found = attributes(attrs)
-    return "hidden" in found or bool(_NONE.search(found.get("style", ""))) or name == "input" and found.get("type", "").lower() == "hidden"
+    found = attributes(attrs) if attrs else {}
+    if "hidden" in found or name == "input" and found.get("type", "").lower() == "hidden":
+        return True
+    own = _DISPLAY.findall(found.get("style", ""))
+    return own[-1].lower() == "none" if own else ruled and rules.hide(name, found)
 
 
 def veil(attrs: str, before: bool) -> bool:
@@ -242,13 +296,19 @@ def _spans(attrs: str) -> tuple[int, int]:
 
 def render(html: str | None) -> str:
     """All visible text of a page with its layout."""
-    return layout(tokens(html or ""))
+    return layout(tokens(html or ""), Rules(html or ""))
 
 
-def layout(found: Iterable[tuple[str, str, str]]) -> str:
-    """The laid-out text of a page's tokens."""
+def layout(found: Iterable[tuple[str, str, str]], rules: Rules | None = None) -> str:
+    """The laid-out text of a page's tokens, under its style sheets' rules.
+
+    Each tag costs a few look-ups however deep the page is: ``where`` has the places in the
+    stack of the open elements of each name.
+    """
     flow = Flow()
     stack: list[tuple[str, bool, bool]] = []  # name, hidden, whether text was invisible before
+    where: dict[str, list[int]] = {}
+    folded: dict[int, bool] = {}  # places of closed details -> whether their summary has come
     open_names: dict[str, int] = {}
     lists: list[list] = []  # kind, counter
     tables: list[dict] = []
@@ -259,6 +319,7 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
         nonlocal flow, unseen, pre, veiled
         name, is_hidden, veiled = stack.pop()
         open_names[name] -= 1
+        folded.pop(where[name].pop(), None)
         if is_hidden:
             unseen -= 1
             return
@@ -294,24 +355,23 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
 
     def end_until(names: set[str], bound: set[str] | frozenset) -> None:
         """End the open elements of these names that lie above the bound."""
-        if not any(open_names.get(x) for x in names):
-            return
-        last = None
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in bound:
-                break
-            if stack[i][0] in names:
-                last = i
-        if last is not None:
-            while len(stack) > last:
+        floor = top_of(bound)
+        lowest = min((places[k] for x in names if (places := where.get(x)) and (k := bisect_right(places, floor)) < len(places)), default=None)
+        if lowest is not None:
+            while len(stack) > lowest:
                 leave()
 
+    def top_of(names: set[str] | frozenset) -> int:
+        """The highest place in the stack of an element of these names; -1 if none is open."""
+        return max((places[-1] for x in names if (places := where.get(x))), default=-1)
+
     for kind, name, attrs in found:
         if stack and stack[-1][0] == "head" and (name not in HEAD if kind == "start" else kind == "text" and name.strip(" \t\n\r\f")):
             while stack and stack[-1][0] == "head":
                 leave()
+        inside = bool(folded) and len(stack) - 1 in folded
         if kind == "text":
-            if not unseen and not veiled:
+            if not unseen and not veiled and not inside:
                 if open_names.get("svg") and not any(open_names.get(x) for x in DRAWN):
                     continue
                 if tables and tables[-1]["cell"] is None and not name.strip():
@@ -330,7 +390,10 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
                 foreign = 0
             if (foreign or name in ("svg", "math")) and closed(attrs) and not (name not in ("svg", "math") and open_names.get("foreignobject")):
                 continue
-            gone = hidden(name, attrs) or bool(foreign) and name in UNDRAWN
+            gone = hidden(name, attrs, rules) or bool(foreign) and name in UNDRAWN
+            if folded and len(stack) - 1 in folded:  # of closed details only the first summary is shown
+                gone = gone or name != "summary" or folded[len(stack) - 1]
+                folded[len(stack) - 1] |= name == "summary"
             if name in VOID:
                 if unseen or gone or veil(attrs, veiled):
                     continue
@@ -347,6 +410,9 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
                     if own.get("type", "text").lower() in SHOWN_INPUTS:
                         flow.text(f" {own.get('value', '')} ", False)
                 continue
+            where.setdefault(name, []).append(len(stack))
+            if name == "details" and "open" not in attributes(attrs):
+                folded[len(stack)] = False
             stack.append((name, gone, veiled))
             veiled = veil(attrs, veiled)
             open_names[name] = open_names.get(name, 0) + 1
@@ -385,13 +451,10 @@ def layout(found: Iterable[tuple[str, str, str]]) -> str:
                 flow.block(1 if name in PARAGRAPH else 0)
         elif open_names.get(name):
             bound = frozenset() if name in SCOPE or name in ("tr", "thead", "tbody", "tfoot") else SCOPE
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    while len(stack) > i:
-                        leave()
-                    break
-                if stack[i][0] in bound:
-                    break
+            nearest = where[name][-1]
+            if nearest > top_of(bound):
+                while len(stack) > nearest:
+                    leave()
         elif name == "p" and not unseen:
             flow.block(1)
     while stack:

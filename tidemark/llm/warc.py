@@ -32,9 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slim
-from .html_text import attributes, layout, tokens
+from .html_text import Rules, attributes, layout, tokens
 
 _BREAKS = re.compile(r"[\r\n]+")
+_CANDIDATE = re.compile(r"[ \t\n\f\r,]*([^ \t\n\f\r]+)")
 #: Elements with links and the attributes that hold them.
 LINKS = {"a": ("href",), "area": ("href",), "link": ("href",), "img": ("src",), "script": ("src",), "iframe": ("src",), "embed": ("src",), "source": ("src",), "video": ("src", "poster"), "audio": ("src",), "form": ("action",)}
 SCHEMA = "record_type string, record_id string, refers_to string, linked_id string, target_uri string, warc_date string, content_type string, content_length long, block_digest string, source_payload_digest string, source_headers string, warc_headers string, block string"
@@ -73,9 +74,9 @@ def _child_id(source: str, kind: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source} {kind}')}>"
 
 
-def page_facts(found: list[tuple[str, str, str]], base: str | None) -> tuple[str, list[dict]]:
-    """Title and links of a page's tokens; links are resolved against the page's address."""
-    title, in_title, links = [], False, []
+def page_facts(found: list[tuple[str, str, str]], address: str | None) -> tuple[str, list[dict]]:
+    """Title and links of a page's tokens; links are resolved against its first ``base`` or else its address."""
+    title, in_title, links, base = [], False, [], None
     for kind, name, attrs in found:
         if kind == "text":
             if in_title:
@@ -85,10 +86,27 @@ def page_facts(found: list[tuple[str, str, str]], base: str | None) -> tuple[str
             in_title = kind == "start" and not title
         elif kind == "start":
             in_title = False
+            if name == "base" and base is None and attrs:
+                base = attributes(attrs).get("href")
             if name in LINKS and attrs:
                 own = attributes(attrs)
-                links += [{"path": f"{name}@/{a}", "url": _resolved(base, own[a])} for a in LINKS[name] if own.get(a)]
-    return " ".join(entities.unescape("".join(title)).split()), links
+                links += [(f"{name}@/{a}", own[a].strip(" \t\n\f\r")) for a in LINKS[name] if own.get(a)]
+                if name in ("img", "source") and own.get("srcset"):
+                    links += [(f"{name}@/srcset", url) for url in srcset_urls(own["srcset"])]
+    base = address if base is None else _resolved(address, base.strip())
+    return " ".join(entities.unescape("".join(title)).split()), [{"path": path, "url": _resolved(base, url)} for path, url in links]
+
+
+def srcset_urls(value: str) -> list[str]:
+    """Addresses of a list of images: each ends at white space, and what describes it at a comma."""
+    out, at = [], 0
+    while m := _CANDIDATE.match(value, at):
+        out.append(m[1].rstrip(","))
+        at = m.end()
+        if not m[1].endswith(","):
+            comma = value.find(",", at)
+            at = len(value) if comma < 0 else comma + 1
+    return [x for x in out if x]
 
 
 def _resolved(base: str | None, link: str) -> str:
@@ -115,7 +133,7 @@ def derive(record_id: str, target: str | None, date: str | None, http_headers: s
     ids = {kind: _child_id(record_id, kind) for kind in ("metadata", "conversion")}
     facts = {"source": {"record_id": record_id, "target_uri": target, "date": date, "status": status, "headers": fields, "payload_digest": payload_digest, "block_digest": digest(http_headers.encode() + raw), "payload_length": len(raw)}, "html": {"title": title, "links": links}, "conversion": ids["conversion"]}
     out = []
-    for kind, content_type, block in (("metadata", "application/json", json.dumps(facts, ensure_ascii=False, sort_keys=True)), ("conversion", "text/plain; charset=utf-8", layout(found))):
+    for kind, content_type, block in (("metadata", "application/json", json.dumps(facts, ensure_ascii=False, sort_keys=True)), ("conversion", "text/plain; charset=utf-8", layout(found, Rules(payload)))):
         own = block.encode("utf-8", "surrogatepass")
         other = ids["conversion" if kind == "metadata" else "metadata"]
         head = {"WARC-Type": kind, "WARC-Record-ID": ids[kind], "WARC-Date": date, "WARC-Target-URI": target, "WARC-Refers-To": record_id, "WARC-Concurrent-To": other, "WARC-Block-Digest": digest(own), "WARC-Source-Payload-Digest": payload_digest, "Content-Type": content_type, "Content-Length": str(len(own))}
