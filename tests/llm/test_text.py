@@ -257,6 +257,13 @@ def in_order(df):
     return [(r.doc_id, r.t) for r in sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or type(r.doc_id)(), r.h) if r.doc_id is not None else (False, 0, r.h))]
 
 
+def test_few_keys_reach_the_driver(spark):
+    """However many rows there are, ranges are at most about as many as asked for."""
+    for n in (2_000, 20_000):
+        rows = spark.range(n).select("id", F.repeat(F.lit("x"), 50).alias("text"), F.xxhash64("id").alias("hash"), F.col("id").alias("number"))
+        assert 16 <= len(fingerprints.range_starts(rows, 64, 32)) <= 45
+
+
 def test_fingerprints_of_odd_rows(odd_docs, no_docs):
     for size in (50, 1 << 22):
         check_fingerprints(fingerprints.fingerprint_documents(odd_docs, range_bytes=size).collect(), in_order(odd_docs))
@@ -327,13 +334,29 @@ def test_license_templates_verbatim_and_wrapped(spark):
 
 def test_all_licenses_of_a_block_count(spark):
     cases = {
-        "All rights reserved, redistribution and use in source and binary forms, with or without modification, are allowed": "bsd,reserved", "Licensed under CC BY 4.0.": "cc-by", "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa",
+        "All rights reserved, redistribution and use in source and binary forms, with or without modification, are allowed": "bsd,reserved", "Licensed under CC BY 4.0.": "cc-by", "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa", "Licensed under CC BY-NC-SA 4.0.": "cc-by,cc-by-nc-sa",
+        "all the rights we reserved": "", "Distributed under the Boost Software License, Version 1.0.": "bsl-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0": "epl",
         "Released under the MIT License, licensed under the Apache License, Version 2.0": "apache-2.0,mit", "Licensed under the GNU Affero General Public License": "agpl,gpl",
     }
     df = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")
     assert [r.labels for r in licenses.scan_documents(df).orderBy("doc_id").collect()] == list(cases.values())
 
 
+def test_every_block_over_the_threshold_is_reported(spark, docs, texts):
+    """``set_labels`` are the exact set-similarity join, without windows or kin."""
+    far = "permission is hereby granted " + "x " * 60 + "free of charge to any person obtaining a copy of this software and associated documentation files"
+    cases = {**texts, 10_000_000: far, 10_000_001: "Licensed under the GNU Lesser General Public License", 10_000_002: None}
+    df = spark.createDataFrame(list(cases.items()), "doc_id bigint, text string")
+    for r in licenses.scan_documents(df).collect():
+        want = set()
+        for block in re.split(licenses.BLOCK_END, (cases[r.doc_id] or "").translate(A_Z)):
+            own = set(WORD.findall(block))
+            want |= {label for label, t in licenses.template_sets(licenses.TEMPLATES) if len(own & set(t)) >= licenses.CONTAINMENT * len(t) - 1e-9}
+        assert r.set_labels == ",".join(sorted(want)), r.doc_id
+    got = {r.doc_id: r for r in licenses.scan_documents(df.filter("doc_id >= 10000000")).collect()}
+    assert got[10_000_000].set_labels == "mit" and got[10_000_000].labels == "" and got[10_000_001].labels == "gpl,lgpl" and "agpl" in got[10_000_001].set_labels
+
+
 def test_license_scan_of_odd_rows(odd_docs, no_docs):
     rows = licenses.scan_documents(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -40,6 +40,8 @@ SKETCH, FIRST_LEVEL, LAST_LEVEL = 96, 2, 4
 BATCH_CHARS = 1 << 20
 #: Bytes of text in a range of rows, about.
 RANGE_BYTES = 8 << 20
+#: Ranges at most, about: beyond so many times ``RANGE_BYTES`` ranges grow instead. Texts of a range are worked through one after another, so its size costs no memory.
+MOST_RANGES = 1 << 16
 
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Odd multipliers for the places in a phrase, which has far fewer than 64 names.
@@ -184,14 +186,16 @@ def _key(row_id: object, text_hash: int, number: int) -> tuple:
     return (row_id is not None, row_id, text_hash, number) if row_id is not None else (False, 0, text_hash, number)
 
 
-def range_starts(rows: DataFrame, range_bytes: int) -> list[tuple]:
+def range_starts(rows: DataFrame, range_bytes: int, most: int = MOST_RANGES) -> list[tuple]:
     """Keys of the first row of each range of about ``range_bytes``, from (id, hash, number, bytes).
 
-    Only narrow rows are sorted; a key for each range reaches the driver.
+    Only narrow rows are sorted. A key for each range reaches the driver and all tasks: at
+    most about ``MOST_RANGES``, since ranges are larger where there would be more.
     """
     with Scratch(rows.sparkSession) as scratch:
         narrow = scratch.stored(rows.select("id", "hash", "number", (F.octet_length("text") + 64).alias("bytes")), "keys")
         total = narrow.agg(F.sum("bytes")).first()[0] or 0
+        range_bytes = max(range_bytes, -(-total // most))
         ranged = narrow.repartitionByRange(max(1, -(-total // (8 * range_bytes))), F.col("id").asc_nulls_first(), "hash", "number")
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

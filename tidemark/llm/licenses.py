@@ -35,7 +35,7 @@ SLACK = 4
 
 #: Fixed phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Opening statements of licenses.
+#: Opening statements of licenses and single sentences of their texts. Statements of three words are left to ``PHRASES``: as sets they'd fit other sentences.
 TEMPLATES = [
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
@@ -52,13 +52,26 @@ TEMPLATES = [
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related rights to this work"),
-    ("reserved", "All rights reserved."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty."),
+    ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("wtfpl", "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed."),
+    ("ofl-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+    ("artistic-2.0", "This is free software, licensed under the Artistic License 2.0."),
 ]
 
 #: Words without which a block isn't of a label's license: its kin share all others.
-REQUIRED = {"lgpl": "lesser", "agpl": "affero", "cc-by-nc": "nc", "cc-by-sa": "sa"}
+REQUIRED = {"lgpl": ["lesser"], "agpl": ["affero"], "cc-by-nc": ["nc"], "cc-by-sa": ["sa"], "cc-by-nd": ["nd"], "cc-by-nc-sa": ["nc", "sa"]}
 #: Kin of which only the likest in a block count.
-FAMILY = {"gpl": "gpl", "lgpl": "gpl", "agpl": "gpl"}
+FAMILY = {"gpl": "gpl", "lgpl": "gpl", "agpl": "gpl"} | dict.fromkeys(("cc-by-nc", "cc-by-sa", "cc-by-nd", "cc-by-nc-sa"), "cc")
 
 
 def words_of(text: Column) -> Column:
@@ -99,7 +112,11 @@ def token_counts(words: DataFrame, tokens: list[str]) -> dict[str, int]:
 
 
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
-    """Base places and labels, and the labels of all templates that a block holds."""
+    """Base places and labels, and the labels of all templates that a block holds.
+
+    ``labels`` are those of blocks that also pass the windows and the rules about kin;
+    ``set_labels`` those of every block that meets the containment threshold as a set of words.
+    """
     spark = docs.sparkSession
     sets = template_sets(templates or TEMPLATES)
     vocabulary = sorted({t for _, s in sets for t in s})
@@ -115,7 +132,7 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for at, token in enumerate(ordered[: len(ordered) - need + 1]):
             prefix_tokens.add(token)
             index.append((token, n, label, at, need, lengths[n], ordered, REQUIRED.get(label), FAMILY.get(label, label)))
-    prefixes = spark.createDataFrame(index, "token string, template int, label string, at int, need int, length int, tokens array<string>, required string, family string")
+    prefixes = spark.createDataFrame(index, "token string, template int, label string, at int, need int, length int, tokens array<string>, required array<string>, family string")
     least = min((x[4] for x in index), default=1)
 
     gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -137,11 +154,11 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     likely = F.least(F.size("tokens") - F.col("at"), F.size("known") - F.col("pos")) + F.least("at", "pos") >= F.col("need")
     reached = likely & (F.size("known") >= F.col("need")) & (F.size(F.array_intersect("known", "tokens")) >= F.col("need"))
     share = F.when(reached, window_share(F.col("words"), F.col("tokens"), F.col("length"))).otherwise(0.0)
-    verified = joined.withColumn("share", share).withColumn("hit", (F.col("share") * F.size("tokens") >= F.col("need") - 1e-6) & (F.col("required").isNull() | F.array_contains("known", F.col("required"))))
-    pair = F.struct(F.col("number").alias("block"), "share", "label", "family")
-    one = verified.groupBy("rid").agg(*(F.first(c).alias(c) for c in ("id", "n_words", "n_base", "first_word", "last_word", "base")), F.collect_set(F.when(F.col("hit"), pair)).alias("pairs"))
-    # All licenses of a block count, but of kin, which share most words, only the likest.
-    extra = F.transform(F.filter("pairs", lambda p: ~F.exists("pairs", lambda q: (q["block"] == p["block"]) & (q["family"] == p["family"]) & (q["share"] > p["share"]))), lambda p: p["label"])
+    verified = joined.withColumns({"share": share, "reached": reached}).withColumn("hit", (F.col("share") * F.size("tokens") >= F.col("need") - 1e-6) & (F.col("required").isNull() | (F.size(F.array_except("required", "known")) == 0)))
+    pair = F.struct(F.col("number").alias("block"), "share", "label", "family", F.size("tokens").alias("n"))
+    one = verified.groupBy("rid").agg(*(F.first(c).alias(c) for c in ("id", "n_words", "n_base", "first_word", "last_word", "base")), F.collect_set(F.when(F.col("hit"), pair)).alias("pairs"), F.collect_set(F.when(F.col("reached"), F.col("label"))).alias("reached"))
+    # All licenses of a block count, but of kin, which share most words, only the likest, and of these the longest.
+    extra = F.transform(F.filter("pairs", lambda p: ~F.exists("pairs", lambda q: (q["block"] == p["block"]) & (q["family"] == p["family"]) & ((q["share"] > p["share"]) | (q["share"] == p["share"]) & (q["n"] > p["n"])))), lambda p: p["label"])
     joined_labels = F.array_join(F.array_sort(F.array_union("base", extra)), ",")
     score = F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("pairs", lambda p: p["share"])), F.lit(0.0)))
-    return one.select(F.col("id").alias(id_col), "n_words", "n_base", "first_word", "last_word", F.array_join(F.array_sort("base"), ",").alias("base_labels"), joined_labels.alias("labels"), score.alias("score"))
+    return one.select(F.col("id").alias(id_col), "n_words", "n_base", "first_word", "last_word", F.array_join(F.array_sort("base"), ",").alias("base_labels"), joined_labels.alias("labels"), score.alias("score"), F.array_join(F.array_sort("reached"), ",").alias("set_labels"))
