@@ -28,8 +28,8 @@ def first_occurrences(rows: DataFrame, fingerprint: dict[str, Column], order: li
 def new_rows(incoming: DataFrame, stored: DataFrame, fingerprint: dict[str, Column], order: list[str], ts: str = "exchange_ts", by: str | None = None) -> DataFrame:
     """Incoming rows, each fingerprint once, that are not stored yet.
 
-    The incoming side's first and last time are looked up (one row), so that the stored
-    side is read with plain bounds, which reach its files; ``by`` names a column of stored
+    The incoming side's first and last time are looked up when this is called (one row, a
+    job of its own that reads only the time column), so that the stored side is read with plain bounds, which reach its files; ``by`` names a column of stored
     dates of these times, whose partitions are then pruned as well. Nulls equal each other.
     """
     once = first_occurrences(incoming, fingerprint, order).withColumns({f"__{k}": c for k, c in fingerprint.items()})

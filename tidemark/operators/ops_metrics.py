@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import MARKET_TZ, local_time
@@ -63,6 +63,21 @@ def service_metrics(counts: DataFrame, keys: tuple[str, ...] = ("service_name",)
     return rate.select("ts", *keys, "label", F.explode(F.create_map(*[x for n in ("msg_rate", "error_count", "reconnects", "lag") for x in (F.lit(n), number(n))])).alias("metric_name", "metric_value")).filter(F.col("metric_value").isNotNull())
 
 
+def counted(rows: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """Rows, and named counts that Spark takes as they pass: no second scan.
+
+    ``counts`` are aggregates; the observation has them once an action on the rows has ended.
+    """
+    seen = Observation()
+    return rows.observe(seen, *(c.alias(k) for k, c in counts.items())), seen
+
+
+def metric_rows(spark: SparkSession, seen: Observation, as_of: str, service: str, label: str = "") -> DataFrame:
+    """An ended observation as metric rows (ts, service_name, metric_name, metric_value, label): one for each count."""
+    rows = [(service, k, float(v or 0), label) for k, v in seen.get.items()]
+    return spark.createDataFrame(rows, "service_name string, metric_name string, metric_value double, label string").select(F.lit(as_of).cast("timestamp_ntz").alias("ts"), "*")
+
+
 def consumer_lag(offsets: DataFrame, keys: tuple[str, ...] = ("group_id", "topic")) -> DataFrame:
     """Sum over partitions of how far the committed offset is behind; never below 0."""
     return offsets.groupBy(*keys).agg(F.sum(F.greatest(F.lit(0), F.col("end_offset") - F.coalesce("committed_offset", F.lit(0)))).alias("lag"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import normalize as N
 from ..functions.time import MARKET_TZ, partition_stamp
-from ..operators import candles
+from ..operators import candles, ops_metrics
 from ..schemas import CANDLE
 from ..sources import avro, journal, readers, rollup, sinks
 from ..streaming import streams
@@ -288,6 +288,15 @@ def clustered_day(spark, sf_dir):
     return rows.select("kafka_offset", "symbol", "price", "date", (~F.col("date").isin(*days)).alias("clustered"))
 
 
+@query(V.with_views(("ticks",), f"SELECT TIMESTAMP '{V.AS_OF}' AS ts, 'archiver' AS service_name, unnest(['fetched', 'skipped', 'no_price']) AS metric_name, unnest([count(*), count(*) FILTER (board_id <> 'G1'), count(*) FILTER (k % 17 = 0)])::DOUBLE AS metric_value, '' AS label FROM ticks"))
+def counts_in_flight(spark, sf_dir):
+    """Rows of a board appended to a table, with counts of what came and what was left out, from the one scan."""
+    path, t = sinks.new_place(spark, "trades"), _dated(V.ticks(spark, sf_dir))
+    seen_rows, seen = ops_metrics.counted(t, fetched=F.count("*"), skipped=N.skipped_boards(t, ["G1"]), no_price=F.count_if(F.col("k") % 17 == 0))
+    sinks.append_partitioned(N.filter_boards(seen_rows, ["G1"]), path, ["date"])
+    return ops_metrics.metric_rows(spark, seen, V.AS_OF, "archiver")
+
+
 # Streams
 
 
