@@ -99,6 +99,11 @@ def test_variants_of_documents(spark, docs, texts):
     assert set(got) == slow_variants(texts.items()) and len(got) == len(set(got))
 
 
+def test_variants_equal_their_sql(spark, duck, sf_dir):
+    got = as_rows(queries.op13_spelling_variants(spark, sf_dir).select("word", "form", "root", "n", "n_near", "form_n"))
+    assert sorted(got, key=str) == sorted(duck.execute(f"SELECT word, form, root, n, n_near, form_n FROM ({variants.ORACLE_SQL})").fetchall(), key=str)
+
+
 def sf_of(docs) -> str:
     return docs.inputFiles()[0].rpartition("/")[0].removeprefix("file://")
 

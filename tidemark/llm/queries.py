@@ -75,4 +75,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The others hash, parse or tokenize, which has no SQL form; tests hold each against brute force."""
-    return {"op12_filter_audit": filter_audit.ORACLE_SQL}
+    return {"op12_filter_audit": filter_audit.ORACLE_SQL, "op13_spelling_variants": variants.ORACLE_SQL}

@@ -240,3 +240,26 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         ends = roots_of(forms.filter("form IS NOT NULL"), scratch)
         found = forms.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
         return stored(found, "variants")
+
+
+#: The same in SQL: words one edit apart agree when a letter of each, at the same place, or of one of them, is cut out.
+ORACLE_SQL = """
+WITH RECURSIVE
+found AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM found GROUP BY ALL),
+hexed AS (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+hashed AS (SELECT run, n, xor(list_reduce(
+    list_transform(range(1, length(x), 2), lambda i: (16 * (instr('0123456789ABCDEF', substr(x, i, 1)) - 1) + instr('0123456789ABCDEF', substr(x, i + 1, 1)) - 1)::BIGINT),
+    lambda c, b: list_reduce([xor(c, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda v, k: xor(v >> 1, 3988292384 * (v & 1))), 4294967295::BIGINT), 4294967295) AS h FROM hexed),
+words AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM hashed),
+counted AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cuts AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM counted)),
+near AS (
+    SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, a.n, b.word, b.n FROM cuts a JOIN counted b ON a.rest = b.word
+    UNION SELECT b.word, b.n, a.word, a.n FROM cuts a JOIN counted b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, row(-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+forms AS (SELECT c.word, CASE WHEN other_n >= 2 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM counted c LEFT JOIN best b ON c.word = b.word),
+chain AS (SELECT word, word AS last_word, form AS next FROM forms UNION ALL SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON chain.next = forms.word)
+SELECT forms.word, form, last_word AS root, n, n_near, form_n FROM forms JOIN chain ON forms.word = chain.word AND chain.next IS NULL
+"""
