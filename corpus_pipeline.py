@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it
 kept; its result is written as Parquet and read again. All but the last return
 the columns of ``documents``.
+
+Cases: a null text counts as empty, fails the fixed rules and goes in the first stage; a
+stage that gets such rows all the same keeps them as their operator says (see
+``tidemark.llm``); null ids, languages and sources pass through; repeated rows are one
+class of near-duplicates; extra columns are dropped at the start of a stage; an empty
+table gives empty results with the same columns. Every stage starts from files, so a lost
+executor costs a stage's tasks.
 """
 
 from __future__ import annotations
