@@ -207,15 +207,24 @@ def test_lm_scores_equal_counting(docs, texts):
     for options in ({}, {"chunk_tokens": 3000, "shard_tokens": 20_000}, {"chunk_tokens": 3000, "shard_tokens": 20_000, "short": 40, "hot": 20, "hottest": 10}):
         rows = lm.score_documents(docs, **options).collect()
         assert len(rows) == len(texts)
+        assert {len(rows), len({r.doc_id for r in rows})} == {len(texts)}
         for r in rows:
             n, known, total, base, score = want[r.doc_id]
             assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total) and r.held_out == lm.is_held_out(r.doc_id)
             assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=2e-3)
 
 
+def test_more_slots_than_buckets(docs, texts, monkeypatch):
+    """A bucket with several slots: each is a group of its own."""
+    monkeypatch.setattr(lm, "MOST_BUCKETS", 2)
+    want = {r.doc_id: r.score for r in lm.score_documents(docs).collect()}
+    got = {r.doc_id: r.score for r in lm.score_documents(docs.repartition(5), chunk_tokens=3000).collect()}
+    assert got.keys() == want.keys() == texts.keys() and all(got[k] == pytest.approx(want[k], rel=2e-3) for k in want)
+
+
 def test_chunks_send_only_what_they_have(docs):
-    own = lm.chunks(docs, "doc_id", "text", np.array([[5, 6]]), 500).first()
-    assert own["slot"] == 5
+    own = lm.chunks(docs, "doc_id", "text", 2, 500).first()
+    assert own["slot"] == lm.slot_of(0)
     own = {n: np.array(own[n]) if n != "numbers" else bytes(own[n]) for n in ("n_tokens", "held_out", "words", "train", "numbers")}
     common = lm.Common(own["words"][2:30].view(np.uint64), own["train"][2:30], 20, 10)
     few, many = (lm.Ngrams(own, common, n).rows(0, 0) for n in (3, 100_000))
@@ -226,7 +235,11 @@ def test_chunks_send_only_what_they_have(docs):
 
 
 def test_slots_are_dealt_evenly(spark):
-    slots = lm.even_slots(spark, 37)
+    """Tasks know their slots by undoing Spark's hash; nothing is collected for it."""
+    numbers = [*range(50), 2**31 - 1, 12_345_678, 25_000_000]
+    hashed = spark.createDataFrame([(n, lm.slot_of(n)) for n in numbers], "n long, slot long").selectExpr("n", "hash(slot) AS h")
+    assert all(r.n == r.h for r in hashed.collect())
+    slots = np.array([lm.slot_of(n) for n in range(37)])
     frame = spark.createDataFrame([(int(x),) for x in slots], "slot long").repartition(37, "slot").select(F.spark_partition_id().alias("p"), "slot")
     assert sorted(r.p for r in frame.collect()) == list(range(37)) and len(set(slots.tolist())) == 37
 

@@ -60,6 +60,8 @@ CHUNK_TOKENS, SHARD_TOKENS = 1 << 21, 2_000_000
 SHORT, HOT, HOTTEST = 65_535, 1024, 128
 #: Bytes of an input partition whose chunks are scored in one task, about.
 SLOT_BYTES = 4 << 20
+#: Buckets of chunks at most: what Spark allows by default. Beyond it a bucket has several slots, which are still scored one by one.
+MOST_BUCKETS = 100_000
 #: Tokens scored at a time.
 SLICE = 1 << 18
 #: The end token and the mark before a text; no word has a space.
@@ -111,11 +113,11 @@ def word_key(word: bytes) -> int:
 BEGIN_KEY = word_key(BEGIN)
 
 
-def chunks(docs: DataFrame, id_col: str, text_col: str, slots: np.ndarray, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+def chunks(docs: DataFrame, id_col: str, text_col: str, each: int, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """(slot, made, ids, n_tokens, held_out, tokens, words, train, numbers) of all texts; ``words`` are keys, with their training counts.
 
     A chunk is named by its slot and its number there; a partition's chunks have its slots
-    in turn, of which there are as many for each (``slots`` has a row for a partition).
+    in turn, of which there are ``each`` for a partition.
     """
     rows = slim(docs, id_col, text_col)
     kind = rows.schema[0].dataType
@@ -135,36 +137,56 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, slots: np.ndarray, chunk
                 held.append(is_held_out(doc_id))
                 n += lengths[-1]
                 if n >= chunk_tokens:
-                    yield _chunk(part, made, slots, arrow_kind, ids, lengths, held, found, number)
+                    yield _chunk(part, made, each, arrow_kind, ids, lengths, held, found, number)
                     made, n = made + 1, 0
                     number = Numbers({END: 0, BEGIN: 1})
                     ids, lengths, held, found = [], [], [], []
         if ids:
-            yield _chunk(part, made, slots, arrow_kind, ids, lengths, held, found, number)
+            yield _chunk(part, made, each, arrow_kind, ids, lengths, held, found, number)
 
     fields = [("slot", T.LongType()), ("made", T.LongType()), ("ids", T.ArrayType(kind)), ("n_tokens", T.ArrayType(T.LongType())), ("held_out", T.ArrayType(T.BooleanType())), ("tokens", T.LongType()), *((c, T.ArrayType(T.LongType())) for c in ("words", "train")), ("numbers", T.BinaryType())]
     return rows.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
-def _chunk(part: int, made: int, slots: np.ndarray, kind: pa.DataType, ids: list, lengths: list, held: list, found: list, number: dict) -> pa.RecordBatch:
+def _chunk(part: int, made: int, each: int, kind: pa.DataType, ids: list, lengths: list, held: list, found: list, number: dict) -> pa.RecordBatch:
     keys = np.fromiter(map(word_key, number), np.uint64, len(number))
     trained = [x for x, h in zip(found, held, strict=True) if not h]
     train = np.bincount(np.concatenate([np.empty(0, np.uint32), *trained]), minlength=len(number))
     train[:2] = len(trained)
     longs = pa.list_(pa.int64())
     return pa.RecordBatch.from_pydict({
-        "slot": pa.array([slots[part % len(slots), made % slots.shape[1]]], pa.int64()), "made": pa.array([part << 24 | made], pa.int64()), "ids": pa.array([ids], pa.list_(kind)), "n_tokens": pa.array([lengths], longs), "held_out": pa.array([held], pa.list_(pa.bool_())),
+        "slot": pa.array([slot_of(part * each + made % each)], pa.int64()), "made": pa.array([part << 24 | made], pa.int64()), "ids": pa.array([ids], pa.list_(kind)), "n_tokens": pa.array([lengths], longs), "held_out": pa.array([held], pa.list_(pa.bool_())),
         "tokens": pa.array([sum(lengths)], pa.int64()), "words": pa.array([keys.view(np.int64)], longs), "train": pa.array([train], longs), "numbers": pa.array([planes(np.concatenate(found))], pa.binary()),
     })
 
 
-def even_slots(spark: SparkSession, n: int) -> np.ndarray:
-    """For each of ``n`` partitions a number that Spark's hash puts there."""
-    rows = spark.range(0, 40 * n + 1000, 1, 1 + n // 100_000).select(F.pmod(F.hash("id"), F.lit(n)).alias("at"), "id").groupBy("at").agg(F.min("id").alias("id"))
-    slots = np.zeros(n, np.int64)
-    for at, number in rows.collect():
-        slots[at] = number
-    return slots
+def slot_of(number: int) -> int:
+    """A long that Spark's hash of a column (32-bit Murmur3 with seed 42) maps to ``number``.
+
+    So slots lie in buckets as evenly as their numbers, and every task knows its own without
+    a table. Each step of the hash is undone; the long's lower half is 0.
+    """
+    h = _unshifted(number & _MASK, 16)
+    h = _unshifted(h * pow(0xC2B2AE35, -1, 1 << 32) & _MASK, 13)
+    h = _unshifted(h * pow(0x85EBCA6B, -1, 1 << 32) & _MASK, 16) ^ 8
+    h = _turned((h - 0xE6546B64) * pow(5, -1, 1 << 32) & _MASK, 32 - 13) ^ (_turned(42, 13) * 5 + 0xE6546B64 & _MASK)
+    high = _turned(h * pow(0x1B873593, -1, 1 << 32) & _MASK, 32 - 15) * pow(0xCC9E2D51, -1, 1 << 32) & _MASK
+    return (high - (high >> 31 << 32)) << 32
+
+
+_MASK = 0xFFFFFFFF
+
+
+def _turned(x: int, bits: int) -> int:
+    return (x << bits | x >> 32 - bits) & _MASK
+
+
+def _unshifted(x: int, bits: int) -> int:
+    """The number that gives ``x`` when its own upper bits are added to it."""
+    out = x
+    for _ in range(32 // bits):
+        out = x ^ out >> bits
+    return out
 
 
 class Common:
@@ -440,8 +462,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     kind = slim(docs, id_col).schema[0].dataType
     partitions, each = docs.rdd.getNumPartitions() or 1, -(-_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) // SLOT_BYTES)
-    slots = even_slots(spark, partitions * each).reshape(partitions, each)
-    cut = stored_by(chunks(docs, id_col, text_col, slots, chunk_tokens), "chunks", "slot", slots.size)
+    cut = stored_by(chunks(docs, id_col, text_col, each, chunk_tokens), "chunks", "slot", min(partitions * each, MOST_BUCKETS))
     shards = max(1, -(-(cut.agg(F.sum("tokens")).first()[0] or 0) // shard_tokens))
     with Scratch(spark) as scratch:
         word = cut.select(F.explode(F.arrays_zip("words", "train")).alias("w")).select("w.*").filter("train > 0")
