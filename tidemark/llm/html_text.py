@@ -164,7 +164,9 @@ def hidden(name: str, attrs: str, rules: Rules | None = None) -> bool:
         return "open" not in attributes(attrs)
     if not ruled and (not attrs or "hid" not in attrs.lower() and "none" not in attrs.lower()):
         return False
-    found = attributes(attrs) if attrs else {}
+    if not attrs:
+        return rules.hide(name, {})
+    found = attributes(attrs)
     if "hidden" in found or name == "input" and found.get("type", "").lower() == "hidden":
         return True
     own = _DISPLAY.findall(found.get("style", ""))
@@ -308,6 +310,7 @@ def layout(found: Iterable[tuple[str, str, str]], rules: Rules | None = None) ->
     flow = Flow()
     stack: list[tuple[str, bool, bool]] = []  # name, hidden, whether text was invisible before
     where: dict[str, list[int]] = {}
+    scopes = [-1]  # places of open elements that bound an end tag's search
     folded: dict[int, bool] = {}  # places of closed details -> whether their summary has come
     open_names: dict[str, int] = {}
     lists: list[list] = []  # kind, counter
@@ -319,7 +322,11 @@ def layout(found: Iterable[tuple[str, str, str]], rules: Rules | None = None) ->
         nonlocal flow, unseen, pre, veiled
         name, is_hidden, veiled = stack.pop()
         open_names[name] -= 1
-        folded.pop(where[name].pop(), None)
+        place = where[name].pop()
+        if name in SCOPE:
+            scopes.pop()
+        if folded:
+            folded.pop(place, None)
         if is_hidden:
             unseen -= 1
             return
@@ -355,16 +362,18 @@ def layout(found: Iterable[tuple[str, str, str]], rules: Rules | None = None) ->
 
     def end_until(names: set[str], bound: set[str] | frozenset) -> None:
         """End the open elements of these names that lie above the bound."""
-        floor = top_of(bound)
-        lowest = min((places[k] for x in names if (places := where.get(x)) and (k := bisect_right(places, floor)) < len(places)), default=None)
+        lowest = floor = None
+        for x in names:
+            if places := where.get(x):
+                if floor is None:
+                    floor = scopes[-1] if bound is SCOPE else max((p[-1] for y in bound if (p := where.get(y))), default=-1)
+                k = bisect_right(places, floor)
+                if k < len(places) and (lowest is None or places[k] < lowest):
+                    lowest = places[k]
         if lowest is not None:
             while len(stack) > lowest:
                 leave()
 
-    def top_of(names: set[str] | frozenset) -> int:
-        """The highest place in the stack of an element of these names; -1 if none is open."""
-        return max((places[-1] for x in names if (places := where.get(x))), default=-1)
-
     for kind, name, attrs in found:
         if stack and stack[-1][0] == "head" and (name not in HEAD if kind == "start" else kind == "text" and name.strip(" \t\n\r\f")):
             while stack and stack[-1][0] == "head":
@@ -410,7 +419,12 @@ def layout(found: Iterable[tuple[str, str, str]], rules: Rules | None = None) ->
                     if own.get("type", "text").lower() in SHOWN_INPUTS:
                         flow.text(f" {own.get('value', '')} ", False)
                 continue
-            where.setdefault(name, []).append(len(stack))
+            if name in where:
+                where[name].append(len(stack))
+            else:
+                where[name] = [len(stack)]
+            if name in SCOPE:
+                scopes.append(len(stack))
             if name == "details" and "open" not in attributes(attrs):
                 folded[len(stack)] = False
             stack.append((name, gone, veiled))
@@ -450,9 +464,8 @@ def layout(found: Iterable[tuple[str, str, str]], rules: Rules | None = None) ->
             elif name in BLOCK:
                 flow.block(1 if name in PARAGRAPH else 0)
         elif open_names.get(name):
-            bound = frozenset() if name in SCOPE or name in ("tr", "thead", "tbody", "tfoot") else SCOPE
             nearest = where[name][-1]
-            if nearest > top_of(bound):
+            if nearest > scopes[-1] or name in SCOPE or name in ("tr", "thead", "tbody", "tfoot"):
                 while len(stack) > nearest:
                     leave()
         elif name == "p" and not unseen:
