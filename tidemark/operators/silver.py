@@ -75,7 +75,7 @@ def silver(bronze: DataFrame, days: DataFrame, symbols: DataFrame | None = None,
         out = gap_fill(rows, days, wanted, tz)
     else:
         inside = days.select(F.col("trading_date").alias("__d")).distinct()
-        out = enrich_daily(rows, tz).join(F.broadcast(inside), F.col("trading_date") == F.col("__d"), "left_semi").select("symbol", "time", "open", "high", "low", "close", "volume", "bar_type", "is_filled", "trading_date")
+        out = enrich_daily(rows, tz).join(inside, F.col("trading_date") == F.col("__d"), "left_semi").select("symbol", "time", "open", "high", "low", "close", "volume", "bar_type", "is_filled", "trading_date")
     out = out.withColumn("resolution", F.lit(resolution)).withColumn("date", F.date_format("trading_date", "yyyy-MM-dd"))
     return out.join(done.select("symbol", "resolution", "date").distinct(), ["symbol", "resolution", "date"], "left_anti") if done is not None else out
 

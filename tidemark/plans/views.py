@@ -61,7 +61,7 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    c = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     market = F.element_at(F.array(*map(F.lit, MARKETS)), F.col("n_regionkey").cast("int") + 1)
     key = F.col("c_custkey")
     index = F.when(key % 6 == 0, "VN30,VN100").when(key % 6 == 1, "VN100").when(key % 6 == 2, "HNX30").when(key % 6 == 3, "VN300")
