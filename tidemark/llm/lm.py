@@ -438,7 +438,7 @@ def answers_of(table: pa.Table, common: Common, base: Callable, k2: float, k3: f
         pairs = np.repeat(np.arange(len(r.keys)), r.runs), r.p_rank, r.p_count
         of_pairs = lambda keys, ranks: common.of_pairs(keys, r.dictionary[ranks])
         trie = Trie.build((r.keys, r.w_count), pairs, (*triples, np.concatenate([r.t_count, r.h_count])), k2, k3, base, common.context_counts, of_pairs).saved(f"{folder}/trie")
-        del pairs
+        del pairs, triples
         w = trie.words.find(r.keys)
         pair = trie.level2.find(w, r.runs, r.p_rank)
         triple = trie.level3.find(pair[: r.own_pairs], r.children[: r.own_pairs], r.t_rank)
@@ -499,7 +499,12 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_group(batches):
-            yield answers_of(table, shared.value, base, k2, k3)
+            out = answers_of(table, shared.value, base, k2, k3)
+            del table
+            yield out
+            # what this shard took goes back before the next one is gathered
+            del out
+            pa.default_memory_pool().release_unused()
 
     def score(owns: pa.Table, answers: pa.Table) -> pa.Table:
         """The scores of a partition's chunks, each with its answers by shard."""
