@@ -148,6 +148,18 @@ def test_missing_contract_is_registered_once(spark):
     assert set(got) == {"41I1F1000", "41I1F2000"} and got["41I1F2000"].final_trade_date == day("2024-02-14") and not got["41I1F2000"].is_active
 
 
+def test_sessions_end_to_the_microsecond(spark):
+    """Local times are seven hours later; 2024-01-16 is a Tuesday, 2024-01-20 a Saturday."""
+    cases = {
+        "2024-01-16 01:59:59.999999": "CLOSED", "2024-01-16 02:00:00": "AM", "2024-01-16 04:30:00": "AM", "2024-01-16 04:30:00.000001": "CLOSED", "2024-01-16 04:30:00.445115": "CLOSED",
+        "2024-01-16 05:59:59.999999": "CLOSED", "2024-01-16 06:00:00": "PM", "2024-01-16 07:45:00": "PM", "2024-01-16 07:45:00.921999": "CLOSED", "2024-01-20 03:00:00": "CLOSED",
+    }
+    rows = spark.createDataFrame([(t,) for t in cases], "t string").withColumn("at", F.col("t").cast("timestamp_ntz"))
+    assert {r.t: r.p for r in rows.select("t", T.session_phase("at").alias("p")).collect()} == cases
+    monitored = spark.createDataFrame([("2024-01-16 08:15:00",), ("2024-01-16 08:15:00.5",)], "t string").select("t", T.is_monitored_time(F.col("t").cast("timestamp_ntz")).alias("m"))
+    assert [r.m for r in monitored.orderBy("t").collect()] == [True, False]
+
+
 def test_counter_reset(spark):
     c = spark.createDataFrame([("A", i, v) for i, v in enumerate((10, 15, 12, 20))], "symbol string, i int, v int")
     assert [r.v for r in dedup.counter_resets(c, ["symbol"], ["i"], "v").collect()] == [12]
