@@ -56,6 +56,32 @@ def test_counter_rate_over_slices(spark, window, slice_s):
     assert rows_of(ops_metrics.counter_rate(s, ("key",), window, slice_s=slice_s).select(*want.columns)) == rows_of(want)
 
 
+def test_rate_work_does_not_grow_with_the_window(spark, capsys):
+    """No frame moves along its lower bound: such a frame adds up all its rows anew for each row."""
+    ops_metrics.counter_rate(samples(spark), ("key",), 3600).explain()
+    bounds = {x.split(",")[0].strip() for x in capsys.readouterr().out.split("specifiedwindowframe(RangeFrame,")[1:]}
+    assert bounds == {"unboundedpreceding$()"}
+
+
+@pytest.mark.parametrize("seconds", [1, 60, 3600, 10**6])
+def test_trailing_sum_on_odd_rows(spark, seconds):
+    """Ties, times on both ends of a window, before 1970 and missing, null values and keys, fractions, a clash of large and small values."""
+    rng, rows = random.Random(seconds), []
+    for key in ("a", "b", None):
+        for start in (START, dt.datetime(1969, 12, 31, 23)):
+            at = start
+            for i in range(300):
+                at += dt.timedelta(seconds=rng.choice([0, 0, 1, 59, 60, 3600]), microseconds=rng.choice([0, 0, 0, 1, -1]))
+                rows.append((key, None if rng.random() < 0.03 else at, None if rng.random() < 0.1 else rng.randint(-9, 9), rng.choice([0.25, 2.0**40, -1.5]), i))
+    s = spark.createDataFrame(rows, "key string, ts timestamp_ntz, v bigint, x double, n int")
+    back = Window.partitionBy("key").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-seconds * 1_000_000, 0)
+    want = s.withColumns({"sv": F.sum("v").over(back), "sx": F.sum("x").over(back)})
+    got = scan.trailing_sum(scan.trailing_sum(s, ["key"], "ts", "v", seconds, "sv"), ["key"], "ts", "x", seconds, "sx")
+    assert got.columns == want.columns and rows_of(got) == rows_of(want)
+    one = s.filter("key = 'a'").drop("key")
+    assert rows_of(scan.trailing_sum(one, [], "ts", "v", seconds, "sv")) == rows_of(want.filter("key = 'a'").drop("key", "sx"))
+
+
 def test_runs_over_slices(spark):
     s = samples(spark, 400).withColumn("v", (F.col("n") / 23).cast("int") % 2).withColumn("v", F.when(F.col("n") % 60 < 50, F.col("v")))
     w = Window.partitionBy("key").orderBy("ts")

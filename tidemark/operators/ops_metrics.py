@@ -96,7 +96,7 @@ def counter_increase(samples: DataFrame, keys: tuple[str, ...], ts: str = "ts",
 def counter_rate(samples: DataFrame, keys: tuple[str, ...], seconds: int, ts: str = "ts", value: str = "value", slice_s: int = scan.SLICE_S) -> DataFrame:
     """Rise a second over the trailing window, resets allowed for."""
     risen = counter_increase(samples, keys, ts, value, slice_s)
-    summed = scan.trailing(risen, list(keys), ts, seconds, F.sum("increase"), "__risen", slice_s)
+    summed = scan.trailing_sum(risen, list(keys), ts, "increase", seconds, "__risen")
     return summed.withColumn("rate", F.coalesce("__risen", F.lit(0)) / seconds).drop("__risen")
 
 

@@ -61,15 +61,26 @@ def last_mark(rows: DataFrame, keys: list[str], order: list[str], mark: str, nam
     return marked.join(carried, match, "left").select(*rows.columns, F.coalesce("__mark", "__carry").alias(name))
 
 
-def trailing(rows: DataFrame, keys: list[str], ts: str, seconds: int, value: Column, name: str, slice_s: int = SLICE_S) -> DataFrame:
-    """``rows`` with an aggregate over the trailing ``seconds`` of each row (both ends count).
+def trailing_sum(rows: DataFrame, keys: list[str], ts: str, value: str, seconds: int, name: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` over the trailing ``seconds`` of each row (both ends count).
 
-    A slice is at least as wide as the window, so it needs the rows of the slice before it
-    that lie within the window of its start; these are sent to both.
+    Slices are as wide as the window. A window is then the rows of its slice up to now, and
+    the rows of the slice before from the window's start on; these are sent once more, later
+    by the width, and summed from the slice's end. Both are running sums, so the work of a
+    row doesn't grow with the rows of its window, and nothing is subtracted.
     """
-    keys, width = list(keys), max(slice_s, seconds)
-    us = rows.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp"))).withColumn("__slice", F.floor(F.col("__us") / (width * 1_000_000)))
-    later = F.col("__us") >= (F.col("__slice") + 1) * width * 1_000_000 - seconds * 1_000_000
-    sent = us.withColumn("__to", F.explode(F.when(later, F.array("__slice", F.col("__slice") + 1)).otherwise(F.array("__slice"))))
-    back = Window.partitionBy(*keys, "__to").orderBy("__us").rangeBetween(-seconds * 1_000_000, Window.currentRow)
-    return sent.withColumn(name, value.over(back)).filter(F.col("__to").eqNullSafe(F.col("__slice"))).select(*rows.columns, name)
+    keys, width = list(keys), seconds * 1_000_000
+    us = rows.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
+    # rows without a time are peers of one another, once
+    sent = us.withColumn("__moved", F.explode(F.when(F.col("__us").isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
+    own = F.col("__moved") == 0
+    at = F.col("__us") + F.col("__moved") * F.lit(width).cast("long")
+    # of a row sent once more only the keys, the time and the value are needed
+    slim = sent.select(*(F.col(c) if c in (*keys, value) else F.when(own, F.col(c)).alias(c) for c in rows.columns), "__moved", at.alias("__at"))
+    placed = slim.withColumn("__slice", F.col("__at") - F.pmod("__at", F.lit(width).cast("long")))
+    slices = Window.partitionBy(*keys, "__slice")
+    upto = slices.orderBy("__at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    since = slices.orderBy(F.desc("__at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = placed.withColumns({"__upto": F.sum(F.when(own, F.col(value))).over(upto), "__since": F.sum(F.when(~own, F.col(value))).over(since)})
+    total = F.coalesce(F.col("__upto") + F.col("__since"), "__upto", "__since")
+    return summed.filter(own).select(*rows.columns, total.alias(name))
