@@ -116,6 +116,18 @@ def test_chains_of_forms(spark):
     assert got[words[0]][2] == words[-1]
 
 
+def test_variants_broadcast_no_words(spark):
+    """No join sends a table to the driver, however small Spark takes it to be: keys are sized by the small files of their words."""
+    words = ["abcdefgh" + "z" * k for k in range(9)]
+    rows = [(1, " ".join(w for k, w in enumerate(words) for _ in range(3 * 2**k)))]
+    most = "spark.sql.maxBroadcastTableSize"
+    spark.conf.set(most, "1b")
+    try:
+        assert any(r[1] for r in check_variants(spark, rows))
+    finally:
+        spark.conf.unset(most)
+
+
 def test_pivots_are_disjoint_and_least():
     rng = random.Random(7)
     for _ in range(400):

@@ -16,7 +16,9 @@ of all words of a gram: no key gathers a share of the words. Every meeting is ve
 the edit distance itself, so hashes can't add a pair.
 
 Words are counted in tasks and summed; the order of bigrams is broadcast (at most 90^2 rows,
-as the alphabet has 90 letters). Forms lead from a word to one that is at least twice as
+as the alphabet has 90 letters) and no table else: joins are merges by hint, because Spark
+sizes keys by the files of the words they are made from, a hundredth of what keys hold, and
+would send them through the driver. Forms lead from a word to one that is at least twice as
 frequent, so a chain of forms is never longer than log2 of the largest count, and roots are found by
 doubling in as many steps as that number has bits.
 
@@ -212,7 +214,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     has = keyed(words, order, False).toDF("key", "b", "n_b", "last_b")
     # the word whose prefix ends earlier asks; where both end alike, the smaller one
     directed = (F.col("last_a") < F.col("last_b")) | (F.col("last_a") == F.col("last_b")) & (F.col("a") < F.col("b"))
-    met = asks.join(has, "key").filter(directed & (F.levenshtein("a", "b", 1) == 1))
+    met = asks.join(has.hint("merge"), "key").filter(directed & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "n_a", "b", "n_b").distinct()
 
 
@@ -221,7 +223,7 @@ def roots_of(links: DataFrame, scratch: Scratch) -> DataFrame:
     ahead = scratch.stored(links.select("word", F.col("form").alias("root")), "variant-roots")
     while True:
         step = ahead.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = scratch.stored(ahead.join(step, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "variant-roots")
+        moved = scratch.stored(ahead.join(step.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "variant-roots")
         if moved.filter("moved").isEmpty():
             return moved.select("word", "root")
         ahead = moved.select("word", "root")
@@ -235,10 +237,10 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         both = near_pairs(words).select(F.inline(F.array(one("a", "b"), one("b", "a"))))
         best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct("minus", "other")).alias("best"))
         enough = -F.col("best.minus") >= 2 * F.col("n")
-        forms = words.join(best, "word", "left").select("word", F.when(enough, F.col("best.other")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(enough, -F.col("best.minus")).alias("form_n"))
+        forms = words.join(best.hint("merge"), "word", "left").select("word", F.when(enough, F.col("best.other")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(enough, -F.col("best.minus")).alias("form_n"))
         forms = scratch.stored(forms, "variant-forms")
         ends = roots_of(forms.filter("form IS NOT NULL"), scratch)
-        found = forms.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+        found = forms.join(ends.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
         return stored(found, "variants")
 
 
